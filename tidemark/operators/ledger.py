@@ -46,10 +46,14 @@ LEDGER_SCHEMA = T.StructType([T.StructField(name, _KINDS[kind]) for name, kind i
 IDENTITY = ["source_database_name", "source_schema_name", "source_object_name"]
 
 
-def _succeeded() -> Column:
+def succeeded() -> Column:
     return F.upper(col("status")) == SUCCESS
 
 
+def is_valid_mark() -> Column:
+    return succeeded() & (col("max_timestamp") != ntz(SENTINEL_MARK)) & (col("rows_inserted") != 0)
+
+
 def object_runs(ledger: DataFrame, identity: tuple[str, str, str]) -> DataFrame:
     for name, value in zip(IDENTITY, identity):
         ledger = ledger.filter(col(name) == value)
@@ -58,11 +62,7 @@ def object_runs(ledger: DataFrame, identity: tuple[str, str, str]) -> DataFrame:
 
 def valid_marks(ledger: DataFrame) -> DataFrame:
     """Successful runs that inserted rows and carry a real mark."""
-    return ledger.filter(
-        _succeeded()
-        & (col("max_timestamp") != ntz(SENTINEL_MARK))
-        & (col("rows_inserted") != 0)
-    )
+    return ledger.filter(is_valid_mark())
 
 
 def _latest_mark(minutes: int) -> Column:
@@ -81,7 +81,7 @@ def watermark_per_object(ledger: DataFrame, minutes: int = 10) -> DataFrame:
 
 def last_success_time(ledger: DataFrame, identity: tuple[str, str, str] | None = None) -> DataFrame:
     """Creation time of the latest successful run, for one object or for each."""
-    good = ledger.filter(_succeeded())
+    good = ledger.filter(succeeded())
     latest = F.max_by("created_timestamp", "run_id").alias("last_success")
     if identity is None:
         return good.groupBy(*IDENTITY).agg(latest)
@@ -101,7 +101,7 @@ def failure_summary(ledger: DataFrame, job: list[str], block: int = 65536) -> Da
     failed = ledger.filter(F.upper(col("status")) == FAILED).select(
         *job, "run_id", "source_object_name", "error_message"
     )
-    in_blocks = failed.withColumn("__block", F.floor(col("run_id") / block))
+    in_blocks = failed.withColumn("__block", col("run_id") - F.pmod(col("run_id"), F.lit(block)))
     sizes = in_blocks.groupBy(*job, "__block").agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.partitionBy(*job).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*job, "__block", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))

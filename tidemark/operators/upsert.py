@@ -3,13 +3,14 @@
 For each batch row: no target row with equal keys -> insert, with the inserted
 stamp; equal keys and any column different -> update, with the updated stamp;
 otherwise the target row stays as it is. A null key matches nothing, so it is
-always inserted.
+always inserted; such rows bypass the joins, where they would all hash to one
+task.
 
 Three plans give the same rows:
 
-``outer``      one full outer join. Each side is shuffled once. Needs target keys
-               to be unique; rows with null keys bypass the join, because they
-               would all hash to one task and a full outer join cannot be split.
+``outer``      one full outer join. Each side is shuffled once. For targets with
+               unique keys, which is what upserts leave behind: a full outer
+               join cannot be split should one key fill a task.
 ``split``      target LEFT OUTER batch, plus batch LEFT ANTI target keys. The
                target is always the splittable side, so adaptive execution can
                break up a hot key of a target that is not unique. Spark
@@ -88,8 +89,12 @@ def _as_inserts(batch: DataFrame, target: DataFrame, run_ts: Column) -> DataFram
     return batch.select(*out, F.lit("insert").alias(ACTION))
 
 
+def _has_null_key(keys) -> Column:
+    return any_null([col(k) for k in keys])
+
+
 def _outer_plan(target: DataFrame, batch: DataFrame, keys, run_ts: Column) -> DataFrame:
-    no_key = any_null([col(k) for k in keys])
+    no_key = _has_null_key(keys)
     joined = (
         target.filter(~no_key)
         .withColumn(_IN_TARGET, F.lit(True))
@@ -105,27 +110,41 @@ def _outer_plan(target: DataFrame, batch: DataFrame, keys, run_ts: Column) -> Da
     return joined.unionByName(kept).unionByName(_as_inserts(batch.filter(no_key), target, run_ts))
 
 
-def _split_plan(
-    target: DataFrame, batch: DataFrame, keys, run_ts: Column, unique: bool, small: bool
-) -> DataFrame:
-    side = batch.withColumn(_IN_BATCH, F.lit(True))
+def upsert_parts(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: list[str] | tuple[str, ...],
+    run_ts: str | Column,
+    small: bool = False,
+    target_unique: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The target's rows after the upsert, and the inserted rows, each with ``_action``.
+
+    With ``small`` the batch is broadcast and the first part keeps the
+    partitioning of the target scan.
+    """
+    run_ts = ntz(run_ts)
+    # both uses of the batch start with one filter, so its shuffle can be reused
+    keyed = batch.filter(~_has_null_key(keys))
+    side = keyed.withColumn(_IN_BATCH, F.lit(True))
     existing = (
         target.alias("t")
         .join((F.broadcast(side) if small else side).alias("s"), _keys_equal(keys, "t", "s"), "left_outer")
         .select(*_merged_columns(target, batch, keys, run_ts, outer=False))
     )
     names = [quoted(k) for k in keys]
-    known = target.select(*names).filter(~any_null([col(k) for k in keys]))
+    known = target.select(*names).filter(~_has_null_key(keys))
     if small:
         # at most as many keys as the measured batch has rows
-        wanted = batch.select(*names).alias("w")
-        known = known.alias("k").join(F.broadcast(wanted), _keys_equal(keys, "k", "w"), "left_semi")
-        known = F.broadcast(known.distinct())
-    elif not unique:
+        wanted = F.broadcast(keyed.select(*names)).alias("w")
+        known = known.alias("k").join(wanted, _keys_equal(keys, "k", "w"), "left_semi").distinct()
+        known = F.broadcast(known)
+    elif not target_unique:
         # collapse repeated keys before the shuffle: this side cannot be split
         known = known.distinct()
-    fresh = batch.alias("s").join(known.alias("k"), _keys_equal(keys, "s", "k"), "left_anti")
-    return existing.unionByName(_as_inserts(fresh, target, run_ts))
+    fresh = keyed.alias("s").join(known.alias("k"), _keys_equal(keys, "s", "k"), "left_anti")
+    fresh = fresh.unionByName(batch.filter(_has_null_key(keys)))
+    return existing, _as_inserts(fresh, target, run_ts)
 
 
 def upsert_with_actions(
@@ -133,25 +152,25 @@ def upsert_with_actions(
     batch: DataFrame,
     keys: list[str] | tuple[str, ...],
     run_ts: str | Column,
-    plan: str = "split",
     target_unique: bool = False,
+    plan: str | None = None,
 ) -> DataFrame:
     """Merged rows plus ``_action``: 'insert', 'update' or 'keep'.
 
     ``batch`` must hold one row per key (see ``latest_per_key``) and no column the
-    target lacks (see ``catalog.add_columns``).
+    target lacks (see ``catalog.add_columns``). The default plan is 'outer' for a
+    target with unique keys and 'split' otherwise.
     """
+    plan = plan or ("outer" if target_unique else "split")
     if plan not in PLANS:
         raise ValueError(f"plan must be one of {PLANS}, not {plan!r}")
-    if plan == "outer" and not target_unique:
-        raise ValueError("the outer plan needs unique target keys: pass target_unique=True")
     unknown = [c for c in batch.columns if c not in target.columns]
     if unknown:
         raise ValueError(f"batch columns missing in target: {unknown}")
-    run_ts = ntz(run_ts)
     if plan == "outer":
-        return _outer_plan(target, batch, keys, run_ts)
-    return _split_plan(target, batch, keys, run_ts, target_unique, plan == "broadcast")
+        return _outer_plan(target, batch, keys, ntz(run_ts))
+    existing, fresh = upsert_parts(target, batch, keys, run_ts, plan == "broadcast", target_unique)
+    return existing.unionByName(fresh)
 
 
 def upsert(
@@ -159,10 +178,10 @@ def upsert(
     batch: DataFrame,
     keys: list[str] | tuple[str, ...],
     run_ts: str | Column,
-    plan: str = "split",
     target_unique: bool = False,
+    plan: str | None = None,
 ) -> DataFrame:
-    return upsert_with_actions(target, batch, keys, run_ts, plan, target_unique).drop(ACTION)
+    return upsert_with_actions(target, batch, keys, run_ts, target_unique, plan).drop(ACTION)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:
@@ -193,8 +212,8 @@ def upsert_documents(
     key: str,
     run_ts: str | Column,
     key_as: str = "doc_key",
-    plan: str = "split",
     target_unique: bool = False,
+    plan: str | None = None,
 ) -> DataFrame:
     """Replace whole documents whose content differs; matched on one text key.
 
@@ -202,4 +221,4 @@ def upsert_documents(
     string with statistics and not the document.
     """
     wanted = batch if key_as in batch.columns else batch.withColumn(key_as, document_text(col(doc), key))
-    return upsert(target, wanted.select(quoted(key_as), quoted(doc)), [key_as], run_ts, plan, target_unique)
+    return upsert(target, wanted.select(quoted(key_as), quoted(doc)), [key_as], run_ts, target_unique, plan)

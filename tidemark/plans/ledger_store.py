@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import overlap_start
 from tidemark.names import FAILED, SENTINEL_MARK, SUCCESS, col
-from tidemark.operators.ledger import LEDGER_SCHEMA, next_run_id, object_runs, valid_marks
+from tidemark.operators.ledger import IDENTITY, LEDGER_SCHEMA, is_valid_mark, next_run_id, succeeded
 
 
 def utc_now() -> datetime:
@@ -21,6 +22,16 @@ def sentinel() -> datetime:
     return datetime.fromisoformat(SENTINEL_MARK)
 
 
+@dataclass(frozen=True)
+class LoadState:
+    """Id of the next run, newest committed run of the target, stored mark, start of the next read."""
+
+    run_id: int
+    committed: int | None
+    mark: datetime | None
+    read_from: datetime | None
+
+
 @dataclass(frozen=True)
 class LedgerStore:
     spark: SparkSession
@@ -36,21 +47,27 @@ class LedgerStore:
     def next_run_id(self) -> int:
         return next_run_id(self.rows()).first()["run_id"]
 
+    def state(self, identity: tuple[str, str, str], target: str, minutes: int) -> LoadState:
+        """What a load must know before it starts, in one aggregate over the ledger."""
+        ours = reduce(lambda a, b: a & b, [col(n) == v for n, v in zip(IDENTITY, identity)])
+        marked = ours & is_valid_mark()
+        mark = F.max_by("max_timestamp", F.when(marked, col("run_id")))
+        committed = succeeded() & (col("target_table_name") == target.upper())
+        found = self.rows().agg(
+            (F.coalesce(F.max("run_id"), F.lit(0)) + 1).alias("run_id"),
+            F.max(F.when(committed, col("run_id"))).alias("committed"),
+            F.when(F.bool_or(marked), mark).alias("mark"),
+            F.when(F.bool_or(marked), overlap_start(mark, minutes)).alias("read_from"),
+        )
+        return LoadState(**found.first().asDict())
+
     def append(self, row: dict) -> None:
         values = [tuple(row.get(name) for name in LEDGER_SCHEMA.names)]
         self.spark.createDataFrame(values, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
-    def marks(self, identity: tuple[str, str, str], minutes: int) -> tuple[datetime | None, datetime | None]:
-        """Stored mark of an object and the time its next read starts from."""
-        mark = F.max_by("max_timestamp", "run_id")
-        found = valid_marks(object_runs(self.rows(), identity)).agg(
-            mark.alias("mark"), overlap_start(mark, minutes).alias("read_from")
-        )
-        return tuple(found.first())
-
     def committed_run(self, target: str) -> int | None:
         """Newest successful run of a target: the version readers see."""
-        done = self.rows().filter((F.upper(col("status")) == SUCCESS) & (col("target_table_name") == target.upper()))
+        done = self.rows().filter(succeeded() & (col("target_table_name") == target.upper()))
         return done.agg(F.max("run_id").alias("run_id")).first()["run_id"]
 
 

@@ -24,8 +24,8 @@ from tidemark.operators.dedup import latest_document_per_key, latest_per_key
 from tidemark.operators.filters import changed_since, documents_changed_since, inserted_since
 from tidemark.operators.projection import project_columns, typed_projection, with_audit_columns
 from tidemark.operators.snapshot_diff import new_rows
-from tidemark.plans.ledger_store import LedgerStore, failed_row, ledger_row, utc_now
-from tidemark.plans.tables import VersionedTable, Written
+from tidemark.plans.ledger_store import LedgerStore, LoadState, failed_row, ledger_row, utc_now
+from tidemark.plans.tables import Manifest, VersionedTable, Written
 from tidemark.sources.documents import read_documents
 from tidemark.sources.staging import run_path, stage_batch
 from tidemark.spec import LoadSpec
@@ -45,6 +45,8 @@ class Lake:
     overlap_minutes: int = 10
     # a deduplicated batch measured at or below this many bytes is broadcast
     broadcast_bytes: int = 32 * 1024 * 1024
+    # with more files than this per bucket, a rewrite also merges them
+    files_per_bucket: int = 256
     docs_per_file: int = 1_000_000
     drop_missing: bool = True
     reject_null_keys: bool = False
@@ -64,7 +66,10 @@ class Lake:
     def current(self, spec: LoadSpec) -> DataFrame | None:
         """The target as of its last committed run."""
         run_id = self.ledger.committed_run(spec.target)
-        return None if run_id is None else self.table(spec).read(run_id)
+        if run_id is None:
+            return None
+        table = self.table(spec)
+        return table.read(table.manifest(run_id))
 
     def audit(self, spec: LoadSpec, run_id: int) -> DataFrame:
         return self.spark.read.parquet(run_path(f"{self.root}/audit/{spec.target}", run_id))
@@ -84,13 +89,14 @@ def _run(lake: Lake, specs: list[LoadSpec], incremental: bool) -> list[dict]:
     lake.ledger.create()
     done = []
     for spec in specs:
-        run_id, started = lake.ledger.next_run_id(), lake.clock()
-        load = _Load(lake, spec, run_id, started.isoformat(sep=" "), incremental)
+        started = lake.clock()
+        state = lake.ledger.state(spec.identity, spec.target, lake.overlap_minutes)
+        load = _Load(lake, spec, state, started.isoformat(sep=" "), incremental)
         try:
             outcome = load.run()
-            row = ledger_row(spec, run_id, started, utc_now(), **outcome)
+            row = ledger_row(spec, state.run_id, started, utc_now(), **outcome)
         except Exception as error:  # one object's failure must not stop the others
-            row = failed_row(spec, run_id, started, error, load.step)
+            row = failed_row(spec, state.run_id, started, error, load.step)
         lake.ledger.append(row)
         done.append(row)
     return done
@@ -116,16 +122,16 @@ def _measured(df: DataFrame) -> tuple[int, int]:
 class _Load:
     lake: Lake
     spec: LoadSpec
-    run_id: int
+    state: LoadState
     run_ts: str
     incremental: bool
     step: str = "read control row"
 
     def run(self) -> dict:
         self.table = self.lake.table(self.spec)
-        self.committed = self.lake.ledger.committed_run(self.spec.target)
-        self.prior_mark, read_from = self.lake.ledger.marks(self.spec.identity, self.lake.overlap_minutes)
-        self.read_from = read_from if self.incremental and self.committed is not None else None
+        self.run_id, self.committed = self.state.run_id, self.state.committed
+        self.base = None if self.committed is None else self.table.manifest(self.committed)
+        self.read_from = self.state.read_from if self.incremental and self.base else None
         if self.spec.is_documents:
             return self._documents()
         return self._rows()
@@ -144,7 +150,7 @@ class _Load:
         """New mark, never below the one before; an empty batch logs the sentinel."""
         if found is None:
             return {}
-        return {"max_timestamp": max(found, self.prior_mark) if self.prior_mark else found}
+        return {"max_timestamp": max(found, self.state.mark) if self.state.mark else found}
 
     def _typed(self, df: DataFrame) -> DataFrame:
         self.step = "type columns"
@@ -185,7 +191,7 @@ class _Load:
         self.step = "compare snapshots"
         place = self.lake.stage(self.spec, "snapshot")
         current = stage_batch(source, place, self.run_id)
-        if not self.incremental or self.committed is None:
+        if not self.incremental or self.base is None:
             return current
         before = self.lake.spark.read.parquet(run_path(place, self.committed))
         if set(before.columns) != set(current.columns):
@@ -194,10 +200,10 @@ class _Load:
 
     def _evolved(self, source: DataFrame) -> T.StructType | None:
         """Schema the target takes in this run; a new column forces a full read."""
-        if self.committed is None:
+        if self.base is None:
             return None
         self.step = "compare columns"
-        stored = self.table.manifest(self.committed).schema
+        stored = self.base.schema
         own = {n.lower() for n in stored.names} - set(AUDIT_COLUMNS)
         new = [f for f in source.schema.fields if f.name.lower() not in own]
         gone = own - {n.lower() for n in source.columns}
@@ -213,7 +219,7 @@ class _Load:
 
     def _deleted(self) -> DataFrame | None:
         spec = self.spec
-        if spec.deleted_object is None or self.committed is None:
+        if spec.deleted_object is None or self.base is None:
             return None
         self.step = "read deleted rows"
         feed = self._origin().open(self.lake.spark, spec, spec.deleted_object)
@@ -244,37 +250,50 @@ class _Load:
     # --- writing -----------------------------------------------------------------
 
     def _commit(self, latest: DataFrame, deleted: DataFrame | None, schema: T.StructType | None) -> dict:
-        lake, spec, table = self.lake, self.spec, self.table
-        if self.committed is None:
+        lake, spec, table, base = self.lake, self.spec, self.table, self.base
+        if base is None:
             self.step = "write target"
-            written = table.write(self.run_id, with_audit_columns(latest, self.run_ts), self.run_ts)
-            touched, gone = None, 0
-        else:
-            base = table.manifest(self.committed)
-            schema = schema or base.schema
-            # the key columns' types decide the bucket, so type before bucketing
-            latest = latest.select(*[col(f.name).cast(f.dataType) for f in schema.fields if f.name in latest.columns])
-            self.step = "stage latest rows"
-            latest = stage_batch(latest, lake.stage(spec, "latest"), self.run_id)
-            rows, size = _measured(latest)
-            touched = table.touched_buckets(latest, len(base.versions)) if rows else set()
-            touched |= self._buckets_of_deleted(deleted, schema, len(base.versions))
-            if not touched:
-                table.keep(self.run_id, type(base)(base.versions, schema))
-                self._audit(set())
-                return {}
-            self.step = "upsert"
-            target = table.read(self.committed, touched, schema)
-            gone = 0
-            if deleted is not None:
-                gone = deletes.deleted_rows(target, deleted, spec.keys).count()
-                target = deletes.delete_by_key(target, deleted, spec.keys)
-            plan = "broadcast" if size <= lake.broadcast_bytes else "outer"
-            merged = upsert.upsert(target, latest, table.keys, self.run_ts, plan, target_unique=True)
-            written = table.write(self.run_id, merged, self.run_ts, base, touched)
+            lie = "grouped" if table.shuffles_by_bucket(table.buckets) else "scattered"
+            written = table.write(self.run_id, [(with_audit_columns(latest, self.run_ts), lie)], self.run_ts)
+            self._audit(None)
+            return self._counts(written, 0)
+        schema, count = schema or base.schema, len(base.versions)
+        # the key columns' types decide the bucket, so type before bucketing
+        latest = latest.select(*[col(f.name).cast(f.dataType) for f in schema.fields if f.name in latest.columns])
+        self.step = "stage latest rows"
+        latest = stage_batch(latest, lake.stage(spec, "latest"), self.run_id)
+        rows, size = _measured(latest)
+        touched = table.touched_buckets(latest, count) if rows else set()
+        touched |= self._buckets_of_deleted(deleted, schema, count)
+        if not touched:
+            table.keep(self.run_id, Manifest(base.versions, schema))
+            self._audit(set())
+            return {}
+        self.step = "upsert"
+        target = table.read(base, touched, schema)
+        gone = 0
+        if deleted is not None:
+            gone = deletes.deleted_rows(target, deleted, spec.keys).count()
+            target = deletes.delete_by_key(target, deleted, spec.keys)
+        parts = self._merged(target, latest, size, count, kept_in_place=deleted is None)
+        written = table.write(self.run_id, parts, self.run_ts, base, touched)
         self._audit(touched)
         return self._counts(written, gone)
 
+    def _merged(
+        self, target: DataFrame, latest: DataFrame, size: int, count: int, kept_in_place: bool
+    ) -> list[tuple[DataFrame, str]]:
+        """The upsert as parts to write, by the measured size of the batch."""
+        keys, table = self.table.keys, self.table
+        shuffled = "grouped" if table.shuffles_by_bucket(count) else "scattered"
+        if size > self.lake.broadcast_bytes:
+            return [(upsert.upsert(target, latest, keys, self.run_ts, target_unique=True), shuffled)]
+        existing, fresh = upsert.upsert_parts(target, latest, keys, self.run_ts, small=True, target_unique=True)
+        # a scan keeps the target's rows bucket by bucket, but too many small files are merged on the way
+        crowded = len(target.inputFiles()) > self.lake.files_per_bucket * count
+        lie = "scattered" if crowded else "grouped" if kept_in_place else shuffled
+        return [(existing.drop(upsert.ACTION), lie), (fresh.drop(upsert.ACTION), "few")]
+
     def _buckets_of_deleted(self, deleted: DataFrame | None, schema: T.StructType, count: int) -> set[int]:
         if deleted is None:
             return set()
@@ -292,7 +311,7 @@ class _Load:
     def _audit(self, touched: set[int] | None) -> None:
         """Keys this run inserted or updated; they can only be in the buckets it wrote."""
         self.step = "write audit keys"
-        rows = self.table.read(self.run_id, touched)
+        rows = self.table.read(self.table.manifest(self.run_id), touched)
         keys = self.table.keys
         found = audit_keys(rows, keys, self.run_ts, "insert", self.run_id).unionByName(
             audit_keys(rows, keys, self.run_ts, "update", self.run_id)

@@ -9,6 +9,11 @@ manifest naming, for each bucket, the version that holds it:
 
 A run counts once the ledger says so; until then readers keep the manifest of
 the run before, and a run that died is simply written again.
+
+The bucket of a key is its shuffle hash modulo the bucket count. So rows that
+come out of a join or window on the key are already grouped by bucket whenever
+the number of shuffle partitions is a multiple of the bucket count, and are
+written without another shuffle.
 """
 
 from __future__ import annotations
@@ -57,10 +62,17 @@ class VersionedTable:
         types = {f.name: f.dataType for f in df.schema.fields}
         own = [col(k) for k in self.keys]
         rest = [comparable(col(c), types[c]) for c in df.columns if c not in AUDIT_COLUMNS]
-        by_key = F.pmod(F.xxhash64(*own), F.lit(count))
-        by_content = F.pmod(F.xxhash64(*rest), F.lit(count))
+        by_key = F.pmod(F.hash(*own), F.lit(count))
+        by_content = F.pmod(F.hash(*rest), F.lit(count))
         return F.when(any_null(own), by_content).otherwise(by_key).cast("int")
 
+    def shuffles_by_bucket(self, count: int) -> bool:
+        """Whether a shuffle on the key leaves each task rows of one bucket."""
+        conf = self.spark.conf
+        partitions = int(conf.get("spark.sql.shuffle.partitions"))
+        first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        return int(first or partitions) % count == 0
+
     def touched_buckets(self, df: DataFrame, count: int) -> set[int]:
         """Buckets the rows fall into: at most ``count`` numbers."""
         found = df.select(self.bucket_of(df, count).alias("b")).distinct().collect()
@@ -69,12 +81,13 @@ class VersionedTable:
     def _path(self, version: int, bucket: int) -> str:
         return f"{self.root}/data/version={version}/{_BUCKET}={bucket}"
 
-    def read(self, run_id: int, only: set[int] | None = None, schema: T.StructType | None = None) -> DataFrame:
-        """The table as of a run; ``only`` limits it to some buckets.
+    def read(
+        self, manifest: Manifest, only: set[int] | None = None, schema: T.StructType | None = None
+    ) -> DataFrame:
+        """The table as of a manifest; ``only`` limits it to some buckets.
 
         Buckets written before a column was added give null for it.
         """
-        manifest = self.manifest(run_id)
         schema = schema or manifest.schema
         paths = [
             self._path(version, bucket)
@@ -87,18 +100,34 @@ class VersionedTable:
         return stored.select(*[col(c) for c in schema.names])
 
     def write(
-        self, run_id: int, df: DataFrame, run_ts: str, base: Manifest | None = None, touched: set[int] | None = None
+        self,
+        run_id: int,
+        parts: list[tuple[DataFrame, str]],
+        run_ts: str,
+        base: Manifest | None = None,
+        touched: set[int] | None = None,
     ) -> Written:
-        """Write the touched buckets of ``df`` and the manifest of the run.
+        """Write the touched buckets and the manifest of the run.
+
+        Each part comes with how its rows lie: 'grouped' rows are written as they
+        are, 'scattered' ones are first rebalanced by bucket, which also splits a
+        bucket too big for one task, and 'few' go to one small file per bucket.
 
         Counts come from the written files: accumulators would count the rows of
         a retried task twice.
         """
         count = len(base.versions) if base else self.buckets
-        rows = df.withColumn(_BUCKET, self.bucket_of(df, count))
         place = f"{self.root}/data/version={run_id}"
-        # rebalance: few files per bucket, and a bucket too big for one task is split
-        rows.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(place)
+        schema = parts[0][0].schema
+        mode = "overwrite"
+        for df, lie in parts:
+            rows = df.withColumn(_BUCKET, self.bucket_of(df, count))
+            if lie == "scattered":
+                rows = rows.hint("rebalance", _BUCKET)
+            elif lie == "few":
+                rows = rows.repartition(min(len(touched or ()) or count, 64), _BUCKET)
+            rows.write.mode(mode).partitionBy(_BUCKET).parquet(place)
+            mode = "append"
         stored = self.spark.read.schema(rows.schema).parquet(place)
         # one row per bucket
         found = (
@@ -113,7 +142,7 @@ class VersionedTable:
         if base and touched is not None:
             versions.update({b: v for b, v in base.versions.items() if b not in touched})
         versions.update({row[_BUCKET]: run_id for row in found})
-        self._write_manifest(run_id, Manifest(versions, df.schema))
+        self._write_manifest(run_id, Manifest(versions, schema))
         return Written(sum(r["inserted"] for r in found), sum(r["updated"] for r in found))
 
     def keep(self, run_id: int, base: Manifest) -> None:
@@ -123,12 +152,8 @@ class VersionedTable:
     def _write_manifest(self, run_id: int, manifest: Manifest) -> None:
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in manifest.schema.fields])
         rows = [(b, v, nullable.json()) for b, v in sorted(manifest.versions.items())]
-        (
-            self.spark.createDataFrame(rows, _MANIFEST)
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{self.root}/manifest/run_id={run_id}")
-        )
+        frame = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.root}/manifest/run_id={run_id}")
 
 
 def merge_into_catalog(batch: DataFrame, table: str, keys: tuple[str, ...], run_ts: str) -> None:

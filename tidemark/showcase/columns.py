@@ -164,7 +164,7 @@ def schema_add_column(spark, sf_dir):
     orders = i.table(spark, sf_dir, "orders")
     source = i.order_source(spark, sf_dir).join(orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
     target = catalog.add_columns(i.order_target(spark, sf_dir), {"o_orderpriority": "string"})
-    return upsert.upsert(target, source, i.ORDER_KEYS, i.SECOND_RUN)
+    return upsert.upsert(target, source, i.ORDER_KEYS, i.SECOND_RUN, True)
 
 
 @query(
@@ -178,4 +178,4 @@ def schema_add_column(spark, sf_dir):
 def schema_drop_column(spark, sf_dir):
     batch = i.order_batch(spark, sf_dir).drop("o_orderstatus")
     target = catalog.drop_missing_columns(i.order_target(spark, sf_dir), batch.columns)
-    return upsert.upsert(target, batch, i.ORDER_KEYS, i.SECOND_RUN)
+    return upsert.upsert(target, batch, i.ORDER_KEYS, i.SECOND_RUN, True)

@@ -170,7 +170,7 @@ def failure_summary(spark, sf_dir):
 
 def _merged(spark, sf_dir):
     batch = latest_per_key(i.order_batch(spark, sf_dir), i.ORDER_KEYS, "o_orderdate", "o_updated")
-    return upsert.upsert(i.order_target(spark, sf_dir), batch, i.ORDER_KEYS, i.SECOND_RUN)
+    return upsert.upsert(i.order_target(spark, sf_dir), batch, i.ORDER_KEYS, i.SECOND_RUN, True)
 
 
 @query(

@@ -20,14 +20,14 @@ def _order_batch(spark, sf_dir):
 
 @query("upsert", f"WITH {i.ORDER_UPSERT_SQL} SELECT * FROM merged")
 def upsert_orders(spark, sf_dir):
-    return upsert.upsert(i.order_target(spark, sf_dir), _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN)
+    """Order keys are unique in the target, so one full outer join does."""
+    return upsert.upsert(i.order_target(spark, sf_dir), _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN, True)
 
 
-@query("upsert_outer_plan", f"WITH {i.ORDER_UPSERT_SQL} SELECT * FROM merged")
-def upsert_orders_outer(spark, sf_dir):
-    return upsert.upsert(
-        i.order_target(spark, sf_dir), _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN, "outer", True
-    )
+@query("upsert_split_plan", f"WITH {i.ORDER_UPSERT_SQL} SELECT * FROM merged")
+def upsert_orders_split(spark, sf_dir):
+    """The plan for targets that may repeat a key."""
+    return upsert.upsert(i.order_target(spark, sf_dir), _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN)
 
 
 @query(
@@ -36,7 +36,7 @@ def upsert_orders_outer(spark, sf_dir):
 )
 def upsert_counts(spark, sf_dir):
     merged = upsert.upsert_with_actions(
-        i.order_target(spark, sf_dir), _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN
+        i.order_target(spark, sf_dir), _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN, True
     )
     return upsert.action_counts(merged)
 
@@ -87,7 +87,7 @@ def upsert_composite(spark, sf_dir):
         latest_per_key(old, i.LINE_KEYS, "l_shipdate", tiebreak=i.LINE_TIEBREAK), i.FIRST_RUN
     )
     batch = latest_per_key(new, i.LINE_KEYS, "l_shipdate", tiebreak=i.LINE_TIEBREAK)
-    return upsert.upsert(target, batch, i.LINE_KEYS, i.SECOND_RUN, "outer", True)
+    return upsert.upsert(target, batch, i.LINE_KEYS, i.SECOND_RUN, True)
 
 
 @query(
@@ -127,7 +127,7 @@ def deleted_rows(spark, sf_dir):
 )
 def delete_then_upsert(spark, sf_dir):
     remaining = deletes.delete_by_key(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS)
-    return upsert.upsert(remaining, _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN)
+    return upsert.upsert(remaining, _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN, True)
 
 
 _ORDER_ROW = ", ".join(i.ORDER_KEYS + i.ORDER_VALUES)

@@ -174,7 +174,7 @@ def _event_files(spark, sf_dir, label: str, kinds: list[str] | None = None) -> s
     events = i.table(spark, sf_dir, "events")
     if kinds:
         events = events.filter(F.col("event_type").isin(kinds))
-    named = events.withColumn("object", F.concat(F.lit("export_"), F.col("event_type")))
+    named = timestamps_as_text(events).withColumn("object", F.concat(F.lit("export_"), F.col("event_type")))
     named.write.partitionBy("object").option("header", True).csv(path)
     return path
 
