@@ -1,0 +1,216 @@
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tidemark.functions.types import mapping_rows, read_mapping, storage_type
+from tidemark.names import SENTINEL_MARK
+from tidemark.operators import catalog, deletes, ledger, marks
+from tidemark.operators.audit import audit_keys
+from tidemark.operators.filters import changed_since, inserted_since
+from tidemark.operators.projection import project_columns, project_keys, typed_projection, with_audit_columns
+
+DAY = [datetime(2024, 1, d) for d in range(1, 10)]
+
+
+# --- deletes ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_delete_compares_keys_column_by_column(spark, as_rows, unique):
+    target = spark.createDataFrame([(1, 23, "a"), (12, 3, "b"), (None, 3, "c")], "x int, y int, v string")
+    feed = spark.createDataFrame([(12, 3), (12, 3), (None, 3)], "x int, y int")
+    assert as_rows(deletes.delete_by_key(target, feed, ["x", "y"], unique).select("v")) == [("a",), ("c",)]
+    assert as_rows(deletes.deleted_rows(target, feed, ["x", "y"], unique).select("v")) == [("b",)]
+
+
+# --- marks ----------------------------------------------------------------------
+
+
+def test_high_water_mark_skips_nulls(spark):
+    df = spark.createDataFrame([(DAY[0], None), (DAY[1], DAY[5])], "i timestamp_ntz, u timestamp_ntz")
+    assert marks.high_water_mark(df, "i", "u").first()[0] == DAY[5]
+    assert marks.high_water_mark(df.filter("u is null"), "i", "u").first()[0] == DAY[0]
+    assert marks.high_water_mark(df.limit(0), "i", "u").first()[0] is None
+
+
+def test_incremental_mark_of_an_empty_batch(spark):
+    df = spark.createDataFrame([], "i timestamp_ntz")
+    assert marks.incremental_mark(df, "i").first()[0] == datetime.fromisoformat(SENTINEL_MARK)
+    assert tuple(marks.batch_count(df).first()) == (0, True)
+
+
+def test_filters_are_strict_and_null_safe(spark):
+    df = spark.createDataFrame(
+        [(1, DAY[0], None), (2, DAY[1], None), (3, DAY[2], None), (4, None, DAY[3]), (5, None, None)],
+        "id int, i timestamp_ntz, u timestamp_ntz",
+    )
+    assert {r.id for r in changed_since(df, str(DAY[1]), "i", "u").collect()} == {3, 4}
+    assert {r.id for r in changed_since(df, str(DAY[1]), "i", None).collect()} == {3}
+    assert {r.id for r in inserted_since(df, str(DAY[0]), "i").collect()} == {2, 3}
+
+
+# --- ledger ---------------------------------------------------------------------
+
+
+def runs(spark, *entries):
+    base = dict.fromkeys(ledger.LEDGER_SCHEMA.names)
+    base.update(source_database_name="d", source_schema_name="s", source_object_name="t", status="SUCCESS", rows_inserted=1)
+    full = [{**base, **e} for e in entries]
+    return spark.createDataFrame([tuple(e[n] for n in ledger.LEDGER_SCHEMA.names) for e in full], ledger.LEDGER_SCHEMA)
+
+
+def test_lookup_ignores_failed_sentinel_and_empty_runs(spark):
+    sentinel = datetime.fromisoformat(SENTINEL_MARK)
+    log = runs(
+        spark,
+        dict(run_id=9, max_timestamp=DAY[8], status="FAILED"),
+        dict(run_id=8, max_timestamp=sentinel),
+        dict(run_id=7, max_timestamp=DAY[7], rows_inserted=0),
+        dict(run_id=6, max_timestamp=DAY[6], source_schema_name="other"),
+        dict(run_id=2, max_timestamp=DAY[1]),
+        dict(run_id=3, max_timestamp=DAY[2], status="Success"),
+    )
+    assert ledger.watermark_lookup(log, ("d", "s", "t")).first()[0] == datetime(2024, 1, 2, 23, 50)
+    assert ledger.watermark_lookup(log, ("d", "s", "nothing")).first()[0] is None
+    per_object = {tuple(r)[:3]: r["read_from"] for r in ledger.watermark_per_object(log, 0).collect()}
+    assert per_object == {("d", "s", "t"): DAY[2], ("d", "other", "t"): DAY[6]}
+    assert ledger.next_run_id(log).first()[0] == 10
+    assert ledger.next_run_id(log.limit(0)).first()[0] == 1
+
+
+def test_last_success_time(spark):
+    log = runs(
+        spark,
+        dict(run_id=1, created_timestamp=DAY[0]),
+        dict(run_id=2, created_timestamp=DAY[1], rows_inserted=0),
+        dict(run_id=3, created_timestamp=DAY[2], status="FAILED"),
+    )
+    assert ledger.last_success_time(log, ("d", "s", "t")).first()[0] == DAY[1]
+
+
+def test_failure_numbers_run_across_blocks(spark):
+    log = runs(spark, *[dict(run_id=n, status="FAILED" if n % 3 else "SUCCESS", error_message=str(n)) for n in range(1, 31)])
+    got = ledger.failure_summary(log, ["source_database_name"], block=4).orderBy("run_id").collect()
+    assert [r["failure_no"] for r in got] == list(range(1, 21))
+    assert [r["run_id"] for r in got] == [n for n in range(1, 31) if n % 3]
+
+
+def test_audit_keys(spark, as_rows):
+    df = with_audit_columns(spark.createDataFrame([(1, "a")], "k int, v string"), str(DAY[0]))
+    assert as_rows(audit_keys(df, ["k"], str(DAY[0]), "insert", 4)) == [("insert", 1, 4)]
+    assert as_rows(audit_keys(df, ["k"], str(DAY[1]), "insert", 4)) == []
+    assert as_rows(audit_keys(df, ["k"], str(DAY[0]), "update", 4)) == []
+
+
+# --- projections and types ----------------------------------------------------------
+
+
+def test_column_lists(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, `b c` int, d int")
+    assert project_columns(df, "*").columns == ["a", "b c", "d"]
+    assert project_columns(df, "d, b c").columns == ["d", "b c"]
+    assert project_keys(df, " a ,d").columns == ["a", "d"]
+
+
+def test_typed_projection_strict_and_lenient(spark):
+    df = spark.createDataFrame([("1", "2.50", "2024-01-01 10:20:30.5", "no")], "a string, b string, t string, x string")
+    types = {"a": "bigint", "b": "decimal(12,2)", "t": "time"}
+    row = typed_projection(df, types).first()
+    assert (row.a, str(row.b), row.t) == (1, "2.50", "10:20:30.500000")
+    assert typed_projection(df, {"x": "int"}, lenient=True).first().x is None
+    with pytest.raises(PySparkException):
+        typed_projection(df, {"x": "int"}).collect()
+
+
+def test_storage_types():
+    assert storage_type("POSTGRESQL", "int4") == "bigint"
+    assert storage_type("POSTGRESQL", "timestamp without time zone") == "timestamp_ntz"
+    assert storage_type("POSTGRESQL", "numeric") == "decimal(38,18)"
+    assert storage_type("POSTGRESQL", "numeric", "decimal(12,2)") == "decimal(12,2)"
+    assert storage_type("SQLSERVER", "text") == "string"
+    assert storage_type("SQLSERVER", "bit") == "boolean"
+    assert storage_type("POSTGRESQL", "bit") == "string"
+    assert storage_type("POSTGRESQL", "double precision") == "string"
+    with pytest.raises(ValueError, match="no mapping"):
+        storage_type("POSTGRESQL", "double precision", strict=True)
+
+
+def test_mapping_has_one_row_per_name():
+    names = [(d, n) for d, n, _, _ in mapping_rows()]
+    assert len(names) == len(set(names))
+
+
+def test_first_mapping_row_wins_and_case_matters(spark):
+    mapping = [("X", "text", "object", 5), ("X", "text", "varchar", 2), ("Y", "text", "date", 0)]
+    columns = spark.createDataFrame([("o", "a", "text", 1), ("o", "b", "Text", 2)], catalog.CATALOG_SCHEMA)
+    got = {r.column_name: r.warehouse_type for r in catalog.map_types(columns, mapping, "X", "unknown").collect()}
+    assert got == {"a": "varchar", "b": "unknown"}
+    with pytest.raises(PySparkException, match="no mapping for type Text"):
+        catalog.map_types(columns, mapping, "X", fallback=None).collect()
+
+
+def test_mapping_from_a_file(spark, tmp_path):
+    path = tmp_path / "types.csv"
+    path.write_text("PG,MSSQL,WH\ntext,,varchar\n,bit,boolean\ntext,bit,object\n")
+    assert read_mapping(spark, str(path), "WH") == [
+        ("PG", "text", "varchar", 0),
+        ("MSSQL", "bit", "boolean", 1),
+        ("PG", "text", "object", 2),
+        ("MSSQL", "bit", "object", 2),
+    ]
+    with pytest.raises(ValueError, match="too long"):
+        catalog.map_types(spark.createDataFrame([], catalog.CATALOG_SCHEMA), [("X", "a", "b", 0)] * 10_001, "X")
+
+
+def test_mapping_excel_types(spark):
+    columns = spark.createDataFrame([("f", "a", "datetime64[ns]", 1), ("f", "b", "object", 2)], catalog.CATALOG_SCHEMA)
+    got = {r.column_name: r.warehouse_type for r in catalog.map_types(columns, mapping_rows(), "EXCEL").collect()}
+    assert got == {"a": "timestamp_ntz", "b": "varchar"}
+
+
+# --- catalogs and drift ---------------------------------------------------------------
+
+
+def test_catalog_of_frames(spark, as_rows):
+    df = spark.createDataFrame([], "id long, name string")
+    got = catalog.catalog_of(spark, {"t": df})
+    assert as_rows(got) == [("id", "bigint", "t", 1), ("name", "string", "t", 2)]
+    assert as_rows(catalog.listed_columns(got, ["name"])) == [("name", "string", "t", 2)]
+    target = catalog.catalog_of(spark, {"t": with_audit_columns(df, "2024-01-01")})
+    assert [r.column_name for r in catalog.target_columns(target).collect()] == ["id", "name"]
+
+
+def test_target_schema_ends_with_audit_columns(spark):
+    columns = spark.createDataFrame([("t", "id", "int4", 1), ("t", "x", "jsonb", 4)], catalog.CATALOG_SCHEMA)
+    got = catalog.target_schema(catalog.map_types(columns, mapping_rows(), "POSTGRESQL")).orderBy("ordinal_position")
+    assert [(r.column_name, r.warehouse_type, r.ordinal_position) for r in got.collect()] == [
+        ("id", "number", 1),
+        ("x", "object", 4),
+        ("edw_inserted_timestamp", "timestamp_ntz", 5),
+        ("edw_updated_timestamp", "timestamp_ntz", 6),
+    ]
+
+
+def test_drift_folds_case(spark, as_rows):
+    source = spark.createDataFrame([("t", "Id", "int4", 1), ("t", "New", "text", 2)], catalog.CATALOG_SCHEMA)
+    target = spark.createDataFrame(
+        [("t", "ID", "number", 1), ("t", "GONE", "varchar", 2), ("t", "EDW_INSERTED_TIMESTAMP", "timestamp", 3)],
+        catalog.CATALOG_SCHEMA,
+    )
+    got = {(r.column_name, r.change, r.source_type) for r in catalog.schema_drift(source, target).collect()}
+    assert got == {("new", "added", "text"), ("gone", "missing", None)}
+    assert as_rows(catalog.drift_counts(source, target)) == [(1, 1, "t", 2, 2)]
+
+
+def test_add_and_drop_columns(spark):
+    df = with_audit_columns(spark.createDataFrame([(1, "a")], "id int, Name string"), "2024-01-01")
+    wide = catalog.add_columns(df, {"NAME": "string", "extra": "double"})
+    assert wide.columns == ["id", "Name", "extra", "edw_inserted_timestamp", "edw_updated_timestamp"]
+    assert catalog.drop_missing_columns(wide, ["ID", "EXTRA"]).columns == [
+        "id",
+        "extra",
+        "edw_inserted_timestamp",
+        "edw_updated_timestamp",
+    ]

@@ -1,0 +1,65 @@
+from datetime import datetime
+
+import pytest
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import functions as F
+
+from tidemark.functions import timestamps as ts
+from tidemark.names import ntz
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+# 02:30 does not exist in New York on this day: nothing may shift it
+GAP = "2024-03-10 02:30:00"
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        (GAP + ".123456", datetime(2024, 3, 10, 2, 30, 0, 123456)),
+        (GAP, datetime(2024, 3, 10, 2, 30)),
+        ("2024-3-1 4:5:6.5", datetime(2024, 3, 1, 4, 5, 6, 500000)),
+        ("NaT", None),
+        (None, None),
+    ],
+)
+def test_parse(spark, text, expected):
+    column = F.lit(text).cast("string")
+    assert one(spark, ts.parse_timestamp(column)) == expected
+    assert one(spark, ts.parse_timestamp(column, strict=False)) == expected
+
+
+@pytest.mark.parametrize("text", ["garbage", "2024-13-01 00:00:00", "2024-01-01", "2024-01-01T00:00:00"])
+def test_parse_unknown_layout(spark, text):
+    assert one(spark, ts.parse_timestamp(F.lit(text), strict=False)) is None
+    with pytest.raises(SparkRuntimeException, match="not a known timestamp layout"):
+        one(spark, ts.parse_timestamp(F.lit(text)))
+
+
+def test_text_keeps_wall_clock(spark):
+    assert one(spark, ts.timestamp_text(ntz(GAP))) == GAP + ".000000"
+    assert one(spark, ts.timestamp_text(ntz(GAP + ".5"))) == GAP + ".500000"
+    assert one(spark, ts.timestamp_text(F.lit(None).cast("timestamp_ntz"))) is None
+    assert one(spark, ts.time_of_day(ntz(GAP + ".25"))) == "02:30:00.250000"
+
+
+def test_local_run_time(spark):
+    assert one(spark, ts.local_run_time(ntz(GAP), "Asia/Kolkata")) == datetime(2024, 3, 10, 8, 0)
+
+
+def test_overlap_cuts_to_milliseconds(spark):
+    assert one(spark, ts.overlap_start(ntz("2024-03-10 02:35:00.123999"))) == datetime(2024, 3, 10, 2, 25, 0, 123000)
+    assert one(spark, ts.overlap_start(ntz(GAP), 60)) == datetime(2024, 3, 10, 1, 30)
+
+
+def test_seconds_between(spark):
+    assert one(spark, ts.seconds_between(ntz(GAP), ntz("2024-03-10 02:30:01.25"))) == 1.25
+
+
+def test_effective_timestamp(spark):
+    empty = F.lit(None).cast("timestamp_ntz")
+    assert one(spark, ts.effective_timestamp(empty, ntz(GAP))) == datetime(2024, 3, 10, 2, 30)
+    assert one(spark, ts.effective_timestamp(ntz("2024-01-01"), ntz(GAP))) == datetime(2024, 1, 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Warehouse type of each source type name, per source dialect.
 # Matching is case-sensitive; a name listed once per dialect is its first match.
@@ -120,7 +120,7 @@ SPARK_TYPES = {
 # Where the first match would harm the data we store text as text instead.
 STORED_AS_TEXT = {("SQLSERVER", "text")}
 
-MAPPING_SCHEMA = "dialect string, source_type string, warehouse_type string, row_no int"
+MAX_MAPPING_ROWS = 10_000
 
 
 def mapping_rows() -> list[tuple[str, str, str, int]]:
@@ -132,9 +132,22 @@ def mapping_rows() -> list[tuple[str, str, str, int]]:
     return rows
 
 
-def type_mapping(spark: SparkSession) -> DataFrame:
-    """The mapping as a DataFrame: a fixed list, far below any broadcast limit."""
-    return spark.createDataFrame(mapping_rows(), MAPPING_SCHEMA)
+def read_mapping(spark: SparkSession, path: str, warehouse_column: str) -> list[tuple[str, str, str, int]]:
+    """Mapping rows from a CSV with one column per dialect and one for the warehouse type.
+
+    Rows count from the top of the file; empty cells are no mapping.
+    """
+    table = spark.read.option("header", True).csv(path)
+    lines = table.limit(MAX_MAPPING_ROWS + 1).collect()
+    if len(lines) > MAX_MAPPING_ROWS:
+        raise ValueError(f"type mapping {path} has more than {MAX_MAPPING_ROWS} rows")
+    dialects = [c for c in table.columns if c != warehouse_column]
+    return [
+        (dialect, line[dialect], line[warehouse_column], at)
+        for at, line in enumerate(lines)
+        for dialect in dialects
+        if line[dialect] is not None
+    ]
 
 
 def storage_type(dialect: str, source_type: str, declared: str | None = None, strict: bool = False) -> str:

@@ -27,6 +27,18 @@ def col(name: str, alias: str | None = None) -> Column:
     return F.col(quoted(name, alias))
 
 
+def whole_key(keys: list[str] | tuple[str, ...], alias: str | None = None) -> Column:
+    """All key columns as one struct, for joins whose left side may have a hot key.
+
+    Adaptive execution splits a hot partition only where both join inputs come
+    straight from a shuffle made for that join. A side that was just grouped on
+    the key columns would otherwise be joined without a shuffle of its own; the
+    struct is a different partitioning key, so it gets one. Structs of nulls are
+    equal: one side must hold no null keys.
+    """
+    return F.struct(*[col(k, alias).alias(f"k{at}") for at, k in enumerate(keys)])
+
+
 def ntz(value: str | datetime | Column) -> Column:
     """Timestamp without time zone from a literal, whatever the session zone is."""
     if isinstance(value, Column):

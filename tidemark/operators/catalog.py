@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.names import AUDIT_COLUMNS, col
+from tidemark.functions.types import MAX_MAPPING_ROWS
+from tidemark.names import AUDIT_COLUMNS, col, whole_key
 
 CATALOG_SCHEMA = "object string, column_name string, data_type string, ordinal_position long"
 
@@ -38,8 +39,12 @@ def wanted_columns(catalog: DataFrame, wanted: DataFrame) -> DataFrame:
     pairs = wanted.select("object", "column_name").distinct()
     exact = catalog.join(pairs, ["object", "column_name"], "left_semi")
     every = pairs.filter(col("column_name") == "*").select("object").distinct()
-    rest = catalog.join(pairs, ["object", "column_name"], "left_anti")
-    return exact.unionByName(rest.join(every, "object", "left_semi"))
+    rest = catalog.join(pairs, ["object", "column_name"], "left_anti").alias("r")
+    rest = rest.filter(col("object").isNotNull())
+    # one object may hold much of the catalog
+    return exact.unionByName(
+        rest.join(every.alias("e"), whole_key(["object"], "r") == whole_key(["object"], "e"), "left_semi")
+    )
 
 
 def _is_audit() -> Column:
@@ -52,20 +57,22 @@ def target_columns(catalog: DataFrame) -> DataFrame:
 
 
 def map_types(
-    catalog: DataFrame, mapping: DataFrame, dialect: str, fallback: str | None = "varchar"
+    catalog: DataFrame, mapping: list[tuple[str, str, str, int]], dialect: str, fallback: str | None = "varchar"
 ) -> DataFrame:
     """Adds ``warehouse_type``: the first mapping row of the dialect with that name.
 
-    The mapping is a list of type names (about 130 rows here), small enough to
-    send everywhere. Types without a row get ``fallback``; with None the query
-    fails on the first such type.
+    ``mapping`` rows are (dialect, source type, warehouse type, row number), as
+    ``functions.types`` gives them: a checked, short list, so it is broadcast.
+    Types without a row get ``fallback``; with None the query fails on the first
+    such type.
     """
-    first = (
-        mapping.filter(col("dialect") == dialect)
-        .groupBy(col("source_type").alias("data_type"))
-        .agg(F.min_by("warehouse_type", "row_no").alias("__mapped"))
-    )
-    joined = catalog.join(first, "data_type", "left")
+    if len(mapping) > MAX_MAPPING_ROWS:
+        raise ValueError(f"a type mapping of {len(mapping)} rows is too long to broadcast")
+    first: dict[str, str] = {}
+    for _, name, kind, _ in sorted((m for m in mapping if m[0] == dialect), key=lambda m: m[3]):
+        first.setdefault(name, kind)
+    known = catalog.sparkSession.createDataFrame(list(first.items()), "data_type string, __mapped string")
+    joined = catalog.join(F.broadcast(known), "data_type", "left")
     if fallback is None:
         unmapped = F.raise_error(F.concat(F.lit("no mapping for type "), col("data_type"))).cast("string")
     else:

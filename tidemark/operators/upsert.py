@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.comparison import any_null, rows_differ
 from tidemark.functions.documents import document_text
-from tidemark.names import AUDIT_COLUMNS, INSERTED_AT, UPDATED_AT, col, ntz, quoted
+from tidemark.names import AUDIT_COLUMNS, INSERTED_AT, UPDATED_AT, col, ntz, quoted, whole_key
 
 ACTION = "_action"
 _IN_TARGET = "__in_target"
@@ -127,9 +127,13 @@ def upsert_parts(
     # both uses of the batch start with one filter, so its shuffle can be reused
     keyed = batch.filter(~_has_null_key(keys))
     side = keyed.withColumn(_IN_BATCH, F.lit(True))
+    if small or target_unique:
+        on = _keys_equal(keys, "t", "s")
+    else:
+        on = whole_key(keys, "t") == whole_key(keys, "s")
     existing = (
         target.alias("t")
-        .join((F.broadcast(side) if small else side).alias("s"), _keys_equal(keys, "t", "s"), "left_outer")
+        .join((F.broadcast(side) if small else side).alias("s"), on, "left_outer")
         .select(*_merged_columns(target, batch, keys, run_ts, outer=False))
     )
     names = [quoted(k) for k in keys]

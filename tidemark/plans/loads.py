@@ -273,8 +273,8 @@ class _Load:
         target = table.read(base, touched, schema)
         gone = 0
         if deleted is not None:
-            gone = deletes.deleted_rows(target, deleted, spec.keys).count()
-            target = deletes.delete_by_key(target, deleted, spec.keys)
+            gone = deletes.deleted_rows(target, deleted, spec.keys, target_unique=True).count()
+            target = deletes.delete_by_key(target, deleted, spec.keys, target_unique=True)
         parts = self._merged(target, latest, size, count, kept_in_place=deleted is None)
         written = table.write(self.run_id, parts, self.run_ts, base, touched)
         self._audit(touched)

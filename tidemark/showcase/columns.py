@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import parse_timestamp, time_of_day, timestamp_text
-from tidemark.functions.types import type_mapping
+from tidemark.functions.types import mapping_rows
 from tidemark.operators import catalog, upsert
 from tidemark.operators.projection import project_columns, project_keys, timestamps_as_text, typed_projection
 from tidemark.showcase import inputs as i
@@ -107,7 +107,7 @@ _MAPPED = """CASE data_type WHEN 'int4' THEN 'number' WHEN 'numeric' THEN 'decim
 
 @query("type_mapping", f"WITH {i.CATALOG_SQL} SELECT {_CATALOG_COLUMNS}, {_MAPPED} FROM source_catalog")
 def mapped_types(spark, sf_dir):
-    return catalog.map_types(i.source_catalog(spark, sf_dir), type_mapping(spark), "POSTGRESQL")
+    return catalog.map_types(i.source_catalog(spark, sf_dir), mapping_rows(), "POSTGRESQL")
 
 
 @query(
@@ -120,7 +120,7 @@ def mapped_types(spark, sf_dir):
     SELECT object, 'edw_updated_timestamp', 'timestamp_ntz', max(ordinal_position) + 2 FROM source_catalog GROUP BY object""",
 )
 def target_schemas(spark, sf_dir):
-    mapped = catalog.map_types(i.source_catalog(spark, sf_dir), type_mapping(spark), "POSTGRESQL")
+    mapped = catalog.map_types(i.source_catalog(spark, sf_dir), mapping_rows(), "POSTGRESQL")
     return catalog.target_schema(mapped)
 
 

@@ -106,7 +106,7 @@ def deleted_feed_filter(spark, sf_dir):
     SELECT * FROM order_target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM deleted_feed)""",
 )
 def delete_by_key(spark, sf_dir):
-    return deletes.delete_by_key(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS)
+    return deletes.delete_by_key(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS, True)
 
 
 @query(
@@ -115,7 +115,7 @@ def delete_by_key(spark, sf_dir):
     SELECT * FROM order_target WHERE o_orderkey IN (SELECT o_orderkey FROM deleted_feed)""",
 )
 def deleted_rows(spark, sf_dir):
-    return deletes.deleted_rows(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS)
+    return deletes.deleted_rows(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS, True)
 
 
 @query(
@@ -126,7 +126,7 @@ def deleted_rows(spark, sf_dir):
     SELECT * FROM merged""",
 )
 def delete_then_upsert(spark, sf_dir):
-    remaining = deletes.delete_by_key(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS)
+    remaining = deletes.delete_by_key(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS, True)
     return upsert.upsert(remaining, _order_batch(spark, sf_dir), i.ORDER_KEYS, i.SECOND_RUN, True)
 
 
