@@ -87,6 +87,16 @@ def doc_scan(spark, sf_dir):
     return _fields(read_documents(spark, _collection(spark, sf_dir, "docs")))
 
 
+@query("doc_array_scan", f"WITH {i.DOCUMENTS_SQL} SELECT {_DOC_SQL_COLUMNS} FROM documents_in")
+def doc_array_scan(spark, sf_dir):
+    """An export of JSON arrays, each of at most 1000 documents, unfolded again."""
+    chunk = F.floor(F.col("event_id") / 1000)
+    arrays = i.documents(spark, sf_dir).groupBy(chunk.alias("chunk")).agg(F.collect_list("body").alias("bodies"))
+    path = fresh_dir(spark, "arrays")
+    arrays.select(F.concat(F.lit("["), F.array_join("bodies", ","), F.lit("]"))).write.text(path)
+    return _fields(read_documents(spark, path, json_array=True, one_line=True))
+
+
 @query(
     "doc_incremental_scan",
     f"""WITH {i.DOCUMENTS_SQL} SELECT {_DOC_SQL_COLUMNS} FROM documents_in

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.names import col
 from tidemark.operators.filters import documents_changed_since
 
 
-def read_documents(spark: SparkSession, path: str, json_array: bool = False, doc: str = "doc") -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, json_array: bool = False, doc: str = "doc", one_line: bool = False
+) -> DataFrame:
     """One VARIANT per document.
 
-    JSON lines split freely. ``json_array`` reads files that each hold one array
-    and gives a row per element; such a file is parsed by one task, so exports
-    should be chunked (see ``staging.write_document_chunks``).
+    JSON lines split freely. With ``json_array`` each file holds an array of
+    documents, or each line does with ``one_line``, and every element gives a
+    row. A file whose array spans lines is parsed by one task, so such exports
+    should be chunked.
     """
-    return (
-        spark.read.option("singleVariantColumn", doc).option("multiLine", json_array).json(path)
-    )
+    whole_files = json_array and not one_line
+    read = spark.read.option("singleVariantColumn", doc).option("multiLine", whole_files).json(path)
+    if not json_array:
+        return read
+    elements = F.try_variant_get(col(doc), "$", "array<variant>")
+    return read.select(F.explode(F.coalesce(elements, F.array(col(doc)))).alias(doc))
 
 
 def read_changed_documents(
