@@ -61,15 +61,20 @@ def test_outer_plan_shuffles_each_side_once(spark, orders):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-READ_AND_WRITE = {"control_scan", "ledger_append", "current_batch", "full_load", "incremental_load"}
+LOADS = {"full_load", "incremental_load", "snapshot_load", "deleting_load", "document_load"}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - READ_AND_WRITE))
+@pytest.mark.parametrize("name", sorted(set(queries()) - LOADS))
 def test_no_python_in_plans_and_no_cross_joins(spark, sf_dir, name):
     plan = plan_of(queries()[name](spark, sf_dir))
     for part in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert part not in plan
 
 
+def test_current_batch_reads_one_partition(spark, sf_dir):
+    plan = plan_of(queries()["current_batch"](spark, sf_dir))
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "Subquery" in plan[plan.index("PartitionFilters"):]
+
+
 def test_every_query_has_its_sql():
     assert set(oracle_sql()) == set(queries())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.timestamps import overlap_start
 from tidemark.names import FAILED, SENTINEL_MARK, SUCCESS, col
 from tidemark.operators.ledger import IDENTITY, LEDGER_SCHEMA, is_valid_mark, next_run_id, succeeded
+from tidemark.plans.small import small_frame
 
 
 def utc_now() -> datetime:
@@ -39,7 +40,7 @@ class LedgerStore:
 
     def create(self) -> None:
         """Make the ledger if there is none yet."""
-        self.spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(self.path)
+        small_frame(self.spark, [], LEDGER_SCHEMA).write.mode("ignore").parquet(self.path)
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
@@ -62,8 +63,7 @@ class LedgerStore:
         return LoadState(**found.first().asDict())
 
     def append(self, row: dict) -> None:
-        values = [tuple(row.get(name) for name in LEDGER_SCHEMA.names)]
-        self.spark.createDataFrame(values, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        small_frame(self.spark, [row], LEDGER_SCHEMA).write.mode("append").parquet(self.path)
 
     def committed_run(self, target: str) -> int | None:
         """Newest successful run of a target: the version readers see."""

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,20 +102,15 @@ def _run(lake: Lake, specs: list[LoadSpec], incremental: bool) -> list[dict]:
     return done
 
 
-def _measured(df: DataFrame) -> tuple[int, int]:
-    """Rows and uncompressed bytes of a staged batch, in one aggregate."""
-    fixed, texts = 0, []
+def _size(df: DataFrame) -> Column:
+    """Aggregate of the uncompressed bytes of the rows."""
+    size = F.lit(16 * len(df.columns)).cast("long")
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            texts.append(F.coalesce(F.octet_length(col(f.name)), F.lit(0)))
+            size = size + F.coalesce(F.octet_length(col(f.name)), F.lit(0))
         elif isinstance(f.dataType, (T.VariantType, T.StructType, T.ArrayType, T.MapType)):
-            texts.append(F.coalesce(F.octet_length(F.to_json(F.struct(col(f.name)))), F.lit(0)))
-        fixed += 16
-    size = F.lit(fixed).cast("long")
-    for text in texts:
-        size = size + text
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    return row["n"], row["b"]
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col(f.name)))), F.lit(0))
+    return F.coalesce(F.sum(size), F.lit(0))
 
 
 @dataclass
@@ -255,19 +250,19 @@ class _Load:
             self.step = "write target"
             lie = "grouped" if table.shuffles_by_bucket(table.buckets) else "scattered"
             written = table.write(self.run_id, [(with_audit_columns(latest, self.run_ts), lie)], self.run_ts)
-            self._audit(None)
+            self._audit(written.manifest, None)
             return self._counts(written, 0)
         schema, count = schema or base.schema, len(base.versions)
         # the key columns' types decide the bucket, so type before bucketing
         latest = latest.select(*[col(f.name).cast(f.dataType) for f in schema.fields if f.name in latest.columns])
         self.step = "stage latest rows"
         latest = stage_batch(latest, lake.stage(spec, "latest"), self.run_id)
-        rows, size = _measured(latest)
-        touched = table.touched_buckets(latest, count) if rows else set()
-        touched |= self._buckets_of_deleted(deleted, schema, count)
+        size, buckets = latest.agg(_size(latest), table.touched_buckets(latest, count)).first()
+        touched = set(buckets) | self._buckets_of_deleted(deleted, schema, count)
         if not touched:
-            table.keep(self.run_id, Manifest(base.versions, schema))
-            self._audit(set())
+            kept = Manifest(base.versions, schema)
+            table.keep(self.run_id, kept)
+            self._audit(kept, set())
             return {}
         self.step = "upsert"
         target = table.read(base, touched, schema)
@@ -277,7 +272,7 @@ class _Load:
             target = deletes.delete_by_key(target, deleted, spec.keys, target_unique=True)
         parts = self._merged(target, latest, size, count, kept_in_place=deleted is None)
         written = table.write(self.run_id, parts, self.run_ts, base, touched)
-        self._audit(touched)
+        self._audit(written.manifest, touched)
         return self._counts(written, gone)
 
     def _merged(
@@ -299,7 +294,8 @@ class _Load:
             return set()
         types = {f.name: f.dataType for f in schema.fields}
         keys = deleted.select(*[col(k).cast(types[k]).alias(k) for k in self.spec.keys])
-        return self.table.touched_buckets(keys.filter(~any_null([col(k) for k in self.spec.keys])), count)
+        keys = keys.filter(~any_null([col(k) for k in self.spec.keys]))
+        return set(keys.agg(self.table.touched_buckets(keys, count)).first()[0])
 
     def _counts(self, written: Written, gone: int) -> dict:
         return {
@@ -308,10 +304,10 @@ class _Load:
             "rows_deleted": gone,
         }
 
-    def _audit(self, touched: set[int] | None) -> None:
+    def _audit(self, manifest: Manifest, touched: set[int] | None) -> None:
         """Keys this run inserted or updated; they can only be in the buckets it wrote."""
         self.step = "write audit keys"
-        rows = self.table.read(self.table.manifest(self.run_id), touched)
+        rows = self.table.read(manifest, touched)
         keys = self.table.keys
         found = audit_keys(rows, keys, self.run_ts, "insert", self.run_id).unionByName(
             audit_keys(rows, keys, self.run_ts, "update", self.run_id)

@@ -27,9 +27,16 @@ from pyspark.sql import types as T
 
 from tidemark.functions.comparison import any_null, comparable
 from tidemark.names import AUDIT_COLUMNS, INSERTED_AT, UPDATED_AT, col, ntz
+from tidemark.plans.small import small_frame
 
 _BUCKET = "pk_bucket"
-_MANIFEST = "pk_bucket int, version long, schema string"
+_MANIFEST = T.StructType(
+    [
+        T.StructField(_BUCKET, T.IntegerType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("schema", T.StringType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -42,6 +49,7 @@ class Manifest:
 class Written:
     rows_inserted: int
     rows_updated: int
+    manifest: Manifest
 
 
 @dataclass(frozen=True)
@@ -73,10 +81,9 @@ class VersionedTable:
         first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
         return int(first or partitions) % count == 0
 
-    def touched_buckets(self, df: DataFrame, count: int) -> set[int]:
-        """Buckets the rows fall into: at most ``count`` numbers."""
-        found = df.select(self.bucket_of(df, count).alias("b")).distinct().collect()
-        return {row["b"] for row in found}
+    def touched_buckets(self, df: DataFrame, count: int) -> Column:
+        """Aggregate of the buckets the rows fall into: at most ``count`` numbers."""
+        return F.collect_set(self.bucket_of(df, count))
 
     def _path(self, version: int, bucket: int) -> str:
         return f"{self.root}/data/version={version}/{_BUCKET}={bucket}"
@@ -142,8 +149,9 @@ class VersionedTable:
         if base and touched is not None:
             versions.update({b: v for b, v in base.versions.items() if b not in touched})
         versions.update({row[_BUCKET]: run_id for row in found})
-        self._write_manifest(run_id, Manifest(versions, schema))
-        return Written(sum(r["inserted"] for r in found), sum(r["updated"] for r in found))
+        manifest = Manifest(versions, schema)
+        self._write_manifest(run_id, manifest)
+        return Written(sum(r["inserted"] for r in found), sum(r["updated"] for r in found), manifest)
 
     def keep(self, run_id: int, base: Manifest) -> None:
         """Manifest of a run that changed no row."""
@@ -151,8 +159,9 @@ class VersionedTable:
 
     def _write_manifest(self, run_id: int, manifest: Manifest) -> None:
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in manifest.schema.fields])
-        rows = [(b, v, nullable.json()) for b, v in sorted(manifest.versions.items())]
-        frame = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+        text = nullable.json()
+        rows = [{_BUCKET: b, "version": v, "schema": text} for b, v in sorted(manifest.versions.items())]
+        frame = small_frame(self.spark, rows, _MANIFEST)
         frame.write.mode("overwrite").parquet(f"{self.root}/manifest/run_id={run_id}")
 
 

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions.documents import document_text
-from tidemark.names import col, ntz
+from tidemark.names import AUDIT_COLUMNS, col, ntz
 from tidemark.operators import marks, upsert
 from tidemark.operators.dedup import latest_document_per_key
 from tidemark.operators.filters import changed_since, documents_changed_since
@@ -24,8 +24,8 @@ from tidemark.showcase.registry import query
 from tidemark.sources.control import read_control
 from tidemark.sources.documents import read_changed_documents, read_documents
 from tidemark.sources.files import file_manifest, latest_per_file_key, newer_than_archive, read_object, read_tabular
-from tidemark.sources.origins import TableOrigin
-from tidemark.sources.staging import current_batch, read_staged, run_path, write_document_chunks
+from tidemark.sources.origins import DocumentOrigin, TableOrigin
+from tidemark.sources.staging import current_batch, read_staged, write_document_chunks
 from tidemark.spec import CONTROL_COLUMNS, LoadSpec
 
 # --- control files -------------------------------------------------------------
@@ -284,8 +284,31 @@ def _checked(rows: list[dict]) -> None:
         raise RuntimeError(f"load failed: {failed}")
 
 
+def _at(moment: str):
+    return lambda: datetime.fromisoformat(moment)
+
+
 def _lake(spark, root: str, source: str, at: str) -> Lake:
-    return Lake(spark, root, {"shop": TableOrigin(source)}, clock=lambda: datetime.fromisoformat(at))
+    return Lake(spark, root, {"shop": TableOrigin(source)}, clock=_at(at))
+
+
+def _two_loads(spark, sf_dir, label: str, spec: LoadSpec):
+    """Early orders loaded whole, then the present orders loaded by what changed."""
+    root = fresh_dir(spark, label)
+    early = i.order_target(spark, sf_dir).select(*i.ORDER_KEYS, *i.ORDER_VALUES)
+    early.write.parquet(f"{root}/before/orders")
+    i.order_source(spark, sf_dir).write.parquet(f"{root}/after/orders")
+    if spec.deleted_object:
+        feed = i.deleted_feed(spark, sf_dir).withColumnRenamed("deleted_at", spec.inserted_col)
+        feed.write.parquet(f"{root}/after/{spec.deleted_object}")
+    _checked(full_load(_lake(spark, root, f"{root}/before", i.FIRST_RUN), [spec]))
+    lake = _lake(spark, root, f"{root}/after", i.SECOND_RUN)
+    _checked(incremental_load(lake, [spec]))
+    return lake.current(spec)
+
+
+# as _LATEST_DOC; no two events of one key have the same time
+_LATEST_BODY = "QUALIFY row_number() OVER (PARTITION BY _id ORDER BY coalesce(upd, ins) DESC NULLS LAST, ins, event_id) = 1"
 
 
 @query(
@@ -314,14 +337,78 @@ def load_everything(spark, sf_dir):
 )
 def load_changes(spark, sf_dir):
     """First run loads the early orders; the source moves on; the second run loads what changed."""
-    root = fresh_dir(spark, "incremental")
-    spec = _order_spec()
-    early = i.order_target(spark, sf_dir).select(*i.ORDER_KEYS, *i.ORDER_VALUES)
-    early.write.parquet(run_path(f"{root}/before/orders", 0))
-    i.order_source(spark, sf_dir).write.parquet(run_path(f"{root}/after/orders", 0))
-    columns = ", ".join(i.ORDER_KEYS + i.ORDER_VALUES)
-    spec = _order_spec(COL_NAMES=columns)
-    _checked(full_load(_lake(spark, root, f"{root}/before", i.FIRST_RUN), [spec]))
-    lake = _lake(spark, root, f"{root}/after", i.SECOND_RUN)
+    return _two_loads(spark, sf_dir, "incremental", _order_spec())
+
+
+@query(
+    "snapshot_load",
+    f"""WITH {i.ORDER_TARGET_SQL},{i.ORDER_SOURCE_SQL},
+    {i.upsert_sql("order_target", "order_source", i.ORDER_KEYS, i.ORDER_VALUES, i.SECOND_RUN, "merged")}
+    SELECT * FROM merged""",
+)
+def load_snapshot_changes(spark, sf_dir):
+    """As incremental_load for a source without modified times: snapshots are compared."""
+    return _two_loads(spark, sf_dir, "snapshot", _order_spec(INSRT_TIME_COL="-", UPDT_TIME_COL="-"))
+
+
+@query(
+    "deleting_load",
+    f"""WITH {i.ORDER_TARGET_SQL},{i.ORDER_SOURCE_SQL},{i.DELETED_FEED_SQL},
+    mark AS (
+      SELECT date_trunc('milliseconds', greatest(max(o_orderdate), max(o_updated)) - INTERVAL 10 MINUTE) AS w FROM order_target),
+    changed AS (SELECT * FROM order_source WHERE o_orderdate > (SELECT w FROM mark) OR o_updated > (SELECT w FROM mark)),
+    remaining AS (
+      SELECT * FROM order_target WHERE o_orderkey NOT IN (
+        SELECT o_orderkey FROM deleted_feed WHERE deleted_at > (SELECT w FROM mark))),
+    {i.upsert_sql("remaining", "changed", i.ORDER_KEYS, i.ORDER_VALUES, i.SECOND_RUN, "merged")}
+    SELECT * FROM merged""",
+)
+def load_with_deletes(spark, sf_dir):
+    """As incremental_load with a feed of deleted rows, applied before the upsert."""
+    return _two_loads(spark, sf_dir, "deleting", _order_spec(IS_DELETION="yes", DELETED_TBL="orders_deleted"))
+
+
+@query(
+    "document_load",
+    f"""WITH {i.DOCUMENTS_SQL},
+    old AS (SELECT * FROM documents_in WHERE ins < TIMESTAMP '{EVENTS_FROM}'),
+    mark AS (SELECT date_trunc('milliseconds', greatest(max(ins), max(upd)) - INTERVAL 10 MINUTE) AS w FROM old),
+    latest_old AS (SELECT * FROM old {_LATEST_BODY}),
+    latest_new AS (
+      SELECT * FROM documents_in WHERE ins > (SELECT w FROM mark) OR upd > (SELECT w FROM mark) {_LATEST_BODY}),
+    pairs AS (
+      SELECT coalesce(n._id, o._id) AS _id, coalesce(n.event_id, o.event_id) AS event_id,
+             CASE WHEN o._id IS NULL THEN TIMESTAMP '{i.SECOND_RUN}' ELSE TIMESTAMP '{i.FIRST_RUN}' END AS edw_inserted_timestamp,
+             CASE WHEN o.event_id <> n.event_id THEN TIMESTAMP '{i.SECOND_RUN}' END AS edw_updated_timestamp
+      FROM latest_old o FULL JOIN latest_new n ON o._id = n._id)
+    SELECT {", ".join("d." + c for c in ("_id", "user_id", "kind", "value"))},
+           strftime(d.ins, '%Y-%m-%d %H:%M:%S.%f') AS created, strftime(d.upd, '%Y-%m-%d %H:%M:%S.%f') AS updated,
+           edw_inserted_timestamp, edw_updated_timestamp
+    FROM pairs p JOIN documents_in d ON p.event_id = d.event_id""",
+)
+def load_documents(spark, sf_dir):
+    """A document collection loaded whole, then by what changed since the mark."""
+    root = fresh_dir(spark, "documents")
+    docs = i.documents(spark, sf_dir)
+    docs.filter(F.col("ins") < ntz(EVENTS_FROM)).select("body").write.text(f"{root}/before/members")
+    docs.select("body").write.text(f"{root}/after/members")
+    spec = _order_spec(
+        SRC_DB_NAME="mongodb",
+        OBJ_TYPE="collection",
+        OBJ_NAME="members",
+        PRIMARY_KEY_COL="_id",
+        INSRT_TIME_COL="createdAt",
+        UPDT_TIME_COL="updatedAt",
+        SF_TBL="tbl_members",
+    )
+    before, after = (DocumentOrigin(f"{root}/{place}") for place in ("before", "after"))
+    _checked(full_load(Lake(spark, root, {"mongodb": before}, clock=_at(i.FIRST_RUN)), [spec]))
+    lake = Lake(spark, root, {"mongodb": after}, clock=_at(i.SECOND_RUN))
     _checked(incremental_load(lake, [spec]))
-    return lake.current(spec)
+    loaded = lake.current(spec)
+    return loaded.select(
+        *[F.try_variant_get("json_data", f"$.{n}", t).alias(n) for n, t in _DOC_FIELDS.items()],
+        document_text(col("json_data"), "createdAt").alias("created"),
+        document_text(col("json_data"), "updatedAt").alias("updated"),
+        *AUDIT_COLUMNS,
+    )

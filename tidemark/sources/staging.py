@@ -45,10 +45,9 @@ def read_staged(spark: SparkSession, stage: str, pattern: str | None = None, sch
 def current_batch(staged: DataFrame, run_id: int | Column | None = None) -> DataFrame:
     """Rows of one run, by default of the newest.
 
-    The newest id comes from a partition-column aggregate in the same query, so
-    the outer scan is pruned to that partition at run time.
+    The newest id is a scalar subquery over the partition column alone, so the
+    scan reads only the files of that partition.
     """
-    if run_id is not None:
-        return staged.filter(col("run_id") == run_id)
-    newest = staged.agg(F.max("run_id").alias("__newest"))
-    return staged.join(F.broadcast(newest), F.col("run_id") == F.col("__newest"), "left_semi")
+    if run_id is None:
+        run_id = staged.agg(F.max("run_id")).scalar()
+    return staged.filter(col("run_id") == run_id)
