@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.documents import document_text
 from tidemark.names import FAILED, SUCCESS, col
 from tidemark.plans import loads
-from tidemark.plans.ledger_store import LedgerStore
+from tidemark.plans.ledger_store import LedgerStore, local_clock
 from tidemark.plans.loads import Lake, full_load, incremental_load
 from tidemark.sources.origins import DocumentOrigin, FileOrigin, TableOrigin
 from tidemark.spec import LoadSpec
@@ -80,7 +80,7 @@ def test_full_then_incremental(lake, put):
     second = ok(incremental_load(lake, [spec]))
     assert counts(second) == (1, 1, 0) and second["max_timestamp"] == day(5)
     assert values(lake.current(spec)) == [(1, "a2"), (2, "B"), (3, "c"), (4, "d")]
-    assert values(lake.audit(spec, second["run_id"]), "action", "id") == [("insert", 4), ("update", 2)]
+    assert values(lake.audit(spec, second["run_id"]), "edw_action", "id") == [("insert", 4), ("update", 2)]
     stamps = {r.id: r for r in lake.current(spec).collect()}
     assert stamps[2].edw_updated_timestamp == second["run_start"] and stamps[2].edw_inserted_timestamp == first["run_start"]
     assert stamps[4].edw_inserted_timestamp == second["run_start"] and stamps[4].edw_updated_timestamp is None
@@ -178,6 +178,30 @@ def test_missing_column_is_dropped(lake, put):
     assert lake.current(spec).count() == 2
 
 
+def test_column_names_fold_case(lake, put):
+    spec = spec_of()
+    put([(1, "a", day(1), None)])
+    ok(full_load(lake, [spec]))
+    put([(1, "b", day(1), day(2)), (2, "c", day(2), None)], SCHEMA.replace("v string", "V string"))
+    assert counts(ok(incremental_load(lake, [spec]))) == (1, 1, 0)
+    assert values(lake.current(spec)) == [(1, "b"), (2, "c")]
+
+
+def test_source_columns_may_be_called_version_or_run_id(lake, put):
+    spec = spec_of(PRIMARY_KEY_COL="run_id")
+    schema = "run_id int, version string, ins timestamp_ntz, upd timestamp_ntz"
+    put([(5, "a", day(1), None)], schema)
+    ok(full_load(lake, [spec]))
+    put([(5, "b", day(1), day(2)), (6, "c", day(2), None)], schema)
+    ok(incremental_load(lake, [spec]))
+    assert values(lake.current(spec), "run_id", "version") == [(5, "b"), (6, "c")]
+
+
+def test_local_clock():
+    gap = local_clock("Asia/Kolkata")() - local_clock("UTC")()
+    assert abs(gap - timedelta(hours=5, minutes=30)) < timedelta(seconds=5)
+
+
 def test_deleted_feed_comes_before_the_upsert(lake, put):
     spec = spec_of(IS_DELETION="yes", DELETED_TBL="t_deleted")
     put([(n, "a", day(1), None) for n in range(6)])

@@ -2,7 +2,6 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from tidemark.functions.types import mapping_rows, read_mapping, storage_type
 from tidemark.names import SENTINEL_MARK
@@ -99,7 +98,7 @@ def test_failure_numbers_run_across_blocks(spark):
 
 def test_audit_keys(spark, as_rows):
     df = with_audit_columns(spark.createDataFrame([(1, "a")], "k int, v string"), str(DAY[0]))
-    assert as_rows(audit_keys(df, ["k"], str(DAY[0]), "insert", 4)) == [("insert", 1, 4)]
+    assert as_rows(audit_keys(df, ["k"], str(DAY[0]), "insert", 4)) == [("insert", 4, 1)]
     assert as_rows(audit_keys(df, ["k"], str(DAY[1]), "insert", 4)) == []
     assert as_rows(audit_keys(df, ["k"], str(DAY[0]), "update", 4)) == []
 

@@ -14,5 +14,5 @@ def audit_keys(
 ) -> DataFrame:
     """Keys with the given action at or after ``since``; no rows if there are none."""
     return audited_since(target, since, action).select(
-        F.lit(run_id).cast("long").alias("run_id"), F.lit(action).alias("action"), *[col(k) for k in keys]
+        F.lit(run_id).cast("long").alias("edw_run_id"), F.lit(action).alias("edw_action"), *[col(k) for k in keys]
     )

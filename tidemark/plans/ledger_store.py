@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def local_clock(zone: str):
+    """A clock for ``Lake`` that gives the wall clock of a time zone."""
+    return lambda: datetime.now(ZoneInfo(zone)).replace(tzinfo=None)
+
+
 def sentinel() -> datetime:
     return datetime.fromisoformat(SENTINEL_MARK)
 
@@ -72,6 +78,7 @@ class LedgerStore:
 
 
 def ledger_row(spec, run_id: int, started: datetime, finished: datetime, **outcome) -> dict:
+    """A ledger row; the caller's clock gives both times and the creation time."""
     database, schema, name = spec.identity
     row = {
         "run_id": run_id,
@@ -88,13 +95,15 @@ def ledger_row(spec, run_id: int, started: datetime, finished: datetime, **outco
         "rows_updated": 0,
         "rows_deleted": 0,
         "max_timestamp": sentinel(),
-        "created_timestamp": utc_now(),
+        "created_timestamp": finished,
     }
     row.update(outcome)
     return row
 
 
-def failed_row(spec, run_id: int, started: datetime, error: BaseException, step: str) -> dict:
+def failed_row(
+    spec, run_id: int, started: datetime, finished: datetime, error: BaseException, step: str
+) -> dict:
     """A failed run: zero counts and the sentinel mark, so no later read starts from it."""
     reason = f"{step}: {type(error).__name__}: {error}"
-    return ledger_row(spec, run_id, started, utc_now(), status=FAILED, error_message=reason)
+    return ledger_row(spec, run_id, started, finished, status=FAILED, error_message=reason)

@@ -50,6 +50,7 @@ class Lake:
     docs_per_file: int = 1_000_000
     drop_missing: bool = True
     reject_null_keys: bool = False
+    # stamps runs and rows; see ``local_clock`` for another time zone
     clock: Callable[[], datetime] = field(default=utc_now)
 
     @property
@@ -94,9 +95,9 @@ def _run(lake: Lake, specs: list[LoadSpec], incremental: bool) -> list[dict]:
         load = _Load(lake, spec, state, started.isoformat(sep=" "), incremental)
         try:
             outcome = load.run()
-            row = ledger_row(spec, state.run_id, started, utc_now(), **outcome)
+            row = ledger_row(spec, state.run_id, started, lake.clock(), **outcome)
         except Exception as error:  # one object's failure must not stop the others
-            row = failed_row(spec, state.run_id, started, error, load.step)
+            row = failed_row(spec, state.run_id, started, lake.clock(), error, load.step)
         lake.ledger.append(row)
         done.append(row)
     return done
@@ -253,8 +254,10 @@ class _Load:
             self._audit(written.manifest, None)
             return self._counts(written, 0)
         schema, count = schema or base.schema, len(base.versions)
-        # the key columns' types decide the bucket, so type before bucketing
-        latest = latest.select(*[col(f.name).cast(f.dataType) for f in schema.fields if f.name in latest.columns])
+        # names fold case as the drift check does; the types of the keys decide the bucket
+        given = {c.lower(): c for c in latest.columns}
+        shared = [f for f in schema.fields if f.name.lower() in given]
+        latest = latest.select(*[col(given[f.name.lower()]).cast(f.dataType).alias(f.name) for f in shared])
         self.step = "stage latest rows"
         latest = stage_batch(latest, lake.stage(spec, "latest"), self.run_id)
         size, buckets = latest.agg(_size(latest), table.touched_buckets(latest, count)).first()

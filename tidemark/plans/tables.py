@@ -4,7 +4,7 @@ Plain Parquet has no MERGE, and a path cannot be overwritten while it is read.
 So a run writes the buckets it touches into a folder of its own and then a
 manifest naming, for each bucket, the version that holds it:
 
-    <root>/data/version=<run>/pk_bucket=<b>/...
+    <root>/data/tidemark_run=<run>/tidemark_bucket=<b>/...
     <root>/manifest/run_id=<run>
 
 A run counts once the ledger says so; until then readers keep the manifest of
@@ -29,7 +29,9 @@ from tidemark.functions.comparison import any_null, comparable
 from tidemark.names import AUDIT_COLUMNS, INSERTED_AT, UPDATED_AT, col, ntz
 from tidemark.plans.small import small_frame
 
-_BUCKET = "pk_bucket"
+# folder names that no source column is likely to have
+_BUCKET = "tidemark_bucket"
+_RUN = "tidemark_run"
 _MANIFEST = T.StructType(
     [
         T.StructField(_BUCKET, T.IntegerType()),
@@ -86,7 +88,7 @@ class VersionedTable:
         return F.collect_set(self.bucket_of(df, count))
 
     def _path(self, version: int, bucket: int) -> str:
-        return f"{self.root}/data/version={version}/{_BUCKET}={bucket}"
+        return f"{self.root}/data/{_RUN}={version}/{_BUCKET}={bucket}"
 
     def read(
         self, manifest: Manifest, only: set[int] | None = None, schema: T.StructType | None = None
@@ -124,7 +126,7 @@ class VersionedTable:
         a retried task twice.
         """
         count = len(base.versions) if base else self.buckets
-        place = f"{self.root}/data/version={run_id}"
+        place = f"{self.root}/data/{_RUN}={run_id}"
         schema = parts[0][0].schema
         mode = "overwrite"
         for df, lie in parts:

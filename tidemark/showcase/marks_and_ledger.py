@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import effective_timestamp, local_run_time
-from tidemark.names import FAILED, SENTINEL_MARK, ntz
+from tidemark.names import FAILED, SENTINEL_MARK
 from tidemark.operators import ledger, marks, upsert
 from tidemark.operators.audit import audit_keys
 from tidemark.operators.dedup import latest_per_key
@@ -124,8 +126,6 @@ def last_success_time(spark, sf_dir):
     FROM run_ledger""",
 )
 def ledger_append(spark, sf_dir):
-    from datetime import datetime
-
     store = LedgerStore(spark, fresh_dir(spark, "ledger"))
     i.run_ledger(spark, sf_dir).write.parquet(store.path)
     start, end = datetime(2024, 2, 1), datetime(2024, 2, 1, 0, 0, 1, 500000)
@@ -176,7 +176,7 @@ def _merged(spark, sf_dir):
 @query(
     "audit_inserted",
     f"""WITH {i.ORDER_UPSERT_SQL}
-    SELECT CAST(2 AS BIGINT) AS run_id, 'insert' AS action, o_orderkey FROM merged
+    SELECT CAST(2 AS BIGINT) AS edw_run_id, 'insert' AS edw_action, o_orderkey FROM merged
     WHERE edw_inserted_timestamp >= TIMESTAMP '{i.SECOND_RUN}'""",
 )
 def audit_inserted(spark, sf_dir):
@@ -186,7 +186,7 @@ def audit_inserted(spark, sf_dir):
 @query(
     "audit_updated",
     f"""WITH {i.ORDER_UPSERT_SQL}
-    SELECT CAST(2 AS BIGINT) AS run_id, 'update' AS action, o_orderkey FROM merged
+    SELECT CAST(2 AS BIGINT) AS edw_run_id, 'update' AS edw_action, o_orderkey FROM merged
     WHERE edw_updated_timestamp >= TIMESTAMP '{i.SECOND_RUN}'""",
 )
 def audit_updated(spark, sf_dir):
