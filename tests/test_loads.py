@@ -302,17 +302,53 @@ def test_first_load_writes_one_file_per_task_and_bucket(spark, lake, put, tmp_pa
     assert len(files) == 4
 
 
-def test_untouched_buckets_are_not_written_again(lake, put, tmp_path):
+def versions_after(lake, spec, row):
+    return sorted(lake.table(spec).manifest(row["run_id"]).versions.values())
+
+
+def test_only_buckets_with_updates_are_written_whole(lake, put):
     spec = spec_of()
     put([(n, "a", day(1), None) for n in range(100)])
     ok(full_load(lake, [spec]))
     put([(7, "b", day(1), day(2))])
     row = ok(incremental_load(lake, [spec]))
-    versions = lake.table(spec).manifest(row["run_id"]).versions
-    assert sorted(versions.values()) == [1, 1, 1, 2]
+    assert versions_after(lake, spec, row) == [(1,), (1,), (1,), (2,)]
     assert lake.current(spec).count() == 100 and dict(values(lake.current(spec)))[7] == "b"
 
 
+def test_inserts_are_added_to_their_buckets(lake, put):
+    spec = spec_of()
+    everything = [(n, "a", day(1 + n // 50), None) for n in range(150)]
+    put(everything[:50])
+    ok(full_load(lake, [spec]))
+    for run, end in ((2, 100), (3, 150)):
+        put(everything[:end])  # the overlap reads the batch before once more
+        row = ok(incremental_load(lake, [spec]))
+        assert counts(row) == (50, 0, 0)
+        assert versions_after(lake, spec, row) == [tuple(range(1, run + 1))] * 4
+    assert lake.current(spec).count() == 150
+
+
+def test_buckets_with_many_additions_are_written_whole(spark, lake, put):
+    spec = spec_of()
+    few = Lake(spark, lake.root, lake.origins, 1, appends_per_bucket=3, clock=lake.clock)
+    seen = []
+    for run in range(1, 6):
+        put([(run, "a", day(run), None)])
+        seen += versions_after(few, spec, ok(incremental_load(few, [spec])))
+    assert seen == [(1,), (1, 2), (1, 2, 3), (4,), (4, 5)]
+    assert few.current(spec).count() == 5
+
+
+def test_rows_read_again_write_nothing(lake, put):
+    spec = spec_of()
+    put([(n, "a", day(1), None) for n in range(20)] + [(50, None, day(1), day(1))])
+    ok(full_load(lake, [spec]))
+    row = ok(incremental_load(lake, [spec]))
+    assert counts(row) == (0, 0, 0) and row["max_timestamp"] == day(1)
+    assert versions_after(lake, spec, row) == [(1,)] * 4
+
+
 def test_many_small_files_are_merged(spark, lake, put, tmp_path):
     spec = spec_of()
     crowded = Lake(spark, lake.root, lake.origins, 4, files_per_bucket=0, clock=lake.clock)

@@ -43,9 +43,10 @@ def test_rank_filter_becomes_a_group_limit_on_both_sides(orders):
 def test_small_batch_never_shuffles_the_target(orders):
     target = with_audit_columns(orders, "2024-01-01")
     batch = orders.filter(F.col("o_orderdate") > ntz("2001-01-01"))
-    existing, fresh = up.upsert_parts(target, batch, ["o_orderkey"], "2024-02-01", small=True, target_unique=True)
+    existing = up.updated_target(target, batch, ["o_orderkey"], "2024-02-01", small=True, target_unique=True)
     assert "hashpartitioning" not in plan_of(existing) and "BroadcastHashJoin" in plan_of(existing)
-    assert "SortMergeJoin" not in plan_of(fresh)
+    known = plan_of(up.matched_keys(target, batch, ["o_orderkey"], small=True))
+    assert "ReadSchema: struct<o_orderkey:bigint>" in known and "SortMergeJoin" not in known
 
 
 def test_outer_plan_shuffles_each_side_once(spark, orders):

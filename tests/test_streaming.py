@@ -2,7 +2,7 @@ from datetime import datetime
 
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.projection import with_audit_columns
-from tidemark.operators.upsert import upsert_parts
+from tidemark.operators.upsert import upsert
 from tidemark.plans.tables import VersionedTable
 from tidemark.sources.staging import run_path
 from tidemark.streaming.staged_upsert import follow_stage
@@ -20,8 +20,8 @@ def test_staged_files_are_merged_once(spark, tmp_path):
         run = len(seen) + 1
         base, stamp = table.manifest(run - 1), f"2024-01-0{run + 1}"
         latest = latest_per_key(batch, ["id"], "ins")
-        parts = upsert_parts(table.read(base), latest, ["id"], stamp, target_unique=True)
-        done = table.write(run, [(p.drop("_action"), "scattered") for p in parts], stamp, base, {0, 1})
+        merged = upsert(table.read(base), latest, ["id"], stamp, target_unique=True)
+        done = table.write(run, [(merged, "scattered")], stamp, base, {0, 1})
         seen.append((batch_id, done.rows_inserted, done.rows_updated))
 
     def put(run, data):

@@ -110,45 +110,66 @@ def _outer_plan(target: DataFrame, batch: DataFrame, keys, run_ts: Column) -> Da
     return joined.unionByName(kept).unionByName(_as_inserts(batch.filter(no_key), target, run_ts))
 
 
-def upsert_parts(
+def updated_target(
     target: DataFrame,
     batch: DataFrame,
     keys: list[str] | tuple[str, ...],
     run_ts: str | Column,
     small: bool = False,
     target_unique: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """The target's rows after the upsert, and the inserted rows, each with ``_action``.
+) -> DataFrame:
+    """The target's own rows after the upsert, with ``_action``.
 
-    With ``small`` the batch is broadcast and the first part keeps the
-    partitioning of the target scan.
+    With ``small`` the batch is broadcast and the rows stay where the target
+    scan has them.
     """
-    run_ts = ntz(run_ts)
-    # both uses of the batch start with one filter, so its shuffle can be reused
-    keyed = batch.filter(~_has_null_key(keys))
-    side = keyed.withColumn(_IN_BATCH, F.lit(True))
+    side = batch.filter(~_has_null_key(keys)).withColumn(_IN_BATCH, F.lit(True))
     if small or target_unique:
         on = _keys_equal(keys, "t", "s")
     else:
         on = whole_key(keys, "t") == whole_key(keys, "s")
-    existing = (
+    return (
         target.alias("t")
         .join((F.broadcast(side) if small else side).alias("s"), on, "left_outer")
-        .select(*_merged_columns(target, batch, keys, run_ts, outer=False))
+        .select(*_merged_columns(target, batch, keys, ntz(run_ts), outer=False))
     )
+
+
+def matched_keys(
+    target: DataFrame, batch: DataFrame, keys: list[str] | tuple[str, ...], small: bool = False
+) -> DataFrame:
+    """Batch keys the target holds, each once; reads only the key columns of the target."""
     names = [quoted(k) for k in keys]
-    known = target.select(*names).filter(~_has_null_key(keys))
+    wanted = batch.filter(~_has_null_key(keys)).select(*names)
+    wanted = (F.broadcast(wanted) if small else wanted).alias("w")
+    known = target.select(*names).alias("k")
+    return known.join(wanted, _keys_equal(keys, "k", "w"), "left_semi").distinct()
+
+
+def inserted_rows(
+    target: DataFrame,
+    batch: DataFrame,
+    known: DataFrame,
+    keys: list[str] | tuple[str, ...],
+    run_ts: str | Column,
+) -> DataFrame:
+    """Batch rows whose key is not in ``known``, as target rows, with ``_action``."""
+    # this use of the batch starts like the one in updated_target, so its shuffle can be reused
+    keyed = batch.filter(~_has_null_key(keys))
+    fresh = keyed.alias("s").join(known.alias("k"), _keys_equal(keys, "s", "k"), "left_anti")
+    return _as_inserts(fresh.unionByName(batch.filter(_has_null_key(keys))), target, ntz(run_ts))
+
+
+def _split_plan(target: DataFrame, batch: DataFrame, keys, run_ts: Column, unique: bool, small: bool) -> DataFrame:
     if small:
         # at most as many keys as the measured batch has rows
-        wanted = F.broadcast(keyed.select(*names)).alias("w")
-        known = known.alias("k").join(wanted, _keys_equal(keys, "k", "w"), "left_semi").distinct()
-        known = F.broadcast(known)
-    elif not target_unique:
+        known = F.broadcast(matched_keys(target, batch, keys, small=True))
+    else:
+        known = target.select(*[quoted(k) for k in keys]).filter(~_has_null_key(keys))
         # collapse repeated keys before the shuffle: this side cannot be split
-        known = known.distinct()
-    fresh = keyed.alias("s").join(known.alias("k"), _keys_equal(keys, "s", "k"), "left_anti")
-    fresh = fresh.unionByName(batch.filter(_has_null_key(keys)))
-    return existing, _as_inserts(fresh, target, run_ts)
+        known = known if unique else known.distinct()
+    existing = updated_target(target, batch, keys, run_ts, small, unique)
+    return existing.unionByName(inserted_rows(target, batch, known, keys, run_ts))
 
 
 def upsert_with_actions(
@@ -173,8 +194,7 @@ def upsert_with_actions(
         raise ValueError(f"batch columns missing in target: {unknown}")
     if plan == "outer":
         return _outer_plan(target, batch, keys, ntz(run_ts))
-    existing, fresh = upsert_parts(target, batch, keys, run_ts, plan == "broadcast", target_unique)
-    return existing.unionByName(fresh)
+    return _split_plan(target, batch, keys, ntz(run_ts), target_unique, plan == "broadcast")
 
 
 def upsert(
@@ -197,16 +217,22 @@ def action_counts(merged: DataFrame) -> DataFrame:
     )
 
 
-def changed_rows(target: DataFrame, batch: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
-    """Batch rows whose key exists in the target with other values."""
+def _values_differ(target: DataFrame, batch: DataFrame, keys) -> Column:
     types = {f.name: f.dataType for f in batch.schema.fields}
     values = [c for c in batch.columns if c in target.columns and c not in keys]
-    differ = rows_differ([(col(c, "s"), col(c, "t"), types[c]) for c in values])
-    return (
-        batch.alias("s")
-        .join(target.alias("t"), _keys_equal(keys, "s", "t") & differ, "inner")
-        .select("s.*")
-    )
+    return rows_differ([(col(c, "s"), col(c, "t"), types[c]) for c in values])
+
+
+def changed_rows(target: DataFrame, batch: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
+    """Batch rows whose key exists in the target with other values."""
+    on = _keys_equal(keys, "s", "t") & _values_differ(target, batch, keys)
+    return batch.alias("s").join(target.alias("t"), on, "inner").select("s.*")
+
+
+def not_stored_yet(target: DataFrame, batch: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
+    """Batch rows the target does not hold with the same values."""
+    on = _keys_equal(keys, "s", "t") & ~_values_differ(target, batch, keys)
+    return batch.alias("s").join(target.alias("t"), on, "left_anti")
 
 
 def upsert_documents(

@@ -45,6 +45,8 @@ class Lake:
     overlap_minutes: int = 10
     # a deduplicated batch measured at or below this many bytes is broadcast
     broadcast_bytes: int = 32 * 1024 * 1024
+    # a bucket that gained rows this many times is written whole the next time
+    appends_per_bucket: int = 16
     # with more files than this per bucket, a rewrite also merges them
     files_per_bucket: int = 256
     docs_per_file: int = 1_000_000
@@ -250,8 +252,9 @@ class _Load:
         if base is None:
             self.step = "write target"
             lie = "grouped" if table.shuffles_by_bucket(table.buckets) else "scattered"
-            written = table.write(self.run_id, [(with_audit_columns(latest, self.run_ts), lie)], self.run_ts)
-            self._audit(written.manifest, None)
+            rows = with_audit_columns(latest, self.run_ts)
+            written = table.write(self.run_id, [(rows, lie)], self.run_ts)
+            self._audit(written.manifest)
             return self._counts(written, 0)
         schema, count = schema or base.schema, len(base.versions)
         # names fold case as the drift check does; the types of the keys decide the bucket
@@ -259,46 +262,102 @@ class _Load:
         shared = [f for f in schema.fields if f.name.lower() in given]
         latest = latest.select(*[col(given[f.name.lower()]).cast(f.dataType).alias(f.name) for f in shared])
         self.step = "stage latest rows"
-        latest = stage_batch(latest, lake.stage(spec, "latest"), self.run_id)
+        latest = stage_batch(self._unseen(latest, schema), lake.stage(spec, "latest"), self.run_id)
         size, buckets = latest.agg(_size(latest), table.touched_buckets(latest, count)).first()
-        touched = set(buckets) | self._buckets_of_deleted(deleted, schema, count)
-        if not touched:
-            kept = Manifest(base.versions, schema)
-            table.keep(self.run_id, kept)
-            self._audit(kept, set())
-            return {}
         self.step = "upsert"
-        target = table.read(base, touched, schema)
-        gone = 0
+        touched = set(buckets)
         if deleted is not None:
-            gone = deletes.deleted_rows(target, deleted, spec.keys, target_unique=True).count()
-            target = deletes.delete_by_key(target, deleted, spec.keys, target_unique=True)
-        parts = self._merged(target, latest, size, count, kept_in_place=deleted is None)
-        written = table.write(self.run_id, parts, self.run_ts, base, touched)
-        self._audit(written.manifest, touched)
+            deleted, feed_buckets = self._feed_keys(deleted, schema, count)
+            gone, emptied = self._deletes(deleted, table.read(base, feed_buckets, schema), count)
+            emptied = set(emptied)
+        else:
+            gone, emptied = 0, set()
+        if not touched and not gone:
+            table.keep(self.run_id, Manifest(base.versions, schema))
+            self._audit(None)
+            return {}
+        if size <= lake.broadcast_bytes:
+            parts, replaced = self._small_upsert(latest, deleted, schema, touched, emptied)
+        else:
+            replaced = touched | emptied
+            target = self._remaining(table.read(base, replaced, schema), deleted)
+            parts = [(upsert.upsert(target, latest, table.keys, self.run_ts, target_unique=True), self._after_shuffle())]
+        written = table.write(self.run_id, parts, self.run_ts, base, replaced)
+        self._audit(written.manifest)
         return self._counts(written, gone)
 
-    def _merged(
-        self, target: DataFrame, latest: DataFrame, size: int, count: int, kept_in_place: bool
-    ) -> list[tuple[DataFrame, str]]:
-        """The upsert as parts to write, by the measured size of the batch."""
-        keys, table = self.table.keys, self.table
-        shuffled = "grouped" if table.shuffles_by_bucket(count) else "scattered"
-        if size > self.lake.broadcast_bytes:
-            return [(upsert.upsert(target, latest, keys, self.run_ts, target_unique=True), shuffled)]
-        existing, fresh = upsert.upsert_parts(target, latest, keys, self.run_ts, small=True, target_unique=True)
-        # a scan keeps the target's rows bucket by bucket, but too many small files are merged on the way
-        crowded = len(target.inputFiles()) > self.lake.files_per_bucket * count
-        lie = "scattered" if crowded else "grouped" if kept_in_place else shuffled
-        return [(existing.drop(upsert.ACTION), lie), (fresh.drop(upsert.ACTION), "few")]
-
-    def _buckets_of_deleted(self, deleted: DataFrame | None, schema: T.StructType, count: int) -> set[int]:
+    def _after_shuffle(self) -> str:
+        count = len(self.base.versions)
+        return "grouped" if self.table.shuffles_by_bucket(count) else "scattered"
+
+    def _unseen(self, latest: DataFrame, schema: T.StructType) -> DataFrame:
+        """Without the rows that are only read again because reads overlap.
+
+        The target's side of the comparison are its rows since the same moment: a
+        filter its scan can use. What stays decides which buckets are written.
+        """
+        if self.read_from is None or self.spec.is_documents or not self.spec.has_modified_time:
+            return latest
+        target = self.table.read(self.base, None, schema)
+        names = {c.lower(): c for c in target.columns}
+        inserted, updated = (names.get((c or "").lower()) for c in (self.spec.inserted_col, self.spec.updated_col))
+        if inserted is None:
+            return latest
+        recent = changed_since(target, str(self.read_from), inserted, updated)
+        return upsert.not_stored_yet(recent, latest, self.table.keys)
+
+    def _small_upsert(
+        self,
+        latest: DataFrame,
+        deleted: DataFrame | None,
+        schema: T.StructType,
+        touched: set[int],
+        emptied: set[int],
+    ) -> tuple[list[tuple[DataFrame, str]], set[int]]:
+        """Upsert of a batch small enough to broadcast: the parts to write and the buckets they replace.
+
+        A scan of the target's keys finds which batch rows are updates. Only their
+        buckets are written whole; other buckets just gain the inserted rows.
+        """
+        lake, table, base, keys = self.lake, self.table, self.base, self.table.keys
+        stored = self._remaining(table.read(base, touched, schema), deleted)
+        known = upsert.matched_keys(stored, latest, keys, small=True)
+        known = stage_batch(known, lake.stage(self.spec, "matched"), self.run_id)
+        count = len(base.versions)
+        replaced = set(known.agg(table.touched_buckets(known, count)).first()[0]) | emptied
+        replaced |= {b for b in touched if len(base.versions[b]) >= lake.appends_per_bucket}
+        whole = table.read(base, replaced, schema)
+        # a scan keeps rows bucket by bucket, but too many small files are merged on the way
+        crowded = len(whole.inputFiles()) > lake.files_per_bucket * len(replaced) if replaced else False
+        lie = "scattered" if crowded else "grouped" if deleted is None else self._after_shuffle()
+        existing = upsert.updated_target(
+            self._remaining(whole, deleted), latest, keys, self.run_ts, small=True, target_unique=True
+        )
+        fresh = upsert.inserted_rows(whole, latest, known, keys, self.run_ts)
+        parts = [(existing, lie)] if replaced else []
+        return [(df.drop(upsert.ACTION), how) for df, how in parts + [(fresh, "few")]], replaced
+
+    # --- deletes -------------------------------------------------------------------
+
+    def _remaining(self, target: DataFrame, deleted: DataFrame | None) -> DataFrame:
         if deleted is None:
-            return set()
-        types = {f.name: f.dataType for f in schema.fields}
-        keys = deleted.select(*[col(k).cast(types[k]).alias(k) for k in self.spec.keys])
+            return target
+        return deletes.delete_by_key(target, deleted, self.table.keys, target_unique=True)
+
+    def _feed_keys(self, deleted: DataFrame, schema: T.StructType, count: int) -> tuple[DataFrame, set[int]]:
+        """Keys of the deleted-rows feed in the target's types, and their buckets."""
+        types = {f.name.lower(): f.dataType for f in schema.fields}
+        keys = deleted.select(*[col(k).cast(types[k.lower()]).alias(k) for k in self.spec.keys])
         keys = keys.filter(~any_null([col(k) for k in self.spec.keys]))
-        return set(keys.agg(self.table.touched_buckets(keys, count)).first()[0])
+        return keys, set(keys.agg(self.table.touched_buckets(keys, count)).first()[0])
+
+    def _deletes(self, deleted: DataFrame, target: DataFrame, count: int) -> tuple[int, set[int]]:
+        """How many target rows the feed removes, and the buckets they are in."""
+        stored = target.select(*[col(k) for k in self.spec.keys])
+        gone = deletes.deleted_rows(stored, deleted, self.spec.keys, target_unique=True)
+        return tuple(gone.agg(F.count(F.lit(1)), self.table.touched_buckets(gone, count)).first())
+
+    # --- results -------------------------------------------------------------------
 
     def _counts(self, written: Written, gone: int) -> dict:
         return {
@@ -307,10 +366,13 @@ class _Load:
             "rows_deleted": gone,
         }
 
-    def _audit(self, manifest: Manifest, touched: set[int] | None) -> None:
-        """Keys this run inserted or updated; they can only be in the buckets it wrote."""
+    def _audit(self, manifest: Manifest | None) -> None:
+        """Keys this run inserted or updated; they can only be among the rows it wrote."""
         self.step = "write audit keys"
-        rows = self.table.read(manifest, touched)
+        if manifest is None:
+            rows = self.table.read(self.base, set())
+        else:
+            rows = self.table.written_by(self.run_id, manifest.schema)
         keys = self.table.keys
         found = audit_keys(rows, keys, self.run_ts, "insert", self.run_id).unionByName(
             audit_keys(rows, keys, self.run_ts, "update", self.run_id)

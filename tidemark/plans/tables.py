@@ -1,8 +1,9 @@
 """Target tables as versioned Parquet.
 
 Plain Parquet has no MERGE, and a path cannot be overwritten while it is read.
-So a run writes the buckets it touches into a folder of its own and then a
-manifest naming, for each bucket, the version that holds it:
+So a run writes into a folder of its own: whole buckets where rows changed,
+only the new rows where nothing else did. Its manifest names, for each bucket,
+the runs whose folders hold its rows:
 
     <root>/data/tidemark_run=<run>/tidemark_bucket=<b>/...
     <root>/manifest/run_id=<run>
@@ -43,7 +44,7 @@ _MANIFEST = T.StructType(
 
 @dataclass(frozen=True)
 class Manifest:
-    versions: dict[int, int | None]
+    versions: dict[int, tuple[int, ...]]
     schema: T.StructType
 
 
@@ -62,10 +63,14 @@ class VersionedTable:
     buckets: int = 8
 
     def manifest(self, run_id: int) -> Manifest:
-        """One row per bucket: as many rows as the table was created with buckets."""
+        """A row per bucket and run it lies in: the bucket count times ``appends_per_bucket`` at most."""
         rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/run_id={run_id}").collect()
         schema = T.StructType.fromJson(json.loads(rows[0]["schema"]))
-        return Manifest({r[_BUCKET]: r["version"] for r in rows}, schema)
+        versions: dict[int, tuple[int, ...]] = {}
+        for row in sorted(rows, key=lambda r: (r[_BUCKET], r["version"] or 0)):
+            held = () if row["version"] is None else (row["version"],)
+            versions[row[_BUCKET]] = versions.get(row[_BUCKET], ()) + held
+        return Manifest(versions, schema)
 
     def bucket_of(self, df: DataFrame, count: int) -> Column:
         """Bucket by key. Rows with a null key match nothing, so they spread over all buckets by content."""
@@ -100,27 +105,34 @@ class VersionedTable:
         schema = schema or manifest.schema
         paths = [
             self._path(version, bucket)
-            for bucket, version in sorted(manifest.versions.items())
-            if version is not None and (only is None or bucket in only)
+            for bucket, versions in sorted(manifest.versions.items())
+            for version in versions
+            if only is None or bucket in only
         ]
         if not paths:
             return self.spark.createDataFrame([], schema)
         stored = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths)
         return stored.select(*[col(c) for c in schema.names])
 
+    def written_by(self, run_id: int, schema: T.StructType) -> DataFrame:
+        """The rows a run wrote, new and carried over."""
+        return self.spark.read.schema(schema).parquet(f"{self.root}/data/{_RUN}={run_id}")
+
     def write(
         self,
         run_id: int,
         parts: list[tuple[DataFrame, str]],
         run_ts: str,
         base: Manifest | None = None,
-        touched: set[int] | None = None,
+        replaced: set[int] = frozenset(),
     ) -> Written:
-        """Write the touched buckets and the manifest of the run.
+        """Write the rows and the manifest of a run.
 
-        Each part comes with how its rows lie: 'grouped' rows are written as they
-        are, 'scattered' ones are first rebalanced by bucket, which also splits a
-        bucket too big for one task, and 'few' go to one small file per bucket.
+        ``replaced`` buckets of ``base`` are written whole; rows of other buckets
+        are added to what those hold. Each part comes with how its rows lie:
+        'grouped' rows are written as they are, 'scattered' ones are first
+        rebalanced by bucket, which also splits a bucket too big for one task, and
+        'few' go to one small file per bucket.
 
         Counts come from the written files: accumulators would count the rows of
         a retried task twice.
@@ -134,23 +146,22 @@ class VersionedTable:
             if lie == "scattered":
                 rows = rows.hint("rebalance", _BUCKET)
             elif lie == "few":
-                rows = rows.repartition(min(len(touched or ()) or count, 64), _BUCKET)
+                rows = rows.repartition(min(count, 64), _BUCKET)
             rows.write.mode(mode).partitionBy(_BUCKET).parquet(place)
             mode = "append"
-        stored = self.spark.read.schema(rows.schema).parquet(place)
         # one row per bucket
         found = (
-            stored.groupBy(_BUCKET)
+            self.written_by(run_id, rows.schema)
+            .groupBy(_BUCKET)
             .agg(
                 F.count_if(col(INSERTED_AT) == ntz(run_ts)).alias("inserted"),
                 F.count_if(col(UPDATED_AT) == ntz(run_ts)).alias("updated"),
             )
             .collect()
         )
-        versions: dict[int, int | None] = {b: None for b in range(count)}
-        if base and touched is not None:
-            versions.update({b: v for b, v in base.versions.items() if b not in touched})
-        versions.update({row[_BUCKET]: run_id for row in found})
+        versions = {b: () if base is None or b in replaced else base.versions[b] for b in range(count)}
+        for row in found:
+            versions[row[_BUCKET]] += (run_id,)
         manifest = Manifest(versions, schema)
         self._write_manifest(run_id, manifest)
         return Written(sum(r["inserted"] for r in found), sum(r["updated"] for r in found), manifest)
@@ -162,7 +173,11 @@ class VersionedTable:
     def _write_manifest(self, run_id: int, manifest: Manifest) -> None:
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in manifest.schema.fields])
         text = nullable.json()
-        rows = [{_BUCKET: b, "version": v, "schema": text} for b, v in sorted(manifest.versions.items())]
+        rows = [
+            {_BUCKET: bucket, "version": version, "schema": text}
+            for bucket, versions in sorted(manifest.versions.items())
+            for version in versions or (None,)
+        ]
         frame = small_frame(self.spark, rows, _MANIFEST)
         frame.write.mode("overwrite").parquet(f"{self.root}/manifest/run_id={run_id}")
 
