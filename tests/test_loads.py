@@ -219,6 +219,22 @@ def test_deleted_feed_comes_before_the_upsert(lake, put):
     assert [r[0] for r in values(lake.current(spec))] == [1, 3, 4, 5, 6]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_deleted_row_that_is_sent_again_unchanged_comes_back(spark, tmp_path, put, broadcast_bytes):
+    lake = Lake(
+        spark, str(tmp_path / "lake"), {"shop": TableOrigin(str(tmp_path / "source"))}, 4,
+        clock=Clock(), broadcast_bytes=broadcast_bytes,
+    )
+    spec = spec_of(IS_DELETION="yes", DELETED_TBL="t_deleted")
+    put([(1, "a", day(1), None), (2, "b", day(1), None)])
+    put([], "id int, ins timestamp_ntz", "t_deleted")
+    ok(full_load(lake, [spec]))
+    put([(1, day(1))], "id int, ins timestamp_ntz", "t_deleted")  # both rows are read again, within the overlap
+    row = ok(incremental_load(lake, [spec]))
+    assert counts(row) == (1, 0, 1)
+    assert values(lake.current(spec)) == [(1, "a"), (2, "b")]
+
+
 def test_null_keys_are_inserted_each_time_or_set_aside(spark, lake, put, tmp_path):
     spec = spec_of()
     put([(None, "n", day(1), None), (1, "a", day(1), None)])

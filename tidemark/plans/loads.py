@@ -261,17 +261,16 @@ class _Load:
         given = {c.lower(): c for c in latest.columns}
         shared = [f for f in schema.fields if f.name.lower() in given]
         latest = latest.select(*[col(given[f.name.lower()]).cast(f.dataType).alias(f.name) for f in shared])
+        gone, emptied = 0, set()
+        if deleted is not None:
+            self.step = "find deleted rows"
+            deleted, feed_buckets = self._feed_keys(deleted, schema, count)
+            gone, emptied = self._deletes(deleted, table.read(base, feed_buckets, schema))
         self.step = "stage latest rows"
-        latest = stage_batch(self._unseen(latest, schema), lake.stage(spec, "latest"), self.run_id)
+        latest = stage_batch(self._unseen(latest, deleted, schema), lake.stage(spec, "latest"), self.run_id)
         size, buckets = latest.agg(_size(latest), table.touched_buckets(latest, count)).first()
         self.step = "upsert"
         touched = set(buckets)
-        if deleted is not None:
-            deleted, feed_buckets = self._feed_keys(deleted, schema, count)
-            gone, emptied = self._deletes(deleted, table.read(base, feed_buckets, schema), count)
-            emptied = set(emptied)
-        else:
-            gone, emptied = 0, set()
         if not touched and not gone:
             table.keep(self.run_id, Manifest(base.versions, schema))
             self._audit(None)
@@ -290,11 +289,13 @@ class _Load:
         count = len(self.base.versions)
         return "grouped" if self.table.shuffles_by_bucket(count) else "scattered"
 
-    def _unseen(self, latest: DataFrame, schema: T.StructType) -> DataFrame:
+    def _unseen(self, latest: DataFrame, deleted: DataFrame | None, schema: T.StructType) -> DataFrame:
         """Without the rows that are only read again because reads overlap.
 
         The target's side of the comparison are its rows since the same moment: a
-        filter its scan can use. What stays decides which buckets are written.
+        filter its scan can use. Rows the feed deletes no longer count as stored,
+        so one that was sent again is kept here and inserted. What stays decides
+        which buckets are written.
         """
         if self.read_from is None or self.spec.is_documents or not self.spec.has_modified_time:
             return latest
@@ -304,7 +305,7 @@ class _Load:
         if inserted is None:
             return latest
         recent = changed_since(target, str(self.read_from), inserted, updated)
-        return upsert.not_stored_yet(recent, latest, self.table.keys)
+        return upsert.not_stored_yet(self._remaining(recent, deleted), latest, self.table.keys)
 
     def _small_upsert(
         self,
@@ -351,11 +352,13 @@ class _Load:
         keys = keys.filter(~any_null([col(k) for k in self.spec.keys]))
         return keys, set(keys.agg(self.table.touched_buckets(keys, count)).first()[0])
 
-    def _deletes(self, deleted: DataFrame, target: DataFrame, count: int) -> tuple[int, set[int]]:
+    def _deletes(self, deleted: DataFrame, target: DataFrame) -> tuple[int, set[int]]:
         """How many target rows the feed removes, and the buckets they are in."""
         stored = target.select(*[col(k) for k in self.spec.keys])
         gone = deletes.deleted_rows(stored, deleted, self.spec.keys, target_unique=True)
-        return tuple(gone.agg(F.count(F.lit(1)), self.table.touched_buckets(gone, count)).first())
+        buckets = self.table.touched_buckets(gone, len(self.base.versions))
+        count, found = gone.agg(F.count(F.lit(1)), buckets).first()
+        return count, set(found)
 
     # --- results -------------------------------------------------------------------
 
