@@ -1,13 +1,17 @@
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.documents import document_text
 from tidemark.names import FAILED, SUCCESS, col
+from tidemark.operators.filters import changed_since
+from tidemark.operators.projection import with_audit_columns
 from tidemark.plans import loads
 from tidemark.plans.ledger_store import LedgerStore, local_clock
 from tidemark.plans.loads import Lake, full_load, incremental_load
+from tidemark.plans.tables import VersionedTable
 from tidemark.sources.origins import DocumentOrigin, FileOrigin, TableOrigin
 from tidemark.spec import LoadSpec
 
@@ -318,6 +322,39 @@ def test_first_load_writes_one_file_per_task_and_bucket(spark, lake, put, tmp_pa
     assert len(files) == 4
 
 
+def test_files_hold_their_rows_in_time_order(spark, lake, put, tmp_path):
+    spec = spec_of()
+    put([(n, "a", day((n * 7) % 50), day((n * 11) % 50) if n % 3 else None) for n in range(200)])
+    ok(full_load(lake, [spec]))
+    files = list((tmp_path / "lake" / "tables" / "tbl_t" / "data").rglob("*.parquet"))
+    assert len(files) == 4
+    for path in files:
+        held = pq.read_table(path).to_pylist()
+        newest = [max(r["ins"], r["upd"] or r["ins"]) for r in held]
+        assert newest == sorted(newest) and len(newest) > 20
+
+
+def test_recent_rows_are_read_without_the_rest(spark, tmp_path):
+    """The scan itself skips old pages: few more rows than wanted come out of it."""
+    newest = F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(10**8))).cast("timestamp_ntz")
+    df = spark.range(600_000).select(col("id").alias("k"), newest.alias("ins"), F.lit(None).cast("timestamp_ntz").alias("upd"))
+    table = VersionedTable(spark, str(tmp_path / "t"), ("k",), 2, ("ins", "upd"))
+    full = with_audit_columns(df, "2024-01-01")
+    written = table.write(1, [(full, "scattered")], "2024-01-01")
+    since = datetime(1973, 2, 28)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        recent = table.read_since(written.manifest, since, full.schema)
+        found = recent.collect()
+        scan = recent._jdf.queryExecution().executedPlan().collectLeaves().head()
+        scanned = scan.metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {r.k for r in found} == {r.k for r in changed_since(df, str(since), "ins", "upd").collect()}
+    assert recent.columns == full.columns
+    assert 0 < len(found) <= scanned < 100_000
+
+
 def versions_after(lake, spec, row):
     return sorted(lake.table(spec).manifest(row["run_id"]).versions.values())
 

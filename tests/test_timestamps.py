@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import SparkRuntimeException
@@ -55,7 +55,17 @@ def test_overlap_cuts_to_milliseconds(spark):
     assert one(spark, ts.overlap_start(ntz(GAP), 60)) == datetime(2024, 3, 10, 1, 30)
 
 
+@pytest.mark.parametrize("text", [GAP + ".123456", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "9999-12-31 23:59:59.999"])
+def test_wall_micros(spark, text):
+    expected = (datetime.fromisoformat(text) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    assert one(spark, ts.wall_micros(ntz(text))) == expected
+    assert one(spark, ts.wall_micros(F.lit(None).cast("timestamp_ntz"))) is None
+
+
 def test_seconds_between(spark):
+    # the night the clocks went forward in New York is as long as any other here
+    assert one(spark, ts.seconds_between(ntz("2024-03-09 12:00:00"), ntz("2024-03-10 12:00:00"))) == 86400.0
+    assert one(spark, ts.seconds_between(ntz("2024-03-01 04:05:06.5"), ntz(GAP))) == 771893.5
     assert one(spark, ts.seconds_between(ntz(GAP), ntz("2024-03-10 02:30:01.25"))) == 1.25
 
 

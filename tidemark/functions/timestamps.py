@@ -1,8 +1,8 @@
 """Timestamp expressions.
 
 All of them work on TIMESTAMP_NTZ and none depends on the session time zone:
-functions that go through TIMESTAMP (date_format, date_trunc, to_timestamp)
-would shift wall-clock values inside a daylight-saving gap of that zone.
+functions that go through TIMESTAMP (date_format, date_trunc, to_timestamp,
+timestamp_diff) would shift wall-clock values inside a daylight-saving gap of that zone.
 """
 
 from __future__ import annotations
@@ -55,8 +55,21 @@ def local_run_time(utc: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc.cast("timestamp_ntz"))
 
 
+def wall_micros(ts: Column) -> Column:
+    """Microseconds from 1970 on the wall clock, as a long.
+
+    Put together from the date and the parts of the day: timestamp_diff and
+    unix_micros go through the session time zone.
+    """
+    stamp = ts.cast("timestamp_ntz")
+    days = F.datediff(stamp.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = (days * 24 + F.hour(stamp)) * 60 + F.minute(stamp)
+    seconds = F.date_part(F.lit("SECOND"), stamp)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
+
+
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0)
+    return (wall_micros(end) - wall_micros(start)) / F.lit(1_000_000.0)
 
 
 def overlap_start(mark: Column, minutes: int = 10) -> Column:

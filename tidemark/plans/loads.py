@@ -63,8 +63,11 @@ class Lake:
         return f"{self.root}/stage/{kind}/{spec.target}"
 
     def table(self, spec: LoadSpec) -> VersionedTable:
-        keys = (DOC_KEY,) if spec.is_documents else spec.keys
-        return VersionedTable(self.spark, f"{self.root}/tables/{spec.target}", keys, self.buckets)
+        place = f"{self.root}/tables/{spec.target}"
+        if spec.is_documents:
+            return VersionedTable(self.spark, place, (DOC_KEY,), self.buckets)
+        times = tuple(t for t in (spec.inserted_col, spec.updated_col) if t)
+        return VersionedTable(self.spark, place, spec.keys, self.buckets, times)
 
     def current(self, spec: LoadSpec) -> DataFrame | None:
         """The target as of its last committed run."""
@@ -292,19 +295,14 @@ class _Load:
     def _unseen(self, latest: DataFrame, deleted: DataFrame | None, schema: T.StructType) -> DataFrame:
         """Without the rows that are only read again because reads overlap.
 
-        The target's side of the comparison are its rows since the same moment: a
-        filter its scan can use. Rows the feed deletes no longer count as stored,
+        The target's side of the comparison are its rows since the same moment:
+        its files are in time order, so the scan skips the pages before. Rows the feed deletes no longer count as stored,
         so one that was sent again is kept here and inserted. What stays decides
         which buckets are written.
         """
-        if self.read_from is None or self.spec.is_documents or not self.spec.has_modified_time:
+        if self.read_from is None or not self.table.times:
             return latest
-        target = self.table.read(self.base, None, schema)
-        names = {c.lower(): c for c in target.columns}
-        inserted, updated = (names.get((c or "").lower()) for c in (self.spec.inserted_col, self.spec.updated_col))
-        if inserted is None:
-            return latest
-        recent = changed_since(target, str(self.read_from), inserted, updated)
+        recent = self.table.read_since(self.base, self.read_from, schema)
         return upsert.not_stored_yet(self._remaining(recent, deleted), latest, self.table.keys)
 
     def _small_upsert(

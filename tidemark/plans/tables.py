@@ -21,18 +21,21 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.comparison import any_null, comparable
+from tidemark.functions.timestamps import wall_micros
 from tidemark.names import AUDIT_COLUMNS, INSERTED_AT, UPDATED_AT, col, ntz
 from tidemark.plans.small import small_frame
 
-# folder names that no source column is likely to have
+# folders and a stored column, named as no source column is likely to be
 _BUCKET = "tidemark_bucket"
 _RUN = "tidemark_run"
+_AT = "tidemark_at"
 _MANIFEST = T.StructType(
     [
         T.StructField(_BUCKET, T.IntegerType()),
@@ -61,6 +64,7 @@ class VersionedTable:
     root: str
     keys: tuple[str, ...]
     buckets: int = 8
+    times: tuple[str, ...] = ()
 
     def manifest(self, run_id: int) -> Manifest:
         """A row per bucket and run it lies in: the bucket count times ``appends_per_bucket`` at most."""
@@ -114,6 +118,26 @@ class VersionedTable:
         stored = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths)
         return stored.select(*[col(c) for c in schema.names])
 
+    def _in_time_order(self, rows: DataFrame) -> DataFrame:
+        """Rows with their newest time as a number, sorted by bucket, as the write needs anyway, and by that.
+
+        Files then hold their newest rows together, and a filter on the number
+        skips the pages of all others. Spark does not apply timestamp filters to
+        Parquet pages, so the time columns themselves would not do.
+        """
+        given = {c.lower(): c for c in rows.columns}
+        times = [col(given[t.lower()]) for t in dict.fromkeys(self.times) if t.lower() in given]
+        if not times:
+            return rows
+        newest = F.greatest(*times) if len(times) > 1 else times[0]
+        return rows.withColumn(_AT, wall_micros(newest)).sortWithinPartitions(_BUCKET, _AT)
+
+    def read_since(self, manifest: Manifest, mark: datetime, schema: T.StructType) -> DataFrame:
+        """Rows inserted or updated after the mark."""
+        stored = self.read(manifest, None, T.StructType(schema.fields + [T.StructField(_AT, T.LongType())]))
+        micros = (mark - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+        return stored.filter(col(_AT) > F.lit(micros)).drop(_AT)
+
     def written_by(self, run_id: int, schema: T.StructType) -> DataFrame:
         """The rows a run wrote, new and carried over."""
         return self.spark.read.schema(schema).parquet(f"{self.root}/data/{_RUN}={run_id}")
@@ -147,7 +171,7 @@ class VersionedTable:
                 rows = rows.hint("rebalance", _BUCKET)
             elif lie == "few":
                 rows = rows.repartition(min(count, 64), _BUCKET)
-            rows.write.mode(mode).partitionBy(_BUCKET).parquet(place)
+            self._in_time_order(rows).write.mode(mode).partitionBy(_BUCKET).parquet(place)
             mode = "append"
         # one row per bucket
         found = (

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timestamps import timestamp_text
+from tidemark.functions.timestamps import seconds_between, timestamp_text
 from tidemark.names import FAILED, SENTINEL_MARK, SUCCESS, ntz
 
 FIRST_RUN = "2002-01-01 00:00:00"
@@ -192,7 +192,7 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("day_no").cast("long") * 1_000_000_000 + F.col("user_id")).alias("run_id"),
         "run_start",
         "run_end",
-        (F.timestamp_diff("MICROSECOND", F.col("run_start"), F.col("run_end")) / F.lit(1_000_000.0)).alias("duration_in_sec"),
+        seconds_between(F.col("run_start"), F.col("run_end")).alias("duration_in_sec"),
         F.lit(None).cast("string").alias("ip_address"),
         F.lit("shop").alias("source_database_name"),
         F.lit("public").alias("source_schema_name"),
