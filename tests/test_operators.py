@@ -163,6 +163,11 @@ def test_mapping_from_a_file(spark, tmp_path):
         catalog.map_types(spark.createDataFrame([], catalog.CATALOG_SCHEMA), [("X", "a", "b", 0)] * 10_001, "X")
 
 
+def test_without_a_mapping_source_types_stay(spark):
+    columns = spark.createDataFrame([("o", "a", "NUMBER(9)", 1)], catalog.CATALOG_SCHEMA)
+    assert catalog.map_types(columns, None, "X").first().warehouse_type == "NUMBER(9)"
+
+
 def test_mapping_excel_types(spark):
     columns = spark.createDataFrame([("f", "a", "datetime64[ns]", 1), ("f", "b", "object", 2)], catalog.CATALOG_SCHEMA)
     got = {r.column_name: r.warehouse_type for r in catalog.map_types(columns, mapping_rows(), "EXCEL").collect()}

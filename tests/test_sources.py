@@ -8,7 +8,7 @@ from tidemark.sources.control import load_specs, read_control
 from tidemark.sources.documents import read_changed_documents, read_documents
 from tidemark.sources.files import file_manifest, names_object, read_object, read_tabular, relative_key, select_object
 from tidemark.sources.jdbc import JdbcSource
-from tidemark.sources.staging import current_batch, read_staged, run_path, stage_batch, write_document_chunks
+from tidemark.sources.staging import current_batch, read_matching, read_staged, run_path, stage_batch, write_document_chunks
 from tidemark.spec import CONTROL_COLUMNS, LoadSpec
 
 
@@ -148,6 +148,16 @@ def test_staged_runs(spark, tmp_path):
     assert run_path(stage, 1).endswith("run_id=1")
 
 
+def test_files_whose_path_does_not_match_are_not_opened(spark, tmp_path):
+    root = str(tmp_path / "stages")
+    stage_batch(spark.createDataFrame([(1,), (2,)], "id int"), f"{root}/tbl_a", 1)
+    (tmp_path / "stages" / "tbl_b").mkdir()
+    (tmp_path / "stages" / "tbl_b" / "part-0.parquet").write_text("not Parquet at all")
+    assert sorted(r.id for r in read_matching(spark, root, ".*tbl_a.*", "id int").collect()) == [1, 2]
+    with pytest.raises(Exception):
+        read_matching(spark, root, ".*", "id int").collect()
+
+
 def test_spec_without_times():
     row = dict.fromkeys(CONTROL_COLUMNS, "-")
     spec = LoadSpec.from_control({**row, "CONTROL_ID": 1, "PRIMARY_KEY_COL": "id"})

@@ -57,15 +57,20 @@ def target_columns(catalog: DataFrame) -> DataFrame:
 
 
 def map_types(
-    catalog: DataFrame, mapping: list[tuple[str, str, str, int]], dialect: str, fallback: str | None = "varchar"
+    catalog: DataFrame,
+    mapping: list[tuple[str, str, str, int]] | None,
+    dialect: str,
+    fallback: str | None = "varchar",
 ) -> DataFrame:
     """Adds ``warehouse_type``: the first mapping row of the dialect with that name.
 
     ``mapping`` rows are (dialect, source type, warehouse type, row number), as
     ``functions.types`` gives them: a checked, short list, so it is broadcast.
     Types without a row get ``fallback``; with None the query fails on the first
-    such type.
+    such type. Without a mapping, source types are kept as they are.
     """
+    if mapping is None:
+        return catalog.withColumn("warehouse_type", col("data_type"))
     if len(mapping) > MAX_MAPPING_ROWS:
         raise ValueError(f"a type mapping of {len(mapping)} rows is too long to broadcast")
     first: dict[str, str] = {}

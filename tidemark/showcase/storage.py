@@ -15,7 +15,7 @@ from tidemark.names import AUDIT_COLUMNS, col, ntz
 from tidemark.operators import marks, upsert
 from tidemark.operators.dedup import latest_document_per_key
 from tidemark.operators.filters import changed_since
-from tidemark.operators.projection import timestamps_as_text
+from tidemark.operators.projection import timestamps_as_text, typed_projection
 from tidemark.plans.loads import Lake, full_load, incremental_load
 from tidemark.shared import fresh_dir
 from tidemark.showcase import inputs as i
@@ -25,7 +25,7 @@ from tidemark.sources.control import read_control
 from tidemark.sources.documents import read_changed_documents, read_documents
 from tidemark.sources.files import file_manifest, latest_per_file_key, newer_than_archive, read_object, read_tabular
 from tidemark.sources.origins import DocumentOrigin, TableOrigin
-from tidemark.sources.staging import current_batch, read_staged, write_document_chunks
+from tidemark.sources.staging import current_batch, read_matching, read_staged, run_path, write_document_chunks
 from tidemark.spec import CONTROL_COLUMNS, LoadSpec
 
 # --- control files -------------------------------------------------------------
@@ -240,6 +240,19 @@ def file_incremental(spark, sf_dir):
     return changed_since(rows, EVENTS_FROM, "ins", "upd")
 
 
+@query("staged_scan", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
+def staged_scan(spark, sf_dir):
+    """Orders staged as text beside another table, found by path pattern and cast to their types."""
+    root = fresh_dir(spark, "stages")
+    orders = i.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    text = orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns])
+    text.write.parquet(run_path(f"{root}/tbl_orders", 1))
+    text.withColumn("o_custkey", F.lit("-1")).write.parquet(run_path(f"{root}/tbl_other", 1))
+    staged = read_matching(spark, root, ".*tbl_orders.*", text.schema)
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderdate": "timestamp_ntz"}
+    return typed_projection(staged, types)
+
+
 @query(
     "current_batch",
     """SELECT event_id, user_id, event_type, value, ts, CAST(date_diff('week', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS run_id

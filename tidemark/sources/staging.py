@@ -32,14 +32,21 @@ def write_document_chunks(df: DataFrame, path: str, per_file: int) -> None:
     df.write.mode("overwrite").option("maxRecordsPerFile", per_file).json(path)
 
 
-def read_staged(spark: SparkSession, stage: str, pattern: str | None = None, schema=None) -> DataFrame:
+def read_staged(spark: SparkSession, stage: str, schema=None) -> DataFrame:
     """Every staged run; ``run_id`` is a partition column."""
-    reader = spark.read.option("mergeSchema", schema is None)
     if schema is not None:
-        reader = reader.schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(stage)
+        return spark.read.schema(schema).parquet(stage)
+    return spark.read.option("mergeSchema", True).parquet(stage)
+
+
+def read_matching(spark: SparkSession, root: str, pattern: str, schema) -> DataFrame:
+    """Staged Parquet files below ``root`` whose whole path matches a regular expression.
+
+    The path is a constant of each file, so files that do not match are dropped
+    before any is opened.
+    """
+    everything = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
+    return everything.filter(F.col("_metadata.file_path").rlike(f"^(?:{pattern})$"))
 
 
 def current_batch(staged: DataFrame, run_id: int | Column | None = None) -> DataFrame:
