@@ -18,7 +18,7 @@ def duck(sf_dir):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(spark, sf_dir, duck, name):
     df = queries()[name](spark, sf_dir)
     found = duck.execute(oracle_sql()[name])
