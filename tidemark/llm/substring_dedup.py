@@ -279,10 +279,11 @@ def remove_repeats(
         _find_stretches(window, anchor),
         f"{ID} long, {TEXT_HASH} long, prefix long, stretch long, start int, windows int",
     )
-    twice = found.groupBy("prefix").count().where("count > 1").select("prefix")
+    # stored, so that what is joined is a plain exchange on both sides: only then can Spark split a hot prefix
+    twice = stored(found.groupBy("prefix").count().where("count > 1").select("prefix"), "prefixes")
     shared = stored(found.join(twice, "prefix"), "stretches")
     marked = (
-        shared.join(_verdicts(rows, shared, window, group_rows), ["prefix", "stretch"])
+        shared.join(stored(_verdicts(rows, shared, window, group_rows), "verdicts"), ["prefix", "stretch"])
         .groupBy(ID, TEXT_HASH)
         .agg(F.collect_list("start").alias("starts"), F.collect_list("marks").alias("marks"))
     )
