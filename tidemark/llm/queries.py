@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import language_id
+from tidemark.llm.mixing import mix
+from tidemark.llm.ngram_join import near_duplicates
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.quality_rules import verdicts
+from tidemark.llm.spotsigs import as_text, fingerprints
 from tidemark.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +55,65 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Documents that no language model learns from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~held_out()))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
+@query("op4_document_fingerprints")
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints(docs).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text("signatures").alias("fingerprint"),
+        as_text("edited_signatures").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_ngram_jaccard_join")
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "class_id", "n_copies", "n_links", "group_id")
+
+
+@query("op8_source_mixing")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return verdicts(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "quality",
+    )
