@@ -8,13 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id
+from tidemark.llm import language_id, ordinal_quality
+from tidemark.llm.html_extract import extract
 from tidemark.llm.mixing import mix
 from tidemark.llm.ngram_join import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality_rules import verdicts
 from tidemark.llm.spotsigs import as_text, fingerprints
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +59,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Documents that no language model learns from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
@@ -96,6 +104,20 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "class_id", "n_copies", "n_links", "group_id")
 
 
+def grades(labels: DataFrame) -> DataFrame:
+    """Grade 0 for low quality, 1 for good but toxic, 2 for good texts."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    return labels.where("quality is not null and toxic is not null").select("doc_id", grade.alias("grade"))
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = grades(table(spark, sf_dir, "labels")).where(~held_out())
+    model = ordinal_quality.train(docs, rated)
+    return ordinal_quality.rate(docs, model).select("doc_id", "expected_grade", "top_probability", "selected")
+
+
 @query("op8_source_mixing")
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
@@ -117,3 +139,32 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "quality",
     )
+
+
+def sample_edits(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Three edits of each text at places given by its id: a deletion, an insertion, a replacement."""
+    n_chars = F.coalesce(F.length(text), F.lit(0))
+    picks = [F.xxhash64(doc_id, F.lit(number)) for number in range(3)]
+    starts = [F.pmod(pick, n_chars + 1).cast("int") for pick in picks]
+    sizes = [F.pmod(F.shiftright(pick, 24), F.lit(most)).cast("int") for pick, most in zip(picks, (80, 200, 20), strict=True)]
+    texts = [F.lit(""), F.substring(text, F.lit(1), sizes[1]), F.concat(F.lit(" edit "), F.col(doc_id).cast("string"))]
+    removed = [sizes[0], F.lit(0), sizes[2]]
+    return F.array(
+        *(
+            F.struct(
+                F.lit(number).alias("order"),
+                starts[number].alias("start"),
+                removed[number].alias("removed"),
+                texts[number].alias("replacement"),
+            )
+            for number in range(3)
+        )
+    )
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("edits", sample_edits())
+    return count_tokens(docs, edits_col="edits").select(
+        "doc_id", "n_tokens", "n_edits", "n_tokens_edited", "chars_encoded"
+    )
