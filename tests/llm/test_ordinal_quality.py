@@ -1,0 +1,58 @@
+import numpy as np
+import pytest
+
+from tidemark.llm.ordinal_quality import BUCKETS, SHARES, fit, rate, train
+from tidemark.llm.queries import grades, held_out
+
+
+@pytest.fixture(scope="module")
+def folder():
+    return "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def model(spark, folder):
+    rated = grades(spark.read.parquet(f"{folder}/labels.parquet")).where(~held_out())
+    return train(spark.read.parquet(f"{folder}/documents.parquet"), rated)
+
+
+def test_held_out_grades(spark, folder, model):
+    rated = grades(spark.read.parquet(f"{folder}/labels.parquet")).where(held_out())
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    rows = rate(docs, model).join(rated, "doc_id").collect()
+    by = {g: [r for r in rows if r.grade == g] for g in (0, 1, 2)}
+    assert np.mean([r.selected for r in by[2]]) > 0.97
+    assert np.mean([r.selected for r in by[1]]) < 0.6
+    assert np.mean([r.selected for r in by[0]]) < 0.05
+    means = [np.mean([r.expected_grade for r in by[g]]) for g in (0, 1, 2)]
+    assert means == sorted(means)
+    assert all(0 <= r.expected_grade <= 2 and 0 <= r.top_probability <= 1 for r in rows)
+
+
+def test_odd_rows(odd, model):
+    found = rate(odd, model)
+    assert found.count() == odd.count() and "size" in found.columns
+    assert all(r.top_probability is not None for r in found.collect())
+
+
+def test_empty_tables(none, docs):
+    empty = none.selectExpr("doc_id", "1 as grade")
+    model = train(docs, empty)
+    assert model.grades == () and rate(none, model).count() == 0
+    assert {r.selected for r in rate(docs, model).collect()} == {None}
+
+
+def test_thresholds_ascend_and_words_tell():
+    random = np.random.Generator(np.random.PCG64(2))
+    named = np.arange(BUCKETS, BUCKETS + len(SHARES))
+    samples = []
+    for _ in range(600):
+        grade = int(random.integers(0, 3))
+        words = np.unique(np.concatenate([random.integers(100, 5000, 20), np.arange(grade)]))
+        shares = np.zeros(len(SHARES))
+        shares[0] = 1
+        samples.append((grade, np.concatenate([words, named]), np.concatenate([np.ones(len(words)), shares])))
+    model = fit(samples)
+    scores = np.array([model.weights[index] @ value for _, index, value in samples])
+    assert (np.diff(model.thresholds) >= 0).all()
+    assert np.mean((scores[:, None] > model.thresholds).sum(axis=1) == [grade for grade, _, _ in samples]) > 0.9

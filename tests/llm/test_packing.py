@@ -1,0 +1,89 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidemark.llm.packing import Plan, cut, pack_documents
+
+
+def check(rows, capacity):
+    sequences, documents = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        documents[r.doc_id].append(r)
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return sequences, documents
+
+
+def test_documents(docs, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = pack_documents(docs, with_ids=True).collect()
+    sequences, documents = check(rows, 2048)
+    assert len(sequences) <= 1.02 * sum(r.length for r in rows) / 2048 + 1
+    assert documents.keys() == texts.keys()
+    for key, text in texts.items():
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        pieces = sorted(documents[key], key=lambda r: r.piece)
+        assert [i for r in pieces for i in r.ids] == ids
+        at = 0
+        for number, r in enumerate(pieces):
+            raw = np.array(ids[at : at + r.length], dtype="<u4").tobytes()
+            assert (r.piece, r.start, r.ids_crc32) == (number, at, zlib.crc32(raw))
+            at += r.length
+        assert len(pieces) == 1 or all(r.length == 2048 for r in pieces[1:])
+
+
+def test_odd_rows(odd):
+    rows = pack_documents(odd, chunk_pieces=1).collect()
+    check(rows, 2048)
+    given_rows = Counter(r.doc_id for r in odd.collect())
+    assert Counter(r.doc_id for r in rows if r.piece == 0) == given_rows
+    assert {r.length for r in rows if r.doc_id in (3, 4)} == {1}
+
+
+def test_empty_table(none):
+    assert pack_documents(none).count() == 0
+
+
+@given(st.integers(1, 100), st.integers(1, 20))
+def test_only_longer_documents_are_cut(count, capacity):
+    pieces = cut(count, capacity)
+    assert sum(length for _, length in pieces) == count
+    assert all(length == capacity for _, length in pieces[1:])
+    assert len(pieces) == -(-count // capacity)
+
+
+@settings(deadline=None)
+@given(st.dictionaries(st.integers(1, 24), st.integers(1, 40), max_size=24))
+def test_plans_place_every_rank_once(counts):
+    plan = Plan(counts, 24)
+    length = np.array([n for n, c in counts.items() for _ in range(c)], dtype=np.int64)
+    rank = np.array([at for c in counts.values() for at in range(c)], dtype=np.int64)
+    if not len(length):
+        return
+    order = np.random.Generator(np.random.PCG64(1)).permutation(len(length))
+    sequence, offset = plan.place(length[order], rank[order])
+    filled = defaultdict(list)
+    for s, o, n in zip(sequence, offset, length[order], strict=True):
+        filled[s].append((o, n))
+    for pieces in filled.values():
+        at = 0
+        for o, n in sorted(pieces):
+            assert o == at
+            at += n
+        assert at <= 24
+    assert len(filled) == plan.sequences
+
+
+def test_gaps_are_filled_exactly():
+    plan = Plan({90: 5, 10: 5, 70: 4, 20: 4, 9: 4, 1: 4, 50: 6}, 100)
+    assert plan.sequences == 12  # the pieces fill twelve sequences to the last token

@@ -98,6 +98,8 @@ def _says(name: str, more: str, inside: int) -> int:
                     return BAD
                 if GOOD_WORDS.intersection(words):
                     found = GOOD
+                elif "header" in words and found != GOOD:
+                    return BAD
         elif key in ("class", "id") and name in ("article", "main"):
             words = [word.lower() for word in _HINT.findall(value)]
             if any(word.startswith(("comment", "respond", "advert", "sponsor", "promo")) for word in words):
