@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import spread_join, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -23,8 +23,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     around = _both_ways(edges)
     least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
     return (
-        around.where("b > a")
-        .join(least, "a")
+        spread_join(around.where("b > a"), least, ["a"])
         .select(F.col("b").alias("a"), F.col("low").alias("b"))
         .where("a <> b")
         .distinct()
@@ -35,7 +34,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """``edges`` run from the greater node ``a`` to the lesser ``b``."""
     least = edges.groupBy("a").agg(F.min("b").alias("low"))
     return (
-        edges.join(least, "a")
+        spread_join(edges, least, ["a"])
         .select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
         .where("a <> b")
         .distinct()

@@ -11,9 +11,9 @@ similarity of ``threshold`` or more. Equal texts are one class from the start.
 2. *Candidates.* In a node, texts are compared by whole signatures with a few
    leaders: a text far from every leader becomes the next one. A leader is tied
    to all texts that could be linked to something near it (Jaccard distance is a
-   metric), so pairs over the threshold are connected by ties. There are no more
-   ties than members for each leader, and pairs are never listed. Nodes too
-   large for a task are dealt out as pairs of blocks.
+   metric), so pairs over the threshold are connected by ties. A task gives each
+   text one tie at most, to the first text it is connected with; pairs are never
+   listed. Nodes too large for a task are dealt out as pairs of blocks.
 3. *Verification.* Connected components of the ties hold all texts that may be
    linked. Within each, the sizes of all intersections come from products of
    shingle incidence matrices: every pair of a component is decided exactly,
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import quoted, stored
+from tidemark.llm.tables import quoted, spread_join, stored
 from tidemark.llm.words import Block, blocks, grouped, powers, shingle_hashes
 
 SHINGLE = 5
@@ -120,6 +120,16 @@ def leaders(signs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield leader, np.flatnonzero(tied)
 
 
+def connected(signs: np.ndarray) -> np.ndarray:
+    """For each text, the first one that it is connected with over ties."""
+    label = np.arange(len(signs))
+    for leader, tied in leaders(signs):
+        met = np.unique(label[np.append(tied, leader)])
+        if len(met) > 1:
+            label[np.isin(label, met)] = met[0]
+    return label
+
+
 def _tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in grouped(batches, "node"):
         node = table.column("node").to_numpy()
@@ -129,9 +139,10 @@ def _tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = np.flatnonzero(np.diff(node)) + 1
         left, right = [], []
         for begin, end in zip([0, *bounds], [*bounds, len(node)], strict=True):
-            for leader, tied in leaders(signs[begin:end]):
-                left.append(np.full(len(tied), keys[begin + leader], dtype=object))
-                right.append(keys[begin + tied])
+            label = connected(signs[begin:end])
+            tied = np.flatnonzero(label != np.arange(end - begin))
+            left.append(keys[begin + label[tied]])
+            right.append(keys[begin + tied])
         if left:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(left), pa.string()), pa.array(np.concatenate(right), pa.string())],
@@ -257,7 +268,7 @@ def near_duplicates(
     texts = stored(texts, "texts")
     reached = texts.select("h1", "h2", F.explode("nodes").alias("node"))
     full = reached.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-    members = reached.join(full, "node").join(texts.drop("nodes"), ["h1", "h2"])
+    members = spread_join(reached, full, ["node"]).join(texts.drop("nodes"), ["h1", "h2"])
     members = members.select("node", "members", "signature", key.alias("key"))
     dealt = _block_pairs(members, F.ceil(F.col("members") / node_texts), F.col("node"), "node")
     ties = (
@@ -275,7 +286,7 @@ def near_duplicates(
             F.ceil(F.sum("shingles") / block_shingles), F.ceil(F.count("*") / block_texts)
         ).alias("parts")
     )
-    wanted = weighed.join(parts, "root").select("key", "root", "parts", "class_id", "h1", "h2")
+    wanted = spread_join(weighed, parts, ["root"]).select("key", "root", "parts", "class_id", "h1", "h2")
     rows, wanted = (df.withColumn("row", F.coalesce(at, F.lit(-1).cast(id_type))) for df, at in
                     ((rows, F.col("id")), (wanted, F.col("class_id"))))
     spelled = rows.select("row", "h1", "h2", "text").join(
@@ -294,7 +305,7 @@ def near_duplicates(
 
     groups = joined.withColumnRenamed("node", "key").join(classes.select("key", "class_id"), "key")
     least = groups.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    labels = groups.join(least, "root").select("key", "group_id")
+    labels = spread_join(groups, least, ["root"]).select("key", "group_id")
     known = (
         classes.join(labels, "key", "left")
         .join(links, "key", "left")
@@ -307,7 +318,7 @@ def near_duplicates(
             F.coalesce("group_id", "class_id").alias("group_id"),
         )
     )
-    return signed.select("id", "h1", "h2").join(known, ["h1", "h2"]).select(
+    return spread_join(signed.select("id", "h1", "h2"), known, ["h1", "h2"]).select(
         F.col("id").alias(id_col),
         "class_id",
         "n_copies",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.names import whole_key
 from tidemark.shared import fresh_dir
 
 ID, TEXT, TEXT_HASH, REST = "_id", "_text", "_text_hash", "_rest"
@@ -42,6 +43,18 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of rows whose keys may be hot with rows that have each key once.
+
+    ``right`` mostly comes out of an aggregate on the keys. The keys are compared
+    as one struct, so that both sides are shuffled for this join and Spark can
+    split a hot key's partition; null keys equal each other.
+    """
+    on = whole_key(keys, "l") == whole_key(keys, "r")
+    others = [F.col("r." + "`" + name + "`") for name in right.columns if name not in keys]
+    return left.alias("l").join(right.alias("r"), on).select("l.*", *others)
+
+
 def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left[ID].eqNullSafe(right[ID]) & (left[TEXT_HASH] == right[TEXT_HASH])
 
