@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import ID, REST, TEXT, TEXT_HASH, identified, other_columns, same_row, stored
+from tidemark.llm.tables import ID, REST, TEXT, TEXT_HASH, identified, other_columns, same_row, spread_join, stored
 from tidemark.llm.words import Ranges, blocks, grouped, sliding
 
 WINDOW = 35
@@ -224,7 +224,7 @@ def _verdicts(docs: DataFrame, shared: DataFrame, window: int, group_rows: int)
     )
     branching = variants.groupBy("prefix").agg(F.count("*").alias("variants")).where("variants > 1")
     wanted = (
-        variants.join(branching, "prefix")
+        spread_join(variants, branching, ["prefix"])
         .select("place.*", "prefix", "stretch", "windows", "variants")
         .groupBy(ID, TEXT_HASH)
         .agg(F.collect_list(F.struct("prefix", "stretch", "start", "windows", "variants")).alias("wanted"))
@@ -279,11 +279,10 @@ def remove_repeats(
         _find_stretches(window, anchor),
         f"{ID} long, {TEXT_HASH} long, prefix long, stretch long, start int, windows int",
     )
-    # stored, so that what is joined is a plain exchange on both sides: only then can Spark split a hot prefix
-    twice = stored(found.groupBy("prefix").count().where("count > 1").select("prefix"), "prefixes")
-    shared = stored(found.join(twice, "prefix"), "stretches")
+    twice = found.groupBy("prefix").count().where("count > 1").select("prefix")
+    shared = stored(spread_join(found, twice, ["prefix"]), "stretches")
     marked = (
-        shared.join(stored(_verdicts(rows, shared, window, group_rows), "verdicts"), ["prefix", "stretch"])
+        spread_join(shared, _verdicts(rows, shared, window, group_rows), ["prefix", "stretch"])
         .groupBy(ID, TEXT_HASH)
         .agg(F.collect_list("start").alias("starts"), F.collect_list("marks").alias("marks"))
     )
