@@ -120,7 +120,8 @@ def mix(
         "sizes",
     )
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    cuts = _cuts(sized, stored(targets, "targets"), range_docs)
+    # written, so that its size is known where it is joined: Spark sends a small one to the documents
+    cuts = stored(_cuts(sized, stored(targets, "targets"), range_docs), "cuts")
     named = docs.select(
         F.struct(*(quoted(name) for name in docs.columns)).alias("_row"),
         source.alias("_of"),
