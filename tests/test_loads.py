@@ -11,6 +11,7 @@ from tidemark.operators.projection import with_audit_columns
 from tidemark.plans import loads
 from tidemark.plans.ledger_store import LedgerStore, local_clock
 from tidemark.plans.loads import Lake, full_load, incremental_load
+from tidemark.plans.retention import retire
 from tidemark.plans.tables import VersionedTable
 from tidemark.sources.origins import DocumentOrigin, FileOrigin, TableOrigin
 from tidemark.spec import LoadSpec
@@ -95,6 +96,21 @@ def test_full_then_incremental(lake, put):
     assert third["max_timestamp"] == day(5)
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_both_merge_plans_delete_and_take_null_keys(spark, tmp_path, put, broadcast_bytes):
+    lake = Lake(spark, str(tmp_path / "lake"), {"shop": TableOrigin(str(tmp_path / "source"))}, 4, clock=Clock(), broadcast_bytes=broadcast_bytes)
+    spec = spec_of(IS_DELETION="yes", DELETED_TBL="t_deleted")
+    put([(n, "a", day(1), None) for n in range(20)])
+    put([], "id int, ins timestamp_ntz", "t_deleted")
+    ok(full_load(lake, [spec]))
+    put([(3, "b", day(1), day(3)), (None, "x", day(3), None), (None, "y", day(3), None), (4, "c", day(3), None)])
+    put([(4, day(3)), (5, day(3)), (None, day(3))], "id int, ins timestamp_ntz", "t_deleted")
+    assert counts(ok(incremental_load(lake, [spec]))) == (3, 1, 2)
+    got = lake.current(spec).select("id", "v").collect()
+    assert sorted(r.v for r in got if r.id is None) == ["x", "y"]
+    assert {r.id: r.v for r in got if r.id is not None} == {n: "b" if n == 3 else "c" if n == 4 else "a" for n in range(20) if n != 5}
+
+
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
 def test_both_merge_plans_write_the_same(spark, tmp_path, put, broadcast_bytes):
     lake = Lake(spark, str(tmp_path / "lake"), {"shop": TableOrigin(str(tmp_path / "source"))}, 4, clock=Clock(), broadcast_bytes=broadcast_bytes)
@@ -241,13 +257,13 @@ def test_deleted_row_that_is_sent_again_unchanged_comes_back(spark, tmp_path, pu
 
 def test_null_keys_are_inserted_each_time_or_set_aside(spark, lake, put, tmp_path):
     spec = spec_of()
-    put([(None, "n", day(1), None), (1, "a", day(1), None)])
+    put([(None, "n", day(1), None), (None, "n", day(1), None), (None, "m", day(1), None), (1, "a", day(1), None)])
     ok(full_load(lake, [spec]))
-    assert counts(ok(full_load(lake, [spec]))) == (1, 0, 0)
+    assert counts(ok(full_load(lake, [spec]))) == (3, 0, 0)
     strict = Lake(spark, str(tmp_path / "strict"), lake.origins, 4, reject_null_keys=True, clock=Clock())
     ok(full_load(strict, [spec]))
     assert values(strict.current(spec)) == [(1, "a")]
-    assert spark.read.parquet(strict.stage(spec, "rejects")).count() == 1
+    assert spark.read.parquet(strict.stage(spec, "rejects")).count() == 3
 
 
 def test_column_list(lake, put):
@@ -416,3 +432,197 @@ def test_measured_size(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
     assert df.agg(loads._size(df)).first()[0] == 2 * 32 + 3
     assert df.limit(0).agg(loads._size(df)).first()[0] == 0
+
+
+# --- time zones, marks and clocks -----------------------------------------------
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC", "Asia/Tokyo"])
+def test_marks_of_instants_do_not_shift(spark, lake, tmp_path, zone):
+    """Times with a time zone: neither the session's zone nor the driver's changes what is read."""
+    spec = spec_of(UPDT_TIME_COL="-")
+    schema = "id int, v string, ins timestamp"
+    place, before = str(tmp_path / "source" / "t"), spark.conf.get("spark.sql.session.timeZone")
+
+    def put(*rows):
+        text = spark.createDataFrame(rows, "id int, v string, ins string")
+        text.select("id", "v", F.col("ins").cast("timestamp")).write.mode("overwrite").parquet(place)
+
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        put((1, "a", "2024-01-01T12:00:00Z"))
+        first = ok(full_load(lake, [spec]))
+        assert first["max_timestamp"] == datetime(2024, 1, 1, 12)
+        put((1, "a", "2024-01-01T12:00:00Z"), (2, "b", "2024-01-01T14:00:00Z"), (3, "c", "2024-01-01T12:20:00Z"))
+        assert counts(ok(incremental_load(lake, [spec]))) == (2, 0, 0)
+        assert dict(lake.current(spec).select("id", F.col("ins").cast("string")).collect())[2] == "2024-01-01 14:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert spark.read.parquet(place).schema.simpleString() == "struct<" + schema.replace(" ", ":").replace(",:", ",") + ">"
+
+
+def test_the_mark_follows_runs_that_only_update(lake, put):
+    spec = spec_of()
+    put([(1, "a", day(1), None), (2, "b", day(1), None)])
+    ok(full_load(lake, [spec]))
+    put([(1, "A", day(1), day(5)), (2, "b", day(1), None)])
+    assert counts(ok(incremental_load(lake, [spec]))) == (0, 1, 0)
+    state = lake.ledger.state(spec.identity, spec.target, 10)
+    assert state.mark == day(5) and state.read_from == day(5) - timedelta(minutes=10)
+
+
+def test_a_clock_set_back_audits_only_its_own_run(lake, put):
+    spec = spec_of()
+    put([(n, "a", day(1), None) for n in range(20)])
+    first = ok(full_load(lake, [spec]))
+    lake.clock.now -= timedelta(minutes=45)
+    put([(3, "b", day(1), day(2))])
+    row = ok(incremental_load(lake, [spec]))
+    assert row["run_start"] > first["run_start"] and row["duration_in_sec"] >= 0
+    assert values(lake.audit(spec, row["run_id"]), "edw_action", "id") == [("update", 3)]
+
+
+def test_an_empty_database_cell_keeps_its_mark(lake, put):
+    spec = spec_of(DATABASE_NAME=None, SCHEMA_NAME=" ")
+    put([(1, "a", day(1), None)])
+    ok(full_load(lake, [spec]))
+    assert lake.ledger.state(spec.identity, spec.target, 10).mark == day(1)
+
+
+def test_two_writers_cannot_commit_one_run(lake, put):
+    put([(1, "a", day(1), None)])
+    row = ok(full_load(lake, [spec_of()]))
+    with pytest.raises(RuntimeError, match="one writer"):
+        lake.ledger.append(row)
+
+
+def test_the_ledger_names_target_and_user(spark, tmp_path, put):
+    origins = {"shop": TableOrigin(str(tmp_path / "source"))}
+    lake = Lake(spark, str(tmp_path / "lake"), origins, 4, target_database="lake", target_schema="bronze", clock=Clock())
+    put([(1, "a", day(1), None)])
+    ok(full_load(lake, [spec_of()]))
+    (row,) = lake.ledger.rows().collect()
+    assert (row.target_database_name, row.target_schema_name) == ("lake", "bronze")
+    assert row.triggered_by == row.created_by == spark.sparkContext.sparkUser()
+
+
+# --- types and columns ----------------------------------------------------------
+
+
+def test_json_time_and_decimal_columns(spark, tmp_path, put):
+    types = {"id": "bigint", "doc": "json", "at": "time", "price": "decimal(12,2)", "ins": "timestamp_ntz", "upd": "timestamp_ntz"}
+    origins = {"shop": TableOrigin(str(tmp_path / "source"), types={"t": types})}
+    lake = Lake(spark, str(tmp_path / "lake"), origins, 4, clock=Clock())
+    schema = "id int, doc string, at string, price string, ins timestamp_ntz, upd timestamp_ntz"
+    put([(1, '{"n": 1}', "07:30", "1.505", day(1), None), (2, None, None, None, day(1), None)], schema)
+    ok(full_load(lake, [spec_of()]))
+    put([(1, '{"n": 2}', "07:30", "1.51", day(1), day(2)), (2, None, None, None, day(1), None)], schema)
+    assert counts(ok(incremental_load(lake, [spec_of()]))) == (0, 1, 0)
+    got = lake.current(spec_of())
+    assert dict(got.dtypes)["doc"] == "variant" and dict(got.dtypes)["price"] == "decimal(12,2)"
+    row = got.where("id = 1").select(F.try_variant_get("doc", "$.n", "int"), "at", F.col("price").cast("string")).first()
+    assert tuple(row) == (2, "07:30:00.000000", "1.51")
+
+
+@pytest.mark.parametrize("kind, value", [("string", "new"), ("int", 5)])
+def test_a_column_that_comes_back_is_a_new_one(lake, put, kind, value):
+    spec, narrow = spec_of(), "id int, ins timestamp_ntz, upd timestamp_ntz"
+    put([(1, "old", day(1), None), (2, "old", day(1), None), (3, "old", day(1), None)])
+    ok(full_load(lake, [spec]))
+    put([(1, day(1), None), (2, day(1), None), (3, day(1), None)], narrow)
+    ok(incremental_load(lake, [spec]))
+    put([(1, value, day(1), None), (4, value, day(3), None)], SCHEMA.replace("v string", f"v {kind}"))
+    ok(incremental_load(lake, [spec]))
+    assert values(lake.current(spec)) == [(1, value), (2, None), (3, None), (4, value)]
+    put([(2, value, day(1), day(4))], SCHEMA.replace("v string", f"v {kind}"))
+    ok(incremental_load(lake, [spec]))
+    assert values(lake.current(spec)) == [(1, value), (2, value), (3, None), (4, value)]
+
+
+# --- deletes and documents ------------------------------------------------------
+
+
+def test_deletes_without_modified_times(lake, put):
+    spec = spec_of(INSRT_TIME_COL="-", UPDT_TIME_COL="-", IS_DELETION="yes", DELETED_TBL="t_deleted")
+    put([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
+    put([(9,)], "id int", "t_deleted")
+    ok(full_load(lake, [spec]))
+    put([(1, "a"), (3, "c")], "id int, v string")
+    put([(9,), (2,)], "id int", "t_deleted")
+    assert counts(ok(incremental_load(lake, [spec]))) == (0, 0, 1)
+    assert values(lake.current(spec)) == [(1, "a"), (3, "c")]
+    put([(1, "a"), (2, "back"), (3, "c")], "id int, v string")
+    assert counts(ok(incremental_load(lake, [spec]))) == (1, 0, 0)
+    put([(1, "a"), (2, "back"), (3, "C")], "id int, v string")  # the old entry for 2 is not applied again
+    assert counts(ok(incremental_load(lake, [spec]))) == (0, 1, 0)
+    assert values(lake.current(spec)) == [(1, "a"), (2, "back"), (3, "C")]
+
+
+def collection(tmp_path, *lines):
+    folder = tmp_path / "docs" / "members"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "1.json").write_text("\n".join(lines) + "\n")
+
+
+def doc_spec(**changes):
+    row = {
+        "SRC_DB_NAME": "mongodb", "OBJ_TYPE": "collection", "OBJ_NAME": "members", "PRIMARY_KEY_COL": "_id",
+        "INSRT_TIME_COL": "createdAt", "UPDT_TIME_COL": "updatedAt", "SF_TBL": "tbl_members",
+    }
+    return spec_of(**{**row, **changes})
+
+
+def test_documents_with_several_keys(lake, tmp_path):
+    spec = doc_spec(PRIMARY_KEY_COL="shop, no")
+    collection(
+        tmp_path,
+        '{"shop":"a","no":1,"createdAt":"2024-01-01 00:00:00"}',
+        '{"shop":"a","no":2,"createdAt":"2024-01-01 00:00:00"}',
+        '{"shop":"b","no":1,"createdAt":"2024-01-01 00:00:00"}',
+    )
+    assert counts(ok(full_load(lake, [spec]))) == (3, 0, 0)
+    assert values(lake.current(spec), "doc_key_1", "doc_key_2") == [("a", "1"), ("a", "2"), ("b", "1")]
+    collection(tmp_path, '{"shop":"a","no":2,"createdAt":"2024-01-01 00:00:00","updatedAt":"2024-01-02 00:00:00"}')
+    assert counts(ok(incremental_load(lake, [spec]))) == (0, 1, 0)
+
+
+@pytest.mark.parametrize("times", [{"UPDT_TIME_COL": "-"}, {"UPDT_TIME_COL": "createdAt"}, {"INSRT_TIME_COL": "-", "UPDT_TIME_COL": "-"}])
+def test_documents_with_one_time_or_none(lake, tmp_path, times):
+    spec = doc_spec(**times)
+    one = '{"_id":{"$oid":"a"},"createdAt":{"$date":"2024-01-01T00:00:00Z"},"n":1}'
+    collection(tmp_path, one, '{"n":7}', '{"n":8}')
+    assert counts(ok(full_load(lake, [spec]))) == (3, 0, 0)
+    collection(tmp_path, one, '{"_id":{"$oid":"b"},"createdAt":{"$date":"2024-01-02T00:00:00Z"},"n":2}')
+    assert counts(ok(incremental_load(lake, [spec]))) == (1, 0, 0)
+    assert [r[0] for r in values(lake.current(spec).where("doc_key is not null"), "doc_key")] == ["a", "b"]
+
+
+def test_all_documents_without_a_key_are_set_aside(spark, lake, tmp_path):
+    strict = Lake(spark, str(tmp_path / "strict"), lake.origins, 4, reject_null_keys=True, clock=Clock())
+    collection(tmp_path, '{"_id":"a","createdAt":"2024-01-01 00:00:00"}', '{"n":7}', '{"n":7}', '{"n":8}')
+    assert counts(ok(full_load(strict, [doc_spec()]))) == (1, 0, 0)
+    assert spark.read.parquet(strict.stage(doc_spec(), "rejects")).count() == 3
+
+
+# --- retention --------------------------------------------------------------------
+
+
+def test_only_what_kept_runs_need_stays(spark, lake, put, tmp_path):
+    spec = spec_of()
+    for run in range(1, 6):
+        put([(n, f"v{run if n == run else 0}", day(1), day(run)) for n in range(30)] + [(100 + run, "new", day(run), None)])
+        ok(incremental_load(lake, [spec]))
+    before = values(lake.current(spec))
+    gone = retire(lake, spec, keep=2)
+    assert gone["batch"] == [1, 2, 3] and gone["manifest"] == [1, 2, 3]
+    table = lake.table(spec)
+    held = {run for at in (4, 5) for runs in table.manifest(at).versions.values() for run in runs}
+    left = {int(p.name.partition("=")[2]) for p in (tmp_path / "lake/tables/tbl_t/data").iterdir()}
+    assert left == held
+    assert values(lake.current(spec)) == before and values(table.read(table.manifest(4)))
+    assert lake.audit(spec, 1).count() > 0
+    put([(0, "after", day(1), day(9))])
+    assert counts(ok(incremental_load(lake, [spec]))) == (0, 1, 0)
+    assert retire(lake, spec_of(SF_TBL="never")) == {}
+    with pytest.raises(ValueError):
+        retire(lake, spec, keep=0)

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import oracle_sql, queries
+from tidemark.showcase import columns, marks_and_ledger, merging, storage  # noqa: F401
+from tidemark.showcase.registry import ORACLE, QUERIES
 from tidemark.names import ntz
 from tidemark.operators import upsert as up
 from tidemark.operators.dedup import latest_per_key
@@ -65,9 +66,9 @@ def test_outer_plan_shuffles_each_side_once(spark, orders):
 LOADS = {"full_load", "incremental_load", "snapshot_load", "deleting_load", "document_load"}
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - LOADS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LOADS))
 def test_no_python_in_plans_and_no_cross_joins(spark, sf_dir, name):
-    plan = plan_of(queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for part in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert part not in plan
 
@@ -78,4 +79,4 @@ def test_current_batch_reads_one_partition(spark, sf_dir):
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)

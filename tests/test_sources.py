@@ -1,13 +1,17 @@
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.documents import document_text, document_timestamp
+from tidemark.functions.types import MAPPING_SCHEMA
 from tidemark.shared import fresh_dir, shared_dir
 from tidemark.sources.control import load_specs, read_control
 from tidemark.sources.documents import read_changed_documents, read_documents
 from tidemark.sources.files import file_manifest, names_object, read_object, read_tabular, relative_key, select_object
 from tidemark.sources.jdbc import JdbcSource
+from tidemark.sources.origins import ConnectorOrigin, JdbcOrigin
 from tidemark.sources.staging import current_batch, read_matching, read_staged, run_path, stage_batch, write_document_chunks
 from tidemark.spec import CONTROL_COLUMNS, LoadSpec
 
@@ -44,14 +48,30 @@ def test_control_file(spark, tmp_path):
 
 def test_jdbc_options(monkeypatch):
     monkeypatch.setenv("SHOP_SECRET", "s3")
-    source = JdbcSource("sqlserver", "jdbc:sqlserver://db:1433;databaseName=shop", "reader", "SHOP_SECRET", "id", 32)
+    source = JdbcSource("sqlserver", "jdbc:sqlserver://db:1433;databaseName={database}", "reader", "SHOP_SECRET", 32)
     query = source.select_text("dbo", "Order]s", "id, total")
     assert query == "SELECT [id], [total] FROM [dbo].[Order]]s]"
-    options = source.read_options(query, (1, 9000))
-    assert options["dbtable"] == f"({query}) src"
+    options = source.read_options(query, "shop", "id", (1, 9000))
+    assert options["dbtable"] == f"({query}) src" and options["url"].endswith("databaseName=shop")
     assert options["password"] == "s3" and options["driver"].endswith("SQLServerDriver")
+    assert options["preferTimestampNTZ"] == "true"
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "1", "9000", "32")
-    assert source.bounds_query(query) == f"SELECT MIN([id]) AS lo, MAX([id]) AS hi FROM ({query}) src"
+
+
+def test_jdbc_bounds_cover_the_rows_to_read():
+    source = JdbcSource("postgresql", "jdbc:postgresql://db/{database}", "reader", "NOT_SET", 8)
+    assert source.bounds_query("SELECT 1", "id") == 'SELECT MIN("id") AS lo, MAX("id") AS hi FROM (SELECT 1) src'
+    later = source.bounds_query("SELECT 1", "at", ("at", "changed"), "2024-01-01 00:00:00")
+    assert later.endswith("""src WHERE "at" > '2024-01-01 00:00:00' OR "changed" > '2024-01-01 00:00:00'""")
+
+
+def test_jdbc_partition_column_is_one_of_the_object(spark):
+    source = JdbcSource("postgresql", "jdbc:postgresql://db/x", "reader", "NOT_SET", 8)
+    schema = spark.createDataFrame([], "Id string, n decimal(9,0), At timestamp_ntz, d date").schema
+    assert source.partition_column(schema, ("n", "id"), ("at", "d")) == "At"
+    assert source.partition_column(schema, ("n", "id"), ()) == "n"
+    assert source.partition_column(schema, ("id", "n"), ("id",)) is None
+    assert source.partition_column(schema, (), ()) is None
 
 
 def test_jdbc_without_bounds_reads_once():
@@ -59,7 +79,46 @@ def test_jdbc_without_bounds_reads_once():
     assert source.select_text("public", "orders", None) == 'SELECT * FROM "public"."orders"'
     options = source.read_options("SELECT 1")
     assert "partitionColumn" not in options and options["password"] == ""
-    assert "numPartitions" not in source.read_options("SELECT 1", (None, None))
+    assert "numPartitions" not in source.read_options("SELECT 1", None, "id", (None, None))
+
+
+class Reads(JdbcSource):
+    """Keeps the options of each read; rows come from the session."""
+
+    def _load(self, spark, options):
+        seen.append(options)
+        if "MIN(" in options["dbtable"]:
+            return spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 00:00:00' AS lo, TIMESTAMP_NTZ'2024-01-09 00:00:00' AS hi")
+        if "information_schema" in options["dbtable"]:
+            return spark.sql(
+                "SELECT 't' AS object, 'ID' AS column_name, 'INT4' AS data_type, 1L AS ordinal_position, 32 AS numeric_precision, 0 AS numeric_scale "
+                "UNION ALL SELECT 't', 'price', 'numeric', 2L, 12, 2 UNION ALL SELECT 't', 'doc', 'jsonb', 3L, null, null"
+            )
+        return spark.sql("SELECT 1 AS id, 1.5BD AS price, TIMESTAMP_NTZ'2024-01-02 00:00:00' AS at")
+
+
+seen = []
+
+
+def test_jdbc_reads_follow_the_control_row(spark):
+    seen.clear()
+    mapping = spark.createDataFrame(
+        [("POSTGRESQL", "int4", "number", 0), ("POSTGRESQL", "numeric", "decimal", 1)], MAPPING_SCHEMA
+    )
+    origin = JdbcOrigin(Reads("postgresql", "jdbc:postgresql://db/{database}", "r", "NOT_SET", 4), mapping, "varchar")
+    row = dict.fromkeys(CONTROL_COLUMNS, "-") | {
+        "CONTROL_ID": 1, "DATABASE_NAME": "crm", "SCHEMA_NAME": "s", "OBJ_NAME": "t", "PRIMARY_KEY_COL": "id",
+        "INSRT_TIME_COL": "at", "COL_NAMES": "id, Price, doc",
+    }
+    spec = LoadSpec.from_control(row)
+    assert origin.open(spark, spec, "t", "2024-01-05 00:00:00").count() == 1
+    assert {o["url"] for o in seen} == {"jdbc:postgresql://db/crm"}
+    assert "\"at\" > '2024-01-05 00:00:00'" in seen[1]["dbtable"]
+    assert seen[2]["partitionColumn"] == "at" and seen[2]["lowerBound"] == "2024-01-02 00:00:00"
+    assert origin.declared(spark, spec) == {"id": "bigint", "Price": "decimal(12,2)", "doc": "string"}
+    with pytest.raises(Exception, match="no mapping for type jsonb"):
+        JdbcOrigin(origin.source, mapping).declared(spark, spec)
+    assert JdbcOrigin(origin.source).declared(spark, spec) is None
 
 
 # --- files -------------------------------------------------------------------------
@@ -80,6 +139,11 @@ def test_object_names(spark, key, matches):
         ("file:/data/in/a/part-00000-x.csv", "file:///data/in/", "a"),
         ("s3a://bucket/in/b.csv", "s3a://bucket/in", "b.csv"),
         ("hdfs://nn:8020/in/b.csv", "hdfs://nn:8020/in", "b.csv"),
+        ("hdfs://nn:8020/in/b.csv", "/in", "b.csv"),
+        ("file:/data/x/data/b.csv", "/data", "x/data/b.csv"),
+        ("file:///data/x/data/b.csv", "/data/", "x/data/b.csv"),
+        ("s3a://data/x/data/b.csv", "s3a://data", "x/data/b.csv"),
+        ("file:/other/b.csv", "/data", "other/b.csv"),
     ],
 )
 def test_relative_keys(spark, path, root, key):
@@ -125,6 +189,32 @@ def test_changed_documents(spark, tmp_path):
     assert sorted(r[0] for r in got.select(F.variant_get("doc", "$._id", "int")).collect()) == [1, 3]
 
 
+def test_documents_as_exports_write_them(spark, tmp_path):
+    (tmp_path / "c.json").write_text(
+        '{"_id":{"$oid":"64a0"},"c":{"$date":"2024-01-01T10:00:00Z"},"u":{"$date":{"$numberLong":"1704196800000"}}}\n'
+        '{"_id":"64a1","c":"2024-01-01T12:00:00+02:00","u":{"$date":1704196800500}}\n'
+        '{"_id":7,"c":"2024-01-01T10:00:00.25"}\n'
+    )
+    docs = read_documents(spark, str(tmp_path))
+    got = docs.select(*[document_text(F.col("doc"), "_id")], *[document_timestamp(F.col("doc"), f) for f in "cu"])
+    ten = datetime(2024, 1, 1, 10)
+    assert sorted(map(tuple, got.collect())) == [
+        ("64a0", ten, datetime(2024, 1, 2, 12)),
+        ("64a1", ten, datetime(2024, 1, 2, 12, 0, 0, 500_000)),
+        ("7", ten.replace(microsecond=250_000), None),
+    ]
+    for times in (("c", None), (None, "c"), ("c", "c")):
+        assert read_changed_documents(spark, str(tmp_path), "2024-01-01 10:00:00", *times).count() == 1
+    assert read_changed_documents(spark, str(tmp_path), "2024-01-01 10:00:00", None, None).count() == 3
+
+
+def test_connector_rows_become_documents(spark, tmp_path):
+    spark.createDataFrame([("a", 1, [1, 2])], "_id string, n int, l array<int>").write.parquet(str(tmp_path / "c"))
+    spec = LoadSpec.from_control(dict.fromkeys(CONTROL_COLUMNS, "-") | {"CONTROL_ID": 1, "PRIMARY_KEY_COL": "_id"})
+    docs = ConnectorOrigin("parquet", {}, "path").open(spark, spec, str(tmp_path / "c"))
+    assert [r[0] for r in docs.select(F.to_json("doc")).collect()] == ['{"_id":"a","l":[1,2],"n":1}']
+
+
 def test_document_chunks(spark, tmp_path):
     path = str(tmp_path / "chunks")
     write_document_chunks(spark.range(25).coalesce(1), path, 10)
@@ -160,5 +250,6 @@ def test_files_whose_path_does_not_match_are_not_opened(spark, tmp_path):
 
 def test_spec_without_times():
     row = dict.fromkeys(CONTROL_COLUMNS, "-")
-    spec = LoadSpec.from_control({**row, "CONTROL_ID": 1, "PRIMARY_KEY_COL": "id"})
+    spec = LoadSpec.from_control({**row, "CONTROL_ID": 1, "PRIMARY_KEY_COL": "id", "DATABASE_NAME": None})
+    assert spec.identity == ("-", "-", "-") and spec.times == ()
     assert not spec.has_modified_time and spec.deleted_object is None

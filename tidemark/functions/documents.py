@@ -5,19 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.timestamps import parse_timestamp
+from tidemark.functions.timestamps import parse_export_time, utc_wall
 
 
-def _path(field: str) -> str:
-    mark = '"' if "'" in field else "'"
-    return f"$[{mark}{field}{mark}]"
+def _path(*fields: str) -> str:
+    parts = []
+    for field in fields:
+        mark = '"' if "'" in field else "'"
+        parts.append(f"[{mark}{field}{mark}]")
+    return "$" + "".join(parts)
 
 
 def document_text(doc: Column, field: str) -> Column:
-    """Field as text; an absent field gives null."""
-    return F.try_variant_get(doc, _path(field), "string")
+    """Field as text; an absent field gives null, an exported object id its digits."""
+    plain = F.try_variant_get(doc, _path(field), "string")
+    return F.coalesce(F.try_variant_get(doc, _path(field, "$oid"), "string"), plain)
 
 
 def document_timestamp(doc: Column, field: str, strict: bool = True) -> Column:
-    """Field as timestamp, from text in one of the two known layouts."""
-    return parse_timestamp(document_text(doc, field), strict)
+    """Field as timestamp: text in one of the known layouts, or an exported date.
+
+    Exports write dates as ISO text or as milliseconds since 1970, below
+    ``$date``; both are UTC.
+    """
+    millis = F.coalesce(
+        F.try_variant_get(doc, _path(field, "$date", "$numberLong"), "long"),
+        F.when(
+            F.schema_of_variant(F.try_variant_get(doc, _path(field, "$date"), "variant")) == "BIGINT",
+            F.try_variant_get(doc, _path(field, "$date"), "long"),
+        ),
+    )
+    exported = F.try_variant_get(doc, _path(field, "$date"), "string")
+    text = F.coalesce(exported, F.try_variant_get(doc, _path(field), "string"))
+    return F.when(millis.isNotNull(), utc_wall(F.timestamp_millis(millis))).otherwise(parse_export_time(text, strict))

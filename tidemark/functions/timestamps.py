@@ -1,20 +1,28 @@
 """Timestamp expressions.
 
-All of them work on TIMESTAMP_NTZ and none depends on the session time zone:
+All of them work on TIMESTAMP_NTZ, or turn a TIMESTAMP into its wall clock in
+UTC first, and none depends on the session time zone:
 functions that go through TIMESTAMP (date_format, date_trunc, to_timestamp,
 timestamp_diff) would shift wall-clock values inside a daylight-saving gap of that zone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
+
+from tidemark.names import col
 
 # The two accepted text layouts (with and without a fraction) as
 # one pattern, and the text that stands for a missing timestamp.
 TEXT_LAYOUTS = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
 MISSING_TEXT = "NaT"
 
+# A time of day alone, and the ISO layouts that exports of documents use.
+TIME_TEXT = r"^\d{1,2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
+
 
 def parse_timestamp(text: Column, strict: bool = True) -> Column:
     """Text to timestamp; null and 'NaT' give null.
@@ -34,6 +42,39 @@ def parse_timestamp(text: Column, strict: bool = True) -> Column:
     )
 
 
+def utc_wall(instant: Column) -> Column:
+    """The wall clock in UTC of a TIMESTAMP, whatever the session zone is."""
+    micros = F.unix_micros(instant)
+    seconds = F.pmod(micros, F.lit(60_000_000)).cast("decimal(18,6)") / F.lit(1_000_000).cast("decimal(18,6)")
+    minutes = F.floor(micros / F.lit(60_000_000).cast("decimal(18,0)")).cast("long")
+    days = F.floor(minutes / F.lit(1440).cast("decimal(18,0)")).cast("int")
+    since = F.make_dt_interval(days, F.lit(0), F.pmod(minutes, F.lit(1440)).cast("int"), seconds.cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+
+
+def wall_clock(df: DataFrame, names: list[str | None]) -> DataFrame:
+    """The named columns without a time zone: instants as their wall clock in UTC.
+
+    A mark taken from such a column is a plain number of the clock, which no
+    session's or driver's time zone shifts.
+    """
+    wanted = {name.lower() for name in names if name}
+    instants = [f.name for f in df.schema.fields if f.name.lower() in wanted and isinstance(f.dataType, TimestampType)]
+    return df.withColumns({name: utc_wall(col(name)) for name in instants}) if instants else df
+
+
+def parse_export_time(text: Column, strict: bool = True) -> Column:
+    """A time as document exports write it: the known layouts, or ISO; with an offset, as UTC.
+
+    Other text is refused as ``parse_timestamp`` does.
+    """
+    zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    iso = F.when(zoned, utc_wall(text.try_cast("timestamp"))).otherwise(
+        F.replace(text, F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
+    )
+    return F.when(text.rlike(ISO_TEXT) & iso.isNotNull(), iso).otherwise(parse_timestamp(text, strict))
+
+
 def timestamp_text(ts: Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss.ffffff', always six fraction digits."""
     text = ts.cast("timestamp_ntz").cast("string")

@@ -1,169 +1,60 @@
-"""Source type names, their warehouse types and the Spark types we store."""
+"""Source type names, their warehouse types and the Spark types we store.
+
+Which source type becomes which warehouse type is control data: a CSV with a
+column per dialect, read by ``read_mapping``. No such table is built in.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Warehouse type of each source type name, per source dialect.
-# Matching is case-sensitive; a name listed once per dialect is its first match.
-WAREHOUSE_TYPES = {
-    "POSTGRESQL": {
-        "number": "serial bigserial int2 int4 int8 oid integer bigint",
-        "decimal": "numeric",
-        "float": "float4 float8",
-        "varchar": (
-            "numeric_without_prec_scale money varchar bpchar text cidr inet macaddr macaddr8 bit uuid xml "
-            "tsvector tsquery interval point line lseg box path polygon circle array composite range pg_lsn "
-            "char name character"
-        ),
-        "binary": "bytea",
-        "object": "json jsonb",
-        "timestamp_ntz": "timestamp timestamptz",
-        "timestamp_tz": "sl_timestamp",
-        "date": "date",
-        "time": "time timetz",
-        "geometry": "geometry",
-        "boolean": "bool boolean",
-    },
-    "SQLSERVER": {
-        "number": "smallint int bigint tinyint",
-        "decimal": "decimal",
-        "float": "real float",
-        "varchar": "varchar char nvarchar binary",
-        "binary": "varbinary",
-        "object": "text",
-        "timestamp_ntz": "datetime2 datetime smalldatetime",
-        "timestamp_tz": "datetimeoffset",
-        "date": "date",
-        "time": "time",
-        "boolean": "bit",
-    },
-    "EXCEL": {
-        "number": "int64 integer",
-        "float": "float64",
-        "varchar": "object",
-        "timestamp_ntz": "datetime64[ns]",
-        "boolean": "bool",
-    },
-    "ORACLE": {
-        "number": "number",
-        "varchar": "varchar2 char",
-        "float": "binary_float binary_double",
-        "binary": "blob",
-        "object": "nclob",
-        "timestamp_ntz": "timestamp",
-        "date": "date",
-    },
-    "SAP_HANA": {
-        "number": "smallint integer bigint",
-        "decimal": "decimal",
-        "varchar": "varchar",
-        "float": "real double",
-        "binary": "varbinary",
-        "object": "nclob",
-        "timestamp_ntz": "timestamp",
-        "date": "date",
-        "time": "time",
-        "boolean": "boolean",
-    },
-    "MYSQL": {
-        "number": "smallint int bigint",
-        "decimal": "decimal",
-        "varchar": "varchar CHAR",
-        "float": "float double",
-        "binary": "blob",
-        "object": "json",
-        "timestamp_ntz": "datetime",
-        "date": "DATE",
-        "time": "time",
-        "boolean": "BIT",
-    },
-    "MONGO_DB": {
-        "number": "int long",
-        "decimal": "decimal",
-        "varchar": "double string array",
-        "float": "float",
-        "binary": "binData",
-        "object": "object",
-        "timestamp_ntz": "isodate",
-        "boolean": "boolean",
-    },
-}
+from tidemark.names import col
 
-# Source type names that contain blanks.
-SPACED_NAMES = {
-    "POSTGRESQL": {
-        "character varying": "varchar",
-        "timestamp without time zone": "timestamp_ntz",
-        "timestamp with timestamp": "timestamp_tz",
-    },
-    "MYSQL": {"int unsigned": "number"},
-}
+MAPPING_SCHEMA = "dialect string, source_type string, warehouse_type string, row_no long"
 
-# Spark storage type of each warehouse type. A bare decimal is (10,0) in Spark
-# and would cut fractions, so precision is always written out.
+# Spark storage type of each warehouse type. 'json' and 'time' are pseudo types
+# of ``typed_projection``. A bare decimal is (10,0) in Spark and would cut
+# fractions, so precision is always written out.
 SPARK_TYPES = {
     "number": "bigint",
     "decimal": "decimal(38,18)",
     "float": "double",
     "varchar": "string",
     "binary": "binary",
-    "object": "variant",
+    "object": "json",
     "timestamp_ntz": "timestamp_ntz",
     "timestamp_tz": "timestamp",
     "date": "date",
-    "time": "string",
+    "time": "time",
     "geometry": "string",
     "boolean": "boolean",
 }
 
-# Where the first match would harm the data we store text as text instead.
-STORED_AS_TEXT = {("SQLSERVER", "text")}
-
-MAX_MAPPING_ROWS = 10_000
-
-
-def mapping_rows() -> list[tuple[str, str, str, int]]:
-    rows = []
-    for dialect, kinds in WAREHOUSE_TYPES.items():
-        names = {name: kind for kind, listed in kinds.items() for name in listed.split()}
-        names.update(SPACED_NAMES.get(dialect, {}))
-        rows.extend((dialect, name, kind, at) for at, (name, kind) in enumerate(names.items()))
-    return rows
 
-
-def read_mapping(spark: SparkSession, path: str, warehouse_column: str) -> list[tuple[str, str, str, int]]:
+def read_mapping(spark: SparkSession, path: str, warehouse_column: str) -> DataFrame:
     """Mapping rows from a CSV with one column per dialect and one for the warehouse type.
 
-    Rows count from the top of the file; empty cells are no mapping.
-    """
-    table = spark.read.option("header", True).csv(path)
-    lines = table.limit(MAX_MAPPING_ROWS + 1).collect()
-    if len(lines) > MAX_MAPPING_ROWS:
-        raise ValueError(f"type mapping {path} has more than {MAX_MAPPING_ROWS} rows")
-    dialects = [c for c in table.columns if c != warehouse_column]
-    return [
-        (dialect, line[dialect], line[warehouse_column], at)
-        for at, line in enumerate(lines)
-        for dialect in dialects
-        if line[dialect] is not None
-    ]
-
-
-def storage_type(dialect: str, source_type: str, declared: str | None = None, strict: bool = False) -> str:
-    """Spark type for one source column.
-
-    ``declared`` carries a source precision such as 'decimal(12,2)'. A name that
-    is not mapped is stored as text, or refused when strict.
+    ``row_no`` ascends from the top of the file; empty cells are no mapping.
     """
-    if (dialect, source_type) in STORED_AS_TEXT:
-        return "string"
-    kinds = {name: kind for d, name, kind, _ in mapping_rows() if d == dialect}
-    if source_type not in kinds:
-        if strict:
-            raise ValueError(f"no mapping for {dialect} type {source_type!r}")
-        return "string"
-    kind = kinds[source_type]
-    if kind == "decimal" and declared:
-        return declared
-    return SPARK_TYPES[kind]
+    lines = spark.read.option("header", True).csv(path).withColumn("__row", F.monotonically_increasing_id())
+    dialects = [c for c in lines.columns if c not in (warehouse_column, "__row")]
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(d).alias("dialect"), col(d).alias("source_type")) for d in dialects])
+    ).alias("cell")
+    rows = lines.select(cells, col(warehouse_column).alias("warehouse_type"), col("__row").alias("row_no"))
+    return rows.select("cell.*", "warehouse_type", "row_no").where("source_type is not null")
+
+
+def storage_type(warehouse_type: str, precision: int | None = None, scale: int | None = None) -> str:
+    """Spark type, or pseudo type, of a warehouse type; decimals keep the precision their source declares."""
+    if warehouse_type == "decimal" and precision and precision <= 38:
+        return f"decimal({precision},{scale or 0})"
+    if warehouse_type not in SPARK_TYPES:
+        raise ValueError(f"unknown warehouse type {warehouse_type!r}")
+    return SPARK_TYPES[warehouse_type]
+
+
+def stored_as(dtype: str) -> str:
+    """The type of a target column for a storage type."""
+    return {"json": "variant", "time": "string"}.get(dtype, dtype)

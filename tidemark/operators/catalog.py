@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.types import MAX_MAPPING_ROWS
 from tidemark.names import AUDIT_COLUMNS, col, whole_key
 
 CATALOG_SCHEMA = "object string, column_name string, data_type string, ordinal_position long"
@@ -58,32 +57,34 @@ def target_columns(catalog: DataFrame) -> DataFrame:
 
 def map_types(
     catalog: DataFrame,
-    mapping: list[tuple[str, str, str, int]] | None,
+    mapping: DataFrame | None,
     dialect: str,
     fallback: str | None = "varchar",
 ) -> DataFrame:
-    """Adds ``warehouse_type``: the first mapping row of the dialect with that name.
+    """Adds ``warehouse_type``: the first mapping row of the dialect with that name, whatever its case.
 
-    ``mapping`` rows are (dialect, source type, warehouse type, row number), as
-    ``functions.types`` gives them: a checked, short list, so it is broadcast.
-    Types without a row get ``fallback``; with None the query fails on the first
-    such type. Without a mapping, source types are kept as they are.
+    ``mapping`` is what ``functions.types.read_mapping`` gives, of any length;
+    the least ``row_no`` of a name wins. Types without a row get ``fallback``;
+    with None the query fails on the first such type. Without a mapping, source
+    types are kept as they are.
     """
     if mapping is None:
         return catalog.withColumn("warehouse_type", col("data_type"))
-    if len(mapping) > MAX_MAPPING_ROWS:
-        raise ValueError(f"a type mapping of {len(mapping)} rows is too long to broadcast")
-    first: dict[str, str] = {}
-    for _, name, kind, _ in sorted((m for m in mapping if m[0] == dialect), key=lambda m: m[3]):
-        first.setdefault(name, kind)
-    known = catalog.sparkSession.createDataFrame(list(first.items()), "data_type string, __mapped string")
-    joined = catalog.join(F.broadcast(known), "data_type", "left")
+    known = (
+        mapping.filter(col("dialect") == dialect)
+        .groupBy(F.lower("source_type").alias("__name"))
+        .agg(F.min_by("warehouse_type", "row_no").alias("__mapped"))
+        .alias("m")
+    )
+    # a common type may hold much of the catalog
+    named = catalog.withColumn("__name", F.lower("data_type")).alias("c")
+    joined = named.join(known, whole_key(["__name"], "c") == whole_key(["__name"], "m"), "left")
     if fallback is None:
         unmapped = F.raise_error(F.concat(F.lit("no mapping for type "), col("data_type"))).cast("string")
     else:
         unmapped = F.lit(fallback)
     mapped = F.coalesce(col("__mapped"), unmapped)
-    return joined.select("object", "column_name", "data_type", "ordinal_position", mapped.alias("warehouse_type"))
+    return joined.select("c.*", mapped.alias("warehouse_type")).drop("__name")
 
 
 def target_schema(mapped: DataFrame) -> DataFrame:

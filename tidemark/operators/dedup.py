@@ -45,11 +45,25 @@ def latest_per_key(
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def typed_documents(
+    df: DataFrame, doc: str, keys: dict[str, str], inserted: str | None, updated: str | None
+) -> tuple[DataFrame, list[str]]:
+    """Documents with their key fields as text columns and their times as ``__ins`` and ``__upd``.
+
+    ``keys`` gives the column for each field. Returns the names of the time
+    columns too; a field that serves as both times is one.
+    """
+    fields = {"__ins": inserted, "__upd": updated if updated != inserted else None}
+    times = {name: document_timestamp(col(doc), field) for name, field in fields.items() if field}
+    texts = {name: document_text(col(doc), field) for field, name in keys.items()}
+    return df.withColumns({**texts, **times}), list(times)
+
+
 def latest_document_per_key(
     df: DataFrame,
     doc: str,
     key: str,
-    inserted: str,
+    inserted: str | None,
     updated: str | None = None,
     tiebreak: list[str] | None = None,
     key_as: str = "doc_key",
@@ -57,13 +71,15 @@ def latest_document_per_key(
     """Latest document per key field; adds the key as the text column ``key_as``.
 
     A variant cannot be ordered or hashed, so key and times are extracted first.
-    Times compare as timestamps. Remaining ties fall to the document text.
+    Times compare as timestamps; either may be missing. Remaining ties fall to
+    the document text.
     """
-    times = {"__ins": document_timestamp(col(doc), inserted)}
-    if updated:
-        times["__upd"] = document_timestamp(col(doc), updated)
-    typed = df.withColumns({key_as: document_text(col(doc), key), **times})
+    typed, times = typed_documents(df, doc, {key: key_as}, inserted, updated)
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c != doc] + [doc]
-    latest = latest_per_key(typed, [key_as], "__ins", "__upd" if updated else None, tiebreak)
-    return latest.drop(*times)
+    return latest_per_key(typed, [key_as], *newest_first(times), tiebreak).drop(*times)
+
+
+def newest_first(times: list[str]) -> tuple[str | None, str | None]:
+    """Insert and update column of ``latest_per_key`` for the times there are."""
+    return (times[0], times[1] if len(times) > 1 else None) if times else (None, None)

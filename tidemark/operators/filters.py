@@ -6,6 +6,8 @@ Parquet scan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 
 from tidemark.functions.documents import document_timestamp
@@ -26,12 +28,13 @@ def inserted_since(df: DataFrame, mark: str | Column, inserted: str) -> DataFram
 
 
 def documents_changed_since(
-    df: DataFrame, mark: str | Column, doc: str, inserted: str, updated: str
+    df: DataFrame, mark: str | Column, doc: str, inserted: str | None, updated: str | None = None
 ) -> DataFrame:
+    """As ``changed_since`` by fields of the documents; either may be missing, without both all stay."""
     mark = ntz(mark)
-    return df.filter(
-        (document_timestamp(col(doc), inserted) > mark) | (document_timestamp(col(doc), updated) > mark)
-    )
+    fields = [f for f in dict.fromkeys((inserted, updated)) if f]
+    later = [document_timestamp(col(doc), f) > mark for f in fields]
+    return df.filter(reduce(lambda a, b: a | b, later)) if later else df
 
 
 def audited_since(df: DataFrame, since: str | Column, action: str) -> DataFrame:

@@ -9,39 +9,33 @@ from pyspark.sql import types as T
 from tidemark.functions.timestamps import overlap_start
 from tidemark.names import FAILED, SENTINEL_MARK, SUCCESS, col, ntz
 
-_KINDS = {
-    "l": T.LongType(),
-    "d": T.DoubleType(),
-    "s": T.StringType(),
-    "t": T.TimestampNTZType(),
-}
-
-# Ledger columns in order (l long, d double, s text, t timestamp).
-LEDGER_COLUMNS = [
-    ("run_id", "l"),
-    ("run_start", "t"),
-    ("run_end", "t"),
-    ("duration_in_sec", "d"),
-    ("ip_address", "s"),
-    ("source_database_name", "s"),
-    ("source_schema_name", "s"),
-    ("source_object_name", "s"),
-    ("target_database_name", "s"),
-    ("target_schema_name", "s"),
-    ("target_table_name", "s"),
-    ("triggered_by", "s"),
-    ("status", "s"),
-    ("error_message", "s"),
-    ("rows_inserted_ids", "s"),
-    ("rows_inserted", "l"),
-    ("rows_updated_ids", "s"),
-    ("rows_updated", "l"),
-    ("rows_deleted", "l"),
-    ("max_timestamp", "t"),
-    ("created_timestamp", "t"),
-    ("created_by", "s"),
-]
-LEDGER_SCHEMA = T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in LEDGER_COLUMNS])
+# Ledger columns in order.
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.LongType()),
+        T.StructField("run_start", T.TimestampNTZType()),
+        T.StructField("run_end", T.TimestampNTZType()),
+        T.StructField("duration_in_sec", T.DoubleType()),
+        T.StructField("ip_address", T.StringType()),
+        T.StructField("source_database_name", T.StringType()),
+        T.StructField("source_schema_name", T.StringType()),
+        T.StructField("source_object_name", T.StringType()),
+        T.StructField("target_database_name", T.StringType()),
+        T.StructField("target_schema_name", T.StringType()),
+        T.StructField("target_table_name", T.StringType()),
+        T.StructField("triggered_by", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error_message", T.StringType()),
+        T.StructField("rows_inserted_ids", T.StringType()),
+        T.StructField("rows_inserted", T.LongType()),
+        T.StructField("rows_updated_ids", T.StringType()),
+        T.StructField("rows_updated", T.LongType()),
+        T.StructField("rows_deleted", T.LongType()),
+        T.StructField("max_timestamp", T.TimestampNTZType()),
+        T.StructField("created_timestamp", T.TimestampNTZType()),
+        T.StructField("created_by", T.StringType()),
+    ]
+)
 
 IDENTITY = ["source_database_name", "source_schema_name", "source_object_name"]
 
@@ -50,7 +44,13 @@ def succeeded() -> Column:
     return F.upper(col("status")) == SUCCESS
 
 
+def has_mark() -> Column:
+    """A successful run with a real mark, whether it inserted rows or only updated and deleted some."""
+    return succeeded() & (col("max_timestamp") != ntz(SENTINEL_MARK))
+
+
 def is_valid_mark() -> Column:
+    """The narrower rule of the look-up operators: the run must have inserted rows."""
     return succeeded() & (col("max_timestamp") != ntz(SENTINEL_MARK)) & (col("rows_inserted") != 0)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.timestamps import time_of_day, timestamp_text
+from tidemark.functions.timestamps import TIME_TEXT, time_of_day, timestamp_text
 from tidemark.names import INSERTED_AT, UPDATED_AT, col, ntz, split_names
 
 
@@ -23,20 +23,40 @@ def project_keys(df: DataFrame, keys: str | list[str] | tuple[str, ...]) -> Data
     return df.select(*[col(n) for n in names])
 
 
+def _json(column: Column, dtype: T.DataType, lenient: bool) -> Column:
+    """JSON text as the object it spells; a value that is one already stays as it is."""
+    if isinstance(dtype, T.VariantType):
+        return column
+    if isinstance(dtype, T.StringType):
+        return F.try_parse_json(column) if lenient else F.parse_json(column)
+    return F.to_variant_object(column) if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)) else column.cast("variant")
+
+
+def _time(column: Column, dtype: T.DataType, lenient: bool) -> Column:
+    """Time of day of a timestamp, or of text with a time alone or behind a date."""
+    if isinstance(dtype, T.StringType):
+        column = F.when(column.rlike(TIME_TEXT), F.concat(F.lit("1970-01-01 "), column)).otherwise(column)
+    return time_of_day(column.try_cast("timestamp_ntz") if lenient else column.cast("timestamp_ntz"))
+
+
 def typed_projection(df: DataFrame, types: dict[str, str], lenient: bool = False) -> DataFrame:
     """Cast each listed column to its type and keep its name.
 
     A value that does not fit raises under ANSI mode; ``lenient`` makes it null.
-    The pseudo type 'time' gives the time of day as text.
+    The pseudo type 'time' gives the time of day as text, and 'json' (or
+    'variant') parses JSON text into an object.
     """
+    given = {f.name.lower(): f.dataType for f in df.schema.fields}
     out = []
     for name, dtype in types.items():
         source = col(name)
         if dtype == "time":
-            stamp = source.try_cast("timestamp_ntz") if lenient else source.cast("timestamp_ntz")
-            out.append(time_of_day(stamp).alias(name))
+            value = _time(source, given[name.lower()], lenient)
+        elif dtype in ("json", "variant"):
+            value = _json(source, given[name.lower()], lenient)
         else:
-            out.append((source.try_cast(dtype) if lenient else source.cast(dtype)).alias(name))
+            value = source.try_cast(dtype) if lenient else source.cast(dtype)
+        out.append(value.alias(name))
     return df.select(*out)
 
 

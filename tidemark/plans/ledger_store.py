@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import overlap_start
 from tidemark.names import FAILED, SENTINEL_MARK, SUCCESS, col
-from tidemark.operators.ledger import IDENTITY, LEDGER_SCHEMA, is_valid_mark, next_run_id, succeeded
+from tidemark.operators.ledger import IDENTITY, LEDGER_SCHEMA, has_mark, next_run_id, succeeded
 from tidemark.plans.small import small_frame
 
 
@@ -31,10 +31,11 @@ def sentinel() -> datetime:
 
 @dataclass(frozen=True)
 class LoadState:
-    """Id of the next run, newest committed run of the target, stored mark, start of the next read."""
+    """Id of the next run, newest committed run of the target and its stamp, stored mark, start of the next read."""
 
     run_id: int
     committed: int | None
+    stamp: datetime | None
     mark: datetime | None
     read_from: datetime | None
 
@@ -55,20 +56,28 @@ class LedgerStore:
         return next_run_id(self.rows()).first()["run_id"]
 
     def state(self, identity: tuple[str, str, str], target: str, minutes: int) -> LoadState:
-        """What a load must know before it starts, in one aggregate over the ledger."""
+        """What a load must know before it starts, in one aggregate over the ledger.
+
+        Any successful run with a mark counts: one that only updated or deleted
+        rows has read up to its mark as well.
+        """
         ours = reduce(lambda a, b: a & b, [col(n) == v for n, v in zip(IDENTITY, identity)])
-        marked = ours & is_valid_mark()
+        marked = ours & has_mark()
         mark = F.max_by("max_timestamp", F.when(marked, col("run_id")))
         committed = succeeded() & (col("target_table_name") == target.upper())
         found = self.rows().agg(
             (F.coalesce(F.max("run_id"), F.lit(0)) + 1).alias("run_id"),
             F.max(F.when(committed, col("run_id"))).alias("committed"),
+            F.max(F.when(committed, col("run_start"))).alias("stamp"),
             F.when(F.bool_or(marked), mark).alias("mark"),
             F.when(F.bool_or(marked), overlap_start(mark, minutes)).alias("read_from"),
         )
         return LoadState(**found.first().asDict())
 
     def append(self, row: dict) -> None:
+        """Add the row of a run; refused if another writer has taken its id meanwhile."""
+        if self.next_run_id() > row["run_id"]:
+            raise RuntimeError(f"run {row['run_id']} is already in the ledger: a lake has one writer at a time")
         small_frame(self.spark, [row], LEDGER_SCHEMA).write.mode("append").parquet(self.path)
 
     def committed_run(self, target: str) -> int | None:

@@ -10,23 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.comparison import any_null
+from tidemark.functions.timestamps import wall_clock
+from tidemark.functions.types import stored_as
 from tidemark.names import AUDIT_COLUMNS, col
-from tidemark.operators import catalog, deletes, marks, upsert
-from tidemark.operators.audit import audit_keys
-from tidemark.operators.dedup import latest_document_per_key, latest_per_key
+from tidemark.operators import deletes, marks, upsert
+from tidemark.operators.audit import audit_of_run
+from tidemark.operators.dedup import latest_per_key, newest_first, typed_documents
 from tidemark.operators.filters import changed_since, documents_changed_since, inserted_since
 from tidemark.operators.projection import project_columns, typed_projection, with_audit_columns
 from tidemark.operators.snapshot_diff import new_rows
 from tidemark.plans.ledger_store import LedgerStore, LoadState, failed_row, ledger_row, utc_now
-from tidemark.plans.tables import Manifest, VersionedTable, Written
-from tidemark.sources.documents import read_documents
+from tidemark.plans.tables import Manifest, VersionedTable, Written, added_field
 from tidemark.sources.staging import run_path, stage_batch
 from tidemark.spec import LoadSpec
 
@@ -34,6 +35,13 @@ DOC_KEY = "doc_key"
 DOC = "json_data"
 
 
+def document_keys(spec: LoadSpec) -> tuple[str, ...]:
+    """Columns that hold the key fields of a document, as text: ``doc_key``, or numbered ones for several."""
+    if len(spec.keys) == 1:
+        return (DOC_KEY,)
+    return tuple(f"{DOC_KEY}_{at}" for at in range(1, len(spec.keys) + 1))
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where a set of loads keeps its data, and how."""
@@ -49,9 +57,11 @@ class Lake:
     appends_per_bucket: int = 16
     # with more files than this per bucket, a rewrite also merges them
     files_per_bucket: int = 256
-    docs_per_file: int = 1_000_000
     drop_missing: bool = True
     reject_null_keys: bool = False
+    # what the ledger says of the target
+    target_database: str = "-"
+    target_schema: str = "-"
     # stamps runs and rows; see ``local_clock`` for another time zone
     clock: Callable[[], datetime] = field(default=utc_now)
 
@@ -65,9 +75,8 @@ class Lake:
     def table(self, spec: LoadSpec) -> VersionedTable:
         place = f"{self.root}/tables/{spec.target}"
         if spec.is_documents:
-            return VersionedTable(self.spark, place, (DOC_KEY,), self.buckets)
-        times = tuple(t for t in (spec.inserted_col, spec.updated_col) if t)
-        return VersionedTable(self.spark, place, spec.keys, self.buckets, times)
+            return VersionedTable(self.spark, place, document_keys(spec), self.buckets)
+        return VersionedTable(self.spark, place, spec.keys, self.buckets, spec.times)
 
     def current(self, spec: LoadSpec) -> DataFrame | None:
         """The target as of its last committed run."""
@@ -93,16 +102,27 @@ def incremental_load(lake: Lake, specs: list[LoadSpec]) -> list[dict]:
 
 def _run(lake: Lake, specs: list[LoadSpec], incremental: bool) -> list[dict]:
     lake.ledger.create()
+    user = lake.spark.sparkContext.sparkUser()
+    by = {
+        "target_database_name": lake.target_database,
+        "target_schema_name": lake.target_schema,
+        "triggered_by": user,
+        "created_by": user,
+    }
     done = []
     for spec in specs:
-        started = lake.clock()
         state = lake.ledger.state(spec.identity, spec.target, lake.overlap_minutes)
+        started = lake.clock()
+        if state.stamp and started <= state.stamp:
+            # a clock set back: stamps tell runs apart, so they only ever rise
+            started = state.stamp + timedelta(microseconds=1)
         load = _Load(lake, spec, state, started.isoformat(sep=" "), incremental)
         try:
             outcome = load.run()
-            row = ledger_row(spec, state.run_id, started, lake.clock(), **outcome)
+            row = ledger_row(spec, state.run_id, started, max(lake.clock(), started), **outcome)
         except Exception as error:  # one object's failure must not stop the others
-            row = failed_row(spec, state.run_id, started, lake.clock(), error, load.step)
+            row = failed_row(spec, state.run_id, started, max(lake.clock(), started), error, load.step)
+        row |= by
         lake.ledger.append(row)
         done.append(row)
     return done
@@ -144,8 +164,9 @@ class _Load:
 
     def _source(self) -> DataFrame:
         self.step = "read source"
-        df = self._origin().open(self.lake.spark, self.spec, self.spec.object_name)
-        return project_columns(df, self.spec.columns)
+        since = str(self.read_from) if self.read_from else None
+        df = self._origin().open(self.lake.spark, self.spec, self.spec.object_name, since)
+        return wall_clock(project_columns(df, self.spec.columns), list(self.spec.times))
 
     def _mark(self, found: datetime | None) -> dict:
         """New mark, never below the one before; an empty batch logs the sentinel."""
@@ -155,16 +176,30 @@ class _Load:
 
     def _typed(self, df: DataFrame) -> DataFrame:
         self.step = "type columns"
-        declared = self._origin().declared(self.lake.spark, self.spec)
+        declared = self._declared()
         return typed_projection(df, declared) if declared else df
 
-    def _without_null_keys(self, df: DataFrame) -> DataFrame:
-        """Null keys match nothing, so each read of such a row inserts it again; optionally set them aside."""
-        if not self.lake.reject_null_keys:
-            return df
+    def _declared(self) -> dict[str, str] | None:
+        """Storage types; the times of the object are wall clock, as they are read."""
+        declared = self._origin().declared(self.lake.spark, self.spec)
+        times = {t.lower() for t in self.spec.times}
+        return declared and {
+            name: "timestamp_ntz" if name.lower() in times and dtype == "timestamp" else dtype
+            for name, dtype in declared.items()
+        }
+
+    def _latest(self, df: DataFrame, inserted: str | None, updated: str | None, tiebreak=None) -> DataFrame:
+        """The latest row per key, and every row with a null key.
+
+        Null keys match nothing, so each read of such a row inserts it again;
+        optionally they are set aside, all of them.
+        """
         missing = any_null([col(k) for k in self.table.keys])
-        stage_batch(df.filter(missing), self.lake.stage(self.spec, "rejects"), self.run_id)
-        return df.filter(~missing)
+        latest = latest_per_key(df.filter(~missing), self.table.keys, inserted, updated, tiebreak)
+        if self.lake.reject_null_keys:
+            stage_batch(df.filter(missing), self.lake.stage(self.spec, "rejects"), self.run_id)
+            return latest
+        return latest.unionByName(df.filter(missing))
 
     # --- relational and file objects -----------------------------------------
 
@@ -172,7 +207,7 @@ class _Load:
         spec, lake = self.spec, self.lake
         source = self._source()
         schema = self._evolved(source)
-        inserted, updated = spec.inserted_col, spec.updated_col
+        inserted, updated = newest_first(list(spec.times))
         if spec.has_modified_time:
             changed = source
             if self.read_from is not None:
@@ -181,23 +216,22 @@ class _Load:
             staged = stage_batch(changed, lake.stage(spec), self.run_id)
             found = marks.high_water_mark(staged, inserted, updated).first()["max_timestamp"]
         else:
-            staged, found = self._snapshot_changes(source), None
-        typed = self._without_null_keys(self._typed(staged))
-        latest = latest_per_key(typed, spec.keys, inserted, updated)
+            staged, found = self._snapshot_changes(source, "snapshot", lake.stage(spec)), None
+        latest = self._latest(self._typed(staged), inserted, updated)
         outcome = self._commit(latest, self._deleted(), schema)
         return {**outcome, **self._mark(found)}
 
-    def _snapshot_changes(self, source: DataFrame) -> DataFrame:
-        """Objects without a modified time: rows the last committed snapshot does not hold."""
+    def _snapshot_changes(self, source: DataFrame, kind: str, changes: str) -> DataFrame:
+        """Objects without a modified time: rows that the last committed run's copy does not hold."""
         self.step = "compare snapshots"
-        place = self.lake.stage(self.spec, "snapshot")
+        place = self.lake.stage(self.spec, kind)
         current = stage_batch(source, place, self.run_id)
         if not self.incremental or self.base is None:
             return current
         before = self.lake.spark.read.parquet(run_path(place, self.committed))
         if set(before.columns) != set(current.columns):
             return current
-        return stage_batch(new_rows(current, before), self.lake.stage(self.spec), self.run_id)
+        return stage_batch(new_rows(current, before), changes, self.run_id)
 
     def _evolved(self, source: DataFrame) -> T.StructType | None:
         """Schema the target takes in this run; a new column forces a full read."""
@@ -208,23 +242,36 @@ class _Load:
         own = {n.lower() for n in stored.names} - set(AUDIT_COLUMNS)
         new = [f for f in source.schema.fields if f.name.lower() not in own]
         gone = own - {n.lower() for n in source.columns}
-        empty = self.lake.spark.createDataFrame([], stored)
+        kept = [f for f in stored.fields if not (self.lake.drop_missing and f.name.lower() in gone)]
         if new:
             self.read_from = None
-            declared = self._origin().declared(self.lake.spark, self.spec) or {}
-            types = {f.name: declared.get(f.name, f.dataType.simpleString()) for f in new}
-            empty = catalog.add_columns(empty, types)
-        if gone and self.lake.drop_missing:
-            empty = catalog.drop_missing_columns(empty, source.columns)
-        return empty.schema
+            declared = {name.lower(): stored_as(dtype) for name, dtype in (self._declared() or {}).items()}
+            types = [T.DataType.fromDDL(declared.get(f.name.lower(), f.dataType.simpleString())) for f in new]
+            added = [added_field(f.name, dtype, self.run_id) for f, dtype in zip(new, types, strict=True)]
+            at = next(n for n, f in enumerate(kept) if f.name in AUDIT_COLUMNS)
+            kept[at:at] = added
+        return T.StructType(kept)
 
     def _deleted(self) -> DataFrame | None:
+        """Keys deleted since the last run.
+
+        A feed without a time is kept whole by each run and compared with the
+        copy before: an old entry must not delete a row that came back since.
+        """
         spec = self.spec
-        if spec.deleted_object is None or self.base is None:
+        if spec.deleted_object is None:
             return None
         self.step = "read deleted rows"
-        feed = self._origin().open(self.lake.spark, spec, spec.deleted_object)
-        feed = feed.select(*[col(c) for c in (*spec.keys, spec.inserted_col)])
+        since = str(self.read_from) if self.read_from else None
+        feed = self._origin().open(self.lake.spark, spec, spec.deleted_object, since)
+        feed = wall_clock(feed, [spec.inserted_col])
+        if spec.inserted_col is None:
+            place = self.lake.stage(spec, "deleted_new")
+            fresh = self._snapshot_changes(feed.select(*[col(c) for c in spec.keys]), "deleted", place)
+            return None if self.base is None else fresh
+        if self.base is None:
+            return None
+        feed = feed.select(*[col(c) for c in dict.fromkeys((*spec.keys, spec.inserted_col))])
         if self.read_from is not None:
             feed = inserted_since(feed, str(self.read_from), spec.inserted_col)
         return stage_batch(feed, self.lake.stage(spec, "deleted"), self.run_id)
@@ -232,21 +279,20 @@ class _Load:
     # --- documents -------------------------------------------------------------
 
     def _documents(self) -> dict:
+        """Documents are parsed once, into the stage: keys and times are columns of it."""
         spec, lake = self.spec, self.lake
         self.step = "read source"
         docs = self._origin().open(lake.spark, spec, spec.object_name)
-        doc, key = docs.columns[0], spec.keys[0]
+        docs = docs.select(col(docs.columns[0]).alias(DOC))
         if self.read_from is not None:
-            docs = documents_changed_since(docs, str(self.read_from), doc, spec.inserted_col, spec.updated_col)
+            docs = documents_changed_since(docs, str(self.read_from), DOC, spec.inserted_col, spec.updated_col)
         self.step = "stage batch"
-        place = run_path(lake.stage(spec), self.run_id)
-        text = docs.select(F.to_json(col(doc)).alias("value"))
-        text.write.mode("overwrite").option("maxRecordsPerFile", lake.docs_per_file).text(place)
-        staged = read_documents(lake.spark, place, doc=DOC)
-        found = marks.document_high_water_mark(staged, DOC, spec.inserted_col, spec.updated_col)
-        latest = latest_document_per_key(staged, DOC, key, spec.inserted_col, spec.updated_col, key_as=DOC_KEY)
-        latest = self._without_null_keys(latest.select(DOC_KEY, DOC))
-        return {**self._commit(latest, None, None), **self._mark(found.first()["max_timestamp"])}
+        fields = dict(zip(spec.keys, self.table.keys, strict=True))
+        typed, times = typed_documents(docs, DOC, fields, spec.inserted_col, spec.updated_col)
+        staged = stage_batch(typed, lake.stage(spec), self.run_id)
+        found = marks.high_water_mark(staged, *times).first()["max_timestamp"] if times else None
+        latest = self._latest(staged, *newest_first(times), [DOC]).drop(*times)
+        return {**self._commit(latest, None, None), **self._mark(found)}
 
     # --- writing -----------------------------------------------------------------
 
@@ -284,7 +330,7 @@ class _Load:
             replaced = touched | emptied
             target = self._remaining(table.read(base, replaced, schema), deleted)
             parts = [(upsert.upsert(target, latest, table.keys, self.run_ts, target_unique=True), self._after_shuffle())]
-        written = table.write(self.run_id, parts, self.run_ts, base, replaced)
+        written = table.write(self.run_id, parts, self.run_ts, base, replaced, schema)
         self._audit(written.manifest)
         return self._counts(written, gone)
 
@@ -374,8 +420,5 @@ class _Load:
             rows = self.table.read(self.base, set())
         else:
             rows = self.table.written_by(self.run_id, manifest.schema)
-        keys = self.table.keys
-        found = audit_keys(rows, keys, self.run_ts, "insert", self.run_id).unionByName(
-            audit_keys(rows, keys, self.run_ts, "update", self.run_id)
-        )
+        found = audit_of_run(rows, self.table.keys, self.run_ts, self.run_id)
         found.write.mode("overwrite").parquet(run_path(f"{self.lake.root}/audit/{self.spec.target}", self.run_id))

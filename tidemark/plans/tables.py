@@ -11,6 +11,10 @@ the runs whose folders hold its rows:
 A run counts once the ledger says so; until then readers keep the manifest of
 the run before, and a run that died is simply written again.
 
+A column that a later run adds is stored under a name of that run's own
+(``added_field``). So a column that was dropped and comes back, with its old type
+or another, shares nothing with what older files still hold.
+
 The bucket of a key is its shuffle hash modulo the bucket count. So rows that
 come out of a join or window on the key are already grouped by bucket whenever
 the number of shuffle partitions is a multiple of the bucket count, and are
@@ -36,6 +40,7 @@ from tidemark.plans.small import small_frame
 _BUCKET = "tidemark_bucket"
 _RUN = "tidemark_run"
 _AT = "tidemark_at"
+_STORED = "tidemark_stored"
 _MANIFEST = T.StructType(
     [
         T.StructField(_BUCKET, T.IntegerType()),
@@ -45,6 +50,23 @@ _MANIFEST = T.StructType(
 )
 
 
+def added_field(name: str, dtype: T.DataType, run_id: int) -> T.StructField:
+    """A column that a run adds to a table."""
+    return T.StructField(name, dtype, metadata={_STORED: f"{name}__r{run_id}"})
+
+
+def _stored_name(field: T.StructField) -> str:
+    return (field.metadata or {}).get(_STORED, field.name)
+
+
+def _stored_schema(schema: T.StructType, *more: T.StructField) -> T.StructType:
+    return T.StructType([T.StructField(_stored_name(f), f.dataType) for f in schema.fields] + list(more))
+
+
+def _as_named(stored: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
+    return stored.select(*[col(_stored_name(f)).alias(f.name) for f in schema.fields], *[col(c) for c in more])
+
+
 @dataclass(frozen=True)
 class Manifest:
     versions: dict[int, tuple[int, ...]]
@@ -67,11 +89,15 @@ class VersionedTable:
     times: tuple[str, ...] = ()
 
     def manifest(self, run_id: int) -> Manifest:
-        """A row per bucket and run it lies in: the bucket count times ``appends_per_bucket`` at most."""
+        """A row per bucket and run it lies in: the bucket count times ``appends_per_bucket`` at most.
+
+        One more row holds the schema.
+        """
         rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/run_id={run_id}").collect()
-        schema = T.StructType.fromJson(json.loads(rows[0]["schema"]))
+        schema = T.StructType.fromJson(json.loads(next(r["schema"] for r in rows if r["schema"])))
         versions: dict[int, tuple[int, ...]] = {}
-        for row in sorted(rows, key=lambda r: (r[_BUCKET], r["version"] or 0)):
+        lying = (r for r in rows if r[_BUCKET] is not None)
+        for row in sorted(lying, key=lambda r: (r[_BUCKET], r["version"] or 0)):
             held = () if row["version"] is None else (row["version"],)
             versions[row[_BUCKET]] = versions.get(row[_BUCKET], ()) + held
         return Manifest(versions, schema)
@@ -100,13 +126,19 @@ class VersionedTable:
         return f"{self.root}/data/{_RUN}={version}/{_BUCKET}={bucket}"
 
     def read(
-        self, manifest: Manifest, only: set[int] | None = None, schema: T.StructType | None = None
+        self,
+        manifest: Manifest,
+        only: set[int] | None = None,
+        schema: T.StructType | None = None,
+        newest: bool = False,
     ) -> DataFrame:
         """The table as of a manifest; ``only`` limits it to some buckets.
 
-        Buckets written before a column was added give null for it.
+        Buckets written before a column was added give null for it. ``newest``
+        adds the newest time of each row, as the number that is stored.
         """
         schema = schema or manifest.schema
+        more = [T.StructField(_AT, T.LongType())] if newest else []
         paths = [
             self._path(version, bucket)
             for bucket, versions in sorted(manifest.versions.items())
@@ -114,9 +146,9 @@ class VersionedTable:
             if only is None or bucket in only
         ]
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths)
-        return stored.select(*[col(c) for c in schema.names])
+            return self.spark.createDataFrame([], T.StructType(schema.fields + more))
+        reader = self.spark.read.schema(_stored_schema(schema, *more)).option("basePath", f"{self.root}/data")
+        return _as_named(reader.parquet(*paths), schema, *(f.name for f in more))
 
     def _in_time_order(self, rows: DataFrame) -> DataFrame:
         """Rows with their newest time as a number, sorted by bucket, as the write needs anyway, and by that.
@@ -134,13 +166,15 @@ class VersionedTable:
 
     def read_since(self, manifest: Manifest, mark: datetime, schema: T.StructType) -> DataFrame:
         """Rows inserted or updated after the mark."""
-        stored = self.read(manifest, None, T.StructType(schema.fields + [T.StructField(_AT, T.LongType())]))
+        stored = self.read(manifest, None, schema, newest=True)
         micros = (mark - datetime(1970, 1, 1)) // timedelta(microseconds=1)
         return stored.filter(col(_AT) > F.lit(micros)).drop(_AT)
 
     def written_by(self, run_id: int, schema: T.StructType) -> DataFrame:
-        """The rows a run wrote, new and carried over."""
-        return self.spark.read.schema(schema).parquet(f"{self.root}/data/{_RUN}={run_id}")
+        """The rows a run wrote, new and carried over, with their buckets."""
+        bucket = T.StructField(_BUCKET, T.IntegerType())
+        stored = self.spark.read.schema(_stored_schema(schema, bucket)).parquet(f"{self.root}/data/{_RUN}={run_id}")
+        return _as_named(stored, schema, _BUCKET)
 
     def write(
         self,
@@ -149,9 +183,13 @@ class VersionedTable:
         run_ts: str,
         base: Manifest | None = None,
         replaced: set[int] = frozenset(),
+        schema: T.StructType | None = None,
     ) -> Written:
         """Write the rows and the manifest of a run.
 
+        ``schema`` is the table's from now on, by default that of ``base``, or of
+        the rows if there is none.
+
         ``replaced`` buckets of ``base`` are written whole; rows of other buckets
         are added to what those hold. Each part comes with how its rows lie:
         'grouped' rows are written as they are, 'scattered' ones are first
@@ -163,7 +201,7 @@ class VersionedTable:
         """
         count = len(base.versions) if base else self.buckets
         place = f"{self.root}/data/{_RUN}={run_id}"
-        schema = parts[0][0].schema
+        schema = schema or (base.schema if base else parts[0][0].schema)
         mode = "overwrite"
         for df, lie in parts:
             rows = df.withColumn(_BUCKET, self.bucket_of(df, count))
@@ -171,11 +209,14 @@ class VersionedTable:
                 rows = rows.hint("rebalance", _BUCKET)
             elif lie == "few":
                 rows = rows.repartition(min(count, 64), _BUCKET)
-            self._in_time_order(rows).write.mode(mode).partitionBy(_BUCKET).parquet(place)
+            rows = self._in_time_order(rows)
+            extra = [c for c in (_BUCKET, _AT) if c in rows.columns]
+            stored = rows.select(*[col(f.name).alias(_stored_name(f)) for f in schema.fields], *[col(c) for c in extra])
+            stored.write.mode(mode).partitionBy(_BUCKET).parquet(place)
             mode = "append"
         # one row per bucket
         found = (
-            self.written_by(run_id, rows.schema)
+            self.written_by(run_id, schema)
             .groupBy(_BUCKET)
             .agg(
                 F.count_if(col(INSERTED_AT) == ntz(run_ts)).alias("inserted"),
@@ -195,13 +236,15 @@ class VersionedTable:
         self._write_manifest(run_id, base)
 
     def _write_manifest(self, run_id: int, manifest: Manifest) -> None:
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in manifest.schema.fields])
-        text = nullable.json()
+        nullable = T.StructType(
+            [T.StructField(f.name, f.dataType, metadata=f.metadata or {}) for f in manifest.schema.fields]
+        )
         rows = [
-            {_BUCKET: bucket, "version": version, "schema": text}
+            {_BUCKET: bucket, "version": version, "schema": None}
             for bucket, versions in sorted(manifest.versions.items())
             for version in versions or (None,)
         ]
+        rows.append({_BUCKET: None, "version": None, "schema": nullable.json()})
         frame = small_frame(self.spark, rows, _MANIFEST)
         frame.write.mode("overwrite").parquet(f"{self.root}/manifest/run_id={run_id}")
 

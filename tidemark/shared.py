@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -13,17 +16,19 @@ _local_folders: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting: it gets a temporary
-    folder. Anywhere else a machine-local folder would lose data.
+    Only a session in one process may go without that setting: it gets a
+    temporary folder that goes with the process. Anywhere else a machine-local
+    folder would lose data.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
     return _local_folders[app]
 
 

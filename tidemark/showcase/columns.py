@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import parse_timestamp, time_of_day, timestamp_text
-from tidemark.functions.types import mapping_rows
+from tidemark.functions.types import read_mapping
 from tidemark.operators import catalog, upsert
 from tidemark.operators.projection import project_columns, project_keys, timestamps_as_text, typed_projection
+from tidemark.shared import fresh_dir
 from tidemark.showcase import inputs as i
 from tidemark.showcase.registry import query
 
@@ -101,13 +102,28 @@ def target_columns(spark, sf_dir):
     return catalog.target_columns(i.target_catalog(spark, sf_dir))
 
 
+def _mapping(spark):
+    """A mapping file as a control input: of two rows for a name, the first counts."""
+    path = fresh_dir(spark, "types")
+    lines = [
+        "POSTGRESQL,SQLSERVER,SNOWFLAKE",
+        "int4,int,number",
+        "numeric,decimal,decimal",
+        "timestamp without time zone,datetime2,timestamp_ntz",
+        "text,,varchar",
+        "numeric,,float",
+    ]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    return read_mapping(spark, path, "SNOWFLAKE")
+
+
 _MAPPED = """CASE data_type WHEN 'int4' THEN 'number' WHEN 'numeric' THEN 'decimal'
   WHEN 'timestamp without time zone' THEN 'timestamp_ntz' ELSE 'varchar' END AS warehouse_type"""
 
 
 @query("type_mapping", f"WITH {i.CATALOG_SQL} SELECT {_CATALOG_COLUMNS}, {_MAPPED} FROM source_catalog")
 def mapped_types(spark, sf_dir):
-    return catalog.map_types(i.source_catalog(spark, sf_dir), mapping_rows(), "POSTGRESQL")
+    return catalog.map_types(i.source_catalog(spark, sf_dir), _mapping(spark), "POSTGRESQL")
 
 
 @query(
@@ -120,7 +136,7 @@ def mapped_types(spark, sf_dir):
     SELECT object, 'edw_updated_timestamp', 'timestamp_ntz', max(ordinal_position) + 2 FROM source_catalog GROUP BY object""",
 )
 def target_schemas(spark, sf_dir):
-    mapped = catalog.map_types(i.source_catalog(spark, sf_dir), mapping_rows(), "POSTGRESQL")
+    mapped = catalog.map_types(i.source_catalog(spark, sf_dir), _mapping(spark), "POSTGRESQL")
     return catalog.target_schema(mapped)
 
 

@@ -27,8 +27,15 @@ def read_documents(
     return read.select(F.explode(F.coalesce(elements, F.array(col(doc)))).alias(doc))
 
 
+def as_documents(df: DataFrame, doc: str = "doc") -> DataFrame:
+    """One VARIANT per row of a connector that gives columns; a single variant column stays as it is."""
+    if [f.dataType.typeName() for f in df.schema.fields] == ["variant"]:
+        return df.select(col(df.columns[0]).alias(doc))
+    return df.select(F.to_variant_object(F.struct(*[col(c) for c in df.columns])).alias(doc))
+
+
 def read_changed_documents(
-    spark: SparkSession, path: str, mark, inserted: str, updated: str, json_array: bool = False, doc: str = "doc"
+    spark: SparkSession, path: str, mark, inserted: str | None, updated: str | None, json_array: bool = False, doc: str = "doc"
 ) -> DataFrame:
     """Documents inserted or updated after the mark, by fields named in the spec."""
     return documents_changed_since(read_documents(spark, path, json_array, doc), mark, doc, inserted, updated)

@@ -6,6 +6,8 @@ distributed job; its key is the path below the root, without part file names.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +33,16 @@ def file_manifest(spark: SparkSession, root: str, suffix: str) -> DataFrame:
 
 
 def relative_key(path: Column, root: str) -> Column:
-    """Path below ``root``; part files count as the folder that holds them."""
-    clean = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    below = F.substring_index(path, f"/{clean}/", -1) if clean else path
+    """Path below ``root``, cut at its start alone; part files count as the folder that holds them.
+
+    A root without a scheme also stands for the paths of the default store.
+    """
+    scheme = re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", root)
+    clean = re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*:)?/*", "", root).rstrip("/")
+    cut = r"^[A-Za-z][A-Za-z0-9+.-]*:/*" if scheme else r"^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?/*"
+    whole = F.regexp_replace(path, cut, "")
+    inside = F.startswith(whole, F.lit(f"{clean}/")) if clean else F.lit(False)
+    below = F.when(inside, F.substring(whole, F.lit(len(clean) + 2), F.length(whole))).otherwise(whole)
     return F.regexp_replace(below, _PART_FILE, "")
 
 

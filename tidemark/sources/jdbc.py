@@ -6,6 +6,7 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.names import split_names
 
@@ -17,29 +18,36 @@ DRIVERS = {
 _QUOTES = {"sqlserver": ("[", "]"), "postgresql": ('"', '"')}
 
 
+#: types by which a read can be split into ranges
+_RANGES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Where and how to read; the password stays in the environment.
 
-    ``partition_column`` (number, date or timestamp) splits the read into
-    ``partitions`` range queries. Without it JDBC reads through one connection.
+    ``url`` may hold ``{database}``, which each control row fills in. A read is
+    split into ``partitions`` range queries on a column of its own object: its
+    insert time, or its first key if that is a number or a time. With one
+    partition, or no such column, JDBC reads through one connection.
     """
 
     kind: str
     url: str
     user: str
     password_env: str
-    partition_column: str | None = None
     partitions: int = 1
     fetch_size: int = 10_000
 
-    def connection_options(self) -> dict[str, str]:
+    def connection_options(self, database: str | None = None) -> dict[str, str]:
         return {
-            "url": self.url,
+            "url": self.url.replace("{database}", database or ""),
             "user": self.user,
             "password": os.environ.get(self.password_env, ""),
             "driver": DRIVERS[self.kind],
             "fetchsize": str(self.fetch_size),
+            # times without a zone are read as such: the session zone must not shift them
+            "preferTimestampNTZ": "true",
         }
 
     def _name(self, name: str) -> str:
@@ -54,41 +62,75 @@ class JdbcSource:
             listed = ", ".join(self._name(n) for n in names)
         return f"SELECT {listed} FROM {self._name(schema)}.{self._name(name)}"
 
-    def read_options(self, query: str, bounds: tuple | None = None) -> dict[str, str]:
+    def read_options(
+        self, query: str, database: str | None = None, column: str | None = None, bounds: tuple | None = None
+    ) -> dict[str, str]:
         """Options of one read: a subquery table, split by range where bounds are known."""
-        options = {**self.connection_options(), "dbtable": f"({query}) src"}
-        if self.partition_column and bounds and bounds[0] is not None:
+        options = {**self.connection_options(database), "dbtable": f"({query}) src"}
+        if column and bounds and bounds[0] is not None:
             options.update(
-                partitionColumn=self.partition_column,
+                partitionColumn=column,
                 lowerBound=str(bounds[0]),
                 upperBound=str(bounds[1]),
                 numPartitions=str(self.partitions),
             )
         return options
 
-    def bounds_query(self, query: str) -> str:
-        name = self._name(self.partition_column)
-        return f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM ({query}) src"
+    def bounds_query(self, query: str, column: str, times: tuple[str, ...] = (), since: str | None = None) -> str:
+        """Extent of the column over the rows that will be read, not over the whole table."""
+        name = self._name(column)
+        later = " OR ".join(f"{self._name(t)} > '{_literal(since)}'" for t in times) if since else ""
+        where = f" WHERE {later}" if later else ""
+        return f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM ({query}) src{where}"
 
     def _load(self, spark: SparkSession, options: dict[str, str]) -> DataFrame:
         return spark.read.format("jdbc").options(**options).load()
 
-    def read(self, spark: SparkSession, schema: str, name: str, columns=None) -> DataFrame:
-        """Lazy table; Catalyst adds filters such as the incremental predicate to the remote query."""
+    def partition_column(self, schema: T.StructType, keys: tuple[str, ...], times: tuple[str, ...]) -> str | None:
+        """The first of insert time and first key that can be split into ranges."""
+        types = {f.name.lower(): f for f in schema.fields}
+        for name in (*times[:1], *keys[:1]):
+            field = types.get(name.lower())
+            if field is not None and isinstance(field.dataType, _RANGES):
+                return field.name
+        return None
+
+    def read(
+        self,
+        spark: SparkSession,
+        database: str,
+        schema: str,
+        name: str,
+        columns=None,
+        keys: tuple[str, ...] = (),
+        times: tuple[str, ...] = (),
+        since: str | None = None,
+    ) -> DataFrame:
+        """Lazy table; Catalyst adds filters such as the incremental predicate to the remote query.
+
+        ``since`` is the mark that predicate will have; ranges are laid over the
+        rows after it.
+        """
         query = self.select_text(schema, name, columns)
-        bounds = None
-        if self.partition_column and self.partitions > 1:
-            # one row: the extent of the partition column
-            bounds = tuple(self._load(spark, self.read_options(self.bounds_query(query))).first())
-        return self._load(spark, self.read_options(query, bounds))
-
-    def catalog(self, spark: SparkSession, schema: str, name: str) -> DataFrame:
-        """Column names, types and positions as the source itself declares them."""
-        text = (
-            "SELECT table_name AS object, column_name, data_type, ordinal_position FROM information_schema.columns "
+        whole = self._load(spark, self.read_options(query, database))
+        column = self.partition_column(whole.schema, keys, times) if self.partitions > 1 else None
+        if column is None:
+            return whole
+        # one row: the extent of the partition column
+        extent = self.read_options(self.bounds_query(query, column, times, since), database)
+        bounds = tuple(self._load(spark, extent).first())
+        return self._load(spark, self.read_options(query, database, column, bounds))
+
+    def catalog_query(self, schema: str, name: str) -> str:
+        return (
+            "SELECT table_name AS object, column_name, data_type, ordinal_position, numeric_precision, numeric_scale "
+            "FROM information_schema.columns "
             f"WHERE table_name = '{_literal(name)}' AND table_schema = '{_literal(schema)}'"
         )
-        return self._load(spark, self.read_options(text))
+
+    def catalog(self, spark: SparkSession, database: str, schema: str, name: str) -> DataFrame:
+        """Column names, types, positions and precisions as the source itself declares them."""
+        return self._load(spark, self.read_options(self.catalog_query(schema, name), database))
 
 
 def _literal(text: str) -> str:

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.types import storage_type
-from tidemark.sources.documents import read_documents
+from tidemark.operators.catalog import map_types
+from tidemark.sources.documents import as_documents, read_documents
 from tidemark.sources.files import read_object
 from tidemark.sources.jdbc import JdbcSource
 from tidemark.spec import LoadSpec
@@ -19,32 +20,63 @@ from tidemark.spec import LoadSpec
 
 @dataclass(frozen=True)
 class JdbcOrigin:
+    """Tables of one server; each control row names its database.
+
+    ``mapping`` is a table of ``functions.types.read_mapping``. With it, columns
+    are stored as it says, and a type it does not name is refused, or taken as
+    ``unmapped``. Without it, columns keep the types that JDBC reads.
+    """
+
     source: JdbcSource
+    mapping: DataFrame | None = None
+    unmapped: str | None = None
 
-    def open(self, spark: SparkSession, spec: LoadSpec, name: str) -> DataFrame:
-        return self.source.read(spark, spec.schema, name)
+    def open(self, spark: SparkSession, spec: LoadSpec, name: str, since: str | None = None) -> DataFrame:
+        times = spec.times if name == spec.object_name else spec.times[:1]
+        keys = spec.keys if name == spec.object_name else ()
+        columns = spec.columns if name == spec.object_name else None
+        return self.source.read(spark, spec.database, spec.schema, name, columns, keys, times, since)
 
-    def declared(self, spark: SparkSession, spec: LoadSpec) -> dict[str, str]:
+    def declared(self, spark: SparkSession, spec: LoadSpec) -> dict[str, str] | None:
         """One row per column of one object."""
-        rows = self.source.catalog(spark, spec.schema, spec.object_name).orderBy("ordinal_position").collect()
-        dialect = self.source.kind.upper()
-        types = {r["column_name"]: storage_type(dialect, r["data_type"]) for r in rows}
-        wanted = spec.columns or tuple(types)
-        return {name: types[name] for name in wanted}
+        if self.mapping is None:
+            return None
+        catalog = self.source.catalog(spark, spec.database, spec.schema, spec.object_name)
+        mapped = map_types(catalog, self.mapping, self.source.kind.upper(), self.unmapped)
+        return declared_types(mapped.orderBy("ordinal_position").collect(), spec.columns)
+
+
+def declared_types(rows: list, columns: tuple[str, ...] | None) -> dict[str, str]:
+    """Storage type by column: those of the control row under its names, else all."""
+    types = {
+        row["column_name"]: storage_type(row["warehouse_type"], row["numeric_precision"], row["numeric_scale"])
+        for row in rows
+    }
+    if columns is None:
+        return types
+    folded = {name.lower(): dtype for name, dtype in types.items()}
+    missing = [name for name in columns if name.lower() not in folded]
+    if missing:
+        raise ValueError(f"columns not in the source's catalog: {missing}")
+    return {name: folded[name.lower()] for name in columns}
 
 
 @dataclass(frozen=True)
 class TableOrigin:
-    """Tables kept as folders of Parquet (or another Spark format) below a root."""
+    """Tables kept as folders of Parquet (or another Spark format) below a root.
+
+    ``types`` gives storage types, by object and column, as a catalog would.
+    """
 
     root: str
     kind: str = "parquet"
+    types: dict[str, dict[str, str]] | None = None
 
-    def open(self, spark: SparkSession, spec: LoadSpec, name: str) -> DataFrame:
+    def open(self, spark: SparkSession, spec: LoadSpec, name: str, since: str | None = None) -> DataFrame:
         return spark.read.format(self.kind).load(f"{self.root}/{name}")
 
-    def declared(self, spark: SparkSession, spec: LoadSpec) -> None:
-        return None
+    def declared(self, spark: SparkSession, spec: LoadSpec) -> dict[str, str] | None:
+        return (self.types or {}).get(spec.object_name)
 
 
 @dataclass(frozen=True)
@@ -55,7 +87,7 @@ class FileOrigin:
     kind: str = "csv"
     schema: str | None = None
 
-    def open(self, spark: SparkSession, spec: LoadSpec, name: str) -> DataFrame:
+    def open(self, spark: SparkSession, spec: LoadSpec, name: str, since: str | None = None) -> DataFrame:
         return read_object(spark, self.root, name, self.kind, self.schema)
 
     def declared(self, spark: SparkSession, spec: LoadSpec) -> None:
@@ -69,8 +101,27 @@ class DocumentOrigin:
     root: str
     json_array: bool = False
 
-    def open(self, spark: SparkSession, spec: LoadSpec, name: str) -> DataFrame:
+    def open(self, spark: SparkSession, spec: LoadSpec, name: str, since: str | None = None) -> DataFrame:
         return read_documents(spark, f"{self.root}/{name}", self.json_array)
 
     def declared(self, spark: SparkSession, spec: LoadSpec) -> None:
         return None
+
+
+@dataclass(frozen=True)
+class ConnectorOrigin:
+    """Collections read through a Spark connector for a document database.
+
+    ``kind`` is its format; ``name_option`` the option that takes the collection.
+    Rows that come as columns are put together as documents.
+    """
+
+    kind: str
+    options: dict[str, str]
+    name_option: str = "collection"
+
+    def open(self, spark: SparkSession, spec: LoadSpec, name: str, since: str | None = None) -> DataFrame:
+        return as_documents(spark.read.format(self.kind).options(**self.options, **{self.name_option: name}).load())
+
+    def declared(self, spark: SparkSession, spec: LoadSpec) -> None:
+        return None

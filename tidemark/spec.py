@@ -60,8 +60,8 @@ class LoadSpec:
         return cls(
             control_id=row["CONTROL_ID"],
             source=(row["SRC_DB_NAME"] or "-").strip().lower(),
-            database=row["DATABASE_NAME"],
-            schema=row["SCHEMA_NAME"],
+            database="-" if _absent(row["DATABASE_NAME"]) else row["DATABASE_NAME"].strip(),
+            schema="-" if _absent(row["SCHEMA_NAME"]) else row["SCHEMA_NAME"].strip(),
             object_type=(row["OBJ_TYPE"] or "").strip().lower(),
             object_name=row["OBJ_NAME"],
             inserted_col=None if _absent(row["INSRT_TIME_COL"]) else row["INSRT_TIME_COL"].strip(),
@@ -82,7 +82,12 @@ class LoadSpec:
 
     @property
     def has_modified_time(self) -> bool:
-        return self.inserted_col is not None
+        return bool(self.times)
+
+    @property
+    def times(self) -> tuple[str, ...]:
+        """The insert and update columns there are, each once."""
+        return tuple(dict.fromkeys(c for c in (self.inserted_col, self.updated_col) if c))
 
     @property
     def identity(self) -> tuple[str, str, str]:
