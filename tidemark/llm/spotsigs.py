@@ -123,21 +123,34 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``edited``, ``signatures``, ``edited_signatures``, ``near_edited``,
     ``near_next``. Other columns play no part. Null texts are empty.
     """
+    # names a row by columns without nulls; both joins start from one and the same exchange of the texts
+    id_type = docs.select(quoted(id_col)).schema[0].dataType.simpleString()
+
+    def key(at: Column, hashed: Column, suffix: str = "") -> list[Column]:
+        absent = F.lit(0).cast(id_type) if id_type != "string" else F.lit("")
+        return [
+            F.coalesce(at, absent).alias(f"k1{suffix}"),
+            at.isNull().alias(f"k2{suffix}"),
+            hashed.alias(f"k3{suffix}"),
+        ]
+
     rows = docs.select(
-        quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("text_hash"), F.coalesce(quoted(text_col), F.lit("")).alias("text")
+        *key(quoted(id_col), F.xxhash64(quoted(text_col))), F.coalesce(quoted(text_col), F.lit("")).alias("text")
     )
     order = stored(followers(docs, id_col, text_col), "followers")
     asked = order.select(
-        F.col("id").alias("by"), F.col("text_hash").alias("by_hash"), "n_chars", "next_id", "next_hash"
+        *key(F.col("next_id"), F.col("next_hash")), *key(F.col("id"), F.col("text_hash"), "_by"), "n_chars"
     )
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    sent = rows.dropDuplicates(["id", "text_hash"]).join(
-        asked, F.col("id").eqNullSafe(F.col("next_id")) & (F.col("text_hash") == F.col("next_hash"))
-    )
-    sent = with_signatures(sent, "text", "next_signatures").select(
-        "by", "by_hash", "n_chars", F.substring("text", F.lit(1), half).alias("head"), "next_signatures"
+    sent = with_signatures(rows.join(asked, ["k1", "k2", "k3"]), "text", "next_signatures").select(
+        *[F.col(f"k{n}_by").alias(f"k{n}") for n in (1, 2, 3)],
+        "n_chars",
+        F.substring("text", F.lit(1), half).alias("head"),
+        "next_signatures",
     )
-    both = rows.join(sent, F.col("id").eqNullSafe(F.col("by")) & (F.col("text_hash") == F.col("by_hash")))
+    # a following row that is there several times has sent the same several times
+    both = rows.join(sent.dropDuplicates(["k1", "k2", "k3"]), ["k1", "k2", "k3"])
+    both = both.withColumn("id", F.when(~F.col("k2"), F.col("k1")))
     kept = F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half)
     both = both.select("id", "text", "n_chars", F.concat(kept, "head").alias("edited"), "next_signatures")
     both = with_signatures(with_signatures(both, "text", "signatures"), "edited", "edited_signatures")
