@@ -97,9 +97,12 @@ def column_catalog(spark, sf_dir):
     return catalog.wanted_columns(entries, named.unionByName(every))
 
 
-@query("target_columns", f"WITH {i.DRIFT_SQL} SELECT {_CATALOG_COLUMNS} FROM own_columns")
+@query(
+    "target_columns",
+    f"WITH {i.CATALOG_SQL} SELECT object, upper(column_name) AS column_name, data_type, ordinal_position FROM source_catalog",
+)
 def target_columns(spark, sf_dir):
-    return catalog.target_columns(i.target_catalog(spark, sf_dir))
+    return catalog.target_columns(i.target_catalog(spark, sf_dir, everything=True))
 
 
 def _mapping(spark):

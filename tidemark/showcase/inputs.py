@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import seconds_between, timestamp_text
 from tidemark.names import FAILED, SENTINEL_MARK, SUCCESS, ntz
+from tidemark.operators.projection import with_audit_columns
 
 FIRST_RUN = "2002-01-01 00:00:00"
 SECOND_RUN = "2002-02-01 00:00:00"
+THIRD_RUN = "2002-03-01 00:00:00"
 SPLIT = "1999-01-01 00:00:00"
 BATCH_FROM = "1998-01-01 00:00:00"
 
@@ -63,6 +65,11 @@ def order_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_state(table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= ntz(BATCH_FROM)))
 
 
+def order_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as a target."""
+    return with_audit_columns(order_source(spark, sf_dir), FIRST_RUN)
+
+
 def deleted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low-priority orders are deleted at their order date."""
     return (
@@ -86,6 +93,11 @@ ORDER_SOURCE_SQL = """
            CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS o_updated
     FROM orders)"""
 
+ORDER_FULL_SQL = f"""{ORDER_SOURCE_SQL},
+  order_full AS (
+    SELECT *, TIMESTAMP '{FIRST_RUN}' AS edw_inserted_timestamp, CAST(NULL AS TIMESTAMP) AS edw_updated_timestamp
+    FROM order_source)"""
+
 ORDER_BATCH_SQL = f"""{ORDER_SOURCE_SQL},
   order_batch AS (SELECT * FROM order_source WHERE o_orderdate >= TIMESTAMP '{BATCH_FROM}')"""
 
@@ -273,8 +285,10 @@ def drifted_catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return source, target_catalog(spark, sf_dir)
 
 
-def target_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = _catalog(table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < ntz(SPLIT)))
+def target_catalog(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    """Upper-case columns, of the orders before the split or of all, and audit columns."""
+    orders = table(spark, sf_dir, "orders")
+    own = _catalog(orders if everything else orders.filter(F.col("o_orderdate") < ntz(SPLIT)))
     own = own.withColumn("column_name", F.upper("column_name"))
     audit = own.groupBy("object").agg(F.max("ordinal_position").alias("last"))
     for at, name in enumerate(("EDW_INSERTED_TIMESTAMP", "EDW_UPDATED_TIMESTAMP"), start=1):

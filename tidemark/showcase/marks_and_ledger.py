@@ -47,9 +47,9 @@ def empty_batch_mark(spark, sf_dir):
     return marks.incremental_mark(nothing, "ins")
 
 
-@query("batch_count", f"WITH {i.ORDER_BATCH_SQL} SELECT count(*) AS rows, count(*) = 0 AS is_empty FROM order_batch")
+@query("batch_count", f"WITH {i.ORDER_SOURCE_SQL} SELECT count(*) AS rows, count(*) = 0 AS is_empty FROM order_source")
 def batch_count(spark, sf_dir):
-    return marks.batch_count(i.order_batch(spark, sf_dir))
+    return marks.batch_count(i.order_source(spark, sf_dir))
 
 
 @query(

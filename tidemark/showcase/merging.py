@@ -101,20 +101,20 @@ def deleted_feed_filter(spark, sf_dir):
 
 @query(
     "delete_by_key",
-    f"""WITH {i.ORDER_TARGET_SQL},{i.DELETED_FEED_SQL}
-    SELECT * FROM order_target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM deleted_feed)""",
+    f"""WITH {i.ORDER_FULL_SQL},{i.DELETED_FEED_SQL}
+    SELECT * FROM order_full WHERE o_orderkey NOT IN (SELECT o_orderkey FROM deleted_feed)""",
 )
 def delete_by_key(spark, sf_dir):
-    return deletes.delete_by_key(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS, True)
+    return deletes.delete_by_key(i.order_full(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS, True)
 
 
 @query(
     "deleted_rows",
-    f"""WITH {i.ORDER_TARGET_SQL},{i.DELETED_FEED_SQL}
-    SELECT * FROM order_target WHERE o_orderkey IN (SELECT o_orderkey FROM deleted_feed)""",
+    f"""WITH {i.ORDER_FULL_SQL},{i.DELETED_FEED_SQL}
+    SELECT * FROM order_full WHERE o_orderkey IN (SELECT o_orderkey FROM deleted_feed)""",
 )
 def deleted_rows(spark, sf_dir):
-    return deletes.deleted_rows(i.order_target(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS, True)
+    return deletes.deleted_rows(i.order_full(spark, sf_dir), i.deleted_feed(spark, sf_dir), i.ORDER_KEYS, True)
 
 
 @query(

@@ -10,13 +10,15 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.documents import document_text
+from tidemark.functions.documents import document_text, document_timestamp
+from tidemark.functions.timestamps import overlap_start, timestamp_text, wall_micros
 from tidemark.names import AUDIT_COLUMNS, col, ntz
 from tidemark.operators import marks, upsert
-from tidemark.operators.dedup import latest_document_per_key
+from tidemark.operators.dedup import latest_document_per_key, latest_per_key, newest_first, typed_documents
 from tidemark.operators.filters import changed_since
-from tidemark.operators.projection import timestamps_as_text, typed_projection
+from tidemark.operators.projection import timestamps_as_text, typed_projection, with_audit_columns
 from tidemark.plans.loads import Lake, full_load, incremental_load
+from tidemark.plans.retention import retire_stage
 from tidemark.shared import fresh_dir
 from tidemark.showcase import inputs as i
 from tidemark.showcase.marks_and_ledger import EVENTS_FROM
@@ -25,7 +27,14 @@ from tidemark.sources.control import read_control
 from tidemark.sources.documents import read_changed_documents, read_documents
 from tidemark.sources.files import file_manifest, latest_per_file_key, newer_than_archive, read_object, read_tabular
 from tidemark.sources.origins import DocumentOrigin, TableOrigin
-from tidemark.sources.staging import current_batch, read_matching, read_staged, run_path, write_document_chunks
+from tidemark.sources.staging import (
+    current_batch,
+    read_matching,
+    read_staged,
+    run_path,
+    stage_batch,
+    write_document_chunks,
+)
 from tidemark.spec import CONTROL_COLUMNS, LoadSpec
 
 # --- control files -------------------------------------------------------------
@@ -144,20 +153,18 @@ def doc_dedup_latest(spark, sf_dir):
     FROM latest_all a LEFT JOIN latest_old o ON a._id = o._id""",
 )
 def doc_upsert(spark, sf_dir):
-    """First run: documents before a date. Second run: every batch staged so far, ranked together."""
-    docs = _variants(spark, sf_dir)
-    early, late = docs.filter(F.col("ins") < ntz(EVENTS_FROM)), docs.filter(F.col("ins") >= ntz(EVENTS_FROM))
+    """First run: documents before a date. Second run: every batch staged so far, ranked together.
+
+    All documents are staged once, with their key and times as columns.
+    """
+    typed, times = typed_documents(_variants(spark, sf_dir), "doc", {"_id": "doc_key"}, "createdAt", "updatedAt")
+    staged = stage_batch(typed, fresh_dir(spark, "documents"), 1)
 
     def latest(batch):
-        found = latest_document_per_key(batch, "doc", "_id", "createdAt", "updatedAt", ["event_id"])
-        return found.select("doc_key", "doc")
+        return latest_per_key(batch, ["doc_key"], *newest_first(times), ["event_id"]).select("doc_key", "doc")
 
-    target = latest(early).withColumns(
-        {"edw_inserted_timestamp": ntz(i.FIRST_RUN), "edw_updated_timestamp": F.lit(None).cast("timestamp_ntz")}
-    )
-    merged = upsert.upsert_documents(
-        target, latest(early.unionByName(late)), "doc", "_id", i.SECOND_RUN, target_unique=True
-    )
+    target = with_audit_columns(latest(staged.filter(F.col("ins") < ntz(EVENTS_FROM))), i.FIRST_RUN)
+    merged = upsert.upsert_documents(target, latest(staged), "doc", "_id", i.SECOND_RUN, target_unique=True)
     return merged.select(
         *[F.try_variant_get("doc", f"$.{n}", t).alias(n) for n, t in _DOC_FIELDS.items()],
         document_text(col("doc"), "createdAt").alias("created"),
@@ -261,12 +268,35 @@ def staged_scan(spark, sf_dir):
       (SELECT max(date_diff('week', DATE '2024-01-01', CAST(ts AS DATE))) FROM events)""",
 )
 def newest_batch(spark, sf_dir):
-    """Events staged in weekly runs; the current batch is the newest run."""
+    """Events staged in weekly runs; the current batch is the newest run, whose id is known."""
+    stage, newest = _weekly_runs(spark, sf_dir)
+    return current_batch(read_staged(spark, stage, f"{_EVENT_COLUMNS}, run_id int"), newest)
+
+
+_EVENT_COLUMNS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+
+
+def _weekly_runs(spark, sf_dir) -> tuple[str, int]:
+    """Events staged with the week as run id; the folder and the newest run."""
     stage = fresh_dir(spark, "stage")
     events = i.table(spark, sf_dir, "events").drop("props")
     week = F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7).cast("int")
     events.withColumn("run_id", week).write.partitionBy("run_id").parquet(stage)
-    return current_batch(read_staged(spark, stage))
+    return stage, events.agg(F.max(week)).first()[0]
+
+
+@query(
+    "retained_stage",
+    """SELECT event_id, user_id, event_type, value, ts, CAST(date_diff('week', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS run_id
+    FROM events
+    WHERE date_diff('week', DATE '2024-01-01', CAST(ts AS DATE)) >
+      (SELECT max(date_diff('week', DATE '2024-01-01', CAST(ts AS DATE))) - 2 FROM events)""",
+)
+def retained_stage(spark, sf_dir):
+    """The same stage after all runs but the newest two were removed."""
+    stage, newest = _weekly_runs(spark, sf_dir)
+    retire_stage(spark, stage, newest, keep=2)
+    return read_staged(spark, stage, f"{_EVENT_COLUMNS}, run_id int")
 
 
 # --- whole loads -------------------------------------------------------------------
@@ -305,19 +335,21 @@ def _lake(spark, root: str, source: str, at: str) -> Lake:
     return Lake(spark, root, {"shop": TableOrigin(source)}, clock=_at(at))
 
 
-def _two_loads(spark, sf_dir, label: str, spec: LoadSpec):
-    """Early orders loaded whole, then the present orders loaded by what changed."""
+def _two_loads(spark, sf_dir, label: str, spec: LoadSpec, stored=lambda df: df) -> Lake:
+    """Early orders loaded whole, then the present orders loaded by what changed; ``stored`` is how the source keeps them."""
     root = fresh_dir(spark, label)
     early = i.order_target(spark, sf_dir).select(*i.ORDER_KEYS, *i.ORDER_VALUES)
-    early.write.parquet(f"{root}/before/orders")
-    i.order_source(spark, sf_dir).write.parquet(f"{root}/after/orders")
+    stored(early).write.parquet(f"{root}/before/orders")
+    stored(i.order_source(spark, sf_dir)).write.parquet(f"{root}/after/orders")
     if spec.deleted_object:
-        feed = i.deleted_feed(spark, sf_dir).withColumnRenamed("deleted_at", spec.inserted_col)
+        feed = i.deleted_feed(spark, sf_dir)
+        feed = feed.withColumnRenamed("deleted_at", spec.inserted_col) if spec.inserted_col else feed
+        feed.limit(0).write.parquet(f"{root}/before/{spec.deleted_object}")
         feed.write.parquet(f"{root}/after/{spec.deleted_object}")
     _checked(full_load(_lake(spark, root, f"{root}/before", i.FIRST_RUN), [spec]))
     lake = _lake(spark, root, f"{root}/after", i.SECOND_RUN)
     _checked(incremental_load(lake, [spec]))
-    return lake.current(spec)
+    return lake
 
 
 # as _LATEST_DOC; no two events of one key have the same time
@@ -350,7 +382,100 @@ def load_everything(spark, sf_dir):
 )
 def load_changes(spark, sf_dir):
     """First run loads the early orders; the source moves on; the second run loads what changed."""
-    return _two_loads(spark, sf_dir, "incremental", _order_spec())
+    spec = _order_spec()
+    return _two_loads(spark, sf_dir, "incremental", spec).current(spec)
+
+
+_INCREMENTAL_SQL = f"""{i.ORDER_TARGET_SQL},{i.ORDER_SOURCE_SQL},
+    mark AS (
+      SELECT date_trunc('milliseconds', greatest(max(o_orderdate), max(o_updated)) - INTERVAL 10 MINUTE) AS w FROM order_target),
+    changed AS (SELECT * FROM order_source WHERE o_orderdate > (SELECT w FROM mark) OR o_updated > (SELECT w FROM mark))"""
+
+
+@query(
+    "incremental_load_zoned",
+    f"""WITH {_INCREMENTAL_SQL},
+    {i.upsert_sql("order_target", "changed", i.ORDER_KEYS, i.ORDER_VALUES, i.SECOND_RUN, "merged")}
+    SELECT * FROM merged""",
+)
+def load_zoned_changes(spark, sf_dir):
+    """As incremental_load for a source whose times are instants: they are stored as their wall clock in UTC."""
+    spec = _order_spec()
+
+    def instants(df):
+        return df.withColumns({t: F.timestamp_micros(wall_micros(F.col(t))) for t in spec.times})
+
+    return _two_loads(spark, sf_dir, "zoned", spec, instants).current(spec)
+
+
+@query(
+    "update_only_loads",
+    f"""WITH {i.ORDER_SOURCE_SQL}, early AS (SELECT * FROM order_source WHERE o_orderdate < TIMESTAMP '{i.SPLIT}'),
+    mark AS (SELECT date_trunc('milliseconds', max(o_orderdate) - INTERVAL 10 MINUTE) AS w FROM early)
+    SELECT CAST(1 AS BIGINT) AS run_id, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+           max(w) AS read_from FROM early, mark
+    UNION ALL
+    SELECT 2, 0, count(*) FILTER (o_orderstatus = 'F' AND (o_orderdate > w OR o_updated > w)),
+           date_trunc('milliseconds', greatest(max(o_orderdate), max(o_updated)) - INTERVAL 10 MINUTE) FROM early, mark""",
+)
+def load_updates_only(spark, sf_dir):
+    """A second run that only updates moves the start of the third."""
+    root, spec = fresh_dir(spark, "updates"), _order_spec()
+    early = F.col("o_orderdate") < ntz(i.SPLIT)
+    i.order_target(spark, sf_dir).select(*i.ORDER_KEYS, *i.ORDER_VALUES).write.parquet(f"{root}/before/orders")
+    i.order_source(spark, sf_dir).filter(early).write.parquet(f"{root}/after/orders")
+    _checked(full_load(_lake(spark, root, f"{root}/before", i.FIRST_RUN), [spec]))
+    lake = _lake(spark, root, f"{root}/after", i.SECOND_RUN)
+    _checked(incremental_load(lake, [spec]))
+    start = overlap_start(F.col("max_timestamp"), lake.overlap_minutes)
+    return lake.ledger.rows().select("run_id", "rows_inserted", "rows_updated", start.alias("read_from"))
+
+
+@query(
+    "schema_readd_column",
+    f"""SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate >= TIMESTAMP '{i.BATCH_FROM}' THEN o_custkey END AS o_orderstatus,
+           CASE WHEN o_orderdate < TIMESTAMP '{i.SPLIT}' THEN TIMESTAMP '{i.FIRST_RUN}' ELSE TIMESTAMP '{i.THIRD_RUN}' END AS edw_inserted_timestamp,
+           CASE WHEN o_orderdate >= TIMESTAMP '{i.BATCH_FROM}' AND o_orderdate < TIMESTAMP '{i.SPLIT}' THEN TIMESTAMP '{i.THIRD_RUN}' END AS edw_updated_timestamp
+    FROM orders WHERE o_orderdate < TIMESTAMP '{i.SPLIT}' OR o_orderdate >= TIMESTAMP '{i.BATCH_FROM}'""",
+)
+def schema_readd_column(spark, sf_dir):
+    """A column goes and comes back with another type: rows not read again have no value in it."""
+    root, spec = fresh_dir(spark, "readd"), _order_spec(UPDT_TIME_COL="-")
+    orders = i.table(spark, sf_dir, "orders")
+    early = orders.filter(F.col("o_orderdate") < ntz(i.SPLIT))
+    early.select("o_orderkey", "o_orderdate", "o_orderstatus").write.parquet(f"{root}/one/orders")
+    early.select("o_orderkey", "o_orderdate").write.parquet(f"{root}/two/orders")
+    late = orders.filter(F.col("o_orderdate") >= ntz(i.BATCH_FROM))
+    late.select("o_orderkey", "o_orderdate", F.col("o_custkey").alias("o_orderstatus")).write.parquet(f"{root}/three/orders")
+    _checked(full_load(_lake(spark, root, f"{root}/one", i.FIRST_RUN), [spec]))
+    _checked(incremental_load(_lake(spark, root, f"{root}/two", i.SECOND_RUN), [spec]))
+    lake = _lake(spark, root, f"{root}/three", i.THIRD_RUN)
+    _checked(incremental_load(lake, [spec]))
+    return lake.current(spec)
+
+
+@query(
+    "typed_load",
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, strftime(ts, '%H:%M:%S.%f') AS at,
+           (event_id || '.' || lpad(CAST(user_id % 100 AS VARCHAR), 2, '0')) AS price
+    FROM events""",
+)
+def typed_load(spark, sf_dir):
+    """Text columns of a source that declares JSON, time and decimal: each is stored as what it is."""
+    root = fresh_dir(spark, "typed")
+    price = F.concat_ws(".", "event_id", F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"))
+    rows = i.table(spark, sf_dir, "events").select(
+        "event_id", "props", timestamp_text(F.col("ts")).alias("at"), price.alias("price"), "ts"
+    )
+    rows.write.parquet(f"{root}/source/events")
+    types = {"event_id": "bigint", "props": "json", "at": "time", "price": "decimal(14,2)", "ts": "timestamp_ntz"}
+    origin = TableOrigin(f"{root}/source", types={"events": types})
+    spec = _order_spec(OBJ_NAME="events", INSRT_TIME_COL="ts", UPDT_TIME_COL="-", PRIMARY_KEY_COL="event_id", SF_TBL="tbl_events")
+    lake = Lake(spark, root, {"shop": origin}, clock=_at(i.FIRST_RUN))
+    _checked(full_load(lake, [spec]))
+    return lake.current(spec).select(
+        "event_id", F.try_variant_get("props", "$.k", "bigint").alias("k"), "at", F.col("price").cast("string").alias("price")
+    )
 
 
 @query(
@@ -361,7 +486,8 @@ def load_changes(spark, sf_dir):
 )
 def load_snapshot_changes(spark, sf_dir):
     """As incremental_load for a source without modified times: snapshots are compared."""
-    return _two_loads(spark, sf_dir, "snapshot", _order_spec(INSRT_TIME_COL="-", UPDT_TIME_COL="-"))
+    spec = _order_spec(INSRT_TIME_COL="-", UPDT_TIME_COL="-")
+    return _two_loads(spark, sf_dir, "snapshot", spec).current(spec)
 
 
 @query(
@@ -378,38 +504,92 @@ def load_snapshot_changes(spark, sf_dir):
 )
 def load_with_deletes(spark, sf_dir):
     """As incremental_load with a feed of deleted rows, applied before the upsert."""
-    return _two_loads(spark, sf_dir, "deleting", _order_spec(IS_DELETION="yes", DELETED_TBL="orders_deleted"))
+    spec = _order_spec(IS_DELETION="yes", DELETED_TBL="orders_deleted")
+    return _two_loads(spark, sf_dir, "deleting", spec).current(spec)
+
+
+_DELETING_SQL = f"""{_INCREMENTAL_SQL},{i.DELETED_FEED_SQL},
+    gone AS (SELECT o_orderkey FROM deleted_feed WHERE deleted_at > (SELECT w FROM mark)),
+    remaining AS (SELECT * FROM order_target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM gone)),
+    {i.upsert_sql("remaining", "changed", i.ORDER_KEYS, i.ORDER_VALUES, i.SECOND_RUN, "merged")}"""
 
 
 @query(
-    "document_load",
-    f"""WITH {i.DOCUMENTS_SQL},
+    "load_audit",
+    f"""WITH {_DELETING_SQL}
+    SELECT CAST(2 AS BIGINT) AS edw_run_id, action AS edw_action, o_orderkey FROM merged_all WHERE action <> 'keep'""",
+)
+def load_audit(spark, sf_dir):
+    """Keys that the second run of deleting_load inserted or updated."""
+    spec = _order_spec(IS_DELETION="yes", DELETED_TBL="orders_deleted")
+    return _two_loads(spark, sf_dir, "audit", spec).audit(spec, 2)
+
+
+@query(
+    "load_counts",
+    f"""WITH {_DELETING_SQL}
+    SELECT CAST(1 AS BIGINT) AS run_id, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted
+    FROM order_target
+    UNION ALL
+    SELECT 2, count(*) FILTER (action = 'insert'), count(*) FILTER (action = 'update'),
+           (SELECT count(*) FROM order_target WHERE o_orderkey IN (SELECT o_orderkey FROM gone))
+    FROM merged_all""",
+)
+def load_counts(spark, sf_dir):
+    """What the ledger says of both runs of deleting_load."""
+    spec = _order_spec(IS_DELETION="yes", DELETED_TBL="orders_deleted")
+    rows = _two_loads(spark, sf_dir, "counts", spec).ledger.rows()
+    return rows.select("run_id", "rows_inserted", "rows_updated", "rows_deleted")
+
+
+@query(
+    "deleting_snapshot_load",
+    f"""WITH {i.ORDER_TARGET_SQL},{i.ORDER_SOURCE_SQL},{i.DELETED_FEED_SQL},
+    remaining AS (SELECT * FROM order_target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM deleted_feed)),
+    changed AS (
+      SELECT * FROM order_source s WHERE NOT EXISTS (
+        SELECT 1 FROM order_target t
+        WHERE {" AND ".join(f"s.{c} IS NOT DISTINCT FROM t.{c}" for c in i.ORDER_KEYS + i.ORDER_VALUES)})),
+    {i.upsert_sql("remaining", "changed", i.ORDER_KEYS, i.ORDER_VALUES, i.SECOND_RUN, "merged")}
+    SELECT * FROM merged""",
+)
+def load_snapshot_with_deletes(spark, sf_dir):
+    """As snapshot_load with a feed of deleted rows that has no time either."""
+    spec = _order_spec(INSRT_TIME_COL="-", UPDT_TIME_COL="-", IS_DELETION="yes", DELETED_TBL="orders_deleted")
+    return _two_loads(spark, sf_dir, "deleting_snapshot", spec).current(spec)
+
+
+def _document_load_sql(*keys: str) -> str:
+    on = " AND ".join(f"o.{k} = n.{k}" for k in keys)
+    latest = _LATEST_BODY.replace("PARTITION BY _id", f"PARTITION BY {', '.join(keys)}")
+    return f"""WITH {i.DOCUMENTS_SQL},
     old AS (SELECT * FROM documents_in WHERE ins < TIMESTAMP '{EVENTS_FROM}'),
     mark AS (SELECT date_trunc('milliseconds', greatest(max(ins), max(upd)) - INTERVAL 10 MINUTE) AS w FROM old),
-    latest_old AS (SELECT * FROM old {_LATEST_BODY}),
+    latest_old AS (SELECT * FROM old {latest}),
     latest_new AS (
-      SELECT * FROM documents_in WHERE ins > (SELECT w FROM mark) OR upd > (SELECT w FROM mark) {_LATEST_BODY}),
+      SELECT * FROM documents_in WHERE ins > (SELECT w FROM mark) OR upd > (SELECT w FROM mark) {latest}),
     pairs AS (
-      SELECT coalesce(n._id, o._id) AS _id, coalesce(n.event_id, o.event_id) AS event_id,
+      SELECT coalesce(n.event_id, o.event_id) AS event_id,
              CASE WHEN o._id IS NULL THEN TIMESTAMP '{i.SECOND_RUN}' ELSE TIMESTAMP '{i.FIRST_RUN}' END AS edw_inserted_timestamp,
              CASE WHEN o.event_id <> n.event_id THEN TIMESTAMP '{i.SECOND_RUN}' END AS edw_updated_timestamp
-      FROM latest_old o FULL JOIN latest_new n ON o._id = n._id)
+      FROM latest_old o FULL JOIN latest_new n ON {on})
     SELECT {", ".join("d." + c for c in ("_id", "user_id", "kind", "value"))},
            strftime(d.ins, '%Y-%m-%d %H:%M:%S.%f') AS created, strftime(d.upd, '%Y-%m-%d %H:%M:%S.%f') AS updated,
            edw_inserted_timestamp, edw_updated_timestamp
-    FROM pairs p JOIN documents_in d ON p.event_id = d.event_id""",
-)
-def load_documents(spark, sf_dir):
-    """A document collection loaded whole, then by what changed since the mark."""
-    root = fresh_dir(spark, "documents")
-    docs = i.documents(spark, sf_dir)
+    FROM pairs p JOIN documents_in d ON p.event_id = d.event_id"""
+
+
+def _load_documents(spark, sf_dir, label: str, keys: str, written=lambda body: body):
+    """A collection loaded whole, then by what changed since the mark."""
+    root = fresh_dir(spark, label)
+    docs = i.documents(spark, sf_dir).select("ins", written(F.col("body")).alias("body"))
     docs.filter(F.col("ins") < ntz(EVENTS_FROM)).select("body").write.text(f"{root}/before/members")
     docs.select("body").write.text(f"{root}/after/members")
     spec = _order_spec(
         SRC_DB_NAME="mongodb",
         OBJ_TYPE="collection",
         OBJ_NAME="members",
-        PRIMARY_KEY_COL="_id",
+        PRIMARY_KEY_COL=keys,
         INSRT_TIME_COL="createdAt",
         UPDT_TIME_COL="updatedAt",
         SF_TBL="tbl_members",
@@ -418,10 +598,45 @@ def load_documents(spark, sf_dir):
     _checked(full_load(Lake(spark, root, {"mongodb": before}, clock=_at(i.FIRST_RUN)), [spec]))
     lake = Lake(spark, root, {"mongodb": after}, clock=_at(i.SECOND_RUN))
     _checked(incremental_load(lake, [spec]))
-    loaded = lake.current(spec)
-    return loaded.select(
-        *[F.try_variant_get("json_data", f"$.{n}", t).alias(n) for n, t in _DOC_FIELDS.items()],
-        document_text(col("json_data"), "createdAt").alias("created"),
-        document_text(col("json_data"), "updatedAt").alias("updated"),
+    doc = col("json_data")
+    return lake.current(spec).select(
+        document_text(doc, "_id").alias("_id"),
+        *[F.try_variant_get(doc, f"$.{n}", t).alias(n) for n, t in _DOC_FIELDS.items() if n != "_id"],
+        timestamp_text(document_timestamp(doc, "createdAt")).alias("created"),
+        timestamp_text(document_timestamp(doc, "updatedAt")).alias("updated"),
         *AUDIT_COLUMNS,
     )
+
+
+@query("document_load", _document_load_sql("_id"))
+def load_documents(spark, sf_dir):
+    return _load_documents(spark, sf_dir, "documents", "_id")
+
+
+@query("document_load_composite", _document_load_sql("_id", "kind"))
+def load_documents_by_two_keys(spark, sf_dir):
+    """Two fields make the key: every document of a pair counts by itself."""
+    return _load_documents(spark, sf_dir, "composite", "_id, kind")
+
+
+@query("document_load_exported", _document_load_sql("_id"))
+def load_exported_documents(spark, sf_dir):
+    """Object ids and dates as a database's export writes them."""
+
+    return _load_documents(spark, sf_dir, "exported", "_id", _as_exported)
+
+
+def _as_exported(body):
+    def dated(name: str):
+        text = F.get_json_object(body, f"$.{name}")
+        iso = F.concat(F.replace(text, F.lit(" "), F.lit("T")), F.lit("Z"))
+        return F.when(text.isNotNull(), F.struct(iso.alias("$date"))).alias(name)
+
+    return F.to_json(
+        F.struct(
+            F.struct(F.get_json_object(body, "$._id").alias("$oid")).alias("_id"),
+            dated("createdAt"),
+            dated("updatedAt"),
+            *[F.get_json_object(body, f"$.{n}").cast(t).alias(n) for n, t in _DOC_FIELDS.items() if n != "_id"],
+        )
+    )

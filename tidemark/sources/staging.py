@@ -50,10 +50,10 @@ def read_matching(spark: SparkSession, root: str, pattern: str, schema) -> DataF
 
 
 def current_batch(staged: DataFrame, run_id: int | Column | None = None) -> DataFrame:
-    """Rows of one run, by default of the newest.
+    """Rows of one run, by default of the newest; the scan opens only that partition's files.
 
-    The newest id is a scalar subquery over the partition column alone, so the
-    scan reads only the files of that partition.
+    Give the id where it is known, as a load knows it from its ledger: to find
+    the newest, a scalar subquery looks at the partition of every staged file.
     """
     if run_id is None:
         run_id = staged.agg(F.max("run_id")).scalar()
