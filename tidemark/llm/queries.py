@@ -75,7 +75,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs.where(~held_out()))
     return language_id.identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted"
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", F.col("accepted").alias("kept")
     )
 
 
@@ -115,7 +115,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rated = grades(table(spark, sf_dir, "labels")).where(~held_out())
     model = ordinal_quality.train(docs, rated)
-    return ordinal_quality.rate(docs, model).select("doc_id", "expected_grade", "top_probability", "selected")
+    return ordinal_quality.rate(docs, model).select("doc_id", "expected_grade", "top_probability", F.col("selected").alias("kept"))
 
 
 @query("op8_source_mixing")
