@@ -8,7 +8,7 @@ from tidemark.functions.documents import document_text
 from tidemark.names import FAILED, SUCCESS, col
 from tidemark.operators.filters import changed_since
 from tidemark.operators.projection import with_audit_columns
-from tidemark.plans import loads
+from tidemark.operators.upsert import total_bytes
 from tidemark.plans.ledger_store import LedgerStore, local_clock
 from tidemark.plans.loads import Lake, full_load, incremental_load
 from tidemark.plans.retention import retire
@@ -430,8 +430,8 @@ def test_many_small_files_are_merged(spark, lake, put, tmp_path):
 
 def test_measured_size(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n int")
-    assert df.agg(loads._size(df)).first()[0] == 2 * 32 + 3
-    assert df.limit(0).agg(loads._size(df)).first()[0] == 0
+    assert df.agg(total_bytes(df)).first()[0] == 2 * 32 + 3
+    assert df.limit(0).agg(total_bytes(df)).first()[0] == 0
 
 
 # --- time zones, marks and clocks -----------------------------------------------

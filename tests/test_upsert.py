@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import upsert as up
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.projection import with_audit_columns
+from tidemark.plans.tables import merge_into_catalog
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 PLANS = ["outer", "split", "broadcast"]
@@ -153,3 +154,26 @@ def test_documents(spark, plan):
         "2": ('{"_id":"2","a":5}', T1, True),
         "3": ('{"_id":"3"}', T2, False),
     }
+
+
+def test_a_batch_over_the_limit_is_not_broadcast(spark, monkeypatch):
+    target = target_of(spark, [(1, "a")])
+    batch = spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string")
+    plans = []
+    for limit in (up.BROADCAST_BYTES, 10):
+        monkeypatch.setattr(up, "BROADCAST_BYTES", limit)
+        merged = up.upsert(target, batch, ["k"], T2, True, "broadcast")
+        plans.append("strategy=broadcast" in merged._jdf.queryExecution().optimizedPlan().toString())
+        assert sorted((r.k, r.v) for r in merged.collect()) == [(1, "b"), (2, "c")]
+    assert plans == [True, False]
+
+
+def test_merge_into_a_catalog_resolves_its_columns(spark, tmp_path):
+    """No catalog with row-level operations is at hand: the plan is built, and refused for that reason alone."""
+    batch = spark.createDataFrame([(1, "b", 3)], "`k 1` int, v string, extra int")
+    target_of(spark, [(1, "a")], "`k 1` int, v string").write.option("path", str(tmp_path / "t")).saveAsTable("t_merge")
+    try:
+        with pytest.raises(Exception, match="MERGE"):
+            merge_into_catalog(batch, "t_merge", ("k 1",), T2)
+    finally:
+        spark.sql("DROP TABLE t_merge")

@@ -16,7 +16,8 @@ Three plans give the same rows:
                break up a hot key of a target that is not unique. Spark
                broadcasts the batch by itself when its statistics allow.
 ``broadcast``  as ``split`` with the batch broadcast: the target is never
-               shuffled. Only for batches whose size was measured.
+               shuffled. The batch is measured first; one over the limit is
+               merged by ``split``.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.comparison import any_null, rows_differ
 from tidemark.functions.documents import document_text
@@ -35,6 +37,19 @@ _IN_TARGET = "__in_target"
 _IN_BATCH = "__in_batch"
 
 PLANS = ("split", "outer", "broadcast")
+#: a batch of more uncompressed bytes is not broadcast
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def total_bytes(df: DataFrame) -> Column:
+    """Aggregate of the uncompressed bytes of the rows."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.VariantType, T.StructType, T.ArrayType, T.MapType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col(f.name)))), F.lit(0))
+    return F.coalesce(F.sum(size), F.lit(0))
 
 
 def _keys_equal(keys, left: str, right: str) -> Column:
@@ -194,7 +209,8 @@ def upsert_with_actions(
         raise ValueError(f"batch columns missing in target: {unknown}")
     if plan == "outer":
         return _outer_plan(target, batch, keys, ntz(run_ts))
-    return _split_plan(target, batch, keys, ntz(run_ts), target_unique, plan == "broadcast")
+    small = plan == "broadcast" and batch.agg(total_bytes(batch)).first()[0] <= BROADCAST_BYTES
+    return _split_plan(target, batch, keys, ntz(run_ts), target_unique, small)
 
 
 def upsert(

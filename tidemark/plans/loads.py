@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,7 +52,7 @@ class Lake:
     buckets: int = 8
     overlap_minutes: int = 10
     # a deduplicated batch measured at or below this many bytes is broadcast
-    broadcast_bytes: int = 32 * 1024 * 1024
+    broadcast_bytes: int = upsert.BROADCAST_BYTES
     # a bucket that gained rows this many times is written whole the next time
     appends_per_bucket: int = 16
     # with more files than this per bucket, a rewrite also merges them
@@ -128,17 +128,6 @@ def _run(lake: Lake, specs: list[LoadSpec], incremental: bool) -> list[dict]:
     return done
 
 
-def _size(df: DataFrame) -> Column:
-    """Aggregate of the uncompressed bytes of the rows."""
-    size = F.lit(16 * len(df.columns)).cast("long")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(col(f.name)), F.lit(0))
-        elif isinstance(f.dataType, (T.VariantType, T.StructType, T.ArrayType, T.MapType)):
-            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col(f.name)))), F.lit(0))
-    return F.coalesce(F.sum(size), F.lit(0))
-
-
 @dataclass
 class _Load:
     lake: Lake
@@ -317,7 +306,7 @@ class _Load:
             gone, emptied = self._deletes(deleted, table.read(base, feed_buckets, schema))
         self.step = "stage latest rows"
         latest = stage_batch(self._unseen(latest, deleted, schema), lake.stage(spec, "latest"), self.run_id)
-        size, buckets = latest.agg(_size(latest), table.touched_buckets(latest, count)).first()
+        size, buckets = latest.agg(upsert.total_bytes(latest), table.touched_buckets(latest, count)).first()
         self.step = "upsert"
         touched = set(buckets)
         if not touched and not gone:
