@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.tables import quoted, spread_join, stored
+from tidemark.llm.tables import quoted, row_key, spread_join, stored
 from tidemark.llm.words import Block, blocks, grouped, powers, shingle_hashes
 
 SHINGLE = 5
@@ -332,14 +332,15 @@ def near_duplicates(
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The row with the least id of every group; rows equal in id and text count as one."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    first = found.where(F.col(id_col).eqNullSafe(F.col("group_id"))).select(
-        F.col(id_col).alias("_first"), "_h1", "_h2"
-    ).distinct()
-    named = docs.withColumn("_h1", F.xxhash64(quoted(text_col))).withColumn(
-        "_h2", F.xxhash64(F.lit(7), quoted(text_col))
+    dtype = dict(docs.dtypes)[id_col]
+    chosen = F.col(id_col).eqNullSafe(F.col("group_id"))
+    first = found.where(chosen).select(*row_key(F.col(id_col), dtype), F.col("_h1").alias("k3"), F.col("_h2").alias("k4"))
+    named = docs.select(
+        *row_key(quoted(id_col), dtype),
+        F.xxhash64(quoted(text_col)).alias("k3"),
+        F.xxhash64(F.lit(7), quoted(text_col)).alias("k4"),
+        F.struct(*(quoted(name) for name in docs.columns)).alias("row"),
     )
-    kept = named.join(
-        first, named[id_col].eqNullSafe(first["_first"]) & (named["_h1"] == first["_h1"]) & (named["_h2"] == first["_h2"]),
-        "left_semi",
-    )
-    return kept.dropDuplicates([id_col, "_h1", "_h2"]).select(*(quoted(name) for name in docs.columns))
+    key = ["k1", "k2", "k3", "k4"]
+    # the join leaves the rows where the grouping needs them: the texts are shuffled once
+    return named.join(first, key, "left_semi").groupBy(*key).agg(F.first("row").alias("row")).select("row.*")

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import quoted, stored
+from tidemark.llm.tables import quoted, row_key, stored
 
 CHAIN = 2
 REACH = 8
@@ -123,27 +123,22 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``edited``, ``signatures``, ``edited_signatures``, ``near_edited``,
     ``near_next``. Other columns play no part. Null texts are empty.
     """
-    # names a row by columns without nulls; both joins start from one and the same exchange of the texts
-    id_type = docs.select(quoted(id_col)).schema[0].dataType.simpleString()
+    # both joins start from one and the same exchange of the texts
+    id_type = dict(docs.dtypes)[id_col]
 
-    def key(at: Column, hashed: Column, suffix: str = "") -> list[Column]:
-        absent = F.lit(0).cast(id_type) if id_type != "string" else F.lit("")
-        return [
-            F.coalesce(at, absent).alias(f"k1{suffix}"),
-            at.isNull().alias(f"k2{suffix}"),
-            hashed.alias(f"k3{suffix}"),
-        ]
+    def key(at: Column, hashed: Column) -> list[Column]:
+        return [*row_key(at, id_type), hashed.alias("k3")]
 
     rows = docs.select(
         *key(quoted(id_col), F.xxhash64(quoted(text_col))), F.coalesce(quoted(text_col), F.lit("")).alias("text")
     )
     order = stored(followers(docs, id_col, text_col), "followers")
     asked = order.select(
-        *key(F.col("next_id"), F.col("next_hash")), *key(F.col("id"), F.col("text_hash"), "_by"), "n_chars"
+        *key(F.col("next_id"), F.col("next_hash")), F.struct(*key(F.col("id"), F.col("text_hash"))).alias("by"), "n_chars"
     )
     half = F.floor(F.col("n_chars") / 2).cast("int")
     sent = with_signatures(rows.join(asked, ["k1", "k2", "k3"]), "text", "next_signatures").select(
-        *[F.col(f"k{n}_by").alias(f"k{n}") for n in (1, 2, 3)],
+        "by.*",
         "n_chars",
         F.substring("text", F.lit(1), half).alias("head"),
         "next_signatures",

@@ -43,6 +43,12 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def row_key(at: Column, dtype: str) -> list[Column]:
+    """An id as two columns without nulls, ``k1`` and ``k2``: joins and grouping on them share one exchange."""
+    absent = F.lit("") if dtype == "string" else F.lit(0).cast(dtype)
+    return [F.coalesce(at, absent).alias("k1"), at.isNull().alias("k2")]
+
+
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of rows whose keys may be hot with rows that have each key once.
 
