@@ -14,6 +14,7 @@ from tidemark.functions.documents import document_text, document_timestamp
 from tidemark.functions.timestamps import overlap_start, timestamp_text, wall_micros
 from tidemark.names import AUDIT_COLUMNS, col, ntz
 from tidemark.operators import marks, upsert
+from tidemark.operators.catalog import catalog_of
 from tidemark.operators.dedup import latest_document_per_key, latest_per_key, newest_first, typed_documents
 from tidemark.operators.filters import changed_since
 from tidemark.operators.projection import timestamps_as_text, typed_projection, with_audit_columns
@@ -23,7 +24,7 @@ from tidemark.shared import fresh_dir
 from tidemark.showcase import inputs as i
 from tidemark.showcase.marks_and_ledger import EVENTS_FROM
 from tidemark.showcase.registry import query
-from tidemark.sources.control import read_control
+from tidemark.sources.control import load_specs, read_control
 from tidemark.sources.documents import read_changed_documents, read_documents
 from tidemark.sources.files import file_manifest, latest_per_file_key, newer_than_archive, read_object, read_tabular
 from tidemark.sources.origins import DocumentOrigin, TableOrigin
@@ -234,6 +235,19 @@ def file_scan(spark, sf_dir):
     return found.select(F.col("c_custkey").cast("long"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+@query(
+    "file_catalog",
+    """SELECT 'customer' AS object, column_name, data_type, row_number() OVER () AS ordinal_position
+    FROM (VALUES ('c_custkey', 'int'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'),
+                 ('c_mktsegment', 'string')) AS t(column_name, data_type)""",
+)
+def file_catalog(spark, sf_dir):
+    """Columns of a file as inferred from all of its rows."""
+    path = fresh_dir(spark, "csv")
+    i.table(spark, sf_dir, "customer").write.option("header", True).csv(path)
+    return catalog_of(spark, {"customer": read_tabular(spark, path, "csv")})
+
+
 @query(
     "file_incremental",
     f"""WITH {i.CHANGE_FEED_SQL} SELECT event_id, value, ins, upd FROM change_feed
@@ -371,6 +385,26 @@ def load_everything(spark, sf_dir):
     return lake.current(spec)
 
 
+@query(
+    "control_load",
+    """SELECT CAST(1 AS BIGINT) AS run_id, 'TBL_CUSTOMER' AS target_table_name, count(*) AS rows_inserted FROM customer
+    UNION ALL SELECT 2, 'TBL_PART', count(*) FROM part
+    UNION ALL SELECT 3, 'TBL_SUPPLIER', count(*) FROM supplier""",
+)
+def load_control_file(spark, sf_dir):
+    """Three objects of a control file, each with a key of its own, loaded one after another."""
+    root = fresh_dir(spark, "control")
+    objects = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    lines = [",".join(CONTROL_COLUMNS)]
+    for number, (name, key) in enumerate(objects.items(), start=1):
+        i.table(spark, sf_dir, name).write.parquet(f"{root}/source/{name}")
+        lines.append(f"{number},shop,shop,public,table,{name},-,-,{key},*,no,-,tbl_{name}")
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{root}/control")
+    lake = _lake(spark, root, f"{root}/source", i.FIRST_RUN)
+    _checked(full_load(lake, load_specs(read_control(spark, f"{root}/control"))))
+    return lake.ledger.rows().select("run_id", "target_table_name", "rows_inserted")
+
+
 @query(
     "incremental_load",
     f"""WITH {i.ORDER_TARGET_SQL},{i.ORDER_SOURCE_SQL},
