@@ -362,7 +362,7 @@ class _Load:
         replaced |= {b for b in touched if len(base.versions[b]) >= lake.appends_per_bucket}
         whole = table.read(base, replaced, schema)
         # a scan keeps rows bucket by bucket, but too many small files are merged on the way
-        crowded = len(whole.inputFiles()) > lake.files_per_bucket * len(replaced) if replaced else False
+        crowded = table.file_count(base, replaced) > lake.files_per_bucket * len(replaced) if replaced else False
         lie = "scattered" if crowded else "grouped" if deleted is None else self._after_shuffle()
         existing = upsert.updated_target(
             self._remaining(whole, deleted), latest, keys, self.run_ts, small=True, target_unique=True

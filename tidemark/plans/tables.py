@@ -26,6 +26,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,9 +123,6 @@ class VersionedTable:
         """Aggregate of the buckets the rows fall into: at most ``count`` numbers."""
         return F.collect_set(self.bucket_of(df, count))
 
-    def _path(self, version: int, bucket: int) -> str:
-        return f"{self.root}/data/{_RUN}={version}/{_BUCKET}={bucket}"
-
     def read(
         self,
         manifest: Manifest,
@@ -139,16 +137,30 @@ class VersionedTable:
         """
         schema = schema or manifest.schema
         more = [T.StructField(_AT, T.LongType())] if newest else []
-        paths = [
-            self._path(version, bucket)
-            for bucket, versions in sorted(manifest.versions.items())
-            for version in versions
-            if only is None or bucket in only
-        ]
-        if not paths:
+        stored = self._stored(manifest, only, _stored_schema(schema, *more))
+        if stored is None:
             return self.spark.createDataFrame([], T.StructType(schema.fields + more))
-        reader = self.spark.read.schema(_stored_schema(schema, *more)).option("basePath", f"{self.root}/data")
-        return _as_named(reader.parquet(*paths), schema, *(f.name for f in more))
+        return _as_named(stored, schema, *(f.name for f in more))
+
+    def _stored(self, manifest: Manifest, only: set[int] | None, schema: T.StructType) -> DataFrame | None:
+        """One read of the run folders; which buckets count in each is a filter on the folder names."""
+        runs: dict[int, list[int]] = {}
+        for bucket, versions in sorted(manifest.versions.items()):
+            if only is None or bucket in only:
+                for version in versions:
+                    runs.setdefault(version, []).append(bucket)
+        if not runs:
+            return None
+        names = [T.StructField(_RUN, T.LongType()), T.StructField(_BUCKET, T.IntegerType())]
+        reader = self.spark.read.schema(T.StructType(schema.fields + names)).option("basePath", f"{self.root}/data")
+        found = reader.parquet(*[f"{self.root}/data/{_RUN}={version}" for version in sorted(runs)])
+        held = [(col(_RUN) == version) & col(_BUCKET).isin(buckets) for version, buckets in sorted(runs.items())]
+        return found.filter(reduce(lambda a, b: a | b, held))
+
+    def file_count(self, manifest: Manifest, only: set[int]) -> int:
+        """Files that hold the buckets; their rows are not read."""
+        stored = self._stored(manifest, only, T.StructType([]))
+        return 0 if stored is None else stored.select(F.col("_metadata.file_path")).distinct().count()
 
     def _in_time_order(self, rows: DataFrame) -> DataFrame:
         """Rows with their newest time as a number, sorted by bucket, as the write needs anyway, and by that.
