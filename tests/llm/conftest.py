@@ -1,7 +1,11 @@
 import pytest
+from hypothesis import settings
 
 from tidemark.llm.queries import importable
 
+settings.register_profile("unhurried", deadline=None)
+settings.load_profile("unhurried")
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, _text string, size long"
 
 

@@ -3,7 +3,7 @@ import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 
-from tidemark.llm.words import Ranges, blocks, grouped, shingle_hashes, sliding
+from tidemark.llm.words import Ranges, _hash_words, blocks, grouped, shingle_hashes, sliding
 
 TEXT = st.text(alphabet=st.sampled_from(list("ab é\t\n\x0b\x0c\r 漢")), max_size=30)
 
@@ -52,3 +52,11 @@ def test_groups_are_never_cut(keys, sizes):
     assert [key for part in found for key in part] == keys
     for one, other in zip(found, found[1:], strict=False):
         assert one[-1] != other[0]
+
+
+@given(st.lists(st.integers(1, 9), min_size=1, max_size=20), st.integers(1, 12))
+def test_hashes_do_not_depend_on_the_portions(lengths, at_once):
+    ends = np.cumsum(np.array(lengths) + 1) - 1
+    starts = ends - np.array(lengths)
+    data = np.random.Generator(np.random.PCG64(1)).integers(0, 255, ends[-1]).astype(np.uint8)
+    assert (_hash_words(data, starts, ends, at_once) == _hash_words(data, starts, ends)).all()

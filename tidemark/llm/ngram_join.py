@@ -281,17 +281,14 @@ def near_duplicates(
     # verification: all pairs of each component of ties
     found = stored(components(ties).withColumnRenamed("node", "key"), "components")
     weighed = found.join(classes.select("key", "class_id", "h1", "h2", "shingles"), "key")
-    parts = found.join(classes.select("key", "shingles"), "key").groupBy("root").agg(
-        F.greatest(
-            F.ceil(F.sum("shingles") / block_shingles), F.ceil(F.count("*") / block_texts)
-        ).alias("parts")
-    )
-    wanted = spread_join(weighed, parts, ["root"]).select("key", "root", "parts", "class_id", "h1", "h2")
-    rows, wanted = (df.withColumn("row", F.coalesce(at, F.lit(-1).cast(id_type))) for df, at in
-                    ((rows, F.col("id")), (wanted, F.col("class_id"))))
-    spelled = rows.select("row", "h1", "h2", "text").join(
-        wanted.select("row", "h1", "h2", "key", "root", "parts"), ["row", "h1", "h2"]
+    size = F.greatest(F.ceil(F.sum("shingles") / block_shingles), F.ceil(F.count("*") / block_texts))
+    parts = weighed.groupBy("root").agg(size.alias("parts"))
+    wanted = spread_join(weighed, parts, ["root"]).select(
+        *row_key(F.col("class_id"), id_type), "h1", "h2", "key", "root", "parts"
     )
+    # one row for each text, also where whole rows are repeated; the grouping needs no exchange after the join
+    named = ["k1", "k2", "h1", "h2"]
+    spelled = rows.select(*row_key(F.col("id"), id_type), "h1", "h2", "text").join(wanted, named).dropDuplicates(named)
     tasks = _block_pairs(spelled, F.col("parts"), F.col("root"), "task")
     verified = stored(
         tasks.select("task", "part", "across", "key", "text")

@@ -62,13 +62,22 @@ def _utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte runs ``starts[i]:ends[i]`` of ``data``."""
+def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at_once: int = BLOCK_BYTES) -> np.ndarray:
+    """64-bit hashes of the byte runs ``starts[i]:ends[i]`` of ``data``, some ``at_once`` bytes at a time."""
     lengths = ends - starts
-    inside = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    values = _BYTE_VALUE[data[np.repeat(starts, lengths) + inside]]
-    values *= powers(int(_BASE), int(lengths.max()))[inside]
-    return mix(np.add.reduceat(values, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64))
+    stops = np.cumsum(lengths)
+    cuts = np.unique(np.searchsorted(stops, np.arange(at_once, stops[-1], at_once)))
+    found = []
+    for part in np.split(np.arange(len(starts)), cuts):
+        if not len(part):
+            continue
+        size = lengths[part]
+        first = np.cumsum(size) - size
+        inside = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
+        values = _BYTE_VALUE[data[np.repeat(starts[part], size) + inside]]
+        values *= powers(int(_BASE), int(size.max()))[inside]
+        found.append(mix(np.add.reduceat(values, first) + size.astype(np.uint64)))
+    return np.concatenate(found)
 
 
 def blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
