@@ -2,6 +2,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.ngram_join import leaders, matched_depth, near_duplicates, one_of_each_group
@@ -66,6 +67,13 @@ def test_one_of_each_group(odd):
     assert {key for key, _ in rows} == groups
 
 
+def test_text_ids(odd):
+    named = odd.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 2, "0")))
+    rows = [(None if r.doc_id is None else f"d{r.doc_id:02d}", r.text) for r in odd.collect()]
+    assert result(near_duplicates(named)) == expected(rows)
+    assert one_of_each_group(named).count() == one_of_each_group(odd).count()
+
+
 def test_empty_table(none):
     assert near_duplicates(none).count() == 0 and one_of_each_group(none).count() == 0
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm.substring_dedup import remove_repeats, repeated_suffixes
 
@@ -40,6 +41,12 @@ def test_odd_rows(odd):
     assert {r._text for r in found.collect()} == {"mine"}
 
 
+def test_text_ids(odd):
+    found = remove_repeats(odd.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))), window=8, anchor=3)
+    rows = [(None if r.doc_id is None else f"d{r.doc_id}", r.text) for r in odd.collect()]
+    assert result(found) == left(rows, 8)
+
+
 def test_empty_table(none):
     assert remove_repeats(none).count() == 0
 

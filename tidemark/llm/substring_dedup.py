@@ -68,29 +68,26 @@ def _stretches(hashes: np.ndarray, first: np.ndarray, window: int, anchor: int):
 
 
 def _find_stretches(window: int, anchor: int):
-    names = ["doc", TEXT_HASH, "prefix", "stretch", "start", "windows"]
+    names = [ID, TEXT_HASH, "prefix", "stretch", "start", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column(0).fill_null(0))
-            null = np.asarray(batch.column(0).is_null())
-            text_hashes = np.asarray(batch.column(1))
             for block in blocks(batch.column(2)):
                 found = _stretches(block.hashes, block.first, window, anchor)
                 if found is None:
                     continue
                 owner, begins, windows, prefix, stretch = found
-                row = owner + block.rows.start
+                row = pa.array(owner + block.rows.start)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[row], mask=null[row]),
-                        pa.array(text_hashes[row]),
+                        batch.column(0).take(row),
+                        batch.column(1).take(row),
                         pa.array(prefix.view(np.int64)),
                         pa.array(stretch.view(np.int64)),
                         pa.array((begins - block.first[owner]).astype(np.int32)),
                         pa.array(windows.astype(np.int32)),
                     ],
-                    names=[ID, *names[1:]],
+                    names=names,
                 )
 
     return run
@@ -275,9 +272,10 @@ def remove_repeats(
     if not 0 < anchor <= window or window - anchor > 61:
         raise ValueError("anchor must be 1 to window words, and at most 61 shorter")
     rows = identified(docs, id_col, text_col)
-    found = rows.select(F.col(ID).cast("long").alias(ID), TEXT_HASH, TEXT).mapInArrow(
+    id_type = rows.schema[ID].dataType.simpleString()
+    found = rows.select(ID, TEXT_HASH, TEXT).mapInArrow(
         _find_stretches(window, anchor),
-        f"{ID} long, {TEXT_HASH} long, prefix long, stretch long, start int, windows int",
+        f"{ID} {id_type}, {TEXT_HASH} long, prefix long, stretch long, start int, windows int",
     )
     twice = found.groupBy("prefix").count().where("count > 1").select("prefix")
     shared = stored(spread_join(found, twice, ["prefix"]), "stretches")
@@ -290,7 +288,7 @@ def remove_repeats(
     rest = rows.schema[REST].dataType.simpleString()
     result = left.mapInArrow(
         _cut(window),
-        f"{ID} {rows.schema[ID].dataType.simpleString()}, {REST} {rest}, "
+        f"{ID} {id_type}, {REST} {rest}, "
         "kept_text string, n_words long, n_removed long",
     )
     own = {id_col, "kept_text", "n_words", "n_removed"}
