@@ -32,6 +32,8 @@ TEXT = (
         f"{ARTICLE}<form><p>Write to us, and say what you think of it all.</p><input></form>{MORE}",
         f"{ARTICLE}<script>if (a < b) document.write('<p>x</p>')</script><!-- <p>no</p> -->{MORE}",
         f"{ARTICLE}<div class=ad>Buy the new boat today. It is cheap, and it floats.</div>{MORE}",
+        f"{ARTICLE}<div class='adsbygoogle'>Buy the new boat today. It is cheap, and it floats.</div>{MORE}",
+        f"<div class='page modal-open has-sidebar'><div class=entry>{ARTICLE}<label>Name</label>{MORE}</div></div>",
         f"{ARTICLE}<p style='display: none'>Hidden words that nobody sees on the page.</p>{MORE}",
         f"{ARTICLE}{MORE}<footer><p>&copy; The paper. All rights reserved, as ever.</p></footer>",
         f"<p>{ARTICLE[3:-4]}{MORE[:-4]}<div class='share'><a href=1>Post</a><a href=2>Mail</a></div><!-- open",

@@ -13,7 +13,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
-UNSEEN = frozenset("head title textarea select option optgroup datalist button form fieldset dialog menu".split())
+UNSEEN = frozenset("head title textarea select option optgroup datalist button label legend form fieldset dialog menu".split())
 BOILERPLATE = frozenset("nav footer aside".split())
 #: an open element of the key ends where one of the value starts
 CLOSED_BY = {
@@ -42,10 +42,13 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 BAD_STEMS = (
     "advert sponsor promo sidebar footer menu navig breadcrumb pagination pager cookie consent gdpr newsletter "
     "subscri signup signin login share sharing social related recommend comment disqus respond widget banner popup "
-    "modal notice alert disclaimer copyright toolbar masthead trending sitemap outbrain taboola paywall"
+    "modal notice alert disclaimer copyright toolbar masthead trending sitemap paywall "
+    "adsby adslot adunit adbox adwrap adcontainer"
 ).split()
 BAD_WORDS = frozenset("ad ads adv nav reply replies search aside tags legal skip topbar navbar ticker".split())
 GOOD_WORDS = frozenset("article content post entry story main text body prose".split())
+#: words that make a class a state of the page and no name of a part
+STATES = frozenset("has with no without".split()), frozenset("open closed enabled disabled ready loaded accepted".split())
 BAD_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split()
 )
@@ -92,7 +95,7 @@ def _says(name: str, more: str, inside: int) -> int:
         if key in ("class", "id") and name not in ("html", "body", "article", "main"):
             for token in value.split():
                 words = [word.lower() for word in _HINT.findall(token)]
-                if words[:1] in (["has"], ["with"], ["no"], ["without"]):
+                if len(words) > 1 and (words[0] in STATES[0] or words[-1] in STATES[1]):
                     continue
                 if any(word in BAD_WORDS or word.startswith(tuple(BAD_STEMS)) for word in words):
                     return BAD
