@@ -8,33 +8,40 @@ from pyspark.sql import functions as F
 from tidemark.functions.timestamps import parse_export_time, utc_wall
 
 
-def _path(*fields: str) -> str:
-    parts = []
-    for field in fields:
-        mark = '"' if "'" in field else "'"
-        parts.append(f"[{mark}{field}{mark}]")
-    return "$" + "".join(parts)
+# How exports write object ids, and dates as text or as milliseconds.
+_OBJECT_ID = r'^\{"\$oid":"([^"]*)"\}$'
+_DATE_TEXT = r'^\{"\$date":"([^"]*)"\}$'
+_DATE_MILLIS = r'^\{"\$date":(?:\{"\$numberLong":")?(-?\d+)"?\}?\}$'
+_MILLIS = "ms "
+
+
+def _path(field: str) -> str:
+    mark = '"' if "'" in field else "'"
+    return f"$[{mark}{field}{mark}]"
+
+
+def _text(doc: Column, field: str) -> Column:
+    return F.try_variant_get(doc, _path(field), "string")
 
 
 def document_text(doc: Column, field: str) -> Column:
     """Field as text; an absent field gives null, an exported object id its digits."""
-    plain = F.try_variant_get(doc, _path(field), "string")
-    return F.coalesce(F.try_variant_get(doc, _path(field, "$oid"), "string"), plain)
+    return F.regexp_replace(_text(doc, field), _OBJECT_ID, "$1")
 
 
-def document_timestamp(doc: Column, field: str, strict: bool = True) -> Column:
-    """Field as timestamp: text in one of the known layouts, or an exported date.
-
-    Exports write dates as ISO text or as milliseconds since 1970, below
-    ``$date``; both are UTC.
-    """
-    millis = F.coalesce(
-        F.try_variant_get(doc, _path(field, "$date", "$numberLong"), "long"),
-        F.when(
-            F.schema_of_variant(F.try_variant_get(doc, _path(field, "$date"), "variant")) == "BIGINT",
-            F.try_variant_get(doc, _path(field, "$date"), "long"),
-        ),
+def document_time_text(doc: Column, field: str) -> Column:
+    """Field as the text that ``parse_document_time`` reads."""
+    return F.regexp_replace(F.regexp_replace(_text(doc, field), _DATE_TEXT, "$1"), _DATE_MILLIS, f"{_MILLIS}$1")
+
+
+def parse_document_time(text: Column, strict: bool = True) -> Column:
+    """Text in one of the known layouts, or an exported date: ISO text or milliseconds since 1970, in UTC."""
+    millis = F.substring(text, len(_MILLIS) + 1, 20).try_cast("long")
+    return F.when(F.startswith(text, F.lit(_MILLIS)), utc_wall(F.timestamp_millis(millis))).otherwise(
+        parse_export_time(text, strict)
     )
-    exported = F.try_variant_get(doc, _path(field, "$date"), "string")
-    text = F.coalesce(exported, F.try_variant_get(doc, _path(field), "string"))
-    return F.when(millis.isNotNull(), utc_wall(F.timestamp_millis(millis))).otherwise(parse_export_time(text, strict))
+
+
+def document_timestamp(doc: Column, field: str, strict: bool = True) -> Column:
+    """Field as timestamp, see ``parse_document_time``."""
+    return parse_document_time(document_time_text(doc, field), strict)

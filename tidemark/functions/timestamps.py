@@ -66,13 +66,20 @@ def wall_clock(df: DataFrame, names: list[str | None]) -> DataFrame:
 def parse_export_time(text: Column, strict: bool = True) -> Column:
     """A time as document exports write it: the known layouts, or ISO; with an offset, as UTC.
 
-    Other text is refused as ``parse_timestamp`` does.
+    Null and 'NaT' give null; other text raises when strict and gives null otherwise.
     """
     zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
     iso = F.when(zoned, utc_wall(text.try_cast("timestamp"))).otherwise(
         F.replace(text, F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
     )
-    return F.when(text.rlike(ISO_TEXT) & iso.isNotNull(), iso).otherwise(parse_timestamp(text, strict))
+    parsed = [
+        F.when(text.rlike(TEXT_LAYOUTS), text.try_cast("timestamp_ntz")),
+        F.when(text.rlike(ISO_TEXT), iso),
+    ]
+    if strict:
+        message = F.concat(F.lit("text is not a known timestamp layout: "), text)
+        parsed.append(F.raise_error(message).cast("timestamp_ntz"))
+    return F.when(text.isNotNull() & (text != MISSING_TEXT), F.coalesce(*parsed))
 
 
 def timestamp_text(ts: Column) -> Column:

@@ -9,7 +9,7 @@ from tidemark.functions.documents import document_timestamp
 from tidemark.names import SENTINEL_MARK, col, ntz
 
 
-def _greatest_of(times: list[Column]) -> Column:
+def greatest_time(times: list[Column]) -> Column:
     """Greatest of all times; always without a time zone, as the driver would shift others."""
     latest = [F.max(time.cast("timestamp_ntz")) for time in times]
     if not latest:
@@ -20,18 +20,18 @@ def _greatest_of(times: list[Column]) -> Column:
 def high_water_mark(df: DataFrame, inserted: str, updated: str | None = None) -> DataFrame:
     """Greatest insert or update time; null for an empty batch."""
     names = [name for name in dict.fromkeys((inserted, updated)) if name]
-    return df.agg(_greatest_of([col(name) for name in names]).alias("max_timestamp"))
+    return df.agg(greatest_time([col(name) for name in names]).alias("max_timestamp"))
 
 
 def document_high_water_mark(df: DataFrame, doc: str, inserted: str | None, updated: str | None = None) -> DataFrame:
     """The same by fields of the documents; null if they have no times."""
     fields = [field for field in dict.fromkeys((inserted, updated)) if field]
-    return df.agg(_greatest_of([document_timestamp(col(doc), f) for f in fields]).alias("max_timestamp"))
+    return df.agg(greatest_time([document_timestamp(col(doc), f) for f in fields]).alias("max_timestamp"))
 
 
 def incremental_mark(df: DataFrame, inserted: str) -> DataFrame:
     """Greatest insert time alone, or the sentinel mark for an empty batch."""
-    return df.agg(F.coalesce(_greatest_of([col(inserted)]), ntz(SENTINEL_MARK)).alias("max_timestamp"))
+    return df.agg(F.coalesce(greatest_time([col(inserted)]), ntz(SENTINEL_MARK)).alias("max_timestamp"))
 
 
 def batch_count(df: DataFrame) -> DataFrame:

@@ -177,12 +177,19 @@ class _Load:
             for name, dtype in declared.items()
         }
 
-    def _latest(self, df: DataFrame, inserted: str | None, updated: str | None, tiebreak=None) -> DataFrame:
+    def _measure(self, staged: DataFrame, times: tuple[str, ...] | list[str]) -> tuple[datetime | None, int]:
+        """Greatest time of the batch and its rows with a null key, in one aggregate."""
+        keyless = F.count_if(any_null([col(k) for k in self.table.keys]))
+        return tuple(staged.agg(marks.greatest_time([col(t) for t in times]), keyless).first())
+
+    def _latest(self, df: DataFrame, inserted: str | None, updated: str | None, keyless: int, tiebreak=None) -> DataFrame:
         """The latest row per key, and every row with a null key.
 
         Null keys match nothing, so each read of such a row inserts it again;
         optionally they are set aside, all of them.
         """
+        if not keyless:
+            return latest_per_key(df, self.table.keys, inserted, updated, tiebreak)
         missing = any_null([col(k) for k in self.table.keys])
         latest = latest_per_key(df.filter(~missing), self.table.keys, inserted, updated, tiebreak)
         if self.lake.reject_null_keys:
@@ -203,10 +210,10 @@ class _Load:
                 changed = changed_since(source, str(self.read_from), inserted, updated)
             self.step = "stage batch"
             staged = stage_batch(changed, lake.stage(spec), self.run_id)
-            found = marks.high_water_mark(staged, inserted, updated).first()["max_timestamp"]
         else:
-            staged, found = self._snapshot_changes(source, "snapshot", lake.stage(spec)), None
-        latest = self._latest(self._typed(staged), inserted, updated)
+            staged = self._snapshot_changes(source, "snapshot", lake.stage(spec))
+        found, keyless = self._measure(staged, spec.times)
+        latest = self._latest(self._typed(staged), inserted, updated, keyless)
         outcome = self._commit(latest, self._deleted(), schema)
         return {**outcome, **self._mark(found)}
 
@@ -279,8 +286,8 @@ class _Load:
         fields = dict(zip(spec.keys, self.table.keys, strict=True))
         typed, times = typed_documents(docs, DOC, fields, spec.inserted_col, spec.updated_col)
         staged = stage_batch(typed, lake.stage(spec), self.run_id)
-        found = marks.high_water_mark(staged, *times).first()["max_timestamp"] if times else None
-        latest = self._latest(staged, *newest_first(times), [DOC]).drop(*times)
+        found, keyless = self._measure(staged, times)
+        latest = self._latest(staged, *newest_first(times), keyless, [DOC]).drop(*times)
         return {**self._commit(latest, None, None), **self._mark(found)}
 
     # --- writing -----------------------------------------------------------------
