@@ -109,7 +109,7 @@ def _mapping(spark):
     """A mapping file as a control input: of two rows for a name, the first counts."""
     path = fresh_dir(spark, "types")
     lines = [
-        "POSTGRESQL,SQLSERVER,SNOWFLAKE",
+        "POSTGRESQL,SQLSERVER,WAREHOUSE",
         "int4,int,number",
         "numeric,decimal,decimal",
         "timestamp without time zone,datetime2,timestamp_ntz",
@@ -117,7 +117,7 @@ def _mapping(spark):
         "numeric,,float",
     ]
     spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
-    return read_mapping(spark, path, "SNOWFLAKE")
+    return read_mapping(spark, path, "WAREHOUSE")
 
 
 _MAPPED = """CASE data_type WHEN 'int4' THEN 'number' WHEN 'numeric' THEN 'decimal'
