@@ -65,3 +65,13 @@ def test_tree_nodes_are_the_repeats(stretches, data):
         if seen[groups[i], tuple(s[at : at + 4])] > 1
     }
     assert set(zip(owner, offset, strict=True)) == expected
+
+
+@pytest.mark.parametrize("copies", [2, 3])
+@pytest.mark.parametrize("group_rows", [1, 20_000])
+def test_whole_rows_repeated(spark, copies, group_rows):
+    passage = " ".join(f"p{n}" for n in range(10))
+    repeated = (1, " ".join(f"a{n}" for n in range(9)) + f" {passage} and the end of it")
+    rows = [*[repeated] * copies, (2, f"another start {passage}"), (None, f"{passage} clean words after it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(remove_repeats(df, window=8, anchor=3, group_rows=group_rows)) == left(rows, 8)

@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import ID, REST, TEXT, TEXT_HASH, identified, other_columns, same_row, spread_join, stored
+from tidemark.llm.tables import ID, REST, TEXT, TEXT_HASH, identified, other_columns, spread_join, stored
 from tidemark.llm.words import Ranges, blocks, grouped, sliding
 
 WINDOW = 35
@@ -211,6 +211,11 @@ def _cut(window: int):
     return run
 
 
+def _row() -> Column:
+    """Names a row in joins and grouping, also where its id is null."""
+    return F.struct(ID, TEXT_HASH).alias("row")
+
+
 def _verdicts(docs: DataFrame, shared: DataFrame, window: int, group_rows: int) -> DataFrame:
     """Prefix, stretch and a bit for each of its windows that repeats."""
     variants = shared.groupBy("prefix", "stretch", "windows").agg(
@@ -223,13 +228,16 @@ def _verdicts(docs: DataFrame, shared: DataFrame, window: int, group_rows: int)
     wanted = (
         spread_join(variants, branching, ["prefix"])
         .select("place.*", "prefix", "stretch", "windows", "variants")
-        .groupBy(ID, TEXT_HASH)
+        .groupBy(_row())
         .agg(F.collect_list(F.struct("prefix", "stretch", "start", "windows", "variants")).alias("wanted"))
     )
+    # one row for each text, also where whole rows are repeated: the grouping needs no exchange after the
+    # join, and as all columns stay, the exchange of the texts is that of the last join in remove_repeats
+    named = docs.withColumn("row", _row())
     spelled = (
-        docs.join(wanted, same_row(docs, wanted))
-        .drop(wanted[ID])
-        .drop(wanted[TEXT_HASH])
+        named.join(wanted, named["row"] == wanted["row"])
+        .drop(named["row"])
+        .dropDuplicates(["row"])
         .mapInArrow(_spell(window), "prefix long, stretch long, variants long, words array<long>")
     )
     trees = (
@@ -248,9 +256,10 @@ def _verdicts(docs: DataFrame, shared: DataFrame, window: int, group_rows: int)
     split = (
         suffixes.join(deep, ["prefix", "suffix"])
         .groupBy("prefix", "stretch")
-        .agg(F.sum(F.expr("shiftleft(1L, offset)")).alias("marks"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, offset)")).alias("marks"))
     )
-    return settled.unionByName(trees).unionByName(split).groupBy("prefix", "stretch").agg(F.max("marks").alias("marks"))
+    found = settled.unionByName(trees).unionByName(split)
+    return found.groupBy("prefix", "stretch").agg(F.bit_or("marks").alias("marks"))
 
 
 def remove_repeats(
@@ -283,8 +292,9 @@ def remove_repeats(
         spread_join(shared, _verdicts(rows, shared, window, group_rows), ["prefix", "stretch"])
         .groupBy(ID, TEXT_HASH)
         .agg(F.collect_list("start").alias("starts"), F.collect_list("marks").alias("marks"))
+        .select(_row(), "starts", "marks")
     )
-    left = rows.join(marked, same_row(rows, marked), "left").drop(marked[ID]).drop(marked[TEXT_HASH])
+    left = rows.withColumn("row", _row()).join(marked, "row", "left")
     rest = rows.schema[REST].dataType.simpleString()
     result = left.mapInArrow(
         _cut(window),
