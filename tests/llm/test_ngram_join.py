@@ -103,3 +103,23 @@ def test_components(spark):
     found = components(spark.createDataFrame(edges, "a long, b long"))
     roots = {1: 1, 2: 1, 3: 1, 12: 1, 4: 4, 5: 4, 6: 6, 7: 6, 8: 6, 9: 6, 10: 6}
     assert {r.node: r.root for r in found.collect()} == roots and found.count() == len(roots)
+
+
+def test_near_duplicates_with_tied_and_null_ids(spark):
+    def near(word):
+        words = [f"{word}{n}" for n in range(60)]
+        return " ".join(words), " ".join([*words[:-1], "changed"])
+
+    (a, a2), (b, b2), (c, c2), (d, d2) = map(near, "abcd")
+    rows = [(1, a), (1, a2), (None, b), (None, b2), (None, c), (None, c2), (None, d), (4, d2), (1, "alone"), (4, d2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = [{a, a2}, {b, b2}, {c, c2}, {d, d2}, {"alone"}]
+    kept = [(r.doc_id, r.text) for r in one_of_each_group(df).collect()]
+    assert [sum(text in group for _, text in kept) for group in groups] == [1] * len(groups) and len(kept) == len(groups)
+    assert (4, d2) in kept and set(kept) <= set(rows)
+    found = near_duplicates(df)
+    assert result(found) == expected(rows)
+    keys = {}
+    for r in found.collect():
+        keys.setdefault(r.group_key, []).append(r.doc_id)
+    assert sorted(map(len, keys.values())) == [1, 2, 2, 2, 3]

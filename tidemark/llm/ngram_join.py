@@ -223,6 +223,11 @@ def _block_pairs(df: DataFrame, parts: Column, group: Column, name: str) -> Data
     return dealt.withColumn("across", F.col("part") != F.col("other")).withColumn(name, pair).drop("other")
 
 
+def _class_key(h1: str, h2: str) -> Column:
+    """The two hashes of a text as one name of its class."""
+    return F.concat(F.hex(h1), F.lit("-"), F.hex(h2))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -240,7 +245,9 @@ def near_duplicates(
 
     Columns: the id, ``class_id`` (least id of the rows with an equal text),
     ``n_copies`` (rows with an equal text), ``n_links`` (different texts linked
-    to it), ``group_id`` (least id among the texts reachable over links), and
+    to it), ``group_id`` (least id among the texts reachable over links),
+    ``group_key`` (the text that has this id, the one with the least hashes if
+    several do; it alone names the group where ids repeat or are null), and
     ``_h1``, ``_h2``, the two hashes of the text that name its class. Null texts
     are equal to each other. Other columns play no part.
     """
@@ -255,7 +262,7 @@ def near_duplicates(
         ),
         "signatures",
     )
-    key = F.concat(F.hex("h1"), F.lit("-"), F.hex("h2"))
+    key = _class_key("h1", "h2")
     classes = signed.groupBy("h1", "h2").agg(
         F.min("id").alias("class_id"), F.count("*").alias("n_copies"), F.max("shingles").alias("shingles")
     )
@@ -301,8 +308,12 @@ def near_duplicates(
     joined = components(verified.select(F.col("key").alias("a"), F.col("root").alias("b")))
 
     groups = joined.withColumnRenamed("node", "key").join(classes.select("key", "class_id"), "key")
-    least = groups.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    labels = spread_join(groups, least, ["root"]).select("key", "group_id")
+    # ids may repeat or be null: the hashes in the key tell the groups apart
+    first = F.struct(F.col("class_id").isNull().alias("absent"), "class_id", "key")
+    least = groups.groupBy("root").agg(F.min(first).alias("first"))
+    labels = spread_join(groups, least, ["root"]).select(
+        "key", F.col("first.class_id").alias("group_id"), F.col("first.key").alias("group_key")
+    )
     known = (
         classes.join(labels, "key", "left")
         .join(links, "key", "left")
@@ -312,7 +323,8 @@ def near_duplicates(
             "class_id",
             "n_copies",
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
-            F.coalesce("group_id", "class_id").alias("group_id"),
+            F.when(F.col("group_key").isNull(), F.col("class_id")).otherwise(F.col("group_id")).alias("group_id"),
+            F.coalesce("group_key", "key").alias("group_key"),
         )
     )
     return spread_join(signed.select("id", "h1", "h2"), known, ["h1", "h2"]).select(
@@ -321,16 +333,20 @@ def near_duplicates(
         "n_copies",
         "n_links",
         "group_id",
+        "group_key",
         F.col("h1").alias("_h1"),
         F.col("h2").alias("_h2"),
     )
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The row with the least id of every group; rows equal in id and text count as one."""
+    """The row with the least id of every group; rows equal in id and text count as one.
+
+    Of different texts that share this id, the one with the least hashes stays.
+    """
     found = near_duplicates(docs, id_col, text_col, **options)
     dtype = dict(docs.dtypes)[id_col]
-    chosen = F.col(id_col).eqNullSafe(F.col("group_id"))
+    chosen = quoted(id_col).eqNullSafe(F.col("group_id")) & (_class_key("_h1", "_h2") == F.col("group_key"))
     first = found.where(chosen).select(*row_key(F.col(id_col), dtype), F.col("_h1").alias("k3"), F.col("_h2").alias("k4"))
     named = docs.select(
         *row_key(quoted(id_col), dtype),

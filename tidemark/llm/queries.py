@@ -101,7 +101,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_ngram_jaccard_join")
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs).select("doc_id", "class_id", "n_copies", "n_links", "group_id")
+    return near_duplicates(docs).select("doc_id", "class_id", "n_copies", "n_links", "group_id", "group_key")
 
 
 def grades(labels: DataFrame) -> DataFrame:
