@@ -50,9 +50,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents with their tokens, and their places in sequences."""
     importable(spark)
-    return pack_documents(docs.select(*COLUMNS))
+    return pack_documents(docs.select(*COLUMNS), with_ids=True)
 
 
 STAGES = [

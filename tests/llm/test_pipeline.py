@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from corpus_pipeline import COLUMNS, STAGES
+from tidemark.llm.packing import END, encoder, vocabulary_path
 from test_ngram_join import expected
 from test_substring_dedup import left
 
@@ -53,3 +54,15 @@ def test_odd_rows(spark, sf_dir, odd, name):
 @pytest.mark.parametrize("name", [name for name, _ in STAGES])
 def test_empty_table(spark, sf_dir, none, name):
     assert dict(STAGES)[name](spark, none, sf_dir).count() == 0
+
+
+def test_packed_tokens_are_the_texts(spark, sf_dir, odd):
+    found = {}
+    for r in dict(STAGES)["best_fit_packing"](spark, odd.dropDuplicates(["doc_id"]), sf_dir).collect():
+        assert len(r.ids) == r.length
+        found.setdefault(r.doc_id, {})[r.piece] = r.ids
+    texts = {r.doc_id: r.text or "" for r in odd.dropDuplicates(["doc_id"]).collect()}
+    tokens = {key: [token for _, ids in sorted(pieces.items()) for token in ids] for key, pieces in found.items()}
+    decode = encoder(vocabulary_path()).decode
+    assert {key: decode(ids[:-1]) for key, ids in tokens.items()} == texts
+    assert {ids[-1] for ids in tokens.values()} == {END}
