@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, ordinal_quality
+from tidemark.llm.filter_audit import audit
 from tidemark.llm.html_extract import extract
 from tidemark.llm.mixing import mix
 from tidemark.llm.ngram_join import near_duplicates
@@ -168,3 +169,57 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, edits_col="edits").select(
         "doc_id", "n_tokens", "n_edits", "n_tokens_edited", "chars_encoded"
     )
+
+
+AUDIT_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), split AS (
+    SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM docs
+), marks AS (
+    SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failed AS (
+    SELECT s.part, coalesce(m.good, false) AS good, coalesce(m.toxic, false) AS toxic,
+        (len(s.words) < 100)::INT
+        + 2 * (100 * len(list_distinct(s.words)) < 80 * len(s.words))::INT
+        + 4 * (100 * (length(s.t) - length(regexp_replace(s.t, '[A-Z]', '', 'g'))) > 10 * length(s.t))::INT
+        + 8 * regexp_matches(s.t, '[#$%&*|]')::INT
+        + 16 * coalesce(s.doc_id > min(s.doc_id) OVER (PARTITION BY s.t), false)::INT AS mask
+    FROM split s LEFT JOIN marks m ON s.doc_id = m.doc_id
+), counts AS (
+    SELECT part, mask, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM failed GROUP BY part, mask
+), letters(letter, bit) AS (
+    VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31
+), steps AS (
+    SELECT o.filter_order, s.step, l.bit,
+        (SELECT coalesce(sum(x.bit), 0) FROM letters x WHERE instr(o.filter_order, x.letter) < s.step)::INT AS prior
+    FROM orders o, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step) s, letters l
+    WHERE l.letter = substr(o.filter_order, s.step, 1)
+), found AS (
+    SELECT c.part, s.filter_order, s.step, s.bit,
+        sum(c.n) FILTER (WHERE c.mask & (s.prior | s.bit) = 0) AS kept,
+        sum(c.n) FILTER (WHERE c.mask & s.prior = 0 AND c.mask & s.bit <> 0) AS removed,
+        sum(c.n) FILTER (WHERE c.mask & s.prior <> 0 AND c.mask & s.bit <> 0) AS redundant,
+        sum(c.n) FILTER (WHERE c.mask = s.bit) AS unique_fails,
+        sum(c.good) FILTER (WHERE c.mask & s.prior = 0 AND c.mask & s.bit <> 0) AS good_lost,
+        sum(c.toxic) FILTER (WHERE c.mask & s.prior = 0 AND c.mask & s.bit <> 0) AS toxic_lost
+    FROM counts c, steps s GROUP BY c.part, s.filter_order, s.step, s.bit
+)
+SELECT part, filter_order, step,
+    coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+    coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+    coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+    coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM found
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return audit(docs, table(spark, sf_dir, "labels"))
