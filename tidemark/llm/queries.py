@@ -15,6 +15,7 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.ngram_join import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality_rules import verdicts
+from tidemark.llm.spelling import variants
 from tidemark.llm.spotsigs import as_text, fingerprints
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.token_counts import count_tokens
@@ -223,3 +224,8 @@ FROM found
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return audit(docs, table(spark, sf_dir, "labels"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
