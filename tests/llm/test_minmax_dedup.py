@@ -1,0 +1,117 @@
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.minmax_dedup import forest, linked_pairs, near_duplicates, signatures, tied
+from tidemark.llm.words import mix
+
+
+def shingles(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    return {tuple(words[at : at + 3]) for at in range(max(len(words) - 2, min(len(words), 1)))}
+
+
+def expected(rows):
+    """Brute force: id, shingles, component, kept."""
+    sets = [shingles(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(at):
+        while root[at] != at:
+            at = root[at]
+        return at
+
+    for a, b in combinations(range(len(rows)), 2):
+        if min(len(sets[a]), len(sets[b])) * 100 >= 85 * max(len(sets[a]), len(sets[b])):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) > 0:
+                root[find(b)] = find(a)
+    members = {}
+    for at in range(len(rows)):
+        members.setdefault(find(at), []).append(rows[at][0])
+    found = []
+    for at, (key, _) in enumerate(rows):
+        least = min((k for k in members[find(at)] if k is not None), default=None)
+        found.append((key, len(sets[at]), least, key == least))
+    return sorted(found, key=repr)
+
+
+def result(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"band_sets": 2, "block_sets": 2, "shared_sets": 1}])
+def test_documents(docs, texts, options):
+    assert result(near_duplicates(docs, **options)) == expected(list(texts.items()))
+
+
+def test_odd_rows(odd):
+    assert result(near_duplicates(odd)) == expected([(r.doc_id, r.text) for r in odd.collect()])
+
+
+def test_text_ids_and_case(spark):
+    rows = [("b", "One two THREE four"), ("a", "one TWO three four"), ("c", "Étude two three"), ("d", "étude two three")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").withColumns({"no": F.lit(1), "root": F.lit("x")})
+    assert result(near_duplicates(df)) == expected(rows)
+
+
+def test_no_rows(none):
+    assert near_duplicates(none).count() == 0
+
+
+@pytest.mark.parametrize("base", [True, False])
+def test_a_large_group(spark, base):
+    """Copies that differ from one text in a word each; those of different places are linked only over that text."""
+    words = [f"w{n}" for n in range(60)]
+    place = [n % 19 * 3 + 1 for n in range(400)]
+    rows = [(n, " ".join([*words[:at], f"x{n}", *words[at + 1 :]])) for n, at in enumerate(place)]
+    if base:
+        rows.append((2000, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"block_sets": 32, "band_sets": 50, "shared_sets": 4}):
+        found = result(near_duplicates(df, **options))
+        assert found == expected(rows)
+    assert len({row[2] for row in found}) == (1 if base else 19)
+
+
+def test_repeated_rows_without_ids(spark):
+    rows = [(None, "the same words in every row")] * 3000 + [(None, "other words are in this one"), (7, "the same words in every row")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates(df).groupBy("component_id", "kept").count().collect()
+    assert {(r.component_id, r.kept): r["count"] for r in found} == {(7, False): 3000, (None, True): 1, (7, True): 1}
+
+
+def test_both_ends_estimate_the_similarity():
+    random = np.random.Generator(np.random.PCG64(1))
+    shares = []
+    for _ in range(40):
+        common, a, b = (mix(random.integers(0, 1 << 62, size, dtype=np.uint64)) for size in (170, 15, 15))
+        values = np.concatenate([common, a, common, b])
+        signs = signatures(values, np.array([0, 185]), 60)
+        assert (signs[:, 0::2] <= signs[:, 1::2]).all()
+        shares.append((signs[0] == signs[1]).reshape(60, 2).mean(axis=0))
+    low, high = np.mean(shares, axis=0)
+    assert abs(low - 0.85) < 0.03 and abs(high - 0.85) < 0.03
+    # both ends of one permutation vary less together than two independent values would
+    both = np.mean(shares, axis=1)
+    assert both.var() < 1.3 * 0.85 * 0.15 / 120
+
+
+def test_ties_and_links():
+    sketches = np.zeros((6, 64), dtype=np.uint8)
+    sketches[1, :20] = 1
+    sketches[2, :45] = 1
+    sketches[3:] = [[7] * 64, [8] * 64, [8] * 64]
+    assert list(tied(sketches)) == [0, 0, 0, 3, 4, 4]
+    sets = [set(range(20)), set(range(18)), set(range(100, 120)), set(range(17)), set(range(3, 20))]
+    values = np.concatenate([sorted(s) for s in sets]).astype(np.uint64)
+    owner, sizes = np.repeat(np.arange(5), [len(s) for s in sets]), np.array([len(s) for s in sets])
+    pairs = {(a, b) for a, b in combinations(range(5), 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    side = np.array([0, 1, 0, 1, 0])
+    for columns in (3, 4096):
+        x, y = linked_pairs(values, owner, sizes, side, False, 85, columns)
+        assert set(zip(x.tolist(), y.tolist(), strict=True)) == pairs
+        x, y = linked_pairs(values, owner, sizes, side, True, 85, columns)
+        assert {tuple(sorted(p)) for p in zip(x.tolist(), y.tolist(), strict=True)} == {p for p in pairs if side[p[0]] != side[p[1]]}
+    assert list(forest(5, np.array([3, 1]), np.array([4, 3]))) == [0, 1, 2, 1, 1]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, ordinal_quality
+from tidemark.llm import language_id, minmax_dedup, ordinal_quality
 from tidemark.llm.filter_audit import audit
 from tidemark.llm.html_extract import extract
 from tidemark.llm.mixing import mix
@@ -229,3 +229,8 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_spelling_variants")
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_minmax_dedup")
+def op11_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

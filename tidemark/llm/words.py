@@ -21,6 +21,8 @@ _STEP_INVERSE = pow(_STEP, -1, 1 << 64)
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
 _BYTE_VALUE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, dtype=np.uint64)
 
 
@@ -80,8 +82,11 @@ def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at_once:
     return np.concatenate(found)
 
 
-def blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
-    """Word hashes of a text column, block by block; a text is never cut."""
+def blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES, lower: bool = False) -> Iterator[Block]:
+    """Word hashes of a text column, block by block; a text is never cut.
+
+    With ``lower``, A-Z count as a-z.
+    """
     data, offsets = _utf8(texts)
     at, count = 0, len(texts)
     while at < count:
@@ -89,7 +94,8 @@ def blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
         upto = min(max(upto, at + 1), count)
         low, high = int(offsets[at]), int(offsets[upto])
         bounds = offsets[at : upto + 1] - low
-        black = ~_IS_SPACE[data[low:high]]
+        part = _LOWER[data[low:high]] if lower else data[low:high]
+        black = ~_IS_SPACE[part]
         # a word starts where black begins, or where a text does
         start = black.copy()
         start[1:] &= ~black[:-1]
@@ -101,7 +107,7 @@ def blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
         last = bounds[1:][bounds[1:] > 0] - 1
         stop[last] = black[last]
         ends = np.flatnonzero(stop) + 1
-        hashes = _hash_words(data[low:high], starts, ends) if len(starts) else np.zeros(0, np.uint64)
+        hashes = _hash_words(part, starts, ends) if len(starts) else np.zeros(0, np.uint64)
         yield Block(range(at, upto), hashes, np.searchsorted(starts, bounds))
         at = upto
 
