@@ -10,7 +10,6 @@ from tidemark.operators import upsert as up
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.filters import changed_since
 from tidemark.operators.projection import project_columns, with_audit_columns
-from tidemark.plans.tables import Manifest, VersionedTable
 
 
 def plan_of(df):
@@ -79,19 +78,5 @@ def test_current_batch_reads_one_partition(spark, sf_dir):
     assert "PartitionFilters: [isnotnull(run_id" in plan and "Subquery" not in plan
 
 
-def test_a_table_of_many_buckets_is_one_read_of_its_runs(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), ("k",), 2000)
-    for run in (1, 2):
-        rows = with_audit_columns(spark.range(run * 10, run * 10 + 10).withColumnRenamed("id", "k"), "2024-01-01")
-        written = table.write(run, [(rows, "few")], "2024-01-01", None if run == 1 else written.manifest)
-    manifest = Manifest({b: (1, 2) for b in range(2000)}, written.manifest.schema)
-    every = table.read(manifest)
-    assert len(every.inputFiles()) <= 20 and every.count() == 20
-    plan = plan_of(table.read(manifest, {5, 7}))
-    assert plan.count("FileScan parquet") == 1 and "2 paths" in plan and "IN (5,7)" in plan
-    assert table.file_count(written.manifest, set(range(2000))) == len(every.inputFiles())
-    assert table.manifest(2).versions == written.manifest.versions
-
-
 def test_every_query_has_its_sql():
     assert set(ORACLE) == set(QUERIES)

@@ -1,5 +1,6 @@
 import os
 from datetime import datetime
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,44 +52,96 @@ def test_jdbc_options(monkeypatch):
     source = JdbcSource("sqlserver", "jdbc:sqlserver://db:1433;databaseName={database}", "reader", "SHOP_SECRET", 32)
     query = source.select_text("dbo", "Order]s", "id, total")
     assert query == "SELECT [id], [total] FROM [dbo].[Order]]s]"
-    options = source.read_options(query, "shop", "id", (1, 9000))
+    options = source.read_options(query, "shop")
     assert options["dbtable"] == f"({query}) src" and options["url"].endswith("databaseName=shop")
     assert options["password"] == "s3" and options["driver"].endswith("SQLServerDriver")
     assert options["preferTimestampNTZ"] == "true"
-    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "1", "9000", "32")
 
 
-def test_jdbc_bounds_cover_the_rows_to_read():
-    source = JdbcSource("postgresql", "jdbc:postgresql://db/{database}", "reader", "NOT_SET", 8)
-    assert source.bounds_query("SELECT 1", "id") == 'SELECT MIN("id") AS lo, MAX("id") AS hi FROM (SELECT 1) src'
-    later = source.bounds_query("SELECT 1", "at", ("at", "changed"), "2024-01-01 00:00:00")
-    assert later.endswith("""src WHERE "at" > '2024-01-01 00:00:00' OR "changed" > '2024-01-01 00:00:00'""")
+def test_jdbc_without_a_secret():
+    source = JdbcSource("postgresql", "jdbc:postgresql://db/shop", "reader", "NOT_SET")
+    assert source.select_text("public", "orders", None) == 'SELECT * FROM "public"."orders"'
+    assert source.read_options("SELECT 1")["password"] == ""
 
 
-def test_jdbc_partition_column_is_one_of_the_object(spark):
+def test_jdbc_ranges_are_over_times_and_keys_of_the_object(spark):
     source = JdbcSource("postgresql", "jdbc:postgresql://db/x", "reader", "NOT_SET", 8)
-    schema = spark.createDataFrame([], "Id string, n decimal(9,0), At timestamp_ntz, d date").schema
-    assert source.partition_column(schema, ("n", "id"), ("at", "d")) == "At"
-    assert source.partition_column(schema, ("n", "id"), ()) == "n"
-    assert source.partition_column(schema, ("id", "n"), ("id",)) is None
-    assert source.partition_column(schema, (), ()) is None
-
-
-def test_jdbc_without_bounds_reads_once():
-    source = JdbcSource("postgresql", "jdbc:postgresql://db/shop", "reader", "NOT_SET")
-    assert source.select_text("public", "orders", None) == 'SELECT * FROM "public"."orders"'
-    options = source.read_options("SELECT 1")
-    assert "partitionColumn" not in options and options["password"] == ""
-    assert "numPartitions" not in source.read_options("SELECT 1", None, "id", (None, None))
+    schema = spark.createDataFrame([], "Id string, n decimal(9,0), At timestamp_ntz, d date, f double, b binary").schema
+
+    def names(keys, times):
+        return [f.name for f in source.range_columns(schema, keys, times)]
+
+    assert names(("n", "id"), ("at", "d")) == ["At", "n", "Id"]
+    assert names(("n", "at"), ("At",)) == ["At", "n"]
+    assert names(("f", "b"), ()) == [] and names(("missing", "ID"), ("b",)) == ["Id"]
+
+
+class Database(JdbcSource):
+    """Answers queries from views of the session, and keeps how each read was split."""
+
+    def _load(self, spark, options, predicates=None):
+        text = options["dbtable"].replace('"', "`").replace("[", "`").replace("]", "`").replace("DATETIME2", "TIMESTAMP_NTZ")
+        text = text.replace("N'", "'").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
+        table = spark.sql(f"SELECT * FROM {text}")
+        if predicates is None:
+            return table
+        conditions = [
+            p.replace('"', "`").replace("[", "`").replace("]", "`").replace("N'", "'")
+            .replace("DATETIME2", "TIMESTAMP_NTZ").replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
+            for p in predicates
+        ]
+        parts = [table.where(condition) for condition in conditions]
+        splits.append([part.count() for part in parts])
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+splits = []
+
+
+@pytest.mark.parametrize("kind", ["postgresql", "sqlserver"])
+@pytest.mark.parametrize("keys, times", [(("k",), ()), (("at",), ()), (("name", "k"), ()), (("k", "name"), ("at",)), (("hot", "k"), ())])
+def test_jdbc_ranges_hold_as_many_rows_each(spark, kind, keys, times):
+    """Keys and times that bunch up, one value that half of the rows have, and nulls."""
+    spark.range(4000).selectExpr(
+        "CASE WHEN id % 50 = 7 THEN NULL ELSE id * id * id END AS k",
+        "concat('it''s ', cast(id % 400 AS string)) AS name",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(floor(pow(2, id / 200.0)) AS decimal(18, 6))) AS at",
+        "CASE WHEN id % 2 = 0 THEN 5 ELSE id END AS hot",
+    ).createOrReplaceTempView("objects")
+    source = Database(kind, "jdbc:x", "reader", "NOT_SET", 16)
+    source_read = lambda since=None: source.read(spark, "d", "s", "t", None, keys, times, since)
+    object.__setattr__(source, "select_text", lambda *a: "SELECT * FROM objects")
+    splits.clear()
+    everything = sorted(map(tuple, spark.table("objects").collect()), key=repr)
+    assert sorted(map(tuple, source_read().collect()), key=repr) == everything
+    *ranges, nulls = splits[0]
+    assert nulls == (80 if "k" in keys else 0) and len(ranges) == 16
+    assert max(ranges) <= 2 * min(ranges)
+
+
+def test_jdbc_ranges_cover_the_rows_after_the_mark(spark):
+    spark.range(1000).selectExpr(
+        "id AS k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id AS int), 0) AS at"
+    ).createOrReplaceTempView("objects")
+    source = Database("postgresql", "jdbc:x", "reader", "NOT_SET", 4)
+    object.__setattr__(source, "select_text", lambda *a: "SELECT * FROM objects")
+    splits.clear()
+    found = source.read(spark, "d", "s", "t", None, ("k",), ("at",), "2024-01-01 15:00:00")
+    assert found.count() == 1000
+    # the 99 rows after the mark are dealt out evenly; all before it lie in the first range
+    assert [abs(size - 25) <= 1 for size in splits[0][1:4]] == [True] * 3 and splits[0][4] == 0
+    assert '"at" > \'2024-01-01 15:00:00\'' in source.cuts_query("q", found.schema.fields, ("at",), "2024-01-01 15:00:00")
+    empty = source.read(spark, "d", "s", "t", None, ("k",), ("at",), "2030-01-01 00:00:00")
+    assert empty.count() == 1000
 
 
 class Reads(JdbcSource):
     """Keeps the options of each read; rows come from the session."""
 
-    def _load(self, spark, options):
-        seen.append(options)
-        if "MIN(" in options["dbtable"]:
-            return spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 00:00:00' AS lo, TIMESTAMP_NTZ'2024-01-09 00:00:00' AS hi")
+    def _load(self, spark, options, predicates=None):
+        seen.append({**options, "predicates": predicates})
+        if "NTILE(" in options["dbtable"]:
+            return spark.sql("SELECT TIMESTAMP_NTZ'2024-01-09 00:00:00' AS k0, 3 AS k1, 2 AS tile")
         if "information_schema" in options["dbtable"]:
             return spark.sql(
                 "SELECT 't' AS object, 'ID' AS column_name, 'INT4' AS data_type, 1L AS ordinal_position, 32 AS numeric_precision, 0 AS numeric_scale "
@@ -114,7 +167,9 @@ def test_jdbc_reads_follow_the_control_row(spark):
     assert origin.open(spark, spec, "t", "2024-01-05 00:00:00").count() == 1
     assert {o["url"] for o in seen} == {"jdbc:postgresql://db/crm"}
     assert "\"at\" > '2024-01-05 00:00:00'" in seen[1]["dbtable"]
-    assert seen[2]["partitionColumn"] == "at" and seen[2]["lowerBound"] == "2024-01-02 00:00:00"
+    cut = """("at" > CAST('2024-01-09 00:00:00' AS TIMESTAMP) OR ("at" = CAST('2024-01-09 00:00:00' AS TIMESTAMP) AND "id" >= 3))"""
+    whole = '"at" IS NOT NULL AND "id" IS NOT NULL AND '
+    assert seen[2]["predicates"] == [f"{whole}NOT ({cut})", f"{whole}{cut}", '"at" IS NULL OR "id" IS NULL']
     assert origin.declared(spark, spec) == {"id": "bigint", "Price": "decimal(12,2)", "doc": "string"}
     with pytest.raises(Exception, match="no mapping for type jsonb"):
         JdbcOrigin(origin.source, mapping).declared(spark, spec)

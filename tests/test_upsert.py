@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import upsert as up
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.projection import with_audit_columns
-from tidemark.plans.tables import merge_into_catalog
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 PLANS = ["outer", "split", "broadcast"]
@@ -174,6 +173,6 @@ def test_merge_into_a_catalog_resolves_its_columns(spark, tmp_path):
     target_of(spark, [(1, "a")], "`k 1` int, v string").write.option("path", str(tmp_path / "t")).saveAsTable("t_merge")
     try:
         with pytest.raises(Exception, match="MERGE"):
-            merge_into_catalog(batch, "t_merge", ("k 1",), T2)
+            up.merge_into_catalog(batch, "t_merge", ("k 1",), T2)
     finally:
         spark.sql("DROP TABLE t_merge")

@@ -33,11 +33,15 @@ SPARK_TYPES = {
 
 
 def read_mapping(spark: SparkSession, path: str, warehouse_column: str) -> DataFrame:
-    """Mapping rows from a CSV with one column per dialect and one for the warehouse type.
+    """Mapping rows from a CSV file with one column per dialect and one for the warehouse type.
 
-    ``row_no`` ascends from the top of the file; empty cells are no mapping.
+    ``row_no`` ascends from the top of the file, which must be one: of several there
+    is no first. Empty cells are no mapping.
     """
-    lines = spark.read.option("header", True).csv(path).withColumn("__row", F.monotonically_increasing_id())
+    lines = spark.read.option("header", True).csv(path)
+    if len(lines.inputFiles()) > 1:
+        raise ValueError(f"a mapping is one file, {path} has several")
+    lines = lines.withColumn("__row", F.monotonically_increasing_id())
     dialects = [c for c in lines.columns if c not in (warehouse_column, "__row")]
     cells = F.explode(
         F.array(*[F.struct(F.lit(d).alias("dialect"), col(d).alias("source_type")) for d in dialects])

@@ -9,20 +9,19 @@ from tidemark.names import INSERTED_AT, UPDATED_AT, col, ntz
 from tidemark.operators.filters import audited_since
 
 
-def _keys(rows: DataFrame, keys, action: str, run_id: int) -> DataFrame:
-    return rows.select(
-        F.lit(run_id).cast("long").alias("edw_run_id"), F.lit(action).alias("edw_action"), *[col(k) for k in keys]
-    )
-
-
 def audit_keys(
     target: DataFrame, keys: list[str] | tuple[str, ...], since: str | Column, action: str, run_id: int
 ) -> DataFrame:
     """Keys with the given action at or after ``since``; no rows if there are none."""
-    return _keys(audited_since(target, since, action), keys, action, run_id)
+    rows = audited_since(target, since, action)
+    return rows.select(
+        F.lit(run_id).cast("long").alias("edw_run_id"), F.lit(action).alias("edw_action"), *[col(k) for k in keys]
+    )
 
 
 def audit_of_run(target: DataFrame, keys: list[str] | tuple[str, ...], run_ts: str | Column, run_id: int) -> DataFrame:
-    """Keys that the run with exactly this stamp inserted or updated."""
-    inserted = _keys(target.filter(col(INSERTED_AT) == ntz(run_ts)), keys, "insert", run_id)
-    return inserted.unionByName(_keys(target.filter(col(UPDATED_AT) == ntz(run_ts)), keys, "update", run_id))
+    """Keys that the run with exactly this stamp inserted or updated, in one pass; no row is both."""
+    inserted, updated = (col(name).eqNullSafe(ntz(run_ts)) for name in (INSERTED_AT, UPDATED_AT))
+    action = F.when(inserted, "insert").otherwise("update").alias("edw_action")
+    names = [col(k) for k in keys]
+    return target.filter(inserted | updated).select(F.lit(run_id).cast("long").alias("edw_run_id"), action, *names)

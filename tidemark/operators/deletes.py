@@ -41,8 +41,12 @@ def delete_by_key(
     if not target_unique:
         return _join(target, deleted, keys, False, "left_anti")
     no_key = any_null([col(k) for k in keys])
-    kept = _join(target.filter(~no_key), deleted, keys, True, "left_anti")
-    return kept.unionByName(target.filter(no_key))
+    return keyed_remaining(target.filter(~no_key), deleted, keys).unionByName(target.filter(no_key))
+
+
+def keyed_remaining(target: DataFrame, deleted: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
+    """The same for a target with unique keys and no null in them: one join, which does not move a bucketed target."""
+    return _join(target, deleted, keys, True, "left_anti")
 
 
 def deleted_rows(

@@ -91,8 +91,9 @@ def _merged_columns(target: DataFrame, batch: DataFrame, keys, run_ts: Column, o
     return out + [action.alias(ACTION)]
 
 
-def _as_inserts(batch: DataFrame, target: DataFrame, run_ts: Column) -> DataFrame:
-    out = []
+def as_inserts(batch: DataFrame, target: DataFrame, run_ts: str | Column) -> DataFrame:
+    """Batch rows as new rows of the target, with ``_action``."""
+    run_ts, out = ntz(run_ts), []
     for field in target.schema.fields:
         if field.name == INSERTED_AT:
             value = run_ts
@@ -108,21 +109,32 @@ def _has_null_key(keys) -> Column:
     return any_null([col(k) for k in keys])
 
 
-def _outer_plan(target: DataFrame, batch: DataFrame, keys, run_ts: Column) -> DataFrame:
-    no_key = _has_null_key(keys)
-    joined = (
-        target.filter(~no_key)
-        .withColumn(_IN_TARGET, F.lit(True))
+def merged_by_key(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: list[str] | tuple[str, ...],
+    run_ts: str | Column,
+    hashed: bool = False,
+) -> DataFrame:
+    """The merged rows and ``_action``, for a target and a batch without null keys: one full outer join.
+
+    A target bucketed by the keys is not shuffled. With ``hashed`` each task keeps
+    its part of the batch in memory, and the target is not sorted either.
+    """
+    side = batch.withColumn(_IN_BATCH, F.lit(True))
+    return (
+        target.withColumn(_IN_TARGET, F.lit(True))
         .alias("t")
-        .join(
-            batch.filter(~no_key).withColumn(_IN_BATCH, F.lit(True)).alias("s"),
-            _keys_equal(keys, "t", "s"),
-            "full_outer",
-        )
-        .select(*_merged_columns(target, batch, keys, run_ts, outer=True))
+        .join((side.hint("shuffle_hash") if hashed else side).alias("s"), _keys_equal(keys, "t", "s"), "full_outer")
+        .select(*_merged_columns(target, batch, keys, ntz(run_ts), outer=True))
     )
+
+
+def _outer_plan(target: DataFrame, batch: DataFrame, keys, run_ts: Column) -> DataFrame:
+    no_key = _has_null_key(keys)
+    joined = merged_by_key(target.filter(~no_key), batch.filter(~no_key), keys, run_ts)
     kept = target.filter(no_key).withColumn(ACTION, F.lit("keep"))
-    return joined.unionByName(kept).unionByName(_as_inserts(batch.filter(no_key), target, run_ts))
+    return joined.unionByName(kept).unionByName(as_inserts(batch.filter(no_key), target, run_ts))
 
 
 def updated_target(
@@ -172,7 +184,7 @@ def inserted_rows(
     # this use of the batch starts like the one in updated_target, so its shuffle can be reused
     keyed = batch.filter(~_has_null_key(keys))
     fresh = keyed.alias("s").join(known.alias("k"), _keys_equal(keys, "s", "k"), "left_anti")
-    return _as_inserts(fresh.unionByName(batch.filter(_has_null_key(keys))), target, ntz(run_ts))
+    return as_inserts(fresh.unionByName(batch.filter(_has_null_key(keys))), target, ntz(run_ts))
 
 
 def _split_plan(target: DataFrame, batch: DataFrame, keys, run_ts: Column, unique: bool, small: bool) -> DataFrame:
@@ -268,3 +280,24 @@ def upsert_documents(
     """
     wanted = batch if key_as in batch.columns else batch.withColumn(key_as, document_text(col(doc), key))
     return upsert(target, wanted.select(quoted(key_as), quoted(doc)), [key_as], run_ts, target_unique, plan)
+
+
+def merge_into_catalog(batch: DataFrame, table: str, keys: tuple[str, ...], run_ts: str) -> None:
+    """The same upsert on a catalog table with row-level operations (Iceberg, Delta)."""
+    stored = batch.sparkSession.table(table)
+    on, changed = F.lit(True), F.lit(False)
+    own = [c for c in batch.columns if c in stored.columns]
+    for key in keys:
+        on = on & (F.col(f"{table}.`{key}`") == F.col(f"batch.`{key}`"))
+    for name in own:
+        changed = changed | ~F.col(f"{table}.`{name}`").eqNullSafe(F.col(f"batch.`{name}`"))
+    values = {f"`{c}`": F.col(f"batch.`{c}`") for c in own}
+    (
+        batch.alias("batch")
+        .mergeInto(table, on)
+        .whenMatched(changed)
+        .update({**values, UPDATED_AT: ntz(run_ts)})
+        .whenNotMatched()
+        .insert({**values, INSERTED_AT: ntz(run_ts), UPDATED_AT: F.lit(None).cast("timestamp_ntz")})
+        .merge()
+    )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,30 +54,54 @@ class LedgerStore:
     def next_run_id(self) -> int:
         return next_run_id(self.rows()).first()["run_id"]
 
-    def state(self, identity: tuple[str, str, str], target: str, minutes: int) -> LoadState:
-        """What a load must know before it starts, in one aggregate over the ledger.
+    def states(self, wanted: list[tuple[tuple[str, str, str], str]], minutes: int) -> list[LoadState]:
+        """What loads must know before they start, for each identity and target, in one read of the ledger.
 
-        Any successful run with a mark counts: one that only updated or deleted
-        rows has read up to its mark as well.
+        One row for each object of the ledger reaches the driver. Run ids are given
+        out in the order asked for. Any successful run with a mark counts: one that
+        only updated or deleted rows has read up to its mark as well.
         """
-        ours = reduce(lambda a, b: a & b, [col(n) == v for n, v in zip(IDENTITY, identity)])
-        marked = ours & has_mark()
-        mark = F.max_by("max_timestamp", F.when(marked, col("run_id")))
-        committed = succeeded() & (col("target_table_name") == target.upper())
-        found = self.rows().agg(
-            (F.coalesce(F.max("run_id"), F.lit(0)) + 1).alias("run_id"),
-            F.max(F.when(committed, col("run_id"))).alias("committed"),
-            F.max(F.when(committed, col("run_start"))).alias("stamp"),
-            F.when(F.bool_or(marked), mark).alias("mark"),
-            F.when(F.bool_or(marked), overlap_start(mark, minutes)).alias("read_from"),
+        run, marked = col("run_id"), has_mark()
+        mark = F.max_by("max_timestamp", F.when(marked, run))
+        held = (
+            self.rows()
+            .groupBy(*IDENTITY, "target_table_name")
+            .agg(
+                F.max(run).alias("run_id"),
+                F.max(F.when(succeeded(), run)).alias("committed"),
+                F.max(F.when(succeeded(), col("run_start"))).alias("stamp"),
+                F.max(F.when(marked, run)).alias("marked"),
+                F.when(F.bool_or(marked), mark).alias("mark"),
+                F.when(F.bool_or(marked), overlap_start(mark, minutes)).alias("read_from"),
+            )
+            .collect()
         )
-        return LoadState(**found.first().asDict())
+        first = max((row["run_id"] for row in held), default=0) + 1
+        found = []
+        for at, (identity, target) in enumerate(wanted):
+            written = [r for r in held if r["target_table_name"] == target.upper() and r["committed"] is not None]
+            read = [r for r in held if tuple(r[n] for n in IDENTITY) == identity and r["marked"] is not None]
+            last = max(read, key=lambda r: r["marked"], default=None)
+            found.append(
+                LoadState(
+                    run_id=first + at,
+                    committed=max((r["committed"] for r in written), default=None),
+                    stamp=max((r["stamp"] for r in written), default=None),
+                    mark=last and last["mark"],
+                    read_from=last and last["read_from"],
+                )
+            )
+        return found
 
-    def append(self, row: dict) -> None:
-        """Add the row of a run; refused if another writer has taken its id meanwhile."""
-        if self.next_run_id() > row["run_id"]:
-            raise RuntimeError(f"run {row['run_id']} is already in the ledger: a lake has one writer at a time")
-        small_frame(self.spark, [row], LEDGER_SCHEMA).write.mode("append").parquet(self.path)
+    def state(self, identity: tuple[str, str, str], target: str, minutes: int) -> LoadState:
+        return self.states([(identity, target)], minutes)[0]
+
+    def append(self, rows: list[dict]) -> None:
+        """Add the rows of runs, as one file; refused if another writer has taken an id meanwhile."""
+        first = min(row["run_id"] for row in rows)
+        if self.next_run_id() > first:
+            raise RuntimeError(f"run {first} is already in the ledger: a lake has one writer at a time")
+        small_frame(self.spark, rows, LEDGER_SCHEMA).write.mode("append").parquet(self.path)
 
     def committed_run(self, target: str) -> int | None:
         """Newest successful run of a target: the version readers see."""

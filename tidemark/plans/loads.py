@@ -1,17 +1,21 @@
 """Full and incremental loads of the objects of a control file.
 
 Each object goes through: read from its mark, stage, type, keep the latest row
-per key, apply deletes, upsert, write the next version, audit, ledger. The
-ledger row is the commit. Only control rows, marks, counts and bucket numbers
-reach the driver.
+per key, apply deletes, upsert, write the next version, audit. The objects run side
+by side, each with a job group of its own and in a scheduler pool of its own (which
+``spark.scheduler.mode=FAIR`` makes share the executors). Their ledger rows are the
+commit: one read of the ledger before, one append after. Only control rows, marks
+and counts reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +30,9 @@ from tidemark.operators.dedup import latest_per_key, newest_first, typed_documen
 from tidemark.operators.filters import changed_since, documents_changed_since, inserted_since
 from tidemark.operators.projection import project_columns, typed_projection, with_audit_columns
 from tidemark.operators.snapshot_diff import new_rows
+from tidemark.plans import folders
 from tidemark.plans.ledger_store import LedgerStore, LoadState, failed_row, ledger_row, utc_now
-from tidemark.plans.tables import Manifest, VersionedTable, Written, added_field
+from tidemark.plans.tables import Version, VersionedTable
 from tidemark.sources.staging import run_path, stage_batch
 from tidemark.spec import LoadSpec
 
@@ -51,12 +56,10 @@ class Lake:
     origins: dict[str, object]
     buckets: int = 8
     overlap_minutes: int = 10
-    # a deduplicated batch measured at or below this many bytes is broadcast
-    broadcast_bytes: int = upsert.BROADCAST_BYTES
-    # a bucket that gained rows this many times is written whole the next time
-    appends_per_bucket: int = 16
-    # with more files than this per bucket, a rewrite also merges them
-    files_per_bucket: int = 256
+    # a staged batch of at most this many bytes a bucket is kept in memory by the tasks of the upsert
+    hash_bytes: int = 4 * 1024 * 1024
+    # objects loaded side by side
+    at_once: int = 8
     drop_missing: bool = True
     reject_null_keys: bool = False
     # what the ledger says of the target
@@ -73,10 +76,8 @@ class Lake:
         return f"{self.root}/stage/{kind}/{spec.target}"
 
     def table(self, spec: LoadSpec) -> VersionedTable:
-        place = f"{self.root}/tables/{spec.target}"
-        if spec.is_documents:
-            return VersionedTable(self.spark, place, document_keys(spec), self.buckets)
-        return VersionedTable(self.spark, place, spec.keys, self.buckets, spec.times)
+        keys = document_keys(spec) if spec.is_documents else spec.keys
+        return VersionedTable(self.spark, f"{self.root}/tables/{spec.target}", keys, self.buckets)
 
     def current(self, spec: LoadSpec) -> DataFrame | None:
         """The target as of its last committed run."""
@@ -84,7 +85,7 @@ class Lake:
         if run_id is None:
             return None
         table = self.table(spec)
-        return table.read(table.manifest(run_id))
+        return table.read(table.version(run_id))
 
     def audit(self, spec: LoadSpec, run_id: int) -> DataFrame:
         return self.spark.read.parquet(run_path(f"{self.root}/audit/{spec.target}", run_id))
@@ -100,6 +101,20 @@ def incremental_load(lake: Lake, specs: list[LoadSpec]) -> list[dict]:
     return _run(lake, specs, incremental=True)
 
 
+def _waves(specs: list[LoadSpec]) -> list[list[LoadSpec]]:
+    """Objects that can be loaded side by side: a target or a mark that two rows share is used by one after the other."""
+    waves: list[list[LoadSpec]] = []
+    last: dict[object, int] = {}
+    for spec in specs:
+        shared = (spec.target.upper(), spec.identity)
+        at = max(last.get(name, -1) for name in shared) + 1
+        last.update(dict.fromkeys(shared, at))
+        if at == len(waves):
+            waves.append([])
+        waves[at].append(spec)
+    return waves
+
+
 def _run(lake: Lake, specs: list[LoadSpec], incremental: bool) -> list[dict]:
     lake.ledger.create()
     user = lake.spark.sparkContext.sparkUser()
@@ -110,24 +125,41 @@ def _run(lake: Lake, specs: list[LoadSpec], incremental: bool) -> list[dict]:
         "created_by": user,
     }
     done = []
-    for spec in specs:
-        state = lake.ledger.state(spec.identity, spec.target, lake.overlap_minutes)
-        started = lake.clock()
-        if state.stamp and started <= state.stamp:
-            # a clock set back: stamps tell runs apart, so they only ever rise
-            started = state.stamp + timedelta(microseconds=1)
-        load = _Load(lake, spec, state, started.isoformat(sep=" "), incremental)
-        try:
-            outcome = load.run()
-            row = ledger_row(spec, state.run_id, started, max(lake.clock(), started), **outcome)
-        except Exception as error:  # one object's failure must not stop the others
-            row = failed_row(spec, state.run_id, started, max(lake.clock(), started), error, load.step)
-        row |= by
-        lake.ledger.append(row)
-        done.append(row)
+    for wave in _waves(specs):
+        states = lake.ledger.states([(spec.identity, spec.target) for spec in wave], lake.overlap_minutes)
+
+        def one(spec: LoadSpec, state: LoadState) -> dict:
+            context = lake.spark.sparkContext
+            context.setJobGroup(f"tidemark {spec.target} {state.run_id}", f"load {spec.object_name} into {spec.target}")
+            context.setLocalProperty("spark.scheduler.pool", spec.target)
+            return _load(lake, spec, state, incremental) | by
+
+        with ThreadPoolExecutor(min(lake.at_once, len(wave))) as pool:
+            # wrapped once for each thread: a wrapper's local properties are shared by those who call it
+            begun = [
+                pool.submit(inheritable_thread_target(lake.spark)(one), spec, state)
+                for spec, state in zip(wave, states, strict=True)
+            ]
+            rows = [load.result() for load in begun]
+        lake.ledger.append(rows)
+        done += rows
     return done
 
 
+def _load(lake: Lake, spec: LoadSpec, state: LoadState, incremental: bool) -> dict:
+    """Load one object; its ledger row, also if it failed."""
+    started = lake.clock()
+    if state.stamp and started <= state.stamp:
+        # a clock set back: stamps tell runs apart, so they only ever rise
+        started = state.stamp + timedelta(microseconds=1)
+    load = _Load(lake, spec, state, started.isoformat(sep=" "), incremental)
+    try:
+        outcome = load.run()
+        return ledger_row(spec, state.run_id, started, max(lake.clock(), started), **outcome)
+    except Exception as error:  # one object's failure must not stop the others
+        return failed_row(spec, state.run_id, started, max(lake.clock(), started), error, load.step)
+
+
 @dataclass
 class _Load:
     lake: Lake
@@ -140,7 +172,7 @@ class _Load:
     def run(self) -> dict:
         self.table = self.lake.table(self.spec)
         self.run_id, self.committed = self.state.run_id, self.state.committed
-        self.base = None if self.committed is None else self.table.manifest(self.committed)
+        self.base = None if self.committed is None else self.table.version(self.committed)
         self.read_from = self.state.read_from if self.incremental and self.base else None
         if self.spec.is_documents:
             return self._documents()
@@ -157,6 +189,13 @@ class _Load:
         df = self._origin().open(self.lake.spark, self.spec, self.spec.object_name, since)
         return wall_clock(project_columns(df, self.spec.columns), list(self.spec.times))
 
+    def _stage(self, df: DataFrame, kind: str) -> DataFrame:
+        self.step = "stage batch"
+        stage = self.lake.stage(self.spec, kind)
+        if not kind.startswith("deleted"):
+            self.staged_at = run_path(stage, self.run_id)
+        return stage_batch(df, stage, self.run_id)
+
     def _mark(self, found: datetime | None) -> dict:
         """New mark, never below the one before; an empty batch logs the sentinel."""
         if found is None:
@@ -177,25 +216,28 @@ class _Load:
             for name, dtype in declared.items()
         }
 
-    def _measure(self, staged: DataFrame, times: tuple[str, ...] | list[str]) -> tuple[datetime | None, int]:
-        """Greatest time of the batch and its rows with a null key, in one aggregate."""
+    def _measure(self, staged: DataFrame, times: tuple[str, ...] | list[str]) -> None:
+        """Greatest time of the batch, its rows, and those with a null key, in one aggregate."""
         keyless = F.count_if(any_null([col(k) for k in self.table.keys]))
-        return tuple(staged.agg(marks.greatest_time([col(t) for t in times]), keyless).first())
+        found = staged.agg(marks.greatest_time([col(t) for t in times]), F.count(F.lit(1)), keyless).first()
+        self.newest, self.rows, self.keyless_rows = found
 
-    def _latest(self, df: DataFrame, inserted: str | None, updated: str | None, keyless: int, tiebreak=None) -> DataFrame:
+    def _split(self, df: DataFrame, inserted: str | None, updated: str | None, tiebreak=None) -> tuple[DataFrame, DataFrame]:
         """The latest row per key, and every row with a null key.
 
         Null keys match nothing, so each read of such a row inserts it again;
         optionally they are set aside, all of them.
         """
-        if not keyless:
-            return latest_per_key(df, self.table.keys, inserted, updated, tiebreak)
+        none = df.sparkSession.createDataFrame([], df.schema)
+        if not self.keyless_rows:
+            return latest_per_key(df, self.table.keys, inserted, updated, tiebreak), none
         missing = any_null([col(k) for k in self.table.keys])
         latest = latest_per_key(df.filter(~missing), self.table.keys, inserted, updated, tiebreak)
         if self.lake.reject_null_keys:
             stage_batch(df.filter(missing), self.lake.stage(self.spec, "rejects"), self.run_id)
-            return latest
-        return latest.unionByName(df.filter(missing))
+            self.keyless_rows = 0
+            return latest, none
+        return latest, df.filter(missing)
 
     # --- relational and file objects -----------------------------------------
 
@@ -208,33 +250,31 @@ class _Load:
             changed = source
             if self.read_from is not None:
                 changed = changed_since(source, str(self.read_from), inserted, updated)
-            self.step = "stage batch"
-            staged = stage_batch(changed, lake.stage(spec), self.run_id)
+            staged = self._stage(changed, "batch")
         else:
-            staged = self._snapshot_changes(source, "snapshot", lake.stage(spec))
-        found, keyless = self._measure(staged, spec.times)
-        latest = self._latest(self._typed(staged), inserted, updated, keyless)
-        outcome = self._commit(latest, self._deleted(), schema)
-        return {**outcome, **self._mark(found)}
+            staged = self._snapshot_changes(source, "snapshot", "batch")
+        self._measure(staged, spec.times)
+        latest, keyless = self._split(self._typed(staged), inserted, updated)
+        outcome = self._commit(latest, keyless, self._deleted(), schema)
+        return {**outcome, **self._mark(self.newest)}
 
     def _snapshot_changes(self, source: DataFrame, kind: str, changes: str) -> DataFrame:
         """Objects without a modified time: rows that the last committed run's copy does not hold."""
         self.step = "compare snapshots"
-        place = self.lake.stage(self.spec, kind)
-        current = stage_batch(source, place, self.run_id)
+        current = self._stage(source, kind)
         if not self.incremental or self.base is None:
             return current
-        before = self.lake.spark.read.parquet(run_path(place, self.committed))
+        before = self.lake.spark.read.parquet(run_path(self.lake.stage(self.spec, kind), self.committed))
         if set(before.columns) != set(current.columns):
             return current
-        return stage_batch(new_rows(current, before), changes, self.run_id)
+        return self._stage(new_rows(current, before), changes)
 
     def _evolved(self, source: DataFrame) -> T.StructType | None:
-        """Schema the target takes in this run; a new column forces a full read."""
+        """Schema the target takes in this run if it is another one; a new column forces a full read."""
         if self.base is None:
             return None
         self.step = "compare columns"
-        stored = self.base.schema
+        stored = self.table.keyless(self.base).schema
         own = {n.lower() for n in stored.names} - set(AUDIT_COLUMNS)
         new = [f for f in source.schema.fields if f.name.lower() not in own]
         gone = own - {n.lower() for n in source.columns}
@@ -243,10 +283,10 @@ class _Load:
             self.read_from = None
             declared = {name.lower(): stored_as(dtype) for name, dtype in (self._declared() or {}).items()}
             types = [T.DataType.fromDDL(declared.get(f.name.lower(), f.dataType.simpleString())) for f in new]
-            added = [added_field(f.name, dtype, self.run_id) for f, dtype in zip(new, types, strict=True)]
+            added = [T.StructField(f.name, dtype) for f, dtype in zip(new, types, strict=True)]
             at = next(n for n, f in enumerate(kept) if f.name in AUDIT_COLUMNS)
             kept[at:at] = added
-        return T.StructType(kept)
+        return T.StructType(kept) if new or len(kept) < len(stored.fields) else None
 
     def _deleted(self) -> DataFrame | None:
         """Keys deleted since the last run.
@@ -262,8 +302,7 @@ class _Load:
         feed = self._origin().open(self.lake.spark, spec, spec.deleted_object, since)
         feed = wall_clock(feed, [spec.inserted_col])
         if spec.inserted_col is None:
-            place = self.lake.stage(spec, "deleted_new")
-            fresh = self._snapshot_changes(feed.select(*[col(c) for c in spec.keys]), "deleted", place)
+            fresh = self._snapshot_changes(feed.select(*[col(c) for c in spec.keys]), "deleted", "deleted_new")
             return None if self.base is None else fresh
         if self.base is None:
             return None
@@ -282,139 +321,92 @@ class _Load:
         docs = docs.select(col(docs.columns[0]).alias(DOC))
         if self.read_from is not None:
             docs = documents_changed_since(docs, str(self.read_from), DOC, spec.inserted_col, spec.updated_col)
-        self.step = "stage batch"
         fields = dict(zip(spec.keys, self.table.keys, strict=True))
         typed, times = typed_documents(docs, DOC, fields, spec.inserted_col, spec.updated_col)
-        staged = stage_batch(typed, lake.stage(spec), self.run_id)
-        found, keyless = self._measure(staged, times)
-        latest = self._latest(staged, *newest_first(times), keyless, [DOC]).drop(*times)
-        return {**self._commit(latest, None, None), **self._mark(found)}
+        staged = self._stage(typed, "batch")
+        self._measure(staged, times)
+        latest, keyless = self._split(staged, *newest_first(times), [DOC])
+        return {**self._commit(latest.drop(*times), keyless.drop(*times), None, None), **self._mark(self.newest)}
 
     # --- writing -----------------------------------------------------------------
 
-    def _commit(self, latest: DataFrame, deleted: DataFrame | None, schema: T.StructType | None) -> dict:
-        lake, spec, table, base = self.lake, self.spec, self.table, self.base
-        if base is None:
+    def _commit(
+        self, latest: DataFrame, keyless: DataFrame, deleted: DataFrame | None, schema: T.StructType | None
+    ) -> dict:
+        table, keys = self.table, self.table.keys
+        if self.base is None:
             self.step = "write target"
-            lie = "grouped" if table.shuffles_by_bucket(table.buckets) else "scattered"
-            rows = with_audit_columns(latest, self.run_ts)
-            written = table.write(self.run_id, [(rows, lie)], self.run_ts)
-            self._audit(written.manifest)
-            return self._counts(written, 0)
-        schema, count = schema or base.schema, len(base.versions)
-        # names fold case as the drift check does; the types of the keys decide the bucket
-        given = {c.lower(): c for c in latest.columns}
-        shared = [f for f in schema.fields if f.name.lower() in given]
-        latest = latest.select(*[col(given[f.name.lower()]).cast(f.dataType).alias(f.name) for f in shared])
-        gone, emptied = 0, set()
+            keyed = with_audit_columns(self._by_bucket(latest), self.run_ts)
+            return self._written(keyed, with_audit_columns(keyless, self.run_ts), table.buckets)
+        stored = table.keyless(self.base)
+        target, old = (_in_schema(df, schema or stored.schema) for df in (table.keyed(self.base), stored))
+        latest, keyless = (_in_types(df, target.schema) for df in (latest, keyless))
+        gone = 0
         if deleted is not None:
             self.step = "find deleted rows"
-            deleted, feed_buckets = self._feed_keys(deleted, schema, count)
-            gone, emptied = self._deletes(deleted, table.read(base, feed_buckets, schema))
-        self.step = "stage latest rows"
-        latest = stage_batch(self._unseen(latest, deleted, schema), lake.stage(spec, "latest"), self.run_id)
-        size, buckets = latest.agg(upsert.total_bytes(latest), table.touched_buckets(latest, count)).first()
+            feed = _in_types(deleted.select(*[col(k) for k in keys]), target.schema)
+            gone = deletes.deleted_rows(target.select(*[col(k) for k in keys]), feed, keys, target_unique=True).count()
+            if gone:
+                target = deletes.keyed_remaining(target, feed, keys)
         self.step = "upsert"
-        touched = set(buckets)
-        if not touched and not gone:
-            table.keep(self.run_id, Manifest(base.versions, schema))
-            self._audit(None)
+        if schema is None and not gone and self._nothing_new(target, latest):
+            table.keep(self.run_id, self.base)
+            self._audit(target.limit(0))
             return {}
-        if size <= lake.broadcast_bytes:
-            parts, replaced = self._small_upsert(latest, deleted, schema, touched, emptied)
-        else:
-            replaced = touched | emptied
-            target = self._remaining(table.read(base, replaced, schema), deleted)
-            parts = [(upsert.upsert(target, latest, table.keys, self.run_ts, target_unique=True), self._after_shuffle())]
-        written = table.write(self.run_id, parts, self.run_ts, base, replaced, schema)
-        self._audit(written.manifest)
-        return self._counts(written, gone)
-
-    def _after_shuffle(self) -> str:
-        count = len(self.base.versions)
-        return "grouped" if self.table.shuffles_by_bucket(count) else "scattered"
-
-    def _unseen(self, latest: DataFrame, deleted: DataFrame | None, schema: T.StructType) -> DataFrame:
-        """Without the rows that are only read again because reads overlap.
-
-        The target's side of the comparison are its rows since the same moment:
-        its files are in time order, so the scan skips the pages before. Rows the feed deletes no longer count as stored,
-        so one that was sent again is kept here and inserted. What stays decides
-        which buckets are written.
-        """
-        if self.read_from is None or not self.table.times:
+        hashed = folders.total_bytes(self.lake.spark, self.staged_at) <= self.lake.hash_bytes * self.base.buckets
+        merged = upsert.merged_by_key(target, latest, keys, self.run_ts, hashed).drop(upsert.ACTION)
+        fresh = upsert.as_inserts(keyless, target, self.run_ts).drop(upsert.ACTION)
+        return self._written(merged, old.unionByName(fresh), self.base.buckets) | {"rows_deleted": gone}
+
+    def _by_bucket(self, latest: DataFrame) -> DataFrame:
+        """Rows that come from the window by key lie by bucket if its partitions are a multiple of the buckets."""
+        conf = self.lake.spark.conf
+        partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        partitions = partitions or conf.get("spark.sql.shuffle.partitions")
+        if int(partitions) % self.table.buckets == 0:
             return latest
-        recent = self.table.read_since(self.base, self.read_from, schema)
-        return upsert.not_stored_yet(self._remaining(recent, deleted), latest, self.table.keys)
-
-    def _small_upsert(
-        self,
-        latest: DataFrame,
-        deleted: DataFrame | None,
-        schema: T.StructType,
-        touched: set[int],
-        emptied: set[int],
-    ) -> tuple[list[tuple[DataFrame, str]], set[int]]:
-        """Upsert of a batch small enough to broadcast: the parts to write and the buckets they replace.
-
-        A scan of the target's keys finds which batch rows are updates. Only their
-        buckets are written whole; other buckets just gain the inserted rows.
+        return latest.repartition(self.table.buckets, *[col(k) for k in self.table.keys])
+
+    def _nothing_new(self, target: DataFrame, latest: DataFrame) -> bool:
+        """Whether the batch only holds rows that are read again because reads overlap.
+
+        Where rows are newer than the mark there is something new, and nothing to look up.
         """
-        lake, table, base, keys = self.lake, self.table, self.base, self.table.keys
-        stored = self._remaining(table.read(base, touched, schema), deleted)
-        known = upsert.matched_keys(stored, latest, keys, small=True)
-        known = stage_batch(known, lake.stage(self.spec, "matched"), self.run_id)
-        count = len(base.versions)
-        replaced = set(known.agg(table.touched_buckets(known, count)).first()[0]) | emptied
-        replaced |= {b for b in touched if len(base.versions[b]) >= lake.appends_per_bucket}
-        whole = table.read(base, replaced, schema)
-        # a scan keeps rows bucket by bucket, but too many small files are merged on the way
-        crowded = table.file_count(base, replaced) > lake.files_per_bucket * len(replaced) if replaced else False
-        lie = "scattered" if crowded else "grouped" if deleted is None else self._after_shuffle()
-        existing = upsert.updated_target(
-            self._remaining(whole, deleted), latest, keys, self.run_ts, small=True, target_unique=True
-        )
-        fresh = upsert.inserted_rows(whole, latest, known, keys, self.run_ts)
-        parts = [(existing, lie)] if replaced else []
-        return [(df.drop(upsert.ACTION), how) for df, how in parts + [(fresh, "few")]], replaced
-
-    # --- deletes -------------------------------------------------------------------
-
-    def _remaining(self, target: DataFrame, deleted: DataFrame | None) -> DataFrame:
-        if deleted is None:
-            return target
-        return deletes.delete_by_key(target, deleted, self.table.keys, target_unique=True)
-
-    def _feed_keys(self, deleted: DataFrame, schema: T.StructType, count: int) -> tuple[DataFrame, set[int]]:
-        """Keys of the deleted-rows feed in the target's types, and their buckets."""
-        types = {f.name.lower(): f.dataType for f in schema.fields}
-        keys = deleted.select(*[col(k).cast(types[k.lower()]).alias(k) for k in self.spec.keys])
-        keys = keys.filter(~any_null([col(k) for k in self.spec.keys]))
-        return keys, set(keys.agg(self.table.touched_buckets(keys, count)).first()[0])
-
-    def _deletes(self, deleted: DataFrame, target: DataFrame) -> tuple[int, set[int]]:
-        """How many target rows the feed removes, and the buckets they are in."""
-        stored = target.select(*[col(k) for k in self.spec.keys])
-        gone = deletes.deleted_rows(stored, deleted, self.spec.keys, target_unique=True)
-        buckets = self.table.touched_buckets(gone, len(self.base.versions))
-        count, found = gone.agg(F.count(F.lit(1)), buckets).first()
-        return count, set(found)
+        if not self.rows:
+            return True
+        if self.keyless_rows or self.read_from is None or (self.newest and self.newest > self.state.mark):
+            return False
+        return upsert.not_stored_yet(target, latest, self.table.keys).isEmpty()
 
     # --- results -------------------------------------------------------------------
 
-    def _counts(self, written: Written, gone: int) -> dict:
-        return {
-            "rows_inserted": written.rows_inserted,
-            "rows_updated": written.rows_updated,
-            "rows_deleted": gone,
-        }
+    def _written(self, keyed: DataFrame, keyless: DataFrame, buckets: int) -> dict:
+        """Write the version and its audit; counts come from what was written.
+
+        Accumulators would count the rows of a retried task twice.
+        """
+        version: Version = self.table.write(self.run_id, keyed, keyless, buckets)
+        found = self._audit(self.table.read(version)).groupBy("edw_action").count().collect()
+        rows = {row["edw_action"]: row["count"] for row in found}
+        return {"rows_inserted": rows.get("insert", 0), "rows_updated": rows.get("update", 0)}
 
-    def _audit(self, manifest: Manifest | None) -> None:
-        """Keys this run inserted or updated; they can only be among the rows it wrote."""
+    def _audit(self, rows: DataFrame) -> DataFrame:
+        """Keys this run inserted or updated."""
         self.step = "write audit keys"
-        if manifest is None:
-            rows = self.table.read(self.base, set())
-        else:
-            rows = self.table.written_by(self.run_id, manifest.schema)
         found = audit_of_run(rows, self.table.keys, self.run_ts, self.run_id)
-        found.write.mode("overwrite").parquet(run_path(f"{self.lake.root}/audit/{self.spec.target}", self.run_id))
+        return stage_batch(found, f"{self.lake.root}/audit/{self.spec.target}", self.run_id)
+
+
+def _in_schema(stored: DataFrame, schema: T.StructType) -> DataFrame:
+    """Stored rows with the columns a target takes from now on; those they lack are null."""
+    held = set(stored.columns)
+    return stored.select(
+        *[(col(f.name) if f.name in held else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    )
+
+
+def _in_types(batch: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of a batch under the target's names and types; names fold case as the drift check does."""
+    given = {c.lower(): c for c in batch.columns}
+    shared = [f for f in schema.fields if f.name.lower() in given]
+    return batch.select(*[col(given[f.name.lower()]).cast(f.dataType).alias(f.name) for f in shared])

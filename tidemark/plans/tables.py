@@ -1,84 +1,37 @@
-"""Target tables as versioned Parquet.
+"""Target tables as Spark's own bucketed tables, one for each version.
 
-Plain Parquet has no MERGE, and a path cannot be overwritten while it is read.
-So a run writes into a folder of its own: whole buckets where rows changed,
-only the new rows where nothing else did. Its manifest names, for each bucket,
-the runs whose folders hold its rows:
+A run writes the whole target into a folder of its own, bucketed and sorted by
+the key, and the ledger row of the run makes it the version readers see:
 
-    <root>/data/tidemark_run=<run>/tidemark_bucket=<b>/...
-    <root>/manifest/run_id=<run>
+    <root>/run_id=<run>/buckets=<n>   rows, as a table of n buckets
+    <root>/run_id=<run>/keyless       rows with a null in their key
+    <root>/run_id=<run>/same_as=<r>   instead of both, for a run that changed nothing
 
-A run counts once the ledger says so; until then readers keep the manifest of
-the run before, and a run that died is simply written again.
+Spark reads such a table without shuffling it for joins on the key, and writes it
+again from such a join without shuffling it either. A run that died is written
+again in place. Rows with a null key match nothing and would all lie in one
+bucket, so they are plain Parquet.
 
-A column that a later run adds is stored under a name of that run's own
-(``added_field``). So a column that was dropped and comes back, with its old type
-or another, shares nothing with what older files still hold.
-
-The bucket of a key is its shuffle hash modulo the bucket count. So rows that
-come out of a join or window on the key are already grouped by bucket whenever
-the number of shuffle partitions is a multiple of the bucket count, and are
-written without another shuffle.
+Changing a row means writing its table: without row-level files there is no other
+way. Targets too large for that belong in a catalog that has them
+(``operators.upsert.merge_into_catalog``).
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
 from dataclasses import dataclass
-from datetime import datetime, timedelta
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tidemark.functions.comparison import any_null, comparable
-from tidemark.functions.timestamps import wall_micros
-from tidemark.names import AUDIT_COLUMNS, INSERTED_AT, UPDATED_AT, col, ntz
-from tidemark.plans.small import small_frame
-
-# folders and a stored column, named as no source column is likely to be
-_BUCKET = "tidemark_bucket"
-_RUN = "tidemark_run"
-_AT = "tidemark_at"
-_STORED = "tidemark_stored"
-_MANIFEST = T.StructType(
-    [
-        T.StructField(_BUCKET, T.IntegerType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("schema", T.StringType()),
-    ]
-)
-
-
-def added_field(name: str, dtype: T.DataType, run_id: int) -> T.StructField:
-    """A column that a run adds to a table."""
-    return T.StructField(name, dtype, metadata={_STORED: f"{name}__r{run_id}"})
-
-
-def _stored_name(field: T.StructField) -> str:
-    return (field.metadata or {}).get(_STORED, field.name)
-
 
-def _stored_schema(schema: T.StructType, *more: T.StructField) -> T.StructType:
-    return T.StructType([T.StructField(_stored_name(f), f.dataType) for f in schema.fields] + list(more))
+from pyspark.sql import DataFrame, SparkSession
 
-
-def _as_named(stored: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
-    return stored.select(*[col(_stored_name(f)).alias(f.name) for f in schema.fields], *[col(c) for c in more])
-
-
-@dataclass(frozen=True)
-class Manifest:
-    versions: dict[int, tuple[int, ...]]
-    schema: T.StructType
+from tidemark.names import quoted
+from tidemark.plans import folders
 
 
 @dataclass(frozen=True)
-class Written:
-    rows_inserted: int
-    rows_updated: int
-    manifest: Manifest
+class Version:
+    run_id: int
+    buckets: int
 
 
 @dataclass(frozen=True)
@@ -87,196 +40,53 @@ class VersionedTable:
     root: str
     keys: tuple[str, ...]
     buckets: int = 8
-    times: tuple[str, ...] = ()
-
-    def manifest(self, run_id: int) -> Manifest:
-        """A row per bucket and run it lies in: the bucket count times ``appends_per_bucket`` at most.
-
-        One more row holds the schema.
-        """
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/run_id={run_id}").collect()
-        schema = T.StructType.fromJson(json.loads(next(r["schema"] for r in rows if r["schema"])))
-        versions: dict[int, tuple[int, ...]] = {}
-        lying = (r for r in rows if r[_BUCKET] is not None)
-        for row in sorted(lying, key=lambda r: (r[_BUCKET], r["version"] or 0)):
-            held = () if row["version"] is None else (row["version"],)
-            versions[row[_BUCKET]] = versions.get(row[_BUCKET], ()) + held
-        return Manifest(versions, schema)
-
-    def bucket_of(self, df: DataFrame, count: int) -> Column:
-        """Bucket by key. Rows with a null key match nothing, so they spread over all buckets by content."""
-        types = {f.name: f.dataType for f in df.schema.fields}
-        own = [col(k) for k in self.keys]
-        rest = [comparable(col(c), types[c]) for c in df.columns if c not in AUDIT_COLUMNS]
-        by_key = F.pmod(F.hash(*own), F.lit(count))
-        by_content = F.pmod(F.hash(*rest), F.lit(count))
-        return F.when(any_null(own), by_content).otherwise(by_key).cast("int")
-
-    def shuffles_by_bucket(self, count: int) -> bool:
-        """Whether a shuffle on the key leaves each task rows of one bucket."""
-        conf = self.spark.conf
-        partitions = int(conf.get("spark.sql.shuffle.partitions"))
-        first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-        return int(first or partitions) % count == 0
 
-    def touched_buckets(self, df: DataFrame, count: int) -> Column:
-        """Aggregate of the buckets the rows fall into: at most ``count`` numbers."""
-        return F.collect_set(self.bucket_of(df, count))
-
-    def read(
-        self,
-        manifest: Manifest,
-        only: set[int] | None = None,
-        schema: T.StructType | None = None,
-        newest: bool = False,
-    ) -> DataFrame:
-        """The table as of a manifest; ``only`` limits it to some buckets.
-
-        Buckets written before a column was added give null for it. ``newest``
-        adds the newest time of each row, as the number that is stored.
-        """
-        schema = schema or manifest.schema
-        more = [T.StructField(_AT, T.LongType())] if newest else []
-        stored = self._stored(manifest, only, _stored_schema(schema, *more))
-        if stored is None:
-            return self.spark.createDataFrame([], T.StructType(schema.fields + more))
-        return _as_named(stored, schema, *(f.name for f in more))
-
-    def _stored(self, manifest: Manifest, only: set[int] | None, schema: T.StructType) -> DataFrame | None:
-        """One read of the run folders; which buckets count in each is a filter on the folder names."""
-        runs: dict[int, list[int]] = {}
-        for bucket, versions in sorted(manifest.versions.items()):
-            if only is None or bucket in only:
-                for version in versions:
-                    runs.setdefault(version, []).append(bucket)
-        if not runs:
-            return None
-        names = [T.StructField(_RUN, T.LongType()), T.StructField(_BUCKET, T.IntegerType())]
-        reader = self.spark.read.schema(T.StructType(schema.fields + names)).option("basePath", f"{self.root}/data")
-        found = reader.parquet(*[f"{self.root}/data/{_RUN}={version}" for version in sorted(runs)])
-        held = [(col(_RUN) == version) & col(_BUCKET).isin(buckets) for version, buckets in sorted(runs.items())]
-        return found.filter(reduce(lambda a, b: a | b, held))
-
-    def file_count(self, manifest: Manifest, only: set[int]) -> int:
-        """Files that hold the buckets; their rows are not read."""
-        stored = self._stored(manifest, only, T.StructType([]))
-        return 0 if stored is None else stored.select(F.col("_metadata.file_path")).distinct().count()
-
-    def _in_time_order(self, rows: DataFrame) -> DataFrame:
-        """Rows with their newest time as a number, sorted by bucket, as the write needs anyway, and by that.
-
-        Files then hold their newest rows together, and a filter on the number
-        skips the pages of all others. Spark does not apply timestamp filters to
-        Parquet pages, so the time columns themselves would not do.
-        """
-        given = {c.lower(): c for c in rows.columns}
-        times = [col(given[t.lower()]) for t in dict.fromkeys(self.times) if t.lower() in given]
-        if not times:
-            return rows
-        newest = F.greatest(*times) if len(times) > 1 else times[0]
-        return rows.withColumn(_AT, wall_micros(newest)).sortWithinPartitions(_BUCKET, _AT)
-
-    def read_since(self, manifest: Manifest, mark: datetime, schema: T.StructType) -> DataFrame:
-        """Rows inserted or updated after the mark."""
-        stored = self.read(manifest, None, schema, newest=True)
-        micros = (mark - datetime(1970, 1, 1)) // timedelta(microseconds=1)
-        return stored.filter(col(_AT) > F.lit(micros)).drop(_AT)
-
-    def written_by(self, run_id: int, schema: T.StructType) -> DataFrame:
-        """The rows a run wrote, new and carried over, with their buckets."""
-        bucket = T.StructField(_BUCKET, T.IntegerType())
-        stored = self.spark.read.schema(_stored_schema(schema, bucket)).parquet(f"{self.root}/data/{_RUN}={run_id}")
-        return _as_named(stored, schema, _BUCKET)
-
-    def write(
-        self,
-        run_id: int,
-        parts: list[tuple[DataFrame, str]],
-        run_ts: str,
-        base: Manifest | None = None,
-        replaced: set[int] = frozenset(),
-        schema: T.StructType | None = None,
-    ) -> Written:
-        """Write the rows and the manifest of a run.
-
-        ``schema`` is the table's from now on, by default that of ``base``, or of
-        the rows if there is none.
-
-        ``replaced`` buckets of ``base`` are written whole; rows of other buckets
-        are added to what those hold. Each part comes with how its rows lie:
-        'grouped' rows are written as they are, 'scattered' ones are first
-        rebalanced by bucket, which also splits a bucket too big for one task, and
-        'few' go to one small file per bucket.
-
-        Counts come from the written files: accumulators would count the rows of
-        a retried task twice.
-        """
-        count = len(base.versions) if base else self.buckets
-        place = f"{self.root}/data/{_RUN}={run_id}"
-        schema = schema or (base.schema if base else parts[0][0].schema)
-        mode = "overwrite"
-        for df, lie in parts:
-            rows = df.withColumn(_BUCKET, self.bucket_of(df, count))
-            if lie == "scattered":
-                rows = rows.hint("rebalance", _BUCKET)
-            elif lie == "few":
-                rows = rows.repartition(min(count, 64), _BUCKET)
-            rows = self._in_time_order(rows)
-            extra = [c for c in (_BUCKET, _AT) if c in rows.columns]
-            stored = rows.select(*[col(f.name).alias(_stored_name(f)) for f in schema.fields], *[col(c) for c in extra])
-            stored.write.mode(mode).partitionBy(_BUCKET).parquet(place)
-            mode = "append"
-        # one row per bucket
-        found = (
-            self.written_by(run_id, schema)
-            .groupBy(_BUCKET)
-            .agg(
-                F.count_if(col(INSERTED_AT) == ntz(run_ts)).alias("inserted"),
-                F.count_if(col(UPDATED_AT) == ntz(run_ts)).alias("updated"),
+    def version(self, run_id: int) -> Version:
+        """The version that a committed run left."""
+        said = dict(name.split("=") for name in folders.names(self.spark, self._place(run_id)) if "=" in name)
+        if "same_as" in said:
+            return self.version(int(said["same_as"]))
+        return Version(run_id, int(said["buckets"]))
+
+    def _place(self, run_id: int) -> str:
+        return f"{self.root}/run_id={run_id}"
+
+    def name(self, run_id: int) -> str:
+        """The table of a run in the session's catalog; where the catalog is a shared one, other tools see it there."""
+        return "tidemark_" + hashlib.md5(self._place(run_id).encode()).hexdigest()
+
+    def keyless(self, version: Version) -> DataFrame:
+        return self.spark.read.parquet(f"{self._place(version.run_id)}/keyless")
+
+    def keyed(self, version: Version) -> DataFrame:
+        """Rows with whole keys, as the bucketed table; a session that did not write it declares it first."""
+        name, place = self.name(version.run_id), f"{self._place(version.run_id)}/buckets={version.buckets}"
+        if not self.spark.catalog.tableExists(name):
+            keys = ", ".join(quoted(k) for k in self.keys)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({self.keyless(version).schema.toDDL()}) USING parquet "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {version.buckets} BUCKETS "
+                f"LOCATION '{place.replace("'", "\\'")}'"
             )
-            .collect()
-        )
-        versions = {b: () if base is None or b in replaced else base.versions[b] for b in range(count)}
-        for row in found:
-            versions[row[_BUCKET]] += (run_id,)
-        manifest = Manifest(versions, schema)
-        self._write_manifest(run_id, manifest)
-        return Written(sum(r["inserted"] for r in found), sum(r["updated"] for r in found), manifest)
-
-    def keep(self, run_id: int, base: Manifest) -> None:
-        """Manifest of a run that changed no row."""
-        self._write_manifest(run_id, base)
-
-    def _write_manifest(self, run_id: int, manifest: Manifest) -> None:
-        nullable = T.StructType(
-            [T.StructField(f.name, f.dataType, metadata=f.metadata or {}) for f in manifest.schema.fields]
-        )
-        rows = [
-            {_BUCKET: bucket, "version": version, "schema": None}
-            for bucket, versions in sorted(manifest.versions.items())
-            for version in versions or (None,)
-        ]
-        rows.append({_BUCKET: None, "version": None, "schema": nullable.json()})
-        frame = small_frame(self.spark, rows, _MANIFEST)
-        frame.write.mode("overwrite").parquet(f"{self.root}/manifest/run_id={run_id}")
-
-
-def merge_into_catalog(batch: DataFrame, table: str, keys: tuple[str, ...], run_ts: str) -> None:
-    """The same upsert on a catalog table with row-level operations (Iceberg, Delta)."""
-    stored = batch.sparkSession.table(table)
-    on, changed = F.lit(True), F.lit(False)
-    own = [c for c in batch.columns if c in stored.columns]
-    for key in keys:
-        on = on & (F.col(f"{table}.`{key}`") == F.col(f"batch.`{key}`"))
-    for name in own:
-        changed = changed | ~F.col(f"{table}.`{name}`").eqNullSafe(F.col(f"batch.`{name}`"))
-    values = {f"`{c}`": F.col(f"batch.`{c}`") for c in own}
-    (
-        batch.alias("batch")
-        .mergeInto(table, on)
-        .whenMatched(changed)
-        .update({**values, UPDATED_AT: ntz(run_ts)})
-        .whenNotMatched()
-        .insert({**values, INSERTED_AT: ntz(run_ts), UPDATED_AT: F.lit(None).cast("timestamp_ntz")})
-        .merge()
-    )
+        return self.spark.table(name)
+
+    def read(self, version: Version) -> DataFrame:
+        return self.keyed(version).unionByName(self.keyless(version))
+
+    def write(self, run_id: int, keyed: DataFrame, keyless: DataFrame, buckets: int) -> Version:
+        """Write the rows of a run. They are written as they lie: the caller sees that they lie by bucket."""
+        self.drop(run_id)
+        writer = keyed.write.format("parquet").bucketBy(buckets, *self.keys).sortBy(*self.keys)
+        writer.option("path", f"{self._place(run_id)}/buckets={buckets}").saveAsTable(self.name(run_id))
+        keyless.select(*[quoted(c) for c in keyed.columns]).write.parquet(f"{self._place(run_id)}/keyless")
+        return Version(run_id, buckets)
+
+    def keep(self, run_id: int, version: Version) -> Version:
+        """A run that changed no row."""
+        self.drop(run_id)
+        folders.mark(self.spark, f"{self._place(run_id)}/same_as={version.run_id}")
+        return version
+
+    def drop(self, run_id: int) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(run_id)}")
+        folders.remove(self.spark, self._place(run_id))

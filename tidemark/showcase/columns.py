@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import parse_timestamp, time_of_day, timestamp_text
@@ -116,7 +117,7 @@ def _mapping(spark):
         "text,,varchar",
         "numeric,,float",
     ]
-    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    spark.createDataFrame(pa.table({"value": lines})).coalesce(1).write.text(path)
     return read_mapping(spark, path, "WAREHOUSE")
 
 

@@ -129,29 +129,28 @@ def ledger_append(spark, sf_dir):
     store = LedgerStore(spark, fresh_dir(spark, "ledger"))
     i.run_ledger(spark, sf_dir).write.parquet(store.path)
     start, end = datetime(2024, 2, 1), datetime(2024, 2, 1, 0, 0, 1, 500000)
-    store.append(
-        {
-            "run_id": store.next_run_id(),
-            "run_start": start,
-            "run_end": end,
-            "duration_in_sec": (end - start).total_seconds(),
-            "source_database_name": "shop",
-            "source_schema_name": "public",
-            "source_object_name": "orders",
-            "target_database_name": "lake",
-            "target_schema_name": "bronze",
-            "target_table_name": "TBL_ORDERS",
-            "triggered_by": "loader",
-            "status": FAILED,
-            "error_message": "stage batch: no space",
-            "rows_inserted": 0,
-            "rows_updated": 0,
-            "rows_deleted": 0,
-            "max_timestamp": datetime.fromisoformat(SENTINEL_MARK),
-            "created_timestamp": datetime(2024, 2, 1, 0, 0, 2),
-            "created_by": "loader",
-        }
-    )
+    row = {
+        "run_id": store.next_run_id(),
+        "run_start": start,
+        "run_end": end,
+        "duration_in_sec": (end - start).total_seconds(),
+        "source_database_name": "shop",
+        "source_schema_name": "public",
+        "source_object_name": "orders",
+        "target_database_name": "lake",
+        "target_schema_name": "bronze",
+        "target_table_name": "TBL_ORDERS",
+        "triggered_by": "loader",
+        "status": FAILED,
+        "error_message": "stage batch: no space",
+        "rows_inserted": 0,
+        "rows_updated": 0,
+        "rows_deleted": 0,
+        "max_timestamp": datetime.fromisoformat(SENTINEL_MARK),
+        "created_timestamp": datetime(2024, 2, 1, 0, 0, 2),
+        "created_by": "loader",
+    }
+    store.append([row])
     return store.rows()
 
 

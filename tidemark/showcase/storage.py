@@ -389,12 +389,20 @@ def load_everything(spark, sf_dir):
     "control_load",
     """SELECT CAST(1 AS BIGINT) AS run_id, 'TBL_CUSTOMER' AS target_table_name, count(*) AS rows_inserted FROM customer
     UNION ALL SELECT 2, 'TBL_PART', count(*) FROM part
-    UNION ALL SELECT 3, 'TBL_SUPPLIER', count(*) FROM supplier""",
+    UNION ALL SELECT 3, 'TBL_SUPPLIER', count(*) FROM supplier UNION ALL SELECT 4, 'TBL_ORDERS', count(*) FROM orders
+    UNION ALL SELECT 5, 'TBL_NATION', count(*) FROM nation UNION ALL SELECT 6, 'TBL_REGION', count(*) FROM region""",
 )
 def load_control_file(spark, sf_dir):
-    """Three objects of a control file, each with a key of its own, loaded one after another."""
+    """Six objects of a control file, each with a key of its own, loaded side by side."""
     root = fresh_dir(spark, "control")
-    objects = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    objects = {
+        "customer": "c_custkey",
+        "part": "p_partkey",
+        "supplier": "s_suppkey",
+        "orders": "o_orderkey",
+        "nation": "n_nationkey",
+        "region": "r_regionkey",
+    }
     lines = [",".join(CONTROL_COLUMNS)]
     for number, (name, key) in enumerate(objects.items(), start=1):
         i.table(spark, sf_dir, name).write.parquet(f"{root}/source/{name}")

@@ -18,8 +18,10 @@ DRIVERS = {
 _QUOTES = {"sqlserver": ("[", "]"), "postgresql": ('"', '"')}
 
 
-#: types by which a read can be split into ranges
-_RANGES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+#: types whose values a database and a literal put in the same order
+_ORDERED = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType
+)
 
 
 @dataclass(frozen=True)
@@ -27,9 +29,10 @@ class JdbcSource:
     """Where and how to read; the password stays in the environment.
 
     ``url`` may hold ``{database}``, which each control row fills in. A read is
-    split into ``partitions`` range queries on a column of its own object: its
-    insert time, or its first key if that is a number or a time. With one
-    partition, or no such column, JDBC reads through one connection.
+    split into ``partitions`` ranges that hold as many rows each: the database says
+    where they meet, from the insert time and the keys of the object, over the rows
+    that will be read. With one partition, or no column that can be ordered, JDBC
+    reads through one connection.
     """
 
     kind: str
@@ -62,38 +65,64 @@ class JdbcSource:
             listed = ", ".join(self._name(n) for n in names)
         return f"SELECT {listed} FROM {self._name(schema)}.{self._name(name)}"
 
-    def read_options(
-        self, query: str, database: str | None = None, column: str | None = None, bounds: tuple | None = None
-    ) -> dict[str, str]:
-        """Options of one read: a subquery table, split by range where bounds are known."""
-        options = {**self.connection_options(database), "dbtable": f"({query}) src"}
-        if column and bounds and bounds[0] is not None:
-            options.update(
-                partitionColumn=column,
-                lowerBound=str(bounds[0]),
-                upperBound=str(bounds[1]),
-                numPartitions=str(self.partitions),
-            )
-        return options
-
-    def bounds_query(self, query: str, column: str, times: tuple[str, ...] = (), since: str | None = None) -> str:
-        """Extent of the column over the rows that will be read, not over the whole table."""
-        name = self._name(column)
+    def read_options(self, query: str, database: str | None = None) -> dict[str, str]:
+        """Options of one read of a query, as a subquery table."""
+        return {**self.connection_options(database), "dbtable": f"({query}) src"}
+
+    def range_columns(self, schema: T.StructType, keys: tuple[str, ...], times: tuple[str, ...]) -> list[T.StructField]:
+        """The insert time and the keys, as far as they can be ordered: rows of one time are told apart by key."""
+        fields = {f.name.lower(): f for f in schema.fields}
+        named = dict.fromkeys(name.lower() for name in (*times[:1], *keys))
+        return [fields[n] for n in named if n in fields and isinstance(fields[n].dataType, _ORDERED)]
+
+    def cuts_query(
+        self, query: str, columns: list[T.StructField], times: tuple[str, ...] = (), since: str | None = None
+    ) -> str:
+        """The first row of every range but the first, by number of rows and not by value, over the rows to read."""
+        names = [self._name(f.name) for f in columns]
+        given = ", ".join(f"{name} AS k{at}" for at, name in enumerate(names))
+        order = ", ".join(names)
+        whole = " AND ".join(f"{name} IS NOT NULL" for name in names)
         later = " OR ".join(f"{self._name(t)} > '{_literal(since)}'" for t in times) if since else ""
-        where = f" WHERE {later}" if later else ""
-        return f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM ({query}) src{where}"
-
-    def _load(self, spark: SparkSession, options: dict[str, str]) -> DataFrame:
-        return spark.read.format("jdbc").options(**options).load()
-
-    def partition_column(self, schema: T.StructType, keys: tuple[str, ...], times: tuple[str, ...]) -> str | None:
-        """The first of insert time and first key that can be split into ranges."""
-        types = {f.name.lower(): f for f in schema.fields}
-        for name in (*times[:1], *keys[:1]):
-            field = types.get(name.lower())
-            if field is not None and isinstance(field.dataType, _RANGES):
-                return field.name
-        return None
+        where = f"{whole} AND ({later})" if later else whole
+        keys = ", ".join(f"k{at}" for at in range(len(names)))
+        tiles = f"SELECT {given}, NTILE({self.partitions}) OVER (ORDER BY {order}) AS tile FROM ({query}) src WHERE {where}"
+        firsts = f"SELECT {keys}, tile, ROW_NUMBER() OVER (PARTITION BY tile ORDER BY {keys}) AS place FROM ({tiles}) tiles"
+        return f"SELECT {keys}, tile FROM ({firsts}) firsts WHERE place = 1 AND tile > 1"
+
+    def _value(self, value, dtype: T.DataType) -> str:
+        if isinstance(dtype, T.StringType):
+            return f"{'N' if self.kind == 'sqlserver' else ''}'{_literal(value)}'"
+        if isinstance(dtype, T.DateType):
+            return f"CAST('{value}' AS DATE)"
+        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+            return f"CAST('{value}' AS {'DATETIME2' if self.kind == 'sqlserver' else 'TIMESTAMP'})"
+        return str(value)
+
+    def _from(self, columns: list[T.StructField], cut: tuple) -> str:
+        """Rows at or after a cut, column by column."""
+        found = ""
+        for at in reversed(range(len(columns))):
+            name, value = self._name(columns[at].name), self._value(cut[at], columns[at].dataType)
+            found = f"({name} > {value} OR ({name} = {value} AND {found}))" if found else f"{name} >= {value}"
+        return found
+
+    def range_predicates(self, columns: list[T.StructField], cuts: list[tuple]) -> list[str]:
+        """One condition a task; each row meets exactly one. Rows with a null in the columns are a range of their own."""
+        names = [self._name(f.name) for f in columns]
+        whole = " AND ".join(f"{name} IS NOT NULL" for name in names)
+        starts = [self._from(columns, cut) for cut in dict.fromkeys(cuts)]
+        ranges = [
+            " AND ".join([whole, *([low] if low else []), *([f"NOT ({high})"] if high else [])])
+            for low, high in zip([None, *starts], [*starts, None], strict=True)
+        ]
+        return [*ranges, " OR ".join(f"{name} IS NULL" for name in names)]
+
+    def _load(self, spark: SparkSession, options: dict[str, str], predicates: list[str] | None = None) -> DataFrame:
+        if predicates is None:
+            return spark.read.format("jdbc").options(**options).load()
+        more = {name: value for name, value in options.items() if name not in ("url", "dbtable")}
+        return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=more)
 
     def read(
         self,
@@ -112,14 +141,15 @@ class JdbcSource:
         rows after it.
         """
         query = self.select_text(schema, name, columns)
-        whole = self._load(spark, self.read_options(query, database))
-        column = self.partition_column(whole.schema, keys, times) if self.partitions > 1 else None
-        if column is None:
+        options = self.read_options(query, database)
+        whole = self._load(spark, options)
+        ranged = self.range_columns(whole.schema, keys, times) if self.partitions > 1 else []
+        if not ranged:
             return whole
-        # one row: the extent of the partition column
-        extent = self.read_options(self.bounds_query(query, column, times, since), database)
-        bounds = tuple(self._load(spark, extent).first())
-        return self._load(spark, self.read_options(query, database, column, bounds))
+        # a row for each range but the first
+        cuts = self._load(spark, self.read_options(self.cuts_query(query, ranged, times, since), database)).collect()
+        ordered = [tuple(row)[:-1] for row in sorted(cuts, key=lambda row: row["tile"])]
+        return self._load(spark, options, self.range_predicates(ranged, ordered))
 
     def catalog_query(self, schema: str, name: str) -> str:
         return (
