@@ -672,3 +672,40 @@ def test_only_what_kept_runs_need_stays(spark, lake, put, tmp_path):
     assert retire(lake, spec_of(SF_TBL="never")) == {}
     with pytest.raises(ValueError):
         retire(lake, spec, keep=0)
+
+
+# --- rejected values and found types ----------------------------------------------
+
+
+def test_misfits_are_set_aside_and_counted(spark, tmp_path, put):
+    types = {"id": "bigint", "price": "decimal(6,2)", "ins": "timestamp_ntz", "upd": "timestamp_ntz"}
+    origins = {"shop": TableOrigin(str(tmp_path / "source"), types={"t": types})}
+    lake = Lake(spark, str(tmp_path / "lake"), origins, 4, clock=Clock(), reject_misfits=True)
+    schema = "id string, price string, ins timestamp_ntz, upd timestamp_ntz"
+    put([("1", "1.50", day(1), None), ("x", "2", day(1), None), ("3", "lots", day(2), None)], schema)
+    row = ok(full_load(lake, [spec_of()]))
+    assert counts(row) == (1, 0, 0) and row["error_message"].startswith("2 rows set aside")
+    assert row["max_timestamp"] == day(2) and lake.ledger.rows().first()["error_message"] == row["error_message"]
+    misfits = spark.read.parquet(f"{lake.stage(spec_of(), 'typed')}/run_id=1/tidemark_rejected=true")
+    assert sorted(r[0][0]["text"] for r in misfits.select("tidemark_reasons").collect()) == ["lots", "x"]
+    put([("3", "3.00", day(2), day(3))], schema)
+    row = ok(incremental_load(lake, [spec_of()]))
+    assert counts(row) == (1, 0, 0) and row["error_message"] == "-"
+    strict = Lake(spark, str(tmp_path / "strict"), origins, 4, clock=Clock())
+    put([("x", "2", day(1), None)], schema)
+    assert full_load(strict, [spec_of()])[0]["status"] == FAILED
+
+
+def test_file_objects_get_the_types_of_their_text(lake, tmp_path):
+    """Without times: snapshots are compared as text, whatever types each of them has."""
+    spec = spec_of(SRC_DB_NAME="-", OBJ_TYPE="FILE", OBJ_NAME="stock", INSRT_TIME_COL="-", UPDT_TIME_COL="-")
+    folder = tmp_path / "files"
+    folder.mkdir()
+    (folder / "stock.csv").write_text("id,price,at\n1,1.5,2024-01-01 10:00:00\n2,2,2024-01-02 10:00:00\n")
+    assert counts(ok(full_load(lake, [spec]))) == (2, 0, 0)
+    assert [t for _, t in lake.current(spec).dtypes[:3]] == ["int", "double", "timestamp_ntz"]
+    (folder / "stock.csv").write_text("id,price,at\n1,1.5,2024-01-01 10:00:00\n2,3,2024-01-02 10:00:00\n3,4,\n")
+    assert counts(ok(incremental_load(lake, [spec]))) == (1, 1, 0)
+    (folder / "stock.csv").write_text("id,price,at,more\n1,1.5,2024-01-01 10:00:00,7\n2,3,2024-01-02 10:00:00,8\n3,4,,9\n")
+    assert counts(ok(incremental_load(lake, [spec]))) == (0, 3, 0)
+    assert dict(lake.current(spec).dtypes)["more"] == "int" and values(lake.current(spec), "id", "price", "more") == [(1, 1.5, 7), (2, 3.0, 8), (3, 4.0, 9)]

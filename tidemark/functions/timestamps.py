@@ -8,7 +8,9 @@ timestamp_diff) would shift wall-clock values inside a daylight-saving gap of th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -84,7 +86,10 @@ def parse_export_time(text: Column, strict: bool = True) -> Column:
 
 def timestamp_text(ts: Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss.ffffff', always six fraction digits."""
-    text = ts.cast("timestamp_ntz").cast("string")
+    return _six_digits(ts.cast("timestamp_ntz").cast("string"))
+
+
+def _six_digits(text: Column) -> Column:
     fraction = F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", -1)).otherwise(F.lit(""))
     return F.concat(F.substring_index(text, ".", 1), F.lit("."), F.rpad(fraction, 6, "0"))
 
@@ -94,6 +99,23 @@ def time_of_day(ts: Column) -> Column:
     return F.substring_index(timestamp_text(ts), " ", -1)
 
 
+@contextmanager
+def native_time(spark: SparkSession):
+    """Spark's own TIME type for what is planned inside; it is off by default in Spark 4.1."""
+    name = "spark.sql.timeType.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def time_text(at: Column) -> Column:
+    """A value of the TIME type as 'HH:mm:ss.ffffff'."""
+    return _six_digits(at.cast("string"))
+
+
 def effective_timestamp(updated: Column, inserted: Column) -> Column:
     return F.coalesce(updated, inserted)
 

@@ -7,7 +7,7 @@ objects there are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.names import AUDIT_COLUMNS, col, whole_key
@@ -25,6 +25,24 @@ def catalog_of(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
+def document_catalog(docs: DataFrame, name: str, doc: str = "doc") -> DataFrame:
+    """Catalog of a collection: the fields of all its documents, with the type that holds all of a field's values.
+
+    One aggregate by field name, folded in the map tasks; types of nested objects and
+    arrays are merged field by field. Fields come in the order of their names, as documents
+    have none. Also gives ``documents``, how many hold the field with a value. What is no
+    object has no fields.
+    """
+    fields = docs.lateralJoin(docs.sparkSession.tvf.variant_explode(col(doc).outer())).where("key IS NOT NULL")
+    held = F.count_if(~F.is_variant_null(col("value")))
+    found = fields.groupBy(col("key").alias("column_name")).agg(
+        F.lower(F.schema_of_variant_agg("value")).alias("data_type"), held.alias("documents")
+    )
+    # as many rows as a document has fields
+    place = F.row_number().over(Window.orderBy("column_name")).cast("long")
+    return found.select(F.lit(name).alias("object"), "column_name", "data_type", place.alias("ordinal_position"), "documents")
+
+
 def listed_columns(catalog: DataFrame, names: list[str] | None) -> DataFrame:
     """Rows of the named columns; None keeps all."""
     return catalog if names is None else catalog.filter(col("column_name").isin(list(names)))

@@ -39,25 +39,49 @@ def _time(column: Column, dtype: T.DataType, lenient: bool) -> Column:
     return time_of_day(column.try_cast("timestamp_ntz") if lenient else column.cast("timestamp_ntz"))
 
 
+#: pseudo type of a column of Spark's own TIME type, which ``spark.sql.timeType.enabled`` makes available
+NATIVE_TIME = "time(6)"
+
+
+def _typed(source: Column, given: T.DataType, dtype: str, lenient: bool) -> Column:
+    if dtype in ("time", NATIVE_TIME):
+        text = _time(source, given, lenient)
+        return text if dtype == "time" else text.cast(NATIVE_TIME)
+    if dtype in ("json", "variant"):
+        return _json(source, given, lenient)
+    return source.try_cast(dtype) if lenient else source.cast(dtype)
+
+
 def typed_projection(df: DataFrame, types: dict[str, str], lenient: bool = False) -> DataFrame:
     """Cast each listed column to its type and keep its name.
 
     A value that does not fit raises under ANSI mode; ``lenient`` makes it null.
-    The pseudo type 'time' gives the time of day as text, and 'json' (or
-    'variant') parses JSON text into an object.
+    The pseudo type 'time' gives the time of day as text, 'time(6)' as Spark's own
+    type, and 'json' (or 'variant') parses JSON text into an object.
+    """
+    given = {f.name.lower(): f.dataType for f in df.schema.fields}
+    return df.select(*[_typed(col(name), given[name.lower()], dtype, lenient).alias(name) for name, dtype in types.items()])
+
+
+REASONS = "tidemark_reasons"
+
+
+def rejecting_projection(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The typed columns, null where a value does not fit, and why in ``REASONS``.
+
+    That is an array of (column, text, type), one for each value that is there but
+    is none of its type; it is empty for a good row.
     """
     given = {f.name.lower(): f.dataType for f in df.schema.fields}
-    out = []
-    for name, dtype in types.items():
-        source = col(name)
-        if dtype == "time":
-            value = _time(source, given[name.lower()], lenient)
-        elif dtype in ("json", "variant"):
-            value = _json(source, given[name.lower()], lenient)
-        else:
-            value = source.try_cast(dtype) if lenient else source.cast(dtype)
-        out.append(value.alias(name))
-    return df.select(*out)
+    typed = {name: _typed(col(name), given[name.lower()], dtype, True) for name, dtype in types.items()}
+    reasons = []
+    for name, value in typed.items():
+        nested = isinstance(given[name.lower()], (T.VariantType, T.StructType, T.ArrayType, T.MapType))
+        text = F.to_json(F.struct(col(name))) if nested else col(name).cast("string")
+        reason = F.struct(F.lit(name).alias("column"), text.alias("text"), F.lit(types[name]).alias("type"))
+        reasons.append(F.when(col(name).isNotNull() & value.isNull(), reason))
+    found = F.filter(F.array(*reasons), lambda reason: reason.isNotNull())
+    return df.select(*[value.alias(name) for name, value in typed.items()], found.alias(REASONS))
 
 
 def timestamps_as_text(df: DataFrame) -> DataFrame:

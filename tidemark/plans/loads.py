@@ -24,16 +24,18 @@ from tidemark.functions.comparison import any_null
 from tidemark.functions.timestamps import wall_clock
 from tidemark.functions.types import stored_as
 from tidemark.names import AUDIT_COLUMNS, col
-from tidemark.operators import deletes, marks, upsert
+from tidemark.operators import deletes, upsert
 from tidemark.operators.audit import audit_of_run
 from tidemark.operators.dedup import latest_per_key, newest_first, typed_documents
 from tidemark.operators.filters import changed_since, documents_changed_since, inserted_since
-from tidemark.operators.projection import project_columns, typed_projection, with_audit_columns
+from tidemark.operators.projection import REASONS, project_columns, rejecting_projection, typed_projection, with_audit_columns
 from tidemark.operators.snapshot_diff import new_rows
 from tidemark.plans import folders
 from tidemark.plans.ledger_store import LedgerStore, LoadState, failed_row, ledger_row, utc_now
 from tidemark.plans.tables import Version, VersionedTable
-from tidemark.sources.staging import run_path, stage_batch
+from tidemark.sources.footers import AT, KEYLESS, measured, with_measures
+from tidemark.sources.inference import stage_inferred
+from tidemark.sources.staging import run_path, stage_batch, stage_parted
 from tidemark.spec import LoadSpec
 
 DOC_KEY = "doc_key"
@@ -62,6 +64,8 @@ class Lake:
     at_once: int = 8
     drop_missing: bool = True
     reject_null_keys: bool = False
+    # rows with a value that is none of its declared type are set aside with the reasons, and do not fail the load
+    reject_misfits: bool = False
     # what the ledger says of the target
     target_database: str = "-"
     target_schema: str = "-"
@@ -168,6 +172,7 @@ class _Load:
     run_ts: str
     incremental: bool
     step: str = "read control row"
+    misfits: int = 0
 
     def run(self) -> dict:
         self.table = self.lake.table(self.spec)
@@ -189,12 +194,16 @@ class _Load:
         df = self._origin().open(self.lake.spark, self.spec, self.spec.object_name, since)
         return wall_clock(project_columns(df, self.spec.columns), list(self.spec.times))
 
-    def _stage(self, df: DataFrame, kind: str) -> DataFrame:
+    def _stage(self, df: DataFrame, kind: str, times: tuple[str, ...] | list[str] = ()) -> DataFrame:
+        """Stage rows with what ``_measure`` needs; text of an origin without types gets them in the same pass."""
         self.step = "stage batch"
-        stage = self.lake.stage(self.spec, kind)
-        if not kind.startswith("deleted"):
-            self.staged_at = run_path(stage, self.run_id)
-        return stage_batch(df, stage, self.run_id)
+        self.staged_at = run_path(self.lake.stage(self.spec, kind), self.run_id)
+        rows = with_measures(df, times, self.table.keys)
+        if getattr(self._origin(), "infers", False):
+            staged, _ = stage_inferred(rows, self.staged_at)
+        else:
+            staged = stage_batch(rows, self.lake.stage(self.spec, kind), self.run_id)
+        return staged.drop(AT, KEYLESS)
 
     def _mark(self, found: datetime | None) -> dict:
         """New mark, never below the one before; an empty batch logs the sentinel."""
@@ -205,7 +214,14 @@ class _Load:
     def _typed(self, df: DataFrame) -> DataFrame:
         self.step = "type columns"
         declared = self._declared()
-        return typed_projection(df, declared) if declared else df
+        if not declared:
+            return df
+        if not self.lake.reject_misfits:
+            return typed_projection(df, declared)
+        typed = rejecting_projection(df, declared)
+        good, misfits = stage_parted(typed, REASONS, self.lake.stage(self.spec, "typed"), self.run_id)
+        self.misfits = misfits.count()
+        return good
 
     def _declared(self) -> dict[str, str] | None:
         """Storage types; the times of the object are wall clock, as they are read."""
@@ -216,11 +232,9 @@ class _Load:
             for name, dtype in declared.items()
         }
 
-    def _measure(self, staged: DataFrame, times: tuple[str, ...] | list[str]) -> None:
-        """Greatest time of the batch, its rows, and those with a null key, in one aggregate."""
-        keyless = F.count_if(any_null([col(k) for k in self.table.keys]))
-        found = staged.agg(marks.greatest_time([col(t) for t in times]), F.count(F.lit(1)), keyless).first()
-        self.newest, self.rows, self.keyless_rows = found
+    def _measure(self) -> None:
+        """Greatest time of the batch, its rows, and whether some have a null key, from the footers of the staged files."""
+        self.newest, self.rows, self.keyless_rows = measured(self.lake.spark, self.staged_at)
 
     def _split(self, df: DataFrame, inserted: str | None, updated: str | None, tiebreak=None) -> tuple[DataFrame, DataFrame]:
         """The latest row per key, and every row with a null key.
@@ -235,7 +249,7 @@ class _Load:
         latest = latest_per_key(df.filter(~missing), self.table.keys, inserted, updated, tiebreak)
         if self.lake.reject_null_keys:
             stage_batch(df.filter(missing), self.lake.stage(self.spec, "rejects"), self.run_id)
-            self.keyless_rows = 0
+            self.keyless_rows = False
             return latest, none
         return latest, df.filter(missing)
 
@@ -250,24 +264,36 @@ class _Load:
             changed = source
             if self.read_from is not None:
                 changed = changed_since(source, str(self.read_from), inserted, updated)
-            staged = self._stage(changed, "batch")
+            staged = self._stage(changed, "batch", spec.times)
         else:
             staged = self._snapshot_changes(source, "snapshot", "batch")
-        self._measure(staged, spec.times)
+        if schema is not None:
+            schema = self._evolved(staged)  # with the types found on the way
+        self._measure()
         latest, keyless = self._split(self._typed(staged), inserted, updated)
         outcome = self._commit(latest, keyless, self._deleted(), schema)
+        if self.misfits:
+            outcome["error_message"] = f"{self.misfits} rows set aside: a value is none of its declared type"
         return {**outcome, **self._mark(self.newest)}
 
     def _snapshot_changes(self, source: DataFrame, kind: str, changes: str) -> DataFrame:
         """Objects without a modified time: rows that the last committed run's copy does not hold."""
         self.step = "compare snapshots"
-        current = self._stage(source, kind)
+        keep = self._keys_stage if kind == "deleted" else self._stage
+        current = keep(source, kind)
         if not self.incremental or self.base is None:
             return current
-        before = self.lake.spark.read.parquet(run_path(self.lake.stage(self.spec, kind), self.committed))
-        if set(before.columns) != set(current.columns):
+        stage = self.lake.stage(self.spec, kind)
+        # as they were staged: types that are found on the way may differ between snapshots
+        now, before = (
+            self.lake.spark.read.parquet(run_path(stage, run)).drop(AT, KEYLESS) for run in (self.run_id, self.committed)
+        )
+        if set(before.columns) != set(now.columns):
             return current
-        return self._stage(new_rows(current, before), changes)
+        return keep(new_rows(now, before.select(*[col(c) for c in now.columns])), changes)
+
+    def _keys_stage(self, feed: DataFrame, kind: str) -> DataFrame:
+        return stage_batch(feed, self.lake.stage(self.spec, kind), self.run_id)
 
     def _evolved(self, source: DataFrame) -> T.StructType | None:
         """Schema the target takes in this run if it is another one; a new column forces a full read."""
@@ -323,8 +349,8 @@ class _Load:
             docs = documents_changed_since(docs, str(self.read_from), DOC, spec.inserted_col, spec.updated_col)
         fields = dict(zip(spec.keys, self.table.keys, strict=True))
         typed, times = typed_documents(docs, DOC, fields, spec.inserted_col, spec.updated_col)
-        staged = self._stage(typed, "batch")
-        self._measure(staged, times)
+        staged = self._stage(typed, "batch", times)
+        self._measure()
         latest, keyless = self._split(staged, *newest_first(times), [DOC])
         return {**self._commit(latest.drop(*times), keyless.drop(*times), None, None), **self._mark(self.newest)}
 

@@ -18,7 +18,7 @@ from tidemark.plans.loads import Lake
 from tidemark.sources.staging import run_path
 from tidemark.spec import LoadSpec
 
-STAGES = ("batch", "snapshot", "deleted", "deleted_new", "rejects")
+STAGES = ("batch", "snapshot", "deleted", "deleted_new", "rejects", "typed")
 
 
 def _runs(spark: SparkSession, folder: str) -> list[int]:

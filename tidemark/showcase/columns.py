@@ -5,10 +5,10 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidemark.functions.timestamps import parse_timestamp, time_of_day, timestamp_text
+from tidemark.functions.timestamps import native_time, parse_timestamp, time_of_day, time_text, timestamp_text
 from tidemark.functions.types import read_mapping
 from tidemark.operators import catalog, upsert
-from tidemark.operators.projection import project_columns, project_keys, timestamps_as_text, typed_projection
+from tidemark.operators.projection import NATIVE_TIME, project_columns, project_keys, timestamps_as_text, typed_projection
 from tidemark.shared import fresh_dir
 from tidemark.showcase import inputs as i
 from tidemark.showcase.registry import query
@@ -44,6 +44,20 @@ def times(spark, sf_dir):
     return i.table(spark, sf_dir, "events").select("event_id", time_of_day(F.col("ts")).alias("at_time"))
 
 
+@query("native_time", "SELECT event_id, strftime(ts, '%H:%M:%S.%f') AS at_time, extract(hour FROM ts) >= 12 AS afternoon FROM events")
+def native_times(spark, sf_dir):
+    """Times of day as Spark's own type, through Parquet; the text form stays the default."""
+    path = fresh_dir(spark, "times")
+    events = i.table(spark, sf_dir, "events").select("event_id", timestamp_text(F.col("ts")).alias("at_time"))
+    with native_time(spark):
+        typed_projection(events, {"event_id": "bigint", "at_time": NATIVE_TIME}).write.parquet(path)
+        stored = spark.read.parquet(path)
+        noon = F.lit("12:00:00").cast(NATIVE_TIME)
+        found = stored.select("event_id", time_text(F.col("at_time")).alias("at_time"), (F.col("at_time") >= noon).alias("afternoon"))
+        found.write.parquet(f"{path}-read")
+    return spark.read.parquet(f"{path}-read")
+
+
 @query(
     "datetime_to_text",
     f"""WITH {i.CHANGE_FEED_SQL}

@@ -6,7 +6,8 @@ per call.
 
 from __future__ import annotations
 
-from datetime import datetime
+import time
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -14,10 +15,10 @@ from tidemark.functions.documents import document_text, document_timestamp
 from tidemark.functions.timestamps import overlap_start, timestamp_text, wall_micros
 from tidemark.names import AUDIT_COLUMNS, col, ntz
 from tidemark.operators import marks, upsert
-from tidemark.operators.catalog import catalog_of
+from tidemark.operators.catalog import catalog_of, document_catalog
 from tidemark.operators.dedup import latest_document_per_key, latest_per_key, newest_first, typed_documents
 from tidemark.operators.filters import changed_since
-from tidemark.operators.projection import timestamps_as_text, typed_projection, with_audit_columns
+from tidemark.operators.projection import REASONS, rejecting_projection, timestamps_as_text, typed_projection, with_audit_columns
 from tidemark.plans.loads import Lake, full_load, incremental_load
 from tidemark.plans.retention import retire_stage
 from tidemark.shared import fresh_dir
@@ -25,8 +26,18 @@ from tidemark.showcase import inputs as i
 from tidemark.showcase.marks_and_ledger import EVENTS_FROM
 from tidemark.showcase.registry import query
 from tidemark.sources.control import load_specs, read_control
-from tidemark.sources.documents import read_changed_documents, read_documents
-from tidemark.sources.files import file_manifest, latest_per_file_key, newer_than_archive, read_object, read_tabular
+from tidemark.sources.documents import read_changed_documents, read_documents, stage_documents, staged_documents_since
+from tidemark.sources.files import (
+    archived_until,
+    file_manifest,
+    latest_per_file_key,
+    newer_than_archive,
+    read_object,
+    read_since,
+    read_tabular,
+)
+from tidemark.sources.footers import AT, KEYLESS, MEASURES, footer_aggregate, with_measures
+from tidemark.sources.inference import read_text, stage_inferred
 from tidemark.sources.origins import DocumentOrigin, TableOrigin
 from tidemark.sources.staging import (
     current_batch,
@@ -34,7 +45,9 @@ from tidemark.sources.staging import (
     read_staged,
     run_path,
     stage_batch,
+    stage_parted,
     write_document_chunks,
+    write_full_chunks,
 )
 from tidemark.spec import CONTROL_COLUMNS, LoadSpec
 
@@ -117,6 +130,42 @@ def doc_incremental_scan(spark, sf_dir):
     return _fields(read_changed_documents(spark, path, EVENTS_FROM, "createdAt", "updatedAt"))
 
 
+@query(
+    "doc_staged_scan",
+    f"""WITH {i.DOCUMENTS_SQL} SELECT {_DOC_SQL_COLUMNS} FROM documents_in
+    WHERE ins > TIMESTAMP '{EVENTS_FROM}' OR upd > TIMESTAMP '{EVENTS_FROM}'""",
+)
+def doc_staged_scan(spark, sf_dir):
+    """The same from a stage, whose scan filters by the time kept beside each document."""
+    docs = read_documents(spark, _collection(spark, sf_dir, "docs"))
+    staged = stage_documents(docs, fresh_dir(spark, "staged"), "createdAt", "updatedAt")
+    return _fields(staged_documents_since(staged, datetime.fromisoformat(EVENTS_FROM)))
+
+
+_FIELDS_SQL = ", ".join(
+    f"('{name}', '{dtype}', {at}, {held})"
+    for at, (name, dtype, held) in enumerate(
+        [("_id", "string", "_id"), ("createdAt", "string", "ins"), ("kind", "string", "kind"), ("updatedAt", "string", "upd"),
+         ("user_id", "bigint", "user_id"), ("value", "decimal", "value")], start=1
+    )
+)
+
+
+@query(
+    "doc_catalog",
+    f"""WITH {i.DOCUMENTS_SQL}
+    SELECT 'members' AS object, f.column_name, f.data_type, CAST(f.place AS BIGINT) AS ordinal_position, f.documents
+    FROM (SELECT count(_id) AS _id, count(ins) AS ins, count(kind) AS kind, count(upd) AS upd, count(user_id) AS user_id,
+                 count(value) AS value FROM documents_in) n,
+         LATERAL (VALUES {_FIELDS_SQL}) f(column_name, data_type, place, documents) WHERE f.documents > 0""",
+)
+def doc_catalog(spark, sf_dir):
+    """Fields, types and numbers of a collection; digits of decimals vary with the data."""
+    docs = read_documents(spark, _collection(spark, sf_dir, "docs"))
+    found = document_catalog(docs, "members")
+    return found.withColumn("data_type", F.regexp_replace("data_type", r"^(decimal\(.*|double)$", "decimal"))
+
+
 def _variants(spark, sf_dir):
     docs = i.documents(spark, sf_dir)
     return docs.select("event_id", "ins", F.parse_json("body").alias("doc"))
@@ -183,17 +232,33 @@ def chunked_json_sink(spark, sf_dir):
     return read_tabular(spark, path, "json", "conv_id long, turn long, role string, text string")
 
 
+@query(
+    "full_chunks",
+    """WITH numbered AS (SELECT (row_number() OVER () - 1) // 100 AS chunk FROM conversations)
+    SELECT documents, count(*) AS files FROM (SELECT count(*) AS documents FROM numbered GROUP BY chunk) GROUP BY documents""",
+)
+def full_chunks(spark, sf_dir):
+    """Conversations as JSON files of exactly 100 documents, the rest in one: files by their number of documents."""
+    path = fresh_dir(spark, "chunks")
+    write_full_chunks(i.table(spark, sf_dir, "conversations"), path, 100, fresh_dir(spark, "numbered"))
+    rows = read_tabular(spark, path, "json", "conv_id long, turn long, role string, text string")
+    files = rows.groupBy(F.input_file_name()).agg(F.count("*").alias("documents"))
+    return files.groupBy("documents").agg(F.count("*").alias("files"))
+
+
 # --- files ------------------------------------------------------------------------
 
 
-def _event_files(spark, sf_dir, label: str, kinds: list[str] | None = None) -> str:
-    """Events as CSV, one folder per event type: object=export_<type>."""
-    path = fresh_dir(spark, label)
+def _event_files(spark, sf_dir, label: str, kinds: list[str] | None = None, after: datetime | None = None) -> str:
+    """Events as CSV, one folder per event type: object=export_<type>; ``after`` adds files to a folder, later than a moment."""
+    path = label if after else fresh_dir(spark, label)
+    if after:  # file times may be as coarse as a second
+        time.sleep(max(0.0, after.replace(tzinfo=timezone.utc).timestamp() + 1.01 - time.time()))
     events = i.table(spark, sf_dir, "events")
     if kinds:
         events = events.filter(F.col("event_type").isin(kinds))
     named = timestamps_as_text(events).withColumn("object", F.concat(F.lit("export_"), F.col("event_type")))
-    named.write.partitionBy("object").option("header", True).csv(path)
+    named.write.mode("append").partitionBy("object").option("header", True).csv(path)
     return path
 
 
@@ -226,6 +291,76 @@ def file_newer_than_archive(spark, sf_dir):
     return fresh.select("file_key")
 
 
+@query(
+    "files_since",
+    """SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_type NOT IN ('click', 'view')""",
+)
+def files_since(spark, sf_dir):
+    """Rows of the files that came after the newest archived one; older files are not listed into the scan."""
+    root = _event_files(spark, sf_dir, "files", ["click", "view"])
+    mark = archived_until(file_manifest(spark, root, ".csv"))
+    _event_files(spark, sf_dir, root, ["error", "purchase", "signup"], mark)
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    return read_since(spark, root, "csv", schema, mark).drop("props")
+
+
+@query(
+    "inferred_stage",
+    """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'int,string,int,double,string' AS types FROM customer""",
+)
+def inferred_stage(spark, sf_dir):
+    """Customers as CSV, staged and typed in one pass over the file."""
+    path = fresh_dir(spark, "csv")
+    i.table(spark, sf_dir, "customer").write.option("header", True).csv(path)
+    staged, types = stage_inferred(read_text(spark, path), fresh_dir(spark, "staged"))
+    return staged.select(F.col("c_custkey").cast("long"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").withColumn(
+        "types", F.lit(",".join(types.values()))
+    )
+
+
+@query(
+    "staged_mark",
+    """SELECT max(o_orderdate) AS max_timestamp, count(*) AS rows, false AS has_null_keys FROM orders""",
+)
+def staged_mark(spark, sf_dir):
+    """Mark and size of a staged batch from the footers of its files."""
+    path = fresh_dir(spark, "staged")
+    orders = i.table(spark, sf_dir, "orders")
+    with_measures(orders, ["o_orderdate"], ["o_orderkey"]).write.parquet(path)
+    found = footer_aggregate(spark, path, MEASURES, F.max(AT), F.count(F.lit(1)), F.max(KEYLESS))
+    since = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.col("at").cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(20,0)")
+    return found.toDF("at", "rows", "keyless").select(
+        (since + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).alias("max_timestamp"),
+        "rows",
+        (F.col("keyless") > 0).alias("has_null_keys"),
+    )
+
+
+@query(
+    "rejected_values",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS o_custkey,
+      CASE WHEN o_orderkey % 7 = 0 AND o_orderkey % 11 = 0 THEN 'o_custkey: n/a is no bigint; o_orderdate: soon is no timestamp_ntz'
+           WHEN o_orderkey % 7 = 0 THEN 'o_custkey: n/a is no bigint'
+           WHEN o_orderkey % 11 = 0 THEN 'o_orderdate: soon is no timestamp_ntz' END AS why
+    FROM orders""",
+)
+def rejected_values(spark, sf_dir):
+    """Orders as text with values that are none of their type: good rows and misfits, parted in one pass."""
+    orders = i.table(spark, sf_dir, "orders")
+    key, text = F.col("o_orderkey"), lambda name: F.col(name).cast("string")
+    staged = orders.select(
+        text("o_orderkey").alias("o_orderkey"),
+        F.when(key % 7 == 0, "n/a").otherwise(text("o_custkey")).alias("o_custkey"),
+        F.when(key % 11 == 0, "soon").otherwise(text("o_orderdate")).alias("o_orderdate"),
+    )
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderdate": "timestamp_ntz"}
+    good, misfits = stage_parted(rejecting_projection(staged, types), REASONS, fresh_dir(spark, "parted"), 1)
+    why = F.transform(REASONS, lambda r: F.concat(r["column"], F.lit(": "), r["text"], F.lit(" is no "), r["type"]))
+    rejected = misfits.select("o_orderkey", "o_custkey", F.array_join(why, "; ").alias("why"))
+    return good.select("o_orderkey", "o_custkey", F.lit(None).cast("string").alias("why")).unionByName(rejected)
+
+
 @query("file_scan", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def file_scan(spark, sf_dir):
     """Customers as CSV with a header, types inferred from the data."""

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.documents import document_timestamp
+from tidemark.functions.timestamps import wall_micros
 from tidemark.names import col
 from tidemark.operators.filters import documents_changed_since
+from tidemark.sources.footers import AT
 
 
 def read_documents(
@@ -39,3 +44,21 @@ def read_changed_documents(
 ) -> DataFrame:
     """Documents inserted or updated after the mark, by fields named in the spec."""
     return documents_changed_since(read_documents(spark, path, json_array, doc), mark, doc, inserted, updated)
+
+
+def stage_documents(docs: DataFrame, path: str, inserted: str | None, updated: str | None, doc: str = "doc") -> DataFrame:
+    """Documents with their newest time beside them, as a number that the Parquet scan can filter by.
+
+    Texts are parsed here, once; whoever reads changes from the stage later decodes
+    only the row groups that hold some.
+    """
+    times = [document_timestamp(col(doc), field) for field in dict.fromkeys((inserted, updated)) if field]
+    newest = F.greatest(*times) if len(times) > 1 else times[0] if times else F.lit(None).cast("timestamp_ntz")
+    rows = docs.withColumn(AT, wall_micros(newest))
+    rows.write.parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def staged_documents_since(staged: DataFrame, mark: datetime) -> DataFrame:
+    """Documents of a stage inserted or updated after the mark."""
+    return staged.filter(col(AT) > F.lit((mark - datetime(1970, 1, 1)) // timedelta(microseconds=1))).drop(AT)

@@ -7,29 +7,52 @@ distributed job; its key is the path below the root, without part file names.
 from __future__ import annotations
 
 import re
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.names import col
+from tidemark.sources.inference import as_types, infer_types, read_text
 
 # Part files of one data set: 'part-00000-...'.
 _PART_FILE = r"/part-[^/]*$"
 
 
-def file_manifest(spark: SparkSession, root: str, suffix: str) -> DataFrame:
-    """Path, time and size of every file below ``root`` with the suffix.
+def _since(reader: DataFrameReader, mark: datetime) -> DataFrameReader:
+    """Files that changed after a moment, in whole seconds of UTC, as Spark lists them: others never become part of a scan."""
+    return reader.option("modifiedAfter", mark.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+
+
+def file_manifest(spark: SparkSession, root: str, suffix: str, after: datetime | None = None) -> DataFrame:
+    """Path, time and size of every file below ``root`` with the suffix; after a moment in UTC, only of files changed since.
 
     File contents are not selected, so none are opened.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(root)
-        .select("path", "modificationTime", "length")
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+    found = (_since(reader, after) if after else reader).load(root).select("path", "modificationTime", "length")
+    return found.filter(_changed_after(col("modificationTime"), after)) if after else found
+
+
+def _changed_after(modified: Column, mark: datetime) -> Column:
+    """The part of a second that the listing does not look at."""
+    return F.unix_micros(modified) > (mark - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+
+
+def archived_until(archive: DataFrame) -> datetime | None:
+    """When the newest file of a manifest changed, in UTC; nothing for an empty one."""
+    micros = archive.agg(F.max(F.unix_micros("modificationTime"))).first()[0]
+    return None if micros is None else datetime(1970, 1, 1) + timedelta(microseconds=micros)
+
+
+def read_since(spark: SparkSession, path: str, kind: str, schema: str | T.StructType, mark: datetime | None) -> DataFrame:
+    """Rows of the files below a path that changed after the mark (a moment in UTC, such as ``archived_until``)."""
+    reader = spark.read.option("header", True) if kind == "csv" else spark.read
+    reader = reader.schema(schema).option("recursiveFileLookup", True)
+    if mark is None:
+        return reader.format(kind).load(path)
+    return _since(reader, mark).format(kind).load(path).filter(_changed_after(F.col("_metadata.file_modification_time"), mark))
 
 
 def relative_key(path: Column, root: str) -> Column:
@@ -84,28 +107,29 @@ def newer_than_archive(source: DataFrame, source_root: str, archive: DataFrame,
 def read_tabular(spark: SparkSession, path: str, kind: str, schema: str | None = None) -> DataFrame:
     """CSV with a header row, Parquet, or JSON lines.
 
-    Without a schema CSV types are inferred, which reads the data once more;
-    give one for large files. Inferred timestamps are kept as wall clock, free
-    of the session time zone.
+    Without a schema CSV types are found by an aggregate over the data; where it is
+    staged anyway, ``inference.stage_inferred`` finds them on the way.
     """
+    if kind == "csv" and schema is None:
+        text = read_text(spark, path)
+        return as_types(text, infer_types(text))
     reader = spark.read.option("header", True) if kind == "csv" else spark.read
-    if schema is None and kind == "csv":
-        inferred = reader.option("inferSchema", True).csv(path).schema
-        schema = T.StructType(
-            [
-                T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
-                for f in inferred.fields
-            ]
-        )
     return (reader.schema(schema) if schema else reader).format(kind).load(path)
 
 
 def read_object(
-    spark: SparkSession, root: str, name: str, kind: str, schema: str | None = None, suffix: str | None = None
+    spark: SparkSession,
+    root: str,
+    name: str,
+    kind: str,
+    schema: str | None = None,
+    suffix: str | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
-    """Rows of the object chosen by name."""
+    """Rows of the object chosen by name; ``as_text`` leaves the columns of a CSV file as text."""
     manifest = file_manifest(spark, root, suffix or f".{kind}")
     chosen = select_object(manifest, root, name).first()
     if chosen is None:
         raise FileNotFoundError(f"no {kind} object named {name!r} below {root}")
-    return read_tabular(spark, f"{root.rstrip('/')}/{chosen['file_key']}", kind, schema)
+    path = f"{root.rstrip('/')}/{chosen['file_key']}"
+    return read_text(spark, path) if as_text else read_tabular(spark, path, kind, schema)

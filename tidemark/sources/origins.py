@@ -81,14 +81,18 @@ class TableOrigin:
 
 @dataclass(frozen=True)
 class FileOrigin:
-    """Tabular files found below a root by object name."""
+    """Tabular files found below a root by object name; CSV without a schema is text, typed as it is staged."""
 
     root: str
     kind: str = "csv"
     schema: str | None = None
 
+    @property
+    def infers(self) -> bool:
+        return self.kind == "csv" and self.schema is None
+
     def open(self, spark: SparkSession, spec: LoadSpec, name: str, since: str | None = None) -> DataFrame:
-        return read_object(spark, self.root, name, self.kind, self.schema)
+        return read_object(spark, self.root, name, self.kind, self.schema, as_text=self.infers)
 
     def declared(self, spark: SparkSession, spec: LoadSpec) -> None:
         return None
