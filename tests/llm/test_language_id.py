@@ -1,9 +1,11 @@
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.language_id import UNKNOWN, fit, identify, train
+from tidemark.llm.language_id import LENGTHS, UNKNOWN, _score_texts, fit, identify, subword_buckets, train
 from tidemark.llm.queries import held_out
 
 
@@ -50,9 +52,59 @@ def test_empty_tables(none, docs, model):
 
 def test_same_model_on_every_run(docs):
     one, two = train(docs), train(docs.repartition(7))
-    assert (one.scores == two.scores).all() and one.threshold == two.threshold
+    assert (one.scores == two.scores).all() and one.thresholds == two.thresholds
 
 
 def test_one_language():
     model = fit(["some words here", "and a few more"] * 10, ["en"] * 20)
     assert model.languages == ("en",)
+
+
+@pytest.mark.parametrize("left_out", ["de", "en", "es"])
+def test_a_language_left_out_is_rejected(spark, left_out):
+    """Rejected in the texts of a language it never saw, accepted in held-out texts of the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and text is not null")
+    model = train(docs.where(~held_out() & (F.col("lang") != left_out)))
+    assert left_out not in model.languages
+    rows = identify(docs.where((F.col("lang") == left_out) | held_out()).where(F.length("text") > 40), model).collect()
+    strange = [r.accepted for r in rows if r.lang == left_out]
+    known = [r.accepted for r in rows if r.lang != left_out]
+    assert len(strange) > 50 and sum(strange) / len(strange) < 0.15
+    assert sum(known) / len(known) > 0.97
+
+
+def test_scores_are_means_over_subwords(odd):
+    """The vectorised scoring against one text at a time."""
+    scores = np.random.Generator(np.random.PCG64(2)).normal(size=(1 << 16, 3))
+    texts = [r.text for r in odd.collect()] + ["Ünï" * 50, "a", "é b c"]
+    means, counted = _score_texts(pa.array(texts).slice(1), scores)
+    for text, mean, count in zip(texts[1:], means, counted, strict=True):
+        buckets = subword_buckets(text or "")
+        assert count == len(buckets)
+        assert np.allclose(mean, scores[buckets].mean(axis=0) if len(buckets) else 0)
+
+
+def test_the_sample_is_bounded_by_texts(spark):
+    """One id in all rows, and one text in most."""
+    rows = [(None, f"text number {n} {'abc' * (n % 7)} words", "en") for n in range(300)]
+    rows += [(None, "one text again and again", "en")] * 3000 + [(7, "ein deutscher Text mit Worten", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    import tidemark.llm.language_id as module
+
+    def spy(snippets, labels, held, rejected):
+        seen.append(len(set(snippets)))
+        return fit(snippets, labels, held, rejected)
+
+    before, module.fit = module.fit, spy
+    try:
+        model = train(df, sample_docs=50)
+    finally:
+        module.fit = before
+    assert model.languages == ("de", "en") and len(model.thresholds) == len(LENGTHS)
+    assert seen[0] <= 4 * 2 * 50
+
+
+def test_thresholds_by_length(model):
+    assert all(0.3 < value <= 1 for value in model.thresholds)
+    assert list(model.least(np.array([0, 10, 100000]))) == [model.thresholds[0], model.thresholds[0], model.thresholds[-1]]
