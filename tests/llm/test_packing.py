@@ -87,3 +87,18 @@ def test_plans_place_every_rank_once(counts):
 def test_gaps_are_filled_exactly():
     plan = Plan({90: 5, 10: 5, 70: 4, 20: 4, 9: 4, 1: 4, 50: 6}, 100)
     assert plan.sequences == 12  # the pieces fill twelve sequences to the last token
+
+
+def test_special_tokens_and_long_texts(spark):
+    """As the vocabulary's ``tokenizers`` file has them, wherever they stand; repeated rows keep their own ids."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>", "<|endoftext", "many words " * 5000]
+    rows = [(None if n % 2 else n, text) for n, text in enumerate(texts) for _ in range(3)]
+    found = pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), with_ids=True).collect()
+    check(found, 2048)
+    expected = Counter()
+    for _, text in rows:
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        expected.update(tuple(ids[start : start + length]) for start, length in cut(len(ids), 2048))
+    assert Counter(tuple(r.ids) for r in found) == expected
+    assert all(r.length == len(r.ids) for r in found)

@@ -19,7 +19,6 @@ def count(text):
 @pytest.fixture(scope="module")
 def tokenizer():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return tokenizer
 
 

@@ -36,6 +36,9 @@ CAPACITY = 2048
 CHUNK_PIECES = 50_000
 END = 0
 VOCABULARY = "byte_bpe_50k"
+#: Strings that the vocabulary's ``tokenizers`` file makes tokens of, wherever they stand.
+SPECIAL = {"<|endoftext|>": 50256}
+_FLUSH_TOKENS = 1 << 18
 
 
 def vocabulary_path() -> str:
@@ -47,13 +50,13 @@ def vocabulary_path() -> str:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """The tokenizer in ``path``; strings of special tokens are ordinary text."""
+    """The tokenizer in ``path``, with the special tokens of the vocabulary."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def cut(count: int, capacity: int) -> list[tuple[int, int]]:
@@ -66,20 +69,9 @@ def _pieces(path: str, capacity: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_to_numpy
         tail = np.array([end], dtype="<u4")
-        for batch in batches:
-            texts = batch.column(2)
-            rows, numbers, starts, lengths, sums, ids = [], [], [], [], [], []
-            for row in range(batch.num_rows):
-                found = np.concatenate([encode(texts[row].as_py() or ""), tail]).astype("<u4", copy=False)
-                for number, (start, length) in enumerate(cut(len(found), capacity)):
-                    piece = found[start : start + length]
-                    rows.append(row)
-                    numbers.append(number)
-                    starts.append(start)
-                    lengths.append(length)
-                    sums.append(zlib.crc32(piece))
-                    if with_ids:
-                        ids.append(piece)
+        names = ["id", "text_hash", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
+
+        def made(batch, rows, numbers, starts, lengths, sums, ids):
             at = pa.array(rows, pa.int64())
             columns = [
                 batch.column(0).take(at),
@@ -89,11 +81,27 @@ def _pieces(path: str, capacity: int, end: int, with_ids: bool):
                 pa.array(lengths, pa.int64()),
                 pa.array(sums, pa.int64()),
             ]
-            names = ["id", "text_hash", "piece", "start", "length", "ids_crc32"]
             if with_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                columns.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32))))
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        for batch in batches:
+            texts = batch.column(2)
+            held, tokens = tuple([] for _ in range(6)), 0
+            for row in range(batch.num_rows):
+                text = texts[row].as_py() or ""
+                found = np.concatenate([encode(text, allowed_special="all"), tail]).astype("<u4", copy=False)
+                for number, (start, length) in enumerate(cut(len(found), capacity)):
+                    piece = found[start : start + length]
+                    for values, value in zip(held, (row, number, start, length, zlib.crc32(piece), piece), strict=True):
+                        values.append(value)
+                    tokens += length
+                    if tokens >= _FLUSH_TOKENS:  # a task holds the ids of few pieces, whatever its batches hold
+                        yield made(batch, *held)
+                        held, tokens = tuple([] for _ in range(6)), 0
+            if held[0]:
+                yield made(batch, *held)
 
     return run
 
@@ -231,9 +239,8 @@ def _place(plan: Plan):
 def pack(pieces: DataFrame, capacity: int = CAPACITY, chunk_pieces: int = CHUNK_PIECES) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``, sequences gapless from 0.
 
-    ``pieces`` has ``id``, ``text_hash``, ``piece`` and ``length`` (1 to the
-    capacity) and is read three times. Pieces equal in the first three columns
-    are interchangeable.
+    ``pieces`` has ``no`` (a number of its own), ``id``, ``text_hash``, ``piece``
+    and ``length`` (1 to the capacity) and is read three times.
     """
     counts = {row["length"]: row["count"] for row in pieces.groupBy("length").count().collect()}
     plan = Plan(counts, capacity)
@@ -244,7 +251,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, chunk_pieces: int = CHUNK_
     bases = dealt.groupBy("length", "chunk").count().select(
         "length", "chunk", F.coalesce(F.sum("count").over(order), F.lit(0)).alias("base")
     )
-    inside = Window.partitionBy("length", "chunk").orderBy("id", "text_hash", "piece")
+    inside = Window.partitionBy("length", "chunk").orderBy("id", "text_hash", "piece", "no")
     ranked = (
         dealt.withColumn("inside", F.row_number().over(inside) - 1)
         .join(bases, ["length", "chunk"])
@@ -280,5 +287,9 @@ def pack_documents(
     if with_ids:
         schema += ", ids array<int>"
     pieces = rows.mapInArrow(_pieces(path or vocabulary_path(), capacity, end, with_ids), schema)
-    packed = pack(stored(pieces, "pieces"), capacity, chunk_pieces)
-    return packed.withColumnRenamed("id", id_col).drop("text_hash")
+    # numbered as they are written, so that the numbers are the same whenever they are read
+    pieces = stored(pieces.withColumn("no", F.monotonically_increasing_id()), "pieces")
+    packed = pack(pieces.drop("ids"), capacity, chunk_pieces)
+    if with_ids:  # the ids are attached when all places are known, and take no part in finding them
+        packed = packed.join(pieces.select("no", "ids"), "no")
+    return packed.withColumnRenamed("id", id_col).drop("text_hash", "no")

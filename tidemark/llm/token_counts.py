@@ -128,10 +128,10 @@ class CountedText:
 
 def _recount(path: str, leaf_chars: int, stored_sizes: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(path).encode
 
         def count(text: str) -> int:
-            return len(encode(text))
+            return len(encode(text, allowed_special="all"))
 
         names = ["id", "n_tokens", "n_edits", "n_tokens_edited", "chars_encoded", "edited", "leaf_chars", "leaf_tokens"]
         for batch in batches:
