@@ -112,7 +112,7 @@ def mix(
     """
     size = F.coalesce(F.regexp_count(quoted(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     source = quoted(source_col)
-    key = F.xxhash64(quoted(id_col), F.lit(seed))
+    key = F.xxhash64(quoted(id_col), quoted(text_col), F.lit(seed))
     sized = stored(
         docs.select(
             source.alias("source"), key.alias("key"), F.xxhash64(quoted(text_col)).alias("text_hash"), size.alias("size")
@@ -133,7 +133,7 @@ def mix(
     ).otherwise(F.col("cut_words"))
     own = {"size", "source_size", "target", "taken"}
     return named.join(cuts, F.col("_of").eqNullSafe(F.col("_source"))).select(
-        *(F.col("_row")[name].alias(name) for name in docs.columns if name not in own),
+        *(F.col("_row")[name].alias(name) for name in docs.columns if name.lower() not in own),
         F.col("_size").alias("size"),
         "source_size",
         "target",

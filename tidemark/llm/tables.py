@@ -32,14 +32,16 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Id and hash together name a row, also where ids repeat or are null; rows
     equal in both are equal in text. The other columns travel in one struct, so
-    no name of theirs can clash with one of an operator's own.
+    no name of theirs can clash with one of an operator's own; its first field is
+    there so that it is never empty.
     """
     others = [quoted(name) for name in docs.columns if name not in (id_col, text_col)]
+    filler = "_" * (1 + max(map(len, docs.columns)))
     return docs.select(
         quoted(id_col).alias(ID),
         F.xxhash64(quoted(text_col)).alias(TEXT_HASH),
         quoted(text_col).alias(TEXT),
-        F.struct(*others, F.lit(True).alias("_")).alias(REST),
+        F.struct(F.lit(True).alias(filler), *others).alias(REST),
     )
 
 
@@ -66,6 +68,7 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 
 
 def other_columns(df: DataFrame, taken: set[str]) -> list[Column]:
-    """The columns in the struct that no result column replaces."""
-    names = [f.name for f in df.schema[REST].dataType.fields]
-    return [F.col(REST)[name].alias(name) for name in names if name != "_" and name not in taken]
+    """The columns in the struct that no result column replaces; names that differ in case only are the same."""
+    used = {name.lower() for name in taken}
+    _, *names = (f.name for f in df.schema[REST].dataType.fields)
+    return [F.col(REST)[name].alias(name) for name in names if name.lower() not in used]
