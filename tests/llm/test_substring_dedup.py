@@ -75,3 +75,28 @@ def test_whole_rows_repeated(spark, copies, group_rows):
     rows = [*[repeated] * copies, (2, f"another start {passage}"), (None, f"{passage} clean words after it")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(remove_repeats(df, window=8, anchor=3, group_rows=group_rows)) == left(rows, 8)
+
+
+def test_many_copies_of_a_row(spark):
+    """Rows repeated as a whole take no more than their own marks, whatever their number."""
+    text = " ".join(f"w{n}" for n in range(600))
+    rows = [(None, text)] * 10_000 + [(1, text + " and an end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = remove_repeats(df).groupBy("doc_id", "n_words", "n_removed", "kept_text").count().collect()
+    assert {tuple(r) for r in found} == {(None, 600, 600, "", 10_000), (1, 603, 600, "and an end", 1)}
+
+
+def test_columns_that_differ_in_case_only(spark):
+    df = spark.createDataFrame([(1, "some words", "x", 2)], "doc_id long, text string, `_` string, N_WORDS int")
+    (row,) = remove_repeats(df).collect()
+    assert row.asDict() == {"doc_id": 1, "kept_text": "some words", "n_words": 2, "n_removed": 0, "_": "x"}
+
+
+def test_the_rest_keeps_its_spaces(spark):
+    shared = " ".join(f"s{n}" for n in range(40))
+    texts = [f"\n a  b\n{shared}\n\nc\td ", f"{shared}\n e\n", f"f  {shared}", shared, " x \n y ", None, " \t"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.kept_text for r in remove_repeats(df, spaces=True).collect()}
+    assert found == {0: "\n a  b\n\nc\td ", 1: "e\n", 2: "f", 3: "", 4: " x \n y ", 5: "", 6: " \t"}
+    plain = {r.doc_id: r.kept_text for r in remove_repeats(df).collect()}
+    assert {key: " ".join(text.split()) for key, text in found.items()} == plain

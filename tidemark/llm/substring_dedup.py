@@ -27,6 +27,7 @@ Words are compared by 64-bit hashes, ``window`` of them for a window.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,7 @@ from tidemark.llm.words import Ranges, blocks, grouped, sliding
 
 WINDOW = 35
 ANCHOR = 12
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GROUP_ROWS = 20_000
 
 
@@ -172,14 +174,24 @@ def _grow_trees(window: int):
     return run
 
 
-def _cut(window: int):
+def _with_spaces(text: bytes, keep: np.ndarray) -> bytes:
+    """The kept words with the white space before each; that of the text's ends stays with its outer words."""
+    spans = [word.span() for word in _WORD.finditer(text)]
+    if not len(keep):
+        return b""
+    left = b"".join(text[spans[at - 1][1] if at else 0 : spans[at][1]] for at in keep)
+    left = left if keep[0] == 0 else left.lstrip()
+    return left + text[spans[-1][1] :] if keep[-1] == len(spans) - 1 else left
+
+
+def _cut(window: int, spaces: bool):
     """Keep the words that no marked window covers."""
     offsets = np.arange(window)
 
     def kept(text: bytes, starts, marks) -> tuple[str, int, int]:
         words = text.split()
         if starts is None or not len(starts):
-            return b" ".join(words).decode(), len(words), 0
+            return (text if spaces else b" ".join(words)).decode(), len(words), 0
         starts, marks = np.asarray(starts), np.asarray(marks)
         edge = np.zeros(len(words) + 1, dtype=np.int64)
         for bit in offsets:
@@ -187,7 +199,8 @@ def _cut(window: int):
             np.add.at(edge, begin, 1)
             np.add.at(edge, begin + window, -1)
         keep = np.flatnonzero(np.cumsum(edge[:-1]) == 0)
-        return b" ".join([words[at] for at in keep]).decode(), len(words), len(words) - len(keep)
+        left = _with_spaces(text, keep) if spaces else b" ".join([words[at] for at in keep])
+        return left.decode(), len(words), len(words) - len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,7 +267,7 @@ def _verdicts(docs: DataFrame, shared: DataFrame, window: int, group_rows: int)
     ).select("prefix", "stretch", "offset", F.expr(f"slice(words, offset + 1, {window})").alias("suffix"))
     deep = suffixes.groupBy("prefix", "suffix").count().where("count > 1").drop("count")
     split = (
-        suffixes.join(deep, ["prefix", "suffix"])
+        spread_join(suffixes, deep, ["prefix", "suffix"])
         .groupBy("prefix", "stretch")
         .agg(F.bit_or(F.expr("shiftleft(1L, offset)")).alias("marks"))
     )
@@ -269,10 +282,12 @@ def remove_repeats(
     window: int = WINDOW,
     anchor: int = ANCHOR,
     group_rows: int = GROUP_ROWS,
+    spaces: bool = False,
 ) -> DataFrame:
     """All columns, with the text that is left and the numbers of words.
 
-    Adds ``kept_text`` (kept words joined by one space), ``n_words`` and
+    Adds ``kept_text`` (kept words joined by one space, or with ``spaces`` the
+    text as it was without the words that go and the space before them), ``n_words`` and
     ``n_removed`` before the input's other columns; those replace columns of
     the same names. Null texts have no words. Texts of fewer than ``window``
     words lose nothing. Rows repeated as a whole repeat each other's windows,
@@ -291,13 +306,14 @@ def remove_repeats(
     marked = (
         spread_join(shared, _verdicts(rows, shared, window, group_rows), ["prefix", "stretch"])
         .groupBy(ID, TEXT_HASH)
-        .agg(F.collect_list("start").alias("starts"), F.collect_list("marks").alias("marks"))
-        .select(_row(), "starts", "marks")
+        # a set, kept in the map tasks too: rows repeated as a whole have the same marks
+        .agg(F.collect_set(F.struct("start", "marks")).alias("found"))
+        .select(_row(), F.col("found.start").alias("starts"), F.col("found.marks").alias("marks"))
     )
     left = rows.withColumn("row", _row()).join(marked, "row", "left")
     rest = rows.schema[REST].dataType.simpleString()
     result = left.mapInArrow(
-        _cut(window),
+        _cut(window, spaces),
         f"{ID} {id_type}, {REST} {rest}, "
         "kept_text string, n_words long, n_removed long",
     )
