@@ -22,7 +22,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model accepts; null and letterless texts go."""
+    """Documents in a language that the model accepts; null and letterless texts go.
+
+    The model learns from labelled documents alone, each text once. Rows with null or
+    equal ids are decided by their own text; repeated rows all stay or all go.
+    """
     importable(spark)
     docs = docs.select(*COLUMNS)
     model = language_id.train(docs.where(~held_out()))
@@ -30,27 +34,43 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of equal and similar texts."""
+    """The document with the least id of each group of equal and similar texts.
+
+    Null ids come after all others. Of rows with one id and different texts of a
+    group one stays; a row repeated as a whole stays once.
+    """
     importable(spark)
     return one_of_each_group(docs.select(*COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages; those with nothing left go."""
+    """Documents without their repeated passages; those with nothing left go.
+
+    What is left keeps its white space. Null and blank texts go. Rows repeated as a
+    whole repeat each other, also with null ids.
+    """
     importable(spark)
-    left = remove_repeats(docs.select(*COLUMNS)).where("n_words > n_removed")
+    left = remove_repeats(docs.select(*COLUMNS), spaces=True).where("n_words > n_removed")
     text = F.col("kept_text")
     return left.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    A null source is a source. Rows with null or equal ids are taken by id and text;
+    repeated rows take equal shares. Null and wordless texts are not taken.
+    """
     importable(spark)
     return mixed_rows(docs.select(*COLUMNS))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their tokens, and their places in sequences."""
+    """The pieces of all documents with their tokens, and their places in sequences.
+
+    Null and empty texts are the end token alone; repeated rows are packed as often
+    as they are there.
+    """
     importable(spark)
     return pack_documents(docs.select(*COLUMNS), with_ids=True)
 
