@@ -1,3 +1,5 @@
+import time
+import tracemalloc
 from itertools import product
 
 import pytest
@@ -45,7 +47,7 @@ def test_pages(page):
 
 def test_text_of_blocks():
     page = "<p>One&nbsp;&amp; <b>two</b>\n three&lt;p&gt; &#233;&#x4e2d; a < b</p><p></p><td>x &unknown; &amp"
-    assert [block.text() for block in blocks(page)] == ["One & two three<p> é中 a < b", "x &unknown; &"]
+    assert [block.text() for block in blocks(page)[0]] == ["One & two three<p> é中 a < b", "x &unknown; &"]
 
 
 def test_short_paragraphs_stay_with_their_neighbours():
@@ -103,3 +105,40 @@ def test_odd_rows(spark):
         [(1, ""), (1, ""), (None, TEXT.split("\n")[0]), (2, TEXT.split("\n")[0]), (2, TEXT.split("\n")[0])], key=repr
     )
     assert extract(pages.where("false")).count() == 0
+
+
+def test_formulas_are_text():
+    page = "<p>We know that <math><mi>a</mi><mo>=</mo><mi>b</mi><annotation>a=b</annotation></math> holds for all of the cases.</p>"
+    assert main_text(f"<article>{page}</article>") == "We know that a=b holds for all of the cases."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p title='x" * 100_000,
+        "<p title=\"x>" * 90_001,
+        "<div>" * 200_000 + ARTICLE,
+        "<div><b>" * 100_000 + ARTICLE * 20,
+        ("<b>" * 50 + "<p>x y z</i></em></div>") * 5000,
+        "<div>" * 60_000 + "</section>" * 40_000 + ARTICLE,
+        "<p>x<script>" * 80_000,
+        "<!--" * 250_000,
+        "<div>some text " * 70_000,
+        ARTICLE + "<a href='" + "</a>" * 250_000,
+        ("<div>" * 500 + "words in it</div>" * 500) * 80,
+    ],
+)
+def test_large_malformed_pages(page):
+    """About a megabyte each: time and memory follow the size."""
+    tracemalloc.start()
+    started = time.perf_counter()
+    main_text(page)
+    took, (_, most) = time.perf_counter() - started, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert took < 20 and most < 400e6
+
+
+def test_text_after_a_quote_that_is_never_closed():
+    page = f"<div>{ARTICLE}<p class='open>Text after it, which is here to be read.</p>{MORE}"
+    assert main_text(page).split("\n")[0] == TEXT.split("\n")[0]
+    assert main_text(page).split("\n")[-1] == TEXT.split("\n")[1]

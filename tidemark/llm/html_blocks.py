@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 # Element names of the HTML standard, by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math canvas audio video xmp noframes noembed".split())
+RAW = frozenset("script style noscript template iframe object svg canvas audio video xmp noframes noembed".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "math semantics annotation annotation-xml mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded "
+    "mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd".split()
+)
+UNSEEN = frozenset(
+    "head title textarea select option optgroup datalist button label legend form fieldset dialog menu "
+    "annotation annotation-xml".split()
 )
-UNSEEN = frozenset("head title textarea select option optgroup datalist button label legend form fieldset dialog menu".split())
 BOILERPLATE = frozenset("nav footer aside".split())
 #: an open element of the key ends where one of the value starts
 CLOSED_BY = {
@@ -35,6 +41,11 @@ _TOKEN = re.compile(
     r"|[^<]+|<",
     re.DOTALL,
 )
+#: the same for what follows a quote that is never closed: no tag there has quotes
+_BROKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*)(?P<more>[^<>]*)(?:>|\Z)|<[!?/][^<>]*(?:>|\Z)|[^<]+|<", re.DOTALL
+)
+_TAG_START = re.compile(r"</?[a-zA-Z]")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b")
 _HINT = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -61,7 +72,7 @@ PLAIN, GOOD, BAD, GONE = 0, 1, 2, 3
 class Block:
     """Raw text pieces between two block borders."""
 
-    path: tuple[int, ...]  # numbers of the open block-level elements
+    node: int  # the innermost open block-level element
     tag: str
     context: int
     pieces: list[str] = field(default_factory=list)
@@ -110,44 +121,112 @@ def _says(name: str, more: str, inside: int) -> int:
     return found
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in its order, those that never show left out.
+@dataclass(slots=True)
+class Tree:
+    """The block-level elements of a page, each with its parent and depth; 0 is the page itself."""
+
+    parent: list[int] = field(default_factory=lambda: [0])
+    depth: list[int] = field(default_factory=lambda: [0])
+
+    def add(self, parent: int) -> int:
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        return len(self.parent) - 1
+
+    def distance(self, one: int, other: int) -> int:
+        """Steps between two elements."""
+        steps = 0
+        while one != other:
+            if self.depth[one] >= self.depth[other]:
+                one = self.parent[one]
+            else:
+                other = self.parent[other]
+            steps += 1
+        return steps
+
+
+class _Open:
+    """The open elements, innermost last."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.says: list[int] = [PLAIN]
+        self.blocks: list[tuple[int, int]] = []  # place in names and node of those that are block-level
+        self.count: Counter[str] = Counter()
+        self.links = 0
+
+    def node(self) -> int:
+        return self.blocks[-1][1] if self.blocks else 0
+
+    def tag(self) -> str:
+        return self.names[self.blocks[-1][0]] if self.blocks else ""
+
+    def push(self, name: str, says: int, node: int | None) -> None:
+        if node is not None:
+            self.blocks.append((len(self.names), node))
+        self.names.append(name)
+        self.says.append(says)
+        self.count[name] += 1
+        self.links += name == "a"
+
+    def pop_to(self, name: str) -> bool:
+        """Close elements up to the innermost of a name; whether a block-level one was among them."""
+        border = False
+        while True:
+            gone = self.names.pop()
+            self.says.pop()
+            self.count[gone] -= 1
+            self.links -= gone == "a"
+            if self.blocks and self.blocks[-1][0] == len(self.names):
+                self.blocks.pop()
+                border = True
+            if gone == name:
+                return border
+
+
+def blocks(page: str) -> tuple[list[Block], Tree]:
+    """The blocks of a page in its order, those that never show left out, and the tree of its elements.
 
     Unclosed and stray tags are taken as browsers take them, as far as blocks
-    depend on it; an unended comment or raw element lasts to the end.
+    depend on it; an unended comment or raw element lasts to the end. A tag whose
+    quotes are never closed is text, and quotes have no meaning after it, so each
+    character is looked at a few times at most.
     """
     found: list[Block] = []
-    names: list[str] = []
-    says: list[int] = [PLAIN]
-    path: list[int] = []
-    links = number = at = 0
+    tree, open_ = Tree(), _Open()
+    at = 0
     now: Block | None = None
-    size = len(page)
+    size, tokens = len(page), _TOKEN
+    unended: set[str] = set()
     while at < size:
-        token = _TOKEN.match(page, at)
-        at = token.end()
+        token = tokens.match(page, at)
         name = token["name"]
+        if name is None and tokens is _TOKEN and _TAG_START.match(page, at):
+            tokens = _BROKEN
+            continue
+        at = token.end()
         if name is None:
             text = token[0]
             if text[0] == "<" and len(text) > 1:
                 continue
-            if says[-1] == GONE:
+            if open_.says[-1] == GONE:
                 continue
             if now is None:
                 if text.isspace():
                     continue
-                tag = next((n for n in reversed(names) if n not in INLINE), "")
-                now = Block(tuple(path), tag, says[-1])
+                now = Block(open_.node(), open_.tag(), open_.says[-1])
                 found.append(now)
             now.pieces.append(text)
             now.chars += len(text)
-            if links:
+            if open_.links:
                 now.linked += len(text)
             continue
         name = name.lower()
         if name in RAW:
             if not token["end"] and not token["more"].endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                close = None if name in unended else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+                if close is None:
+                    unended.add(name)
                 at = close.end() if close else size
             continue
         inline = name in INLINE
@@ -158,41 +237,15 @@ def blocks(page: str) -> list[Block]:
                 now.pieces.append(" ")
             continue
         if token["end"]:
-            if name not in names:
-                continue
-            while True:
-                gone = names.pop()
-                says.pop()
-                if gone == "a":
-                    links -= 1
-                if gone not in INLINE:
-                    path.pop()
-                    now = None
-                if gone == name:
-                    break
+            if open_.count[name] and open_.pop_to(name):
+                now = None
             continue
-        if not inline:
-            # ends that the standard lets pages leave out
-            for open_name in reversed(names):
-                closers = CLOSED_BY.get(open_name, frozenset())
-                if closers is None or name in closers:
-                    while True:
-                        gone = names.pop()
-                        says.pop()
-                        if gone == "a":
-                            links -= 1
-                        if gone not in INLINE:
-                            path.pop()
-                        if gone == open_name:
-                            break
-                    break
-                if open_name not in INLINE:
-                    break
-        if name == "a":
-            links += 1
-        names.append(name)
-        says.append(_says(name, token["more"], says[-1]))
-        if not inline:
-            number += 1
-            path.append(number)
-    return [block for block in found if block.chars]
+        if not inline and open_.blocks:
+            # an end that the standard lets pages leave out
+            outer = open_.tag()
+            closers = CLOSED_BY.get(outer, frozenset())
+            if closers is None or name in closers:
+                open_.pop_to(outer)
+        says = _says(name, token["more"], open_.says[-1])
+        open_.push(name, says, None if inline else tree.add(open_.node()))
+    return [block for block in found if block.chars], tree

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.html_blocks import BAD, GOOD, Block, blocks
+from tidemark.llm.html_blocks import BAD, GOOD, Block, Tree, blocks
 from tidemark.llm.tables import ID, REST, TEXT, identified, other_columns
 
 #: Smoothness of blocks under one parent; a step in the tree divides it.
@@ -56,28 +56,18 @@ def log_odds(block: Block, text: str) -> float:
     return odds
 
 
-def _distance(one: tuple[int, ...], other: tuple[int, ...]) -> int:
-    """Steps between two blocks' elements in the tree."""
-    common = 0
-    for a, b in zip(one, other, strict=False):
-        if a != b:
-            break
-        common += 1
-    return len(one) + len(other) - 2 * common
-
-
-def smoothness(paths: list[tuple[int, ...]], smooth: float = SMOOTH) -> list[tuple[int, int, float]]:
+def smoothness(nodes: list[int], tree: Tree, smooth: float = SMOOTH) -> list[tuple[int, int, float]]:
     """Edges between neighbours in the page, and between neighbours under one parent."""
     edges = []
-    last: dict[tuple[int, ...], int] = {}
-    for at, path in enumerate(paths):
+    last: dict[int, int] = {}
+    for at, node in enumerate(nodes):
         near = {at - 1} if at else set()
-        parent = path[:-1]
+        parent = tree.parent[node] if node else -1
         if parent in last:
             near.add(last[parent])
         last[parent] = at
         for other in near:
-            edges.append((other, at, smooth * 2 / (1 + _distance(paths[other], path))))
+            edges.append((other, at, smooth * 2 / (1 + tree.distance(nodes[other], node))))
     return edges
 
 
@@ -152,14 +142,15 @@ def least_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bo
 
 def main_text(page: str | None, smooth: float = SMOOTH) -> str:
     """The content blocks of a page, joined by newlines; empty if there are none."""
-    found = [(block, text) for block in blocks(page or "") if (text := block.text())]
+    made, tree = blocks(page or "")
+    found = [(block, text) for block in made if (text := block.text())]
     if not found:
         return ""
     odds = [log_odds(block, text) for block, text in found]
     if min(odds) > 0:
         kept = [True] * len(found)
     else:
-        kept = least_cut(odds, smoothness([block.path for block, _ in found], smooth))
+        kept = least_cut(odds, smoothness([block.node for block, _ in found], tree, smooth))
     return "\n".join(text for (_, text), keep in zip(found, kept, strict=True) if keep)
 
 
