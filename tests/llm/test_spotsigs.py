@@ -85,4 +85,14 @@ def test_near_pairs(spark, docs, threshold):
         for (a, x), (b, y) in combinations(named, 2)
         if len(x & y) >= threshold * len(x | y)
     }
-    assert {(r.a, r.b) for r in near_pairs(prints.select("id", "signatures"), threshold).collect()} == expected
+    found = near_pairs(prints.select("id", "signatures"), threshold).collect()
+    assert {(min(r.a, r.b), max(r.a, r.b)) for r in found} == expected and len(found) == len(expected)
+
+
+def test_near_pairs_with_null_and_equal_ids(spark):
+    base = list(range(20))
+    rows = [(1, base), (1, base[:-1]), (None, base[1:]), (None, list(range(100, 120))), (None, list(range(100, 119))), (2, []), (2, base)]
+    found = near_pairs(spark.createDataFrame(rows, "id long, signatures array<int>")).collect()
+    assert {frozenset([r.a, r.b]) for r in found} == {frozenset([1]), frozenset([1, None]), frozenset([None])}
+    assert sorted(round(r.likeness, 3) for r in found) == [0.9, 0.95, 0.95, 0.95]
+    assert len({(r.a_key, r.b_key) for r in found}) == 4 and all(r.a_key < r.b_key for r in found)

@@ -19,11 +19,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import quoted, row_key, stored
+from tidemark.llm.tables import quoted, row_key, spread_join, stored
+from tidemark.names import whole_key
 
 CHAIN = 2
 REACH = 8
-SPARSE = 10
 
 # Anchors, frequent function words of English, German, French and Spanish.
 ANCHORS = (
@@ -45,9 +45,9 @@ def with_signatures(df: DataFrame, text: str, name: str) -> DataFrame:
 
     A signature is a 32-bit hash of the anchor and its chain; the chain is made
     of the first ``CHAIN`` content words among the ``REACH`` words after the
-    anchor. A text with less than one such spot in ``SPARSE`` words also has every
-    two neighbouring words as signatures, one with a single word that word, and
-    one without words but not empty itself. Null and empty texts have none.
+    anchor. A text without any such spot has every two neighbouring words as
+    signatures, one with a single word that word, and one without words but not
+    empty itself. Null and empty texts have none.
     """
     words, content = f"_{name}_words", f"_{name}_content"
     anchor = F.col(words)
@@ -69,8 +69,7 @@ def with_signatures(df: DataFrame, text: str, name: str) -> DataFrame:
         .when(F.length(text) > 0, F.array(F.hash(text)))
         .otherwise(F.array().cast("array<int>"))
     )
-    enough = (F.size(name) > 0) & (F.size(name) * SPARSE >= F.size(anchor))
-    filled = F.when(enough, F.col(name)).otherwise(F.array_sort(F.array_union(name, plain)))
+    filled = F.when(F.size(name) > 0, F.col(name)).otherwise(F.array_sort(F.array_distinct(plain)))
     return df.withColumn(name, filled).drop(words, content)
 
 
@@ -163,35 +162,43 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def near_pairs(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Pairs of different fingerprints with at least the likeness, from ``id`` and ``signatures``.
 
-    Equal sets are one class, named by its least id; the result has ``a``, ``b``
-    (the names, ``a`` the less) and ``likeness``. Sets are partitioned by size so
-    that only a class of sizes and the next can hold a pair; there, each set is
-    found by its rarest signatures only, as many as a pair over the threshold
+    Equal sets are one class, named by two hashes of the set, as ids may be null or
+    equal; the result has ``a``, ``b`` (the least ids of the two classes), ``a_key``,
+    ``b_key`` (their names, ``a_key`` the less) and ``likeness``. Sets are partitioned
+    by size so that only a class of sizes and the next can hold a pair; there, each
+    set is found by its rarest signatures only, as many as a pair over the threshold
     cannot all miss. Empty sets are in no pair.
     """
-    classes = sets.where(F.size("signatures") > 0).groupBy("signatures").agg(F.min("id").alias("id"))
+    named = sets.where(F.size("signatures") > 0).withColumn(
+        "key", F.concat(F.hex(F.xxhash64("signatures")), F.lit("-"), F.hex(F.xxhash64(F.lit(7), "signatures")))
+    )
+    classes = named.groupBy("key").agg(F.min("id").alias("id"), F.first("signatures").alias("signatures"))
     classes = stored(classes.withColumn("count", F.size("signatures")), "sets")
     seen = classes.select(F.explode("signatures").alias("signature")).groupBy("signature").agg(F.count("*").alias("seen"))
-    spread = classes.select("id", "count", F.explode("signatures").alias("signature")).join(seen, "signature")
-    rarest = Window.partitionBy("id").orderBy("seen", "signature")
+    spread = spread_join(classes.select("key", "count", F.explode("signatures").alias("signature")), seen, ["signature"])
+    rarest = Window.partitionBy("key").orderBy("seen", "signature")
     most = F.col("count") - F.ceil(F.lit(threshold) * F.col("count")) + 1
     step = math.log(1 / threshold) if threshold < 1 else 1.0
     indexed = (
         spread.withColumn("place", F.row_number().over(rarest))
         .where(F.col("place") <= most)
-        .select("id", "count", "signature", F.floor(F.log("count") / step).alias("size_class"))
+        .select("key", "count", "signature", F.floor(F.log("count") / step).alias("size_class"))
     )
     other = indexed.withColumn("size_class", F.explode(F.array(F.col("size_class"), F.col("size_class") + 1))).select(
-        F.col("id").alias("other"), F.col("count").alias("other_count"), "signature", "size_class"
+        F.col("key").alias("other"), F.col("count").alias("other_count"), "signature", "size_class"
     )
     fits = (F.col("other_count") >= threshold * F.col("count")) & (F.col("count") >= threshold * F.col("other_count"))
+    on = whole_key(["signature", "size_class"], "l") == whole_key(["signature", "size_class"], "r")
     pairs = (
-        indexed.join(other, ["signature", "size_class"])
-        .where(fits & (F.col("id") != F.col("other")))
-        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+        indexed.alias("l")
+        .join(other.alias("r"), on)
+        .where(fits & (F.col("key") != F.col("other")))
+        .select(F.least("key", "other").alias("a_key"), F.greatest("key", "other").alias("b_key"))
         .distinct()
     )
-    one = classes.select(F.col("id").alias("a"), F.col("signatures").alias("_one"))
-    two = classes.select(F.col("id").alias("b"), F.col("signatures").alias("_two"))
-    found = pairs.join(one, "a").join(two, "b").withColumn("likeness", likeness("_one", "_two"))
-    return found.where(F.col("likeness") >= threshold).select("a", "b", "likeness")
+    one, two = (
+        classes.select(F.col("key").alias(f"{side}_key"), F.col("id").alias(side), F.col("signatures").alias(f"_{side}"))
+        for side in "ab"
+    )
+    found = pairs.join(one, "a_key").join(two, "b_key").withColumn("likeness", likeness("_a", "_b"))
+    return found.where(F.col("likeness") >= threshold).select("a", "b", "a_key", "b_key", "likeness")
