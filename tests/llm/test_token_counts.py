@@ -8,12 +8,12 @@ from tidemark.llm.packing import encoder, vocabulary_path
 from tidemark.llm.queries import sample_edits
 from tidemark.llm.token_counts import CountedText, SegmentTree, count_tokens, cuts
 
-PIECE = st.text(alphabet=st.sampled_from(list("ab  'st1.\né漢²_")), max_size=40)
+PIECE = st.lists(st.sampled_from([*"ab  'st1.\né漢²_。」", "<|endoftext|>"]), max_size=40).map("".join)
 EDIT = st.tuples(st.integers(-2, 200), st.integers(-1, 60), PIECE)
 
 
 def count(text):
-    return len(encoder(vocabulary_path()).encode_ordinary(text))
+    return len(encoder(vocabulary_path()).encode(text, allowed_special="all"))
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +81,26 @@ def test_odd_rows(odd, none):
     assert {r.n_tokens for r in rows if r.doc_id in (3, 4)} == {0}
     assert all(r.n_tokens == r.n_tokens_edited == sum(r.leaf_tokens) for r in rows)
     assert count_tokens(none).count() == 0
+
+
+def test_leaves_stay_small():
+    """Insertions are cut into leaves of their own, also in texts without spaces."""
+    words, marks = "many words stand here and there ", "这是一个句子，没有空格。"
+    for piece in (words, marks):
+        found = CountedText(piece * 100, count, 64)
+        text = found.text
+        for at in (0, 500, 100, 2000):
+            found.edit(at, 7, piece * 200)
+            text = text[:at] + piece * 200 + text[at + 7 :]
+        assert found.text == text and found.tree.total == count(text) and found.tree.chars[1] == len(text)
+        chars, tokens = found.sizes()
+        assert max(chars) <= 64 + 2 * len(piece) and sum(tokens) == count(text) and len(chars) > len(text) // 100
+        found.encoded = 0
+        found.edit(len(text) // 2, 1, "x")
+        assert found.encoded < 200
+
+
+def test_without_details(odd):
+    plain = count_tokens(odd, details=False)
+    assert plain.columns == ["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "chars_encoded"]
+    assert sorted((r.n_tokens for r in plain.collect())) == sorted(r.n_tokens for r in count_tokens(odd).collect())

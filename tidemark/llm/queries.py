@@ -167,7 +167,7 @@ def sample_edits(doc_id: str = "doc_id", text: str = "text") -> Column:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("edits", sample_edits())
-    return count_tokens(docs, edits_col="edits").select(
+    return count_tokens(docs, edits_col="edits", details=False).select(
         "doc_id", "n_tokens", "n_edits", "n_tokens_edited", "chars_encoded"
     )
 

@@ -2,13 +2,15 @@
 
 A document's count is the root of a segment tree. Its leaves are stretches of
 text of about ``LEAF_CHARS`` characters that end where the tokenizer's pre-token
-pattern always splits: before a space with a character other than white space on
-either side. No token crosses such a border, so the tokens of a leaf don't depend
-on its neighbours, and the count of a text is the sum over its leaves.
+pattern always splits: before a space between letters or digits, or after an
+ideographic mark before a letter, as in texts without spaces. No token crosses such
+a border, so the tokens of a leaf don't depend on its neighbours, and the count of a
+text is the sum over its leaves.
 
 An edit touches the leaves that overlap it, and a neighbour where the edit takes
 the border away. Only these are cut and encoded anew; sums above them are
-updated. The leaves' sizes can be stored and later brought up to date with a new
+updated. Where they are cut into more leaves than there were, the tree is built
+again over the sizes of all leaves, of which none is encoded for it. The leaves' sizes can be stored and later brought up to date with a new
 batch of edits, without encoding the rest of the text again.
 """
 
@@ -25,8 +27,9 @@ from tidemark.llm.packing import encoder, vocabulary_path
 from tidemark.llm.tables import quoted
 
 LEAF_CHARS = 512
-#: a pre-token begins at this space, whatever stands around; both sides are letters or digits
-_BORDER = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
+#: a pre-token begins here, whatever stands around: at a space with letters or digits on both sides, or
+#: at a letter or digit after an ideographic mark
+_BORDER = re.compile(r"(?<=[^\W_]) (?=[^\W_])|(?<=[。，、！？；：」』）])(?=[^\W_])")
 
 Count = Callable[[str], int]
 
@@ -118,22 +121,26 @@ class CountedText:
         region = new[low : high + shift]
         self.encoded += len(region)
         pieces = cuts(region, self._leaf_chars)
-        slots = last - first + 1
-        if len(pieces) > slots:
-            pieces[slots - 1 :] = ["".join(pieces[slots - 1 :])]
+        if len(pieces) > last - first + 1:
+            chars, tokens = (heap[tree.width : tree.width + tree.leaves] for heap in (tree.chars, tree.tokens))
+            chars[first : last + 1] = map(len, pieces)
+            tokens[first : last + 1] = map(self._count, pieces)
+            self.tree = SegmentTree(chars, tokens)
+            return
         for leaf in range(first, last + 1):
             piece = pieces[leaf - first] if leaf - first < len(pieces) else ""
             tree.put(leaf, len(piece), self._count(piece))
 
 
-def _recount(path: str, leaf_chars: int, stored_sizes: bool):
+def _recount(path: str, leaf_chars: int, stored_sizes: bool, details: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
 
         def count(text: str) -> int:
             return len(encode(text, allowed_special="all"))
 
-        names = ["id", "n_tokens", "n_edits", "n_tokens_edited", "chars_encoded", "edited", "leaf_chars", "leaf_tokens"]
+        names = ["id", "n_tokens", "n_edits", "n_tokens_edited", "chars_encoded"]
+        names += ["edited", "leaf_chars", "leaf_tokens"] if details else []
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
@@ -143,11 +150,11 @@ def _recount(path: str, leaf_chars: int, stored_sizes: bool):
                 edits = sorted(row["edits"] or [], key=lambda e: e["order"])
                 for edit in edits:
                     found.edit(edit["start"], edit["removed"], edit["replacement"] or "")
-                rows.append(
-                    (row["id"], before, len(edits), found.tree.total, found.encoded, found.text, *found.sizes())
-                )
+                more = (found.text, *found.sizes()) if details else ()
+                rows.append((row["id"], before, len(edits), found.tree.total, found.encoded, *more))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
             types = [batch.schema.field("id").type, *[pa.int64()] * 4, pa.string(), *[pa.list_(pa.int32())] * 2]
+            types = types[: len(names)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind) for column, kind in zip(columns, types, strict=True)], names=names
             )
@@ -163,6 +170,7 @@ def count_tokens(
     sizes: tuple[str, str] | None = None,
     path: str | None = None,
     leaf_chars: int = LEAF_CHARS,
+    details: bool = True,
 ) -> DataFrame:
     """Token counts of every row before and after its edits.
 
@@ -173,8 +181,8 @@ def count_tokens(
     ``leaf_tokens``); rows where they are null are counted from the start.
 
     Columns: the id, ``n_tokens``, ``n_edits``, ``n_tokens_edited``,
-    ``chars_encoded`` (that the edits made necessary), ``edited`` (the text),
-    ``leaf_chars`` and ``leaf_tokens`` of it. Null and empty texts have no
+    ``chars_encoded`` (that the edits made necessary), and with ``details``
+    ``edited`` (the text), ``leaf_chars`` and ``leaf_tokens`` of it. Null and empty texts have no
     tokens. Other columns play no part. No row is moved.
     """
     none = F.lit(None)
@@ -187,8 +195,8 @@ def count_tokens(
         (quoted(sizes[1]) if sizes else none).cast("array<int>").alias("leaf_tokens"),
     )
     found = rows.mapInArrow(
-        _recount(path or vocabulary_path(), leaf_chars, sizes is not None),
+        _recount(path or vocabulary_path(), leaf_chars, sizes is not None, details),
         f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, n_edits long, n_tokens_edited long, "
-        "chars_encoded long, edited string, leaf_chars array<int>, leaf_tokens array<int>",
+        "chars_encoded long" + (", edited string, leaf_chars array<int>, leaf_tokens array<int>" if details else ""),
     )
     return found.withColumnRenamed("id", id_col)
