@@ -56,3 +56,35 @@ def test_thresholds_ascend_and_words_tell():
     scores = np.array([model.weights[index] @ value for _, index, value in samples])
     assert (np.diff(model.thresholds) >= 0).all()
     assert np.mean((scores[:, None] > model.thresholds).sum(axis=1) == [grade for grade, _, _ in samples]) > 0.9
+
+
+def test_fit_reaches_the_likelihood_of_a_plain_fit():
+    """Against the cumulative-link likelihood, climbed by numeric gradients over all samples at once."""
+    random = np.random.Generator(np.random.PCG64(5))
+    named = np.arange(BUCKETS, BUCKETS + len(SHARES))
+    words, slopes = np.array([7, 11, 13]), np.array([2.5, -2.5, 2.0])
+    there, grades_ = random.random((900, 3)) < 0.5, []
+    for row in there:
+        latent = slopes @ row + random.logistic()
+        grades_.append(int((latent > np.array([-0.5, 1.0])).sum()))
+    samples = []
+    for row, grade in zip(there, grades_, strict=True):
+        shares = np.zeros(len(SHARES))
+        samples.append((grade, np.concatenate([words[row], named]), np.concatenate([np.ones(row.sum()), shares])))
+    model = fit(samples)
+
+    def likelihood(weights, thresholds):
+        cumulative = 1 / (1 + np.exp((there @ weights)[:, None] - thresholds))
+        edges = np.hstack([np.zeros((len(there), 1)), cumulative, np.ones((len(there), 1))])
+        at = np.arange(len(there)), np.array(grades_)
+        return np.log(edges[at[0], at[1] + 1] - edges[at]).mean()
+
+    plain = np.array([0, 0, 0, -0.5, 0.5])
+    for _ in range(400):
+        steps = [1e-5 * np.eye(5)[at] for at in range(5)]
+        slope = [likelihood((plain + s)[:3], (plain + s)[3:]) - likelihood((plain - s)[:3], (plain - s)[3:]) for s in steps]
+        plain = plain + np.array(slope) / 2e-5
+    kept = np.abs(model.weights[words]) > 0
+    assert kept.all()
+    assert likelihood(model.weights[words], model.thresholds) > likelihood(plain[:3], plain[3:]) - 0.03
+    assert np.sign(model.weights[words][kept]).tolist() == np.sign(slopes[kept]).tolist()
