@@ -73,3 +73,9 @@ def test_effective_timestamp(spark):
     empty = F.lit(None).cast("timestamp_ntz")
     assert one(spark, ts.effective_timestamp(empty, ntz(GAP))) == datetime(2024, 3, 10, 2, 30)
     assert one(spark, ts.effective_timestamp(ntz("2024-01-01"), ntz(GAP))) == datetime(2024, 1, 1)
+
+
+def test_stamps_of_file_names(spark):
+    rows = [("2024-03-10 02:30:00.5",), ("1999-12-31 23:59:59",), (None,)]
+    df = spark.createDataFrame(rows, "t string").select(ts.file_stamp(F.col("t").cast("timestamp_ntz")).alias("s"))
+    assert [r.s for r in df.collect()] == ["2024-03-10_02-30-00", "1999-12-31_23-59-59", None]

@@ -99,6 +99,12 @@ def time_of_day(ts: Column) -> Column:
     return F.substring_index(timestamp_text(ts), " ", -1)
 
 
+def file_stamp(ts: Column) -> Column:
+    """'yyyy-MM-dd_HH-mm-ss', as it stands in names of files."""
+    seconds = F.substring_index(timestamp_text(ts), ".", 1)
+    return F.translate(seconds, " :", "_-")
+
+
 @contextmanager
 def native_time(spark: SparkSession):
     """Spark's own TIME type for what is planned inside; it is off by default in Spark 4.1."""

@@ -31,3 +31,11 @@ def total_bytes(spark: SparkSession, folder: str) -> int:
     """Bytes of all files below a folder, without opening any."""
     store, path = _store(spark, folder)
     return store.getContentSummary(path).getLength()
+
+
+def put_text(spark: SparkSession, file: str, text: str) -> None:
+    """A small file from the driver, such as a control file."""
+    store, path = _store(spark, file)
+    out = store.create(path, True)
+    out.write(bytearray(text.encode()))
+    out.close()

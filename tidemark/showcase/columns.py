@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidemark.functions.timestamps import native_time, parse_timestamp, time_of_day, time_text, timestamp_text
+from tidemark.functions.timestamps import file_stamp, native_time, parse_timestamp, time_of_day, time_text, timestamp_text
 from tidemark.functions.types import read_mapping
 from tidemark.operators import catalog, upsert
 from tidemark.operators.projection import NATIVE_TIME, project_columns, project_keys, timestamps_as_text, typed_projection
+from tidemark.plans.folders import put_text
 from tidemark.shared import fresh_dir
 from tidemark.showcase import inputs as i
 from tidemark.showcase.registry import query
@@ -44,6 +44,13 @@ def times(spark, sf_dir):
     return i.table(spark, sf_dir, "events").select("event_id", time_of_day(F.col("ts")).alias("at_time"))
 
 
+@query("file_timestamp", "SELECT event_id, event_type || '_' || strftime(ts, '%Y-%m-%d_%H-%M-%S') || '.parquet' AS file_name FROM events")
+def file_names(spark, sf_dir):
+    """Names that are told apart by a moment."""
+    name = F.concat("event_type", F.lit("_"), file_stamp(F.col("ts")), F.lit(".parquet"))
+    return i.table(spark, sf_dir, "events").select("event_id", name.alias("file_name"))
+
+
 @query("native_time", "SELECT event_id, strftime(ts, '%H:%M:%S.%f') AS at_time, extract(hour FROM ts) >= 12 AS afternoon FROM events")
 def native_times(spark, sf_dir):
     """Times of day as Spark's own type, through Parquet; the text form stays the default."""
@@ -122,7 +129,7 @@ def target_columns(spark, sf_dir):
 
 def _mapping(spark):
     """A mapping file as a control input: of two rows for a name, the first counts."""
-    path = fresh_dir(spark, "types")
+    path = f"{fresh_dir(spark, 'types')}/types.csv"
     lines = [
         "POSTGRESQL,SQLSERVER,WAREHOUSE",
         "int4,int,number",
@@ -131,7 +138,7 @@ def _mapping(spark):
         "text,,varchar",
         "numeric,,float",
     ]
-    spark.createDataFrame(pa.table({"value": lines})).coalesce(1).write.text(path)
+    put_text(spark, path, "\n".join(lines))
     return read_mapping(spark, path, "WAREHOUSE")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from tidemark.operators.catalog import catalog_of, document_catalog
 from tidemark.operators.dedup import latest_document_per_key, latest_per_key, newest_first, typed_documents
 from tidemark.operators.filters import changed_since
 from tidemark.operators.projection import REASONS, rejecting_projection, timestamps_as_text, typed_projection, with_audit_columns
+from tidemark.plans.folders import put_text
 from tidemark.plans.loads import Lake, full_load, incremental_load
 from tidemark.plans.retention import retire_stage
 from tidemark.shared import fresh_dir
@@ -38,6 +40,7 @@ from tidemark.sources.files import (
 )
 from tidemark.sources.footers import AT, KEYLESS, MEASURES, footer_aggregate, with_measures
 from tidemark.sources.inference import read_text, stage_inferred
+from tidemark.sources.jdbc import JdbcSource
 from tidemark.sources.origins import DocumentOrigin, TableOrigin
 from tidemark.sources.staging import (
     current_batch,
@@ -83,6 +86,43 @@ def control_scan(spark, sf_dir):
     return read_control(spark, path)
 
 
+# --- relational sources ------------------------------------------------------------
+
+
+class InSession(JdbcSource):
+    """A source whose queries the session answers itself, from a view: no database is at hand.
+
+    Rows carry the number of the range they were read in.
+    """
+
+    def select_text(self, schema, name, columns):
+        return super().select_text(schema, name, columns).replace(f"{self._name(schema)}.", "")  # views have no schema
+
+    def _load(self, spark, options, predicates=None):
+        table = spark.sql(f"SELECT * FROM {options['dbtable']}")
+        if predicates is None:
+            return table
+        parts = [table.where(p).withColumn("range_no", F.lit(at).cast("long")) for at, p in enumerate(predicates, start=1)]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query(
+    "range_reads",
+    """WITH tiles AS (SELECT *, ntile(16) OVER (ORDER BY o_orderdate, o_orderkey) AS range_no FROM orders)
+    SELECT range_no, count(*) AS rows, min(o_orderkey) AS least_key, sum(o_totalprice) AS price FROM tiles GROUP BY range_no""",
+)
+def range_reads(spark, sf_dir):
+    """What each task of a relational read gets: ranges of as many rows each, by insert time and key."""
+    i.table(spark, sf_dir, "orders").createOrReplaceTempView("tidemark_remote_orders")
+    source = InSession("hive2", "jdbc:hive2://warehouse/{database}", "reader", "NOT_SET", partitions=16)
+    rows = source.read(
+        spark, "shop", spark.catalog.currentDatabase(), "tidemark_remote_orders", None, ("o_orderkey",), ("o_orderdate",)
+    )
+    return rows.groupBy("range_no").agg(
+        F.count("*").alias("rows"), F.min("o_orderkey").alias("least_key"), F.sum("o_totalprice").alias("price")
+    )
+
+
 # --- documents -------------------------------------------------------------------
 
 _DOC_FIELDS = {"_id": "string", "user_id": "long", "kind": "string", "value": "double"}
@@ -542,7 +582,7 @@ def load_control_file(spark, sf_dir):
     for number, (name, key) in enumerate(objects.items(), start=1):
         i.table(spark, sf_dir, name).write.parquet(f"{root}/source/{name}")
         lines.append(f"{number},shop,shop,public,table,{name},-,-,{key},*,no,-,tbl_{name}")
-    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{root}/control")
+    put_text(spark, f"{root}/control/control.csv", "\n".join(lines))
     lake = _lake(spark, root, f"{root}/source", i.FIRST_RUN)
     _checked(full_load(lake, load_specs(read_control(spark, f"{root}/control"))))
     return lake.ledger.rows().select("run_id", "target_table_name", "rows_inserted")
@@ -719,6 +759,25 @@ def load_counts(spark, sf_dir):
     return rows.select("run_id", "rows_inserted", "rows_updated", "rows_deleted")
 
 
+@query(
+    "audit_of_idle_run",
+    f"""WITH {i.ORDER_SOURCE_SQL}
+    SELECT CAST(1 AS BIGINT) AS run_id, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, count(*) AS audit_rows
+    FROM order_source UNION ALL SELECT 2, 0, 0, 0""",
+)
+def audit_of_idle_run(spark, sf_dir):
+    """A run that finds nothing new logs zeros and has no audit rows."""
+    root, spec = fresh_dir(spark, "idle"), _order_spec()
+    i.order_source(spark, sf_dir).write.parquet(f"{root}/source/orders")
+    _checked(full_load(_lake(spark, root, f"{root}/source", i.FIRST_RUN), [spec]))
+    lake = _lake(spark, root, f"{root}/source", i.SECOND_RUN)
+    _checked(incremental_load(lake, [spec]))
+    audits = lake.audit(spec, 1).unionByName(lake.audit(spec, 2))
+    held = audits.groupBy(F.col("edw_run_id").alias("run_id")).agg(F.count("*").alias("audit_rows"))
+    runs = lake.ledger.rows().select("run_id", "rows_inserted", "rows_updated").join(held, "run_id", "left")
+    return runs.fillna(0, ["audit_rows"])
+
+
 @query(
     "deleting_snapshot_load",
     f"""WITH {i.ORDER_TARGET_SQL},{i.ORDER_SOURCE_SQL},{i.DELETED_FEED_SQL},

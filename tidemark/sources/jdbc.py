@@ -14,8 +14,10 @@ from tidemark.names import split_names
 DRIVERS = {
     "sqlserver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
     "postgresql": "org.postgresql.Driver",
+    "hive2": "org.apache.hive.jdbc.HiveDriver",
 }
-_QUOTES = {"sqlserver": ("[", "]"), "postgresql": ('"', '"')}
+_QUOTES = {"sqlserver": ("[", "]"), "postgresql": ('"', '"'), "hive2": ("`", "`")}
+_WALL_TIMES = {"sqlserver": "DATETIME2", "postgresql": "TIMESTAMP", "hive2": "TIMESTAMP_NTZ"}
 
 
 #: types whose values a database and a literal put in the same order
@@ -96,7 +98,7 @@ class JdbcSource:
         if isinstance(dtype, T.DateType):
             return f"CAST('{value}' AS DATE)"
         if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            return f"CAST('{value}' AS {'DATETIME2' if self.kind == 'sqlserver' else 'TIMESTAMP'})"
+            return f"CAST('{value}' AS {_WALL_TIMES[self.kind]})"
         return str(value)
 
     def _from(self, columns: list[T.StructField], cut: tuple) -> str:
