@@ -293,9 +293,10 @@ def near_duplicates(
     wanted = spread_join(weighed, parts, ["root"]).select(
         *row_key(F.col("class_id"), id_type), "h1", "h2", "key", "root", "parts"
     )
-    # one row for each text, also where whole rows are repeated; the grouping needs no exchange after the join
+    # one row for each text: rows repeated as a whole are folded in the map tasks, and the join needs no other exchange
     named = ["k1", "k2", "h1", "h2"]
-    spelled = rows.select(*row_key(F.col("id"), id_type), "h1", "h2", "text").join(wanted, named).dropDuplicates(named)
+    unique = rows.select(*row_key(F.col("id"), id_type), "h1", "h2", "text").groupBy(*named).agg(F.first("text").alias("text"))
+    spelled = unique.join(wanted, named)
     tasks = _block_pairs(spelled, F.col("parts"), F.col("root"), "task")
     verified = stored(
         tasks.select("task", "part", "across", "key", "text")
@@ -355,5 +356,6 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.struct(*(quoted(name) for name in docs.columns)).alias("row"),
     )
     key = ["k1", "k2", "k3", "k4"]
-    # the join leaves the rows where the grouping needs them: the texts are shuffled once
-    return named.join(first, key, "left_semi").groupBy(*key).agg(F.first("row").alias("row")).select("row.*")
+    # repeated rows are folded in the map tasks, and the join finds them where the grouping has left them
+    alone = named.groupBy(*key).agg(F.first("row").alias("row"))
+    return alone.join(first, key, "left_semi").select("row.*")
