@@ -92,3 +92,19 @@ def test_fit_gains_most_of_the_likelihood_of_a_plain_fit():
     # its last step still jumps about, as rates are high for a few hundred samples
     assert nothing < found <= best + 1e-9 and found - nothing > 0.5 * (best - nothing)
     assert np.sign(model.weights[words][kept]).tolist() == np.sign(slopes[kept]).tolist()
+
+
+def test_the_sample_is_bounded_where_one_id_has_many_texts(spark, monkeypatch):
+    import tidemark.llm.ordinal_quality as module
+
+    rows = [(7, f"text number {n} of an id that is everywhere") for n in range(500)]
+    rows += [(n, f"a text of its own {n}") for n in range(100, 160)]
+    ratings = [(7, 1)] * 300 + [(7, 2)] + [(n, n % 2) for n in range(100, 160)] + [(None, 1), (8, None)]
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda samples: seen.extend(samples))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    module.train(docs, spark.createDataFrame(ratings, "doc_id long, grade int"), sample_rows=40)
+    assert 30 <= len(seen) <= 39 + module.TEXTS_AN_ID
+    seen.clear()
+    module.train(docs, spark.createDataFrame(ratings, "doc_id long, grade int"))
+    assert len(seen) == 60 + module.TEXTS_AN_ID

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import ID, REST, TEXT, identified, other_columns, quoted
@@ -29,6 +29,7 @@ from tidemark.llm.words import Block, _utf8, blocks
 
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 30_000
+TEXTS_AN_ID = 4
 LEAST_DOCS = 8
 LEAST_SIGNS = 6.0
 EPOCHS = 16
@@ -167,22 +168,28 @@ def train(
     grade_col: str = "grade",
     sample_rows: int = SAMPLE_ROWS,
 ) -> Model:
-    """Fit on about ``sample_rows`` rated rows, chosen by a hash of the id.
+    """Fit on the ``sample_rows`` rated ids with the least hashes, and ``TEXTS_AN_ID`` texts of each at most.
 
-    Rows without a grade or text are left out. The sampled ratings, of that
-    bounded number, are sent to the documents; features of the sample alone
-    reach the driver. Texts with the same words and grade count once.
+    Rows without a grade or text are left out; of several grades of one id the
+    least counts. The sampled ratings, of that bounded number, are sent to the
+    documents; features of the sample alone reach the driver. Texts with the same
+    words and grade count once.
     """
     rated = ratings.select(quoted(id_col).alias("id"), quoted(grade_col).cast("int").alias("grade")).where(
         "id is not null and grade is not null"
     )
-    count, span = rated.count(), 1 << 40
-    limit = span if count <= sample_rows else int(span * sample_rows / count)
     order = F.xxhash64("id", F.lit("rated"))
-    # about sample_rows rows of 16 bytes
-    chosen = F.broadcast(rated.where(F.pmod(order, F.lit(span)) < limit))
+    once = rated.groupBy("id").agg(F.min("grade").alias("grade")).withColumn("order", order)
+    # sample_rows rows of 24 bytes
+    chosen = F.broadcast(once.orderBy("order", "id").limit(sample_rows))
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where("text is not null")
-    sample = rows.join(chosen, "id").select("grade", order.alias("order"), "text")
+    of_id = Window.partitionBy("id").orderBy(F.xxhash64("text"))
+    sample = (
+        rows.join(chosen, "id")
+        .withColumn("place", F.row_number().over(of_id))
+        .where(F.col("place") <= TEXTS_AN_ID)
+        .select("grade", "order", "text")
+    )
     found = sample.mapInArrow(
         _collect_features, "grade int, order long, buckets array<int>, shares array<double>"
     ).toArrow()
