@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import ID, REST, TEXT, identified, other_columns, quoted
+from tidemark.llm.tables import ID, TEXT, identified, other_columns, quoted
 
 SAMPLE_DOCS = 1500
 SNIPPETS = 3
