@@ -55,16 +55,22 @@ class VersionedTable:
         """The table of a run in the session's catalog; where the catalog is a shared one, other tools see it there."""
         return "tidemark_" + hashlib.md5(self._place(run_id).encode()).hexdigest()
 
+    def _keyless_at(self, version: Version) -> str:
+        return f"{self._place(version.run_id)}/keyless"
+
     def keyless(self, version: Version) -> DataFrame:
-        return self.spark.read.parquet(f"{self._place(version.run_id)}/keyless")
+        """Rows with a null in their key; the declared table has their schema, so no file is opened for it."""
+        return self.spark.read.schema(self.keyed(version).schema).parquet(self._keyless_at(version))
 
     def keyed(self, version: Version) -> DataFrame:
         """Rows with whole keys, as the bucketed table; a session that did not write it declares it first."""
         name, place = self.name(version.run_id), f"{self._place(version.run_id)}/buckets={version.buckets}"
         if not self.spark.catalog.tableExists(name):
             keys = ", ".join(quoted(k) for k in self.keys)
+            # there is always a file of the keyless rows, also where there are none
+            schema = self.spark.read.parquet(self._keyless_at(version)).schema
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({self.keyless(version).schema.toDDL()}) USING parquet "
+                f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet "
                 f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {version.buckets} BUCKETS "
                 f"LOCATION '{place.replace("'", "\\'")}'"
             )
@@ -78,8 +84,9 @@ class VersionedTable:
         self.drop(run_id)
         writer = keyed.write.format("parquet").bucketBy(buckets, *self.keys).sortBy(*self.keys)
         writer.option("path", f"{self._place(run_id)}/buckets={buckets}").saveAsTable(self.name(run_id))
-        keyless.select(*[quoted(c) for c in keyed.columns]).write.parquet(f"{self._place(run_id)}/keyless")
-        return Version(run_id, buckets)
+        version = Version(run_id, buckets)
+        keyless.select(*[quoted(c) for c in keyed.columns]).write.parquet(self._keyless_at(version))
+        return version
 
     def keep(self, run_id: int, version: Version) -> Version:
         """A run that changed no row."""
