@@ -135,6 +135,56 @@ def test_jdbc_ranges_cover_the_rows_after_the_mark(spark):
     assert empty.count() == 1000
 
 
+@pytest.mark.parametrize(
+    "keys, times",
+    [(("k",), ()), (("hot", "k"), ()), (("k",), ("at",)), (("k",), ("load",)), (("day", "price", "k"), ()), (("name", "k"), ()), (("k",), ("zoned",))],
+)
+def test_cuts_by_steps_are_those_of_a_window_over_all_rows(spark, keys, times):
+    """Bunched values, a time that all rows share, repeated rows and nulls."""
+    spark.range(1500).selectExpr(
+        "CASE WHEN id % 50 = 7 THEN NULL ELSE (id DIV 2) * (id DIV 2) * 1234567891 - 5000000000 END AS k",
+        "CASE WHEN id % 2 = 0 THEN 5 ELSE id END AS hot",
+        "concat('it''s ', cast(id % 40 AS string)) AS name",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(floor(pow(2, id / 75.0)) AS decimal(18, 6))) AS at",
+        "timestamp'2024-11-03 04:00:00' + make_dt_interval(0, 0, id DIV 3, 0) AS zoned",
+        "timestamp_ntz'2024-01-01 10:20:30.123456' AS load",
+        "date'2024-01-01' + cast(id % 3 AS int) AS day",
+        "cast(id % 7 / 4 AS decimal(9, 2)) AS price",
+    ).createOrReplaceTempView("objects")
+    query = "SELECT * FROM objects"
+    for cell_rows, since in ((20, None), (200, "2024-01-01 10:00:00")):
+        source = Database("hive2", "jdbc:x", "reader", "NOT_SET", 16, cell_rows=cell_rows)
+        columns = source.range_columns(spark.table("objects").schema, keys, times)
+        given = (query, columns, times, since if times else None)
+        tiles = spark.sql(source.cuts_query(*given)).collect()
+        expected = [tuple(row)[:-1] for row in sorted(tiles, key=lambda row: row["tile"])]
+        assert len(expected) == 15 and source.cuts(spark, "d", *given) == expected
+
+
+def test_no_window_over_all_rows_where_it_would_run_in_one_task(spark):
+    """On Hive and Spark every window has partitions, and no part with more rows than allowed is put in order."""
+    asked = []
+
+    class Asked(Database):
+        def _load(self, spark, options, predicates=None):
+            asked.append(options["dbtable"])
+            return super()._load(spark, options, predicates)
+
+    spark.range(5000).selectExpr(
+        "id AS k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id DIV 100 AS int)) AS at"
+    ).createOrReplaceTempView("objects")
+    source = Asked("hive2", "jdbc:x", "reader", "NOT_SET", 8, cell_rows=100)
+    object.__setattr__(source, "select_text", lambda *a: "SELECT * FROM objects")
+    splits.clear()
+    assert source.read(spark, "d", "s", "t", None, ("k",), ("at",)).count() == 5000
+    assert splits[0] == [625] * 8 + [0]
+    windows = [text for text in asked if "OVER (" in text]
+    assert windows and all("OVER (PARTITION BY cell" in text for text in windows)
+    ordered = windows[-1]
+    parts = ordered[ordered.index("FROM (SELECT k0, k1, CASE") + 6 : ordered.rindex(") parts")]
+    assert max(r["count"] for r in spark.sql(parts).groupBy("cell").count().collect()) <= 100
+
+
 class Reads(JdbcSource):
     """Keeps the options of each read; rows come from the session."""
 
