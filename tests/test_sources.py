@@ -5,8 +5,10 @@ from functools import reduce
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.documents import document_text, document_timestamp
+from tidemark.functions.documents import document_text, document_timestamp, with_document_times
 from tidemark.functions.types import MAPPING_SCHEMA
+from tidemark.operators.dedup import typed_documents
+from tidemark.operators.filters import any_later, documents_changed_since
 from tidemark.shared import fresh_dir, shared_dir
 from tidemark.sources.control import load_specs, read_control
 from tidemark.sources.documents import read_changed_documents, read_documents
@@ -358,3 +360,45 @@ def test_spec_without_times():
     spec = LoadSpec.from_control({**row, "CONTROL_ID": 1, "PRIMARY_KEY_COL": "id", "DATABASE_NAME": None})
     assert spec.identity == ("-", "-", "-") and spec.times == ()
     assert not spec.has_modified_time and spec.deleted_object is None
+
+
+_TIMES = ("createdAt", "updatedAt")
+_TIMED = [
+    """{"_id": 1, "createdAt": {"$date": "2024-03-10T02:30:00.123456Z"}}""",
+    """{"_id": 2, "createdAt": {"$date": {"$numberLong": "1710037800000"}}, "updatedAt": "2024-03-10 02:30:00.5"}""",
+    """{"_id": 3, "createdAt": "2024-03-09T21:30:00-05:00", "updatedAt": {"$date": "2024-03-11T00:00Z"}}""",
+    """{"_id": 4, "createdAt": "2024-03-10T02:29:59.999999999Z", "updatedAt": "NaT"}""",
+    """{"_id": 5, "createdAt": "2024-03-10T02:30:00"}""",
+    """{"_id": 6}""",
+]
+
+
+def test_times_of_documents_with_and_without_an_offset(spark):
+    docs = spark.createDataFrame([(t,) for t in _TIMED], "t string").select(F.parse_json("t").alias("doc"))
+    read = with_document_times(docs, "doc", {"c": "createdAt", "u": "updatedAt"})
+    day = lambda *rest: datetime(2024, 3, 10, 2, *rest)
+    found = read.select(F.variant_get("doc", "$._id", "int"), "c", "u").collect()
+    assert sorted(map(tuple, found)) == [
+        (1, day(30, 0, 123456), None),
+        (2, day(30), day(30, 0, 500000)),
+        (3, day(30), datetime(2024, 3, 11)),
+        (4, day(29, 59, 999999), None),
+        (5, day(30), None),
+        (6, None, None),
+    ]
+
+
+@pytest.mark.parametrize("step", ["scan", "typed"])
+def test_a_filter_by_time_reads_each_field_of_a_document_once(spark, tmp_path, step):
+    """A filter merged into the projection of the times would read them again at each mention."""
+    (tmp_path / "c.json").write_text("\n".join(_TIMED))
+    docs, mark = read_documents(spark, str(tmp_path)), "2024-03-10 02:30:00"
+    if step == "scan":
+        later = documents_changed_since(docs, mark, "doc", *_TIMES)
+    else:
+        typed, times = typed_documents(docs, "doc", {"_id": "doc_key"}, *_TIMES)
+        later = any_later(typed, mark, times)
+    assert sorted(r[0] for r in later.select(F.variant_get("doc", "$._id", "int")).collect()) == [1, 2, 3]
+    plan = later._jdf.queryExecution().optimizedPlan().toString()
+    for field in _TIMES:
+        assert plan.count(f"$['{field}']") == 1, plan

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import parse_export_time, utc_wall
+from tidemark.names import col
 
 
 # How exports write object ids, and dates as text or as milliseconds.
@@ -45,3 +46,18 @@ def parse_document_time(text: Column, strict: bool = True) -> Column:
 def document_timestamp(doc: Column, field: str, strict: bool = True) -> Column:
     """Field as timestamp, see ``parse_document_time``."""
     return parse_document_time(document_time_text(doc, field), strict)
+
+
+def with_document_times(df: DataFrame, doc: str, fields: dict[str, str]) -> DataFrame:
+    """Adds the time of a field of each document, by name of its column.
+
+    A document is read and its text parsed once. A filter on a projected time
+    would be merged into the projection, and do both again at each mention, so
+    the times come from a generator, which filters stay above.
+    """
+    if not fields:
+        return df
+    texts = {f"{name}__text": document_time_text(col(doc), field) for name, field in fields.items()}
+    parsed = df.withColumns(texts).withColumns({f"{name}__time": parse_document_time(col(f"{name}__text")) for name in fields})
+    given = F.array(F.struct(*[col(f"{name}__time").alias(name) for name in fields]))
+    return parsed.select(*[col(c) for c in df.columns], F.inline(given))

@@ -70,9 +70,9 @@ def parse_export_time(text: Column, strict: bool = True) -> Column:
 
     Null and 'NaT' give null; other text raises when strict and gives null otherwise.
     """
-    zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    iso = F.when(zoned, utc_wall(text.try_cast("timestamp"))).otherwise(
-        F.replace(text, F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
+    offset = text.rlike(r"[+-]\d{2}:?\d{2}$")
+    iso = F.when(offset, utc_wall(text.try_cast("timestamp"))).otherwise(
+        F.replace(F.rtrim(text, F.lit("Z")), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
     )
     parsed = [
         F.when(text.rlike(TEXT_LAYOUTS), text.try_cast("timestamp_ntz")),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.comparison import comparable
-from tidemark.functions.documents import document_text, document_time_text, parse_document_time
+from tidemark.functions.documents import document_text, with_document_times
 from tidemark.functions.timestamps import effective_timestamp
 from tidemark.names import col
 
@@ -54,11 +54,9 @@ def typed_documents(
     columns too; a field that serves as both times is one.
     """
     fields = {"__ins": inserted, "__upd": updated if updated != inserted else None}
-    times = {name: document_time_text(col(doc), field) for name, field in fields.items() if field}
+    times = {name: field for name, field in fields.items() if field}
     texts = {name: document_text(col(doc), field) for field, name in keys.items()}
-    # the texts first: parsing them looks at each several times
-    read = df.withColumns({**texts, **times})
-    return read.withColumns({name: parse_document_time(col(name)) for name in times}), list(times)
+    return with_document_times(df.withColumns(texts), doc, times), list(times)
 
 
 def latest_document_per_key(

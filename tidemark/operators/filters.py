@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 
-from tidemark.functions.documents import document_timestamp
+from tidemark.functions.documents import with_document_times
 from tidemark.names import INSERTED_AT, UPDATED_AT, col, ntz
 
 
@@ -31,9 +31,14 @@ def documents_changed_since(
     df: DataFrame, mark: str | Column, doc: str, inserted: str | None, updated: str | None = None
 ) -> DataFrame:
     """As ``changed_since`` by fields of the documents; either may be missing, without both all stay."""
-    mark = ntz(mark)
     fields = [f for f in dict.fromkeys((inserted, updated)) if f]
-    later = [document_timestamp(col(doc), f) > mark for f in fields]
+    times = {f"__changed_{at}": field for at, field in enumerate(fields)}
+    return any_later(with_document_times(df, doc, times), mark, list(times)).drop(*times)
+
+
+def any_later(df: DataFrame, mark: str | Column, times: list[str]) -> DataFrame:
+    """Rows with a time after the mark in one of the columns; without columns all stay."""
+    later = [col(t) > ntz(mark) for t in times]
     return df.filter(reduce(lambda a, b: a | b, later)) if later else df
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.documents import document_timestamp
+from tidemark.functions.documents import with_document_times
 from tidemark.names import SENTINEL_MARK, col, ntz
 
 
@@ -26,7 +26,8 @@ def high_water_mark(df: DataFrame, inserted: str, updated: str | None = None) ->
 def document_high_water_mark(df: DataFrame, doc: str, inserted: str | None, updated: str | None = None) -> DataFrame:
     """The same by fields of the documents; null if they have no times."""
     fields = [field for field in dict.fromkeys((inserted, updated)) if field]
-    return df.agg(greatest_time([document_timestamp(col(doc), f) for f in fields]).alias("max_timestamp"))
+    times = {f"__time_{at}": field for at, field in enumerate(fields)}
+    return with_document_times(df, doc, times).agg(greatest_time([col(t) for t in times]).alias("max_timestamp"))
 
 
 def incremental_mark(df: DataFrame, inserted: str) -> DataFrame:

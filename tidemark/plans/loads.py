@@ -27,7 +27,7 @@ from tidemark.names import AUDIT_COLUMNS, col
 from tidemark.operators import deletes, upsert
 from tidemark.operators.audit import audit_of_run
 from tidemark.operators.dedup import latest_per_key, newest_first, typed_documents
-from tidemark.operators.filters import changed_since, documents_changed_since, inserted_since
+from tidemark.operators.filters import any_later, changed_since, inserted_since
 from tidemark.operators.projection import REASONS, project_columns, rejecting_projection, typed_projection, with_audit_columns
 from tidemark.operators.snapshot_diff import new_rows
 from tidemark.plans import folders
@@ -345,10 +345,10 @@ class _Load:
         self.step = "read source"
         docs = self._origin().open(lake.spark, spec, spec.object_name)
         docs = docs.select(col(docs.columns[0]).alias(DOC))
-        if self.read_from is not None:
-            docs = documents_changed_since(docs, str(self.read_from), DOC, spec.inserted_col, spec.updated_col)
         fields = dict(zip(spec.keys, self.table.keys, strict=True))
         typed, times = typed_documents(docs, DOC, fields, spec.inserted_col, spec.updated_col)
+        if self.read_from is not None:
+            typed = any_later(typed, str(self.read_from), times)
         staged = self._stage(typed, "batch", times)
         self._measure()
         latest, keyless = self._split(staged, *newest_first(times), [DOC])

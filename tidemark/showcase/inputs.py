@@ -157,18 +157,35 @@ CHANGE_FEED_SQL = """
     FROM events)"""
 
 
+#: fields that both forms of a document hold as they stand, with their columns
+_DOCUMENT_VALUES = {"user_id": "user_id", "kind": "event_type", "value": "value"}
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON text per event, keyed by the field k of its properties."""
-    feed = change_feed(spark, sf_dir)
     body = F.struct(
         F.get_json_object("props", "$.k").alias("_id"),
         timestamp_text(F.col("ins")).alias("createdAt"),
         timestamp_text(F.col("upd")).alias("updatedAt"),
-        F.col("user_id"),
-        F.col("event_type").alias("kind"),
-        F.col("value"),
+        *[F.col(c).alias(name) for name, c in _DOCUMENT_VALUES.items()],
+    )
+    return change_feed(spark, sf_dir).select("event_id", "ins", F.to_json(body).alias("body"))
+
+
+def exported_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents with object ids and dates as a database's export writes them."""
+
+    def dated(time: str):
+        iso = F.concat(F.replace(timestamp_text(F.col(time)), F.lit(" "), F.lit("T")), F.lit("Z"))
+        return F.when(F.col(time).isNotNull(), F.struct(iso.alias("$date")))
+
+    body = F.struct(
+        F.struct(F.get_json_object("props", "$.k").alias("$oid")).alias("_id"),
+        dated("ins").alias("createdAt"),
+        dated("upd").alias("updatedAt"),
+        *[F.col(c).alias(name) for name, c in _DOCUMENT_VALUES.items()],
     )
-    return feed.select("event_id", "ins", F.to_json(body).alias("body"))
+    return change_feed(spark, sf_dir).select("event_id", "ins", F.to_json(body).alias("body"))
 
 
 DOCUMENTS_SQL = f"""{CHANGE_FEED_SQL},

@@ -815,10 +815,10 @@ def _document_load_sql(*keys: str) -> str:
     FROM pairs p JOIN documents_in d ON p.event_id = d.event_id"""
 
 
-def _load_documents(spark, sf_dir, label: str, keys: str, written=lambda body: body):
+def _load_documents(spark, sf_dir, label: str, keys: str, written=i.documents):
     """A collection loaded whole, then by what changed since the mark."""
     root = fresh_dir(spark, label)
-    docs = i.documents(spark, sf_dir).select("ins", written(F.col("body")).alias("body"))
+    docs = written(spark, sf_dir)
     docs.filter(F.col("ins") < ntz(EVENTS_FROM)).select("body").write.text(f"{root}/before/members")
     docs.select("body").write.text(f"{root}/after/members")
     spec = _order_spec(
@@ -858,21 +858,4 @@ def load_documents_by_two_keys(spark, sf_dir):
 @query("document_load_exported", _document_load_sql("_id"))
 def load_exported_documents(spark, sf_dir):
     """Object ids and dates as a database's export writes them."""
-
-    return _load_documents(spark, sf_dir, "exported", "_id", _as_exported)
-
-
-def _as_exported(body):
-    def dated(name: str):
-        text = F.get_json_object(body, f"$.{name}")
-        iso = F.concat(F.replace(text, F.lit(" "), F.lit("T")), F.lit("Z"))
-        return F.when(text.isNotNull(), F.struct(iso.alias("$date"))).alias(name)
-
-    return F.to_json(
-        F.struct(
-            F.struct(F.get_json_object(body, "$._id").alias("$oid")).alias("_id"),
-            dated("createdAt"),
-            dated("updatedAt"),
-            *[F.get_json_object(body, f"$.{n}").cast(t).alias(n) for n, t in _DOC_FIELDS.items() if n != "_id"],
-        )
-    )
+    return _load_documents(spark, sf_dir, "exported", "_id", i.exported_documents)

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.documents import document_timestamp
+from tidemark.functions.documents import with_document_times
 from tidemark.functions.timestamps import wall_micros
 from tidemark.names import col
 from tidemark.operators.filters import documents_changed_since
@@ -52,9 +52,11 @@ def stage_documents(docs: DataFrame, path: str, inserted: str | None, updated: s
     Texts are parsed here, once; whoever reads changes from the stage later decodes
     only the row groups that hold some.
     """
-    times = [document_timestamp(col(doc), field) for field in dict.fromkeys((inserted, updated)) if field]
-    newest = F.greatest(*times) if len(times) > 1 else times[0] if times else F.lit(None).cast("timestamp_ntz")
-    rows = docs.withColumn(AT, wall_micros(newest))
+    fields = [field for field in dict.fromkeys((inserted, updated)) if field]
+    times = {f"__time_{at}": field for at, field in enumerate(fields)}
+    read = [col(name) for name in times]
+    newest = F.greatest(*read) if len(read) > 1 else read[0] if read else F.lit(None).cast("timestamp_ntz")
+    rows = with_document_times(docs, doc, times).withColumn(AT, wall_micros(newest)).drop(*times)
     rows.write.parquet(path)
     return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
