@@ -78,3 +78,10 @@ def test_targets(spark, sizes):
     expected = targets(sizes)
     assert found.keys() == expected.keys()
     assert all(found[s] == pytest.approx(expected[s]) for s in expected)
+
+
+def test_targets_of_sources_alike(spark):
+    """Equal caps and weights: the level is that of the first of them."""
+    df = spark.createDataFrame([(None, 1), ("a", 1), ("b", 0), ("c", 0)], "source string, source_size long")
+    found = {r.source: r.target for r in source_targets(df).collect()}
+    assert found == pytest.approx({"a": 1.0, "b": 0.0, "c": 0.0, None: 1.0})

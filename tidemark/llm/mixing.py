@@ -47,7 +47,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
         weighed.withColumn("fill", F.col("cap") / F.col("weight"))
         .withColumn("left", F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
         .withColumn("level", F.col("left") / F.sum("weight").over(rest))
-        .withColumn("own", F.when(F.col("level") <= F.col("fill"), F.struct("fill", "level")))
+        .withColumn("place", F.row_number().over(fill))  # sources may be alike
+        .withColumn("own", F.when(F.col("level") <= F.col("fill"), F.struct("place", "level")))
     )
     level = F.min("own").over(everything)["level"]
     return levels.withColumn("level", level).select(
