@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -84,6 +85,22 @@ def test_scores_are_means_over_subwords(odd):
         assert np.allclose(mean, scores[buckets].mean(axis=0) if len(buckets) else 0)
 
 
+def test_scoring_takes_little_memory():
+    """Of a batch of 6 MB, also with many languages; a text scores the same whatever its neighbours."""
+    scores = np.random.Generator(np.random.PCG64(3)).normal(size=(1 << 16, 30)).astype(np.float32)
+    texts = [f"text {n} of some words, " * (n % 40 * 7 + 1) for n in range(2000)] + ["Ünd éin länger " * 40_000, "end"]
+    batch = pa.array(texts)
+    tracemalloc.start()
+    means, counted = _score_texts(batch, scores)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 60e6
+    for at in [*range(0, len(texts), 97), len(texts) - 2, len(texts) - 1]:
+        buckets = subword_buckets(texts[at])
+        assert counted[at] == len(buckets) and np.allclose(means[at], scores[buckets].mean(axis=0, dtype=float))
+        assert (means[at] == _score_texts(batch.slice(at, 1), scores)[0]).all()
+
+
 def test_the_sample_is_bounded_by_texts(spark):
     """One id in all rows, and one text in most."""
     rows = [(None, f"text number {n} {'abc' * (n % 7)} words", "en") for n in range(300)]

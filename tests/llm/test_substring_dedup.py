@@ -1,12 +1,13 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm.substring_dedup import remove_repeats, repeated_suffixes
+from tidemark.llm.substring_dedup import _cut, remove_repeats, repeated_suffixes
 
 
 def left(rows, window):
@@ -100,3 +101,21 @@ def test_the_rest_keeps_its_spaces(spark):
     assert found == {0: "\n a  b\n\nc\td ", 1: "e\n", 2: "f", 3: "", 4: " x \n y ", 5: "", 6: " \t"}
     plain = {r.doc_id: r.kept_text for r in remove_repeats(df).collect()}
     assert {key: " ".join(text.split()) for key, text in found.items()} == plain
+
+
+@pytest.mark.parametrize("spaces", [True, False])
+def test_texts_leave_in_small_batches(spaces):
+    """A worker does not hold the texts of a whole batch once more."""
+    texts = [None, "", *(f"{n} text of words " * 100 for n in range(4000)), "x " * 1_000_000, "end"]
+    starts = pa.array([[2, 4] if n == 7 else None for n in range(len(texts))], pa.list_(pa.int32()))
+    marks = pa.array([[1, 1] if n == 7 else None for n in range(len(texts))], pa.list_(pa.int64()))
+    columns = [pa.array(range(len(texts))), pa.array([{"a": n} for n in range(len(texts))]), pa.array(texts), starts, marks]
+    batch = pa.RecordBatch.from_arrays(columns, names=["_id", "_rest", "_text", "starts", "marks"])
+    parts = list(_cut(3, spaces)(iter([batch])))
+    assert max(part.nbytes for part in parts) < 4e6
+    rows = [row for part in parts for row in part.to_pylist()]
+    assert [(r["_id"], r["_rest"]["a"]) for r in rows] == [(n, n) for n in range(len(texts))]
+    split = [(text or "").split() for text in texts]
+    split[7] = split[7][:2] + split[7][7:]
+    assert [r["kept_text"].split() for r in rows] == split
+    assert [r["n_removed"] for r in rows] == [5 if n == 7 else 0 for n in range(len(texts))]

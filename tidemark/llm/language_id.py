@@ -44,7 +44,7 @@ HELD = 5  # one document in so many is for calibration
 LONG_CHARS = 3000
 LENGTHS = (0, 60, 200, 800)
 UNKNOWN = "und"
-_SLICE = 1 << 20
+_SLICE = 1 << 18  # bytes; the arrays of a slice take some 70 times that
 _GRAMS = (2, 3, 4)
 
 # letters of ASCII in lower case, bytes of other characters as they are, all else a border
@@ -89,9 +89,10 @@ def subword_buckets(text: str) -> np.ndarray:
 
 
 def _portions(texts: pa.Array) -> Iterator[pa.Array]:
-    """Runs of texts of ``_SLICE`` bytes together, or of one longer text."""
+    """Runs of texts of ``_SLICE`` bytes together, with a border on both sides of each, or of one longer text."""
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    offsets = offsets + 2 * np.arange(len(texts) + 1)
     at = 0
     while at < len(texts):
         upto = int(np.searchsorted(offsets, offsets[at] + _SLICE, side="right")) - 1
@@ -102,18 +103,20 @@ def _portions(texts: pa.Array) -> Iterator[pa.Array]:
 
 def _score_texts(texts: pa.Array, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Mean subword scores of each text and the number of its subwords, a slice of bytes at a time."""
-    found = [_score_portion(portion, scores) for portion in _portions(texts)]
+    by_language = np.ascontiguousarray(scores.T)
+    found = [_score_portion(portion, by_language) for portion in _portions(texts)]
     if not found:
         return np.zeros((0, scores.shape[1])), np.zeros(0)
     return np.concatenate([mean for mean, _ in found]), np.concatenate([counted for _, counted in found])
 
 
-def _score_portion(texts: pa.Array, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _score_portion(texts: pa.Array, by_language: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores are gathered for one language at a time: memory does not grow with their number."""
     edge, joint = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
     spaced = pc.binary_join_element_wise(edge, pc.utf8_lower(texts), edge, joint)
     offsets = np.frombuffer(spaced.buffers()[1], dtype=np.int64)[spaced.offset : spaced.offset + len(spaced) + 1]
     data = np.frombuffer(spaced.buffers()[2], dtype=np.uint8)
-    total = np.zeros((len(texts), scores.shape[1]))
+    total = np.zeros((len(texts), len(by_language)))
     counted = np.zeros(len(texts))
     widest = max(_GRAMS)
     for low in range(int(offsets[0]), int(offsets[-1]), _SLICE):
@@ -122,16 +125,18 @@ def _score_portion(texts: pa.Array, scores: np.ndarray) -> tuple[np.ndarray, np.
         first = int(np.searchsorted(offsets, low, side="right")) - 1
         last = int(np.searchsorted(offsets, high, side="left"))
         cuts = np.clip(offsets[first : last + 1], low, high) - low
-        owner = np.repeat(np.arange(first, last), np.diff(cuts))
-        left = offsets[owner + 1] - low - np.arange(high - low)
+        owner = np.repeat(np.arange(last - first, dtype=np.int32), np.diff(cuts))
+        # to the text's end, as far as it matters
+        ends = np.minimum(offsets[first + 1 : last + 1] - low, high - low + widest).astype(np.int32)
+        left = ends[owner] - np.arange(high - low, dtype=np.int32)
         for size in _GRAMS:
             buckets, inside = _subwords(codes, size)
             count = min(len(buckets), high - low)
             use = np.flatnonzero(inside[:count] & (left[:count] >= size))
-            who, found = owner[use] - first, scores[buckets[use]]
+            who, which = owner[use], buckets[use]
             counted[first:last] += np.bincount(who, minlength=last - first)
-            for column in range(scores.shape[1]):
-                total[first:last, column] += np.bincount(who, found[:, column], minlength=last - first)
+            for column, of in enumerate(by_language):
+                total[first:last, column] += np.bincount(who, of[which], minlength=last - first)
     return total / np.maximum(counted, 1)[:, None], counted
 
 

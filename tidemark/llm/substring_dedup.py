@@ -42,6 +42,7 @@ WINDOW = 35
 ANCHOR = 12
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GROUP_ROWS = 20_000
+_FLUSH_BYTES = 1 << 20
 
 
 def _stretches(hashes: np.ndarray, first: np.ndarray, window: int, anchor: int):
@@ -202,24 +203,32 @@ def _cut(window: int, spaces: bool):
         left = _with_spaces(text, keep) if spaces else b" ".join([words[at] for at in keep])
         return left.decode(), len(words), len(words) - len(keep)
 
+    def made(batch: pa.RecordBatch, rows: list[tuple[str, int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(ID),
+                batch.column(REST),
+                pa.array([row[0] for row in rows], pa.string()),
+                pa.array([row[1] for row in rows], pa.int64()),
+                pa.array([row[2] for row in rows], pa.int64()),
+            ],
+            names=[ID, REST, "kept_text", "n_words", "n_removed"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(TEXT).cast(pa.binary()).fill_null(b"")
             starts, marks = batch.column("starts"), batch.column("marks")
-            rows = [
-                kept(texts[at].as_py(), starts[at].values, marks[at].values)
-                for at in range(batch.num_rows)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(ID),
-                    batch.column(REST),
-                    pa.array([row[0] for row in rows], pa.string()),
-                    pa.array([row[1] for row in rows], pa.int64()),
-                    pa.array([row[2] for row in rows], pa.int64()),
-                ],
-                names=[ID, REST, "kept_text", "n_words", "n_removed"],
-            )
+            rows, done, size = [], 0, 0
+            for at in range(batch.num_rows):
+                text = texts[at].as_py()
+                rows.append(kept(text, starts[at].values, marks[at].values))
+                size += len(text)
+                if size >= _FLUSH_BYTES:  # a worker holds few texts, whatever its batches hold
+                    yield made(batch.slice(done, len(rows)), rows)
+                    rows, done, size = [], at + 1, 0
+            if rows:
+                yield made(batch.slice(done), rows)
 
     return run
 
